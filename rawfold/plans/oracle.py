@@ -1,0 +1,183 @@
+"""DuckDB SQL twins of the registered queries (the correctness oracle).
+
+The CTEs below rebuild the derived raw tables of ``rawfold.sources.driver_tables`` with the same
+expressions; each query then states the staging semantics directly in SQL (UNION ALL BY NAME,
+LEFT JOIN LATERAL unnest, QUALIFY ...), independent of the Spark implementation.
+"""
+
+from __future__ import annotations
+
+from rawfold.sources.driver_tables import ORDERS_A, ORDERS_B, RATES_A, RATES_B
+
+TZ = "America/Chicago"
+
+
+def tz(col: str) -> str:
+    return f"timezone('{TZ}', timezone('UTC', {col}))"
+
+
+def table_of(rel: str = "_dbt_source_relation") -> str:
+    return f"replace(string_split({rel}, '.')[3], '`', '')"
+
+
+def brand(rel: str = "_dbt_source_relation") -> str:
+    return f"replace(string_split(string_split({rel}, '.')[3], '_')[1], '`', '')"
+
+
+def integration_id(rel: str = "_dbt_source_relation") -> str:
+    t = table_of(rel)
+    return f"concat(string_split(lower({t}), '_shopify')[1], '_', regexp_replace({t}, '[^0-9]', '', 'g'))"
+
+
+def integration_tokens(rel: str = "_dbt_source_relation") -> str:
+    t = f"lower({table_of(rel)})"
+    return f"concat(string_split({t}, '_')[1], '_', string_split({t}, '_')[2])"
+
+
+ORDER_FIELDS = """
+    CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderkey END AS id,
+    concat('#', CAST(o_orderkey AS VARCHAR)) AS name,
+    CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE concat('c', CAST(o_custkey AS VARCHAR), '@shop.test') END AS email,
+    concat('C', CAST(o_custkey % 5 AS VARCHAR)) AS currency,
+    o_orderstatus AS financial_status,
+    o_totalprice AS total_price,
+    o_orderpriority AS tags,
+    o_orderdate AS created_at"""
+
+OV = f"""ov AS (
+  SELECT {ORDER_FIELDS},
+    l_shipdate AS updated_at,
+    concat('u', CAST(l_suppkey % 10 AS VARCHAR)) AS _daton_user_id,
+    epoch_ms(l_shipdate) AS _daton_batch_runtime,
+    CAST(l_linenumber AS BIGINT) AS _daton_batch_id,
+    l_suppkey % 2 AS arm
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+U = f"""u AS (
+  SELECT '{ORDERS_A}' AS _dbt_source_relation, * EXCLUDE (arm) FROM ov WHERE arm = 0
+  UNION ALL BY NAME
+  SELECT '{ORDERS_B}' AS _dbt_source_relation, * EXCLUDE (arm, tags) FROM ov WHERE arm = 1)"""
+
+CUR = "concat('C', CAST(o_custkey % 5 AS VARCHAR))"
+TAX = "l_extendedprice * l_tax"
+DISC = "l_extendedprice * l_discount"
+ADDR = """{'address1': concat(CAST(o_orderkey AS VARCHAR), ' Main St'), 'address2': CAST(NULL AS VARCHAR),
+      'city': concat('City', CAST(o_custkey % 50 AS VARCHAR)), 'zip': lpad(CAST(o_custkey % 100000 AS VARCHAR), 5, '0'),
+      'province': concat('P', CAST(o_custkey % 13 AS VARCHAR)), 'country': concat('N', CAST(o_custkey % 25 AS VARCHAR)),
+      'last_name': concat('Cust', CAST(o_custkey AS VARCHAR))}"""
+
+NESTED = f"""lx AS (SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+ver AS (
+  SELECT l_orderkey, l_shipdate, count(*) AS n_items, list({{
+    'id': l_orderkey * 10 + l_linenumber, 'product_id': l_partkey, 'variant_id': l_suppkey,
+    'sku': concat('SKU-', CAST(l_partkey AS VARCHAR)), 'name': concat('item-', CAST(l_linenumber AS VARCHAR)),
+    'quantity': l_quantity, 'price': l_extendedprice,
+    'tax_lines': CASE WHEN l_tax > 0 THEN [{{'title': 'VAT', 'rate': l_tax, 'price': {TAX},
+        'price_set': [{{'shop_money': [{{'amount': {TAX}, 'currency_code': 'USD'}}],
+                        'presentment_money': [{{'amount': {TAX}, 'currency_code': {CUR}}},
+                                              {{'amount': {TAX}, 'currency_code': 'USD'}}]}}]}}] ELSE [] END,
+    'discount_allocations': CASE WHEN l_discount > 0 THEN [{{'amount': {DISC},
+        'discount_application_index': CAST(l_linenumber - 1 AS BIGINT),
+        'amount_set': [{{'shop_money': [{{'amount': {DISC}, 'currency_code': 'USD'}}],
+                         'presentment_money': [{{'amount': {DISC}, 'currency_code': {CUR}}}]}}]}}] ELSE [] END,
+    'properties': [{{'name': 'returnflag', 'value': l_returnflag}}, {{'name': 'linestatus', 'value': l_linestatus}}]
+  }}) AS line_items
+  FROM lx GROUP BY l_orderkey, l_shipdate),
+no AS (
+  SELECT {ORDER_FIELDS},
+    coalesce(l_shipdate, o_orderdate) AS updated_at,
+    line_items,
+    {ADDR} AS shipping_address,
+    CASE WHEN o_orderstatus = 'P' THEN NULL ELSE [{ADDR}] END AS billing_address,
+    [{{'name': 'priority', 'value': o_orderpriority}}, {{'name': 'status', 'value': o_orderstatus}}] AS note_attributes,
+    concat('u', CAST(o_custkey % 10 AS VARCHAR)) AS _daton_user_id,
+    epoch_ms(coalesce(l_shipdate, o_orderdate)) AS _daton_batch_runtime,
+    coalesce(n_items, 0) AS _daton_batch_id,
+    '{ORDERS_A}' AS _dbt_source_relation
+  FROM orders LEFT JOIN ver ON o_orderkey = ver.l_orderkey)"""
+
+RR = """rr AS (
+  SELECT d AS date, f AS from_currency_code, concat('C', CAST(k AS VARCHAR)) AS to_currency_code,
+    CASE WHEN k = 3 THEN NULL ELSE CAST(k + 1 AS DOUBLE) + CAST(day(d) AS DOUBLE) / 100.0 + CAST(v AS DOUBLE) / 1000.0 END AS value,
+    concat(CAST(k + 1 AS VARCHAR), '.', lpad(CAST(day(d) AS VARCHAR), 2, '0'), CAST(v AS VARCHAR)) AS value_bn,
+    'fx' AS _daton_user_id,
+    epoch_ms(CAST(d AS TIMESTAMP)) + v * 3600000 AS _daton_batch_runtime,
+    CAST(v AS BIGINT) AS _daton_batch_id, k
+  FROM (SELECT d, k, f, unnest([0, 1]) AS v FROM (
+          SELECT d, k, unnest(CASE WHEN k = 1 THEN ['USD', 'EUR'] ELSE ['USD'] END) AS f FROM (
+            SELECT d, unnest([0, 1, 2, 3]) AS k FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)))))"""
+
+FXA = f"""fxa AS (
+  SELECT '{RATES_A}' AS _dbt_source_relation, * EXCLUDE (k) FROM rr
+  UNION ALL
+  SELECT '{RATES_B}' AS _dbt_source_relation, * EXCLUDE (k) FROM rr WHERE k = 0)"""
+
+FX = f"""{RR},
+{FXA},
+fx AS (
+  SELECT date, from_currency_code, to_currency_code, coalesce(value, CAST(value_bn AS DECIMAL(38,9))) AS value,
+    _daton_user_id, _daton_batch_runtime, _daton_batch_id
+  FROM fxa
+  QUALIFY row_number() OVER (PARTITION BY _dbt_source_relation, date, from_currency_code, to_currency_code
+                             ORDER BY _daton_batch_runtime DESC, _daton_batch_id DESC) = 1)"""
+
+LINEAGE = f"""a._dbt_source_relation, a._daton_user_id, a._daton_batch_runtime, a._daton_batch_id,
+    {integration_id('a._dbt_source_relation')} AS _daton_sourceversion_integration_id"""
+
+FXCOLS = "coalesce(b.value, 1) AS fx_rate, coalesce(b.from_currency_code, a.currency) AS fx_currency_code"
+
+
+def nested_from(*steps: str, base: str = "no") -> str:
+    """``FROM <base> a`` + one LEFT JOIN LATERAL unnest per ``"<list expr> AS <alias>"`` step.
+
+    The element of step ``x`` is ``x.v`` (an empty or NULL list still yields one row).
+    """
+    out = [f"FROM {base} a"]
+    for s in steps:
+        src, alias = s.split(" AS ")
+        out.append(f"LEFT JOIN LATERAL (SELECT unnest({src}) AS v) AS {alias} ON TRUE")
+    return "\n  ".join(out)
+
+
+SQL: dict[str, str] = {}
+
+SQL["ShopifyOrders"] = f"""WITH {OV}, {U}, {FX}
+SELECT {brand('a._dbt_source_relation')} AS brand, coalesce(a.id, 0) AS order_id,
+    {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
+    a.name, a.email, a.currency, a.financial_status, a.total_price, a.tags,
+    {FXCOLS}, {LINEAGE}
+FROM u a LEFT JOIN fx b ON CAST(a.created_at AS DATE) = b.date AND a.currency = b.to_currency_code
+QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0) ORDER BY a._daton_batch_runtime DESC) = 1"""
+
+SQL["ExchangeRates"] = f"""WITH {FX} SELECT * FROM fx"""
+SQL["dedup_then_union"] = SQL["ExchangeRates"]
+
+SQL["union_relations"] = f"""WITH {OV}, {U} SELECT * FROM u"""
+
+SQL["union_then_dedup"] = f"""WITH {OV}, {U}
+SELECT * FROM u QUALIFY dense_rank() OVER (PARTITION BY coalesce(id, 0) ORDER BY _daton_batch_runtime DESC) = 1"""
+
+SQL["latest_dense_rank"] = SQL["union_then_dedup"]
+
+SQL["latest_row_number"] = f"""WITH {OV}, {U}
+SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY coalesce(id, 0)
+    ORDER BY _daton_batch_runtime DESC, _daton_batch_id DESC, _dbt_source_relation DESC, _daton_user_id DESC) = 1"""
+
+SQL["fx_left_join"] = f"""WITH {OV}, {U}, {FX}
+SELECT a.id, a.created_at, a.currency, a._daton_batch_runtime, a._daton_batch_id, a._dbt_source_relation, {FXCOLS}
+FROM u a LEFT JOIN fx b ON CAST(a.created_at AS DATE) = b.date AND a.currency = b.to_currency_code"""
+
+SQL["explode_outer_items"] = f"""WITH {NESTED}
+SELECT a.id, a._daton_batch_runtime, line_items.v.id AS line_items_id, line_items.v.sku AS line_items_sku,
+    line_items.v.quantity AS line_items_quantity
+{nested_from('a.line_items AS line_items')}"""
+
+SQL["ShopifyOrdersLineItems"] = f"""WITH {NESTED}, {FX}
+SELECT {brand('a._dbt_source_relation')} AS brand, coalesce(a.id, 0) AS order_id,
+    {tz('a.created_at')} AS order_created_at, {tz('a.updated_at')} AS order_updated_at, a.tags AS order_tags,
+    coalesce(CAST(line_items.v.id AS VARCHAR), 'N/A') AS line_items_id, CAST(line_items.v.name AS VARCHAR) AS line_items_name,
+    line_items.v.product_id, line_items.v.variant_id, line_items.v.sku, line_items.v.quantity, line_items.v.price,
+    a.currency, {FXCOLS}, {LINEAGE}
+{nested_from('a.line_items AS line_items')}
+LEFT JOIN fx b ON CAST(a.created_at AS DATE) = b.date AND a.currency = b.to_currency_code
+QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0) ORDER BY a._daton_batch_runtime DESC) = 1"""

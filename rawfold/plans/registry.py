@@ -1,0 +1,108 @@
+"""Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
+
+They run the library's operators over raw tables derived from the given tables
+(``rawfold.sources.driver_tables``); ``rawfold.plans.oracle`` holds the DuckDB twin of each.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rawfold.config import BATCH_ID, BATCH_RUNTIME, SOURCE_RELATION, USER_ID, Settings
+from rawfold.operators.fx import fx_left_join
+from rawfold.operators.latest import keep_latest
+from rawfold.operators.nested import unnest_chain
+from rawfold.plans.builder import build
+from rawfold.plans.specs import BY_NAME
+from rawfold.session import pin_engine_conf
+from rawfold.sources import driver_tables as dt
+from rawfold.sources.relations import union_relations
+
+SETTINGS = Settings()
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(name: str):
+    def deco(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            pin_engine_conf(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
+        return run
+    return deco
+
+
+def rates(spark: SparkSession, d: str) -> DataFrame:
+    return build(BY_NAME["ExchangeRates"], dt.rate_arms(spark, d), SETTINGS, include_audit=False)
+
+
+def dataset(name: str, arms, spark: SparkSession, d: str, **kw) -> DataFrame:
+    spec = BY_NAME[name]
+    fx = rates(spark, d) if spec.fx is not None else None
+    return build(spec, arms, SETTINGS, fx=fx, include_audit=False, **kw)
+
+
+@query("ShopifyOrders")
+def shopify_orders(spark, d):
+    """Flagship: current state of every order across stores (union, keep-latest, tz, FX, lineage)."""
+    return dataset("ShopifyOrders", dt.order_arms(spark, d), spark, d)
+
+
+@query("ExchangeRates")
+def exchange_rates(spark, d):
+    """Daily rates: newest load per (date, from, to) inside each relation, then UNION ALL."""
+    return rates(spark, d)
+
+
+@query("dedup_then_union")
+def dedup_then_union(spark, d):
+    return rates(spark, d)
+
+
+@query("union_relations")
+def union_rel(spark, d):
+    return union_relations(dt.order_arms(spark, d))
+
+
+@query("union_then_dedup")
+def union_then_dedup(spark, d):
+    u = union_relations(dt.order_arms(spark, d))
+    return keep_latest(u, [F.coalesce("id", F.lit(0))], [BATCH_RUNTIME], ties=True)
+
+
+@query("latest_dense_rank")
+def latest_dense_rank(spark, d):
+    return union_then_dedup(spark, d)
+
+
+@query("latest_row_number")
+def latest_row_number(spark, d):
+    u = union_relations(dt.order_arms(spark, d))
+    return keep_latest(u, [F.coalesce("id", F.lit(0))], [BATCH_RUNTIME], ties=False,
+                       tiebreak=[BATCH_ID, SOURCE_RELATION, USER_ID])
+
+
+@query("fx_left_join")
+def fx_join(spark, d):
+    u = union_relations(dt.order_arms(spark, d)).select(
+        "id", "created_at", "currency", BATCH_RUNTIME, BATCH_ID, SOURCE_RELATION)
+    return fx_left_join(u, rates(spark, d), "created_at", "currency", SETTINGS)
+
+
+@query("explode_outer_items")
+def explode_outer_items(spark, d):
+    f = unnest_chain(dt.nested_orders(spark, d), ["line_items"])
+    return f.select("id", BATCH_RUNTIME, F.col("line_items.id").alias("line_items_id"),
+                    F.col("line_items.sku").alias("line_items_sku"),
+                    F.col("line_items.quantity").alias("line_items_quantity"))
+
+
+@query("ShopifyOrdersLineItems")
+def shopify_orders_line_items(spark, d):
+    return dataset("ShopifyOrdersLineItems", dt.nested_arms(spark, d), spark, d)
