@@ -7,7 +7,7 @@ LEFT JOIN LATERAL unnest, QUALIFY ...), independent of the Spark implementation.
 
 from __future__ import annotations
 
-from rawfold.sources.driver_tables import ORDERS_A, ORDERS_B, RATES_A, RATES_B
+from rawfold.sources.driver_tables import ORDERS_A, ORDERS_B, RATES_A, RATES_B, RELATION_SUFFIXES
 
 TZ = "America/Chicago"
 
@@ -24,14 +24,15 @@ def brand(rel: str = "_dbt_source_relation") -> str:
     return f"replace(string_split(string_split({rel}, '.')[3], '_')[1], '`', '')"
 
 
+# ``||`` (not DuckDB's NULL-skipping concat) so a missing token makes the id NULL, as in Spark.
 def integration_id(rel: str = "_dbt_source_relation") -> str:
     t = table_of(rel)
-    return f"concat(string_split(lower({t}), '_shopify')[1], '_', regexp_replace({t}, '[^0-9]', '', 'g'))"
+    return f"(string_split(lower({t}), '_shopify')[1] || '_' || regexp_replace({t}, '[^0-9]', '', 'g'))"
 
 
 def integration_tokens(rel: str = "_dbt_source_relation") -> str:
     t = f"lower({table_of(rel)})"
-    return f"concat(string_split({t}, '_')[1], '_', string_split({t}, '_')[2])"
+    return f"(string_split({t}, '_')[1] || '_' || string_split({t}, '_')[2])"
 
 
 ORDER_FIELDS = """
@@ -141,13 +142,13 @@ def nested_from(*steps: str, base: str = "no") -> str:
 
 SQL: dict[str, str] = {}
 
-SQL["ShopifyOrders"] = f"""WITH {OV}, {U}, {FX}
-SELECT {brand('a._dbt_source_relation')} AS brand, coalesce(a.id, 0) AS order_id,
+ORDERS_BODY = f"""SELECT {brand('a._dbt_source_relation')} AS brand, coalesce(a.id, 0) AS order_id,
     {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
     a.name, a.email, a.currency, a.financial_status, a.total_price, a.tags,
     {FXCOLS}, {LINEAGE}
 FROM u a LEFT JOIN fx b ON CAST(a.created_at AS DATE) = b.date AND a.currency = b.to_currency_code
 QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0) ORDER BY a._daton_batch_runtime DESC) = 1"""
+SQL["ShopifyOrders"] = f"WITH {OV}, {U}, {FX}\n{ORDERS_BODY}"
 
 SQL["ExchangeRates"] = f"""WITH {FX} SELECT * FROM fx"""
 SQL["dedup_then_union"] = SQL["ExchangeRates"]
@@ -181,3 +182,157 @@ SELECT {brand('a._dbt_source_relation')} AS brand, coalesce(a.id, 0) AS order_id
 {nested_from('a.line_items AS line_items')}
 LEFT JOIN fx b ON CAST(a.created_at AS DATE) = b.date AND a.currency = b.to_currency_code
 QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0) ORDER BY a._daton_batch_runtime DESC) = 1"""
+
+_SUF = ", ".join(f"'{x}'" for x in RELATION_SUFFIXES)
+NAMES = f"""names AS (
+  SELECT c_custkey, tn AS table_name, concat('`insightsprod`.`raw`.`', tn, '`') AS relation FROM (
+    SELECT c_custkey, CASE WHEN c_custkey % 13 = 0
+        THEN concat(lower(c_mktsegment), 'shop', [{_SUF}][c_custkey % {len(RELATION_SUFFIXES)} + 1])
+        ELSE concat(c_mktsegment, '_n', CAST(c_nationkey AS VARCHAR), '_shopify_', CAST(c_custkey % 7 AS VARCHAR), '_',
+                    [{_SUF}][c_custkey % {len(RELATION_SUFFIXES)} + 1]) END AS tn
+    FROM customer))"""
+CUT = "TIMESTAMP '1998-01-01 00:00:00'"
+CUT_DATE = "DATE '1998-01-01'"
+LOOKBACK_MS = 2592000000
+
+
+def _match(entity, pattern, exclude):
+    cond = f"table_name ILIKE '{pattern}'" + (f" AND NOT table_name ILIKE '{exclude}'" if exclude else "")
+    return f"SELECT '{entity}' AS entity, relation, table_name FROM names WHERE {cond}"
+
+
+SQL["relation_match"] = f"""WITH {NAMES}
+{' UNION ALL '.join(_match(e, p, x) for e, p, x in (
+    ('ShopifyOrders', '%shopify%orders', '%shopify%t_orders'),
+    ('ShopifyTransactions', '%shopify%transactions', '%tender%'),
+    ('ShopifyEvents', '%shopify%events%', '%fulfillment%'),
+    ('ShopifyAbandonedCheckouts', '%shopify%abandoned_checkouts%', '%transactions%'),
+    ('ShopifyRefundsLineItems', '%shopify%refunds', '')))}"""
+
+SQL["brand_from_source"] = f"WITH {NAMES} SELECT relation, {brand('relation')} AS brand FROM names"
+SQL["integration_id"] = (f"WITH {NAMES} SELECT relation, {integration_id('relation')} "
+                         f"AS _daton_sourceversion_integration_id FROM names")
+SQL["integration_id_tokens"] = (f"WITH {NAMES} SELECT relation, {integration_tokens('relation')} "
+                                f"AS _daton_sourceversion_integration_id FROM names")
+SQL["store_token"] = f"WITH {NAMES} SELECT relation, list_reverse(string_split(relation, '_'))[4] AS store FROM names"
+
+SQL["union_exclude"] = f"WITH {OV}, {U} SELECT * EXCLUDE (total_price, financial_status) FROM u"
+SQL["star_except"] = f"""WITH {OV}, {U}
+SELECT {brand()} AS brand, coalesce(id, 0) AS order_id,
+    * EXCLUDE (id, created_at, updated_at, _dbt_source_relation, _daton_user_id, _daton_batch_runtime, _daton_batch_id)
+FROM u"""
+SQL["null_defaults"] = f"""WITH {OV}, {U}
+SELECT coalesce(id, 0) AS order_id, coalesce(email, 'N/A') AS email, coalesce(CAST(id AS VARCHAR), 'N/A') AS id_text,
+    _dbt_source_relation, _daton_batch_runtime, _daton_batch_id
+FROM u"""
+SQL["audit_columns"] = f"""WITH {OV}, {U}
+SELECT id, _daton_batch_runtime, _daton_batch_id, {brand()} AS brand,
+    {integration_id()} AS _daton_sourceversion_integration_id, 'manual' AS _run_id
+FROM u"""
+SQL["coalesce_numeric"] = f"""WITH {RR}
+SELECT date, from_currency_code, to_currency_code, value_bn, _daton_batch_runtime,
+    coalesce(value, CAST(value_bn AS DECIMAL(38,9))) AS value
+FROM rr"""
+SQL["tz_convert"] = f"""SELECT event_id, ts + to_months(CAST(event_id % 12 AS INTEGER)) AS ts_utc,
+    {tz('ts + to_months(CAST(event_id % 12 AS INTEGER))')} AS ts_local
+FROM events"""
+SQL["millis_to_ts"] = f"""WITH {OV}
+SELECT id, _daton_batch_runtime, epoch_ms(_daton_batch_runtime) AS batch_ts FROM ov"""
+SQL["watermark_max"] = f"""WITH {OV}, {U}
+SELECT coalesce(max(_daton_batch_runtime), 0) AS watermark FROM u WHERE updated_at < {CUT}"""
+SQL["incremental_watermark"] = f"""WITH {OV}, {U}
+SELECT * FROM u
+WHERE _daton_batch_runtime >= (SELECT coalesce(max(_daton_batch_runtime), 0) FROM u WHERE updated_at < {CUT})"""
+SQL["scalar_subquery_filter"] = SQL["incremental_watermark"]
+SQL["incremental_lookback"] = f"""WITH {FX},
+fresh AS (
+  SELECT * FROM fxa WHERE _daton_batch_runtime >= (
+    SELECT coalesce(max(_daton_batch_runtime) - {LOOKBACK_MS}, 0) FROM fx WHERE date < {CUT_DATE}))
+SELECT date, from_currency_code, to_currency_code, coalesce(value, CAST(value_bn AS DECIMAL(38,9))) AS value,
+    _daton_user_id, _daton_batch_runtime, _daton_batch_id
+FROM fresh
+QUALIFY row_number() OVER (PARTITION BY _dbt_source_relation, date, from_currency_code, to_currency_code
+                           ORDER BY _daton_batch_runtime DESC, _daton_batch_id DESC) = 1"""
+
+_STATE_COLS = "coalesce(id, 0) AS order_id, updated_at, total_price, _dbt_source_relation, _daton_batch_runtime, _daton_batch_id"
+SQL["merge_upsert"] = f"""WITH {OV}, {U},
+target AS (
+  SELECT {_STATE_COLS} FROM u WHERE updated_at < {CUT}
+  QUALIFY dense_rank() OVER (PARTITION BY coalesce(id, 0) ORDER BY _daton_batch_runtime DESC) = 1),
+upd AS (
+  SELECT {_STATE_COLS} FROM u
+  WHERE _daton_batch_runtime >= (SELECT coalesce(max(_daton_batch_runtime), 0) FROM target)
+  QUALIFY dense_rank() OVER (PARTITION BY coalesce(id, 0) ORDER BY _daton_batch_runtime DESC) = 1)
+SELECT * FROM target WHERE order_id NOT IN (SELECT order_id FROM upd)
+UNION ALL
+SELECT * FROM upd"""
+SQL["partition_by_date"] = f"""WITH {OV}, {U}
+SELECT CAST(created_at AS DATE) AS created_date, count(*) AS row_count FROM u GROUP BY 1"""
+SQL["run_audit"] = f"""WITH {OV}, {U}, {FX}, staged AS ({ORDERS_BODY})
+SELECT 'manual' AS run_id, 'ShopifyOrders' AS dataset, count(*) AS row_count,
+    max(_daton_batch_runtime) AS max_batch_runtime, 'success' AS status FROM staged"""
+
+SQL["latest_multi_order"] = f"""WITH {OV}, {U}
+SELECT * FROM u QUALIFY dense_rank() OVER (PARTITION BY coalesce(id, 0)
+    ORDER BY updated_at DESC, _daton_batch_runtime DESC, _daton_batch_id DESC) = 1"""
+SQL["latest_composite_key"] = f"""WITH {OV}, {U}
+SELECT * FROM u QUALIFY dense_rank() OVER (PARTITION BY coalesce(id, 0), coalesce(_daton_user_id, 'N/A')
+    ORDER BY _daton_batch_runtime DESC) = 1"""
+SQL["seq_id"] = f"""WITH {OV}, {U}
+SELECT *, row_number() OVER (PARTITION BY coalesce(id, 0)
+    ORDER BY _daton_batch_runtime DESC, _daton_batch_id, _dbt_source_relation, _daton_user_id, name) AS _seq_id
+FROM u"""
+
+SQL["explode_chain"] = f"""WITH {NESTED}
+SELECT a.id, a._daton_batch_runtime, line_items.v.id AS line_items_id, tax_lines.v.title AS title,
+    shop_money.v.amount AS shop_money_amount, shop_money.v.currency_code AS shop_money_currency_code
+{nested_from('a.line_items AS line_items', 'line_items.v.tax_lines AS tax_lines', 'tax_lines.v.price_set AS price_set',
+             'price_set.v.shop_money AS shop_money')}"""
+SQL["explode_siblings"] = f"""WITH {NESTED}
+SELECT a.id, a._daton_batch_runtime, line_items.v.id AS line_items_id,
+    shop_money.v.amount AS shop_money_amount, shop_money.v.currency_code AS shop_money_currency_code,
+    presentment_money.v.amount AS presentment_money_amount,
+    presentment_money.v.currency_code AS presentment_money_currency_code
+{nested_from('a.line_items AS line_items', 'line_items.v.tax_lines AS tax_lines', 'tax_lines.v.price_set AS price_set',
+             'price_set.v.shop_money AS shop_money', 'price_set.v.presentment_money AS presentment_money')}"""
+SQL["filter_before_latest"] = f"""WITH {NESTED}
+SELECT coalesce(a.id, 0) AS order_id, a._daton_batch_runtime, line_items.v.id AS line_items_id,
+    tax_lines.v.price AS tax_price
+{nested_from('a.line_items AS line_items', 'line_items.v.tax_lines AS tax_lines')}
+WHERE tax_lines.v.price IS NOT NULL
+QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0) ORDER BY a._daton_batch_runtime DESC) = 1"""
+SQL["struct_star"] = f"""WITH {NESTED}
+SELECT a.id AS order_id, a._daton_batch_runtime, line_items.v.id AS id, line_items.v.product_id AS product_id,
+    line_items.v.variant_id AS variant_id, line_items.v.sku AS sku, line_items.v.name AS name,
+    line_items.v.quantity AS quantity, line_items.v.price AS price
+{nested_from('a.line_items AS line_items')}"""
+SQL["drop_nested_fields"] = SQL["struct_star"]
+SQL["flatten_prefixed"] = f"""WITH {NESTED}
+SELECT a.id AS order_id, line_items.v.product_id AS line_items_product_id, line_items.v.sku AS line_items_sku,
+    line_items.v.quantity AS line_items_quantity, a.shipping_address.city AS shipping_address_city,
+    a.shipping_address.zip AS shipping_address_zip
+{nested_from('a.line_items AS line_items')}"""
+SQL["extract_nested"] = f"""WITH {NESTED}
+SELECT a.id AS order_id, CAST(line_items.v.id AS VARCHAR) AS line_items_id,
+    CAST(CAST(line_items.v.price AS DECIMAL(38,9)) AS DOUBLE) AS line_items_price,
+    CAST(billing_address.v.city AS VARCHAR) AS billing_address_city
+{nested_from('a.line_items AS line_items', 'a.billing_address AS billing_address')}"""
+SQL["latest_after_explode"] = f"""WITH {NESTED}
+SELECT coalesce(a.id, 0) AS order_id, line_items.v.sku AS sku, line_items.v.id AS line_items_id, a._daton_batch_runtime
+{nested_from('a.line_items AS line_items')}
+QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0), line_items.v.sku ORDER BY a._daton_batch_runtime DESC) = 1"""
+SQL["latest_by_content"] = f"""WITH {NESTED},
+c AS (
+  SELECT coalesce(a.id, 0) AS order_id, line_items.v.sku AS line_items_sku, coalesce(tax_lines.v.title, '') AS title,
+      coalesce(tax_lines.v.rate, 0) AS rate, a._daton_batch_runtime, a._daton_batch_id
+  {nested_from('a.line_items AS line_items', 'line_items.v.tax_lines AS tax_lines')})
+SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY order_id, line_items_sku, title, rate
+    ORDER BY _daton_batch_runtime DESC, _daton_batch_id DESC) = 1"""
+
+SQL["check_unique"] = f"""WITH {FX}
+SELECT date, from_currency_code, to_currency_code, count(*) AS n_records FROM fx
+GROUP BY date, from_currency_code, to_currency_code HAVING count(*) > 1"""
+SQL["check_not_null"] = f"""WITH {OV}, {U} SELECT * FROM u WHERE id IS NULL OR email IS NULL"""
+SQL["check_recency"] = f"""WITH {OV}, {U}
+SELECT currency, max(updated_at) AS latest FROM u GROUP BY currency
+HAVING max(updated_at) IS NULL OR max(updated_at) < TIMESTAMP '2001-11-04 00:00:00' - INTERVAL 30 DAY"""

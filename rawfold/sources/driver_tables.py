@@ -169,3 +169,25 @@ def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rate_arms(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
     r = raw_rates(spark, sf_dir)
     return [(RATES_A, r.drop("k")), (RATES_B, r.filter(F.col("k") == 0).drop("k"))]
+
+
+# Fixed suffixes of the derived relation names (entity part of a connector table name).
+RELATION_SUFFIXES = ("orders", "draft_orders", "fulfillment_orders", "transactions", "tender_transactions",
+                     "balance_transactions", "events", "fulfillment_events", "refunds", "abandoned_checkouts",
+                     "products", "customers")
+
+
+def relation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One connector relation name per customer: ``<segment>_n<nation>_shopify_<k>_<entity>``.
+
+    Every 13th customer gets a short name without separators (edge cases of token positions).
+    """
+    c = read(spark, sf_dir, "customer")
+    ck = F.col("c_custkey")
+    suffix = F.element_at(F.array(*[F.lit(s) for s in RELATION_SUFFIXES]), (ck % len(RELATION_SUFFIXES) + 1).cast("int"))
+    full = F.concat(F.col("c_mktsegment"), F.lit("_n"), _s(F.col("c_nationkey")), F.lit("_shopify_"), _s(ck % 7),
+                    F.lit("_"), suffix)
+    short = F.concat(F.lower(F.col("c_mktsegment")), F.lit("shop"), suffix)
+    table = F.when(ck % 13 == 0, short).otherwise(full)
+    return c.select(ck.alias("c_custkey"), table.alias("table_name"),
+                    F.concat(F.lit("`insightsprod`.`raw`.`"), table, F.lit("`")).alias("relation"))

@@ -40,9 +40,9 @@ def matches(name: str, pattern: str, exclude: str = "") -> bool:
 
 def match_relations(names: DataFrame, pattern: str, exclude: str = "", column: str = "table_name") -> DataFrame:
     """Filter a DataFrame of relation/table names with the same LIKE semantics, on executors."""
-    cond = F.col(column).ilike(F.lit(pattern))
+    cond = F.col(column).ilike(pattern)
     if exclude:
-        cond = cond & ~F.col(column).ilike(F.lit(exclude))
+        cond = cond & ~F.col(column).ilike(exclude)
     return names.filter(cond)
 
 
