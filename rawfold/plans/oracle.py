@@ -336,3 +336,71 @@ SQL["check_not_null"] = f"""WITH {OV}, {U} SELECT * FROM u WHERE id IS NULL OR e
 SQL["check_recency"] = f"""WITH {OV}, {U}
 SELECT currency, max(updated_at) AS latest FROM u GROUP BY currency
 HAVING max(updated_at) IS NULL OR max(updated_at) < TIMESTAMP '2001-11-04 00:00:00' - INTERVAL 30 DAY"""
+
+
+def _addr(prefix: str, src: str) -> str:
+    return ",\n    ".join(f"CAST({src}.{f} AS VARCHAR) AS {prefix}_{f}"
+                           for f in ("address1", "city", "zip", "province", "country", "last_name", "address2"))
+
+
+ORDER_HEAD = f"{brand('a._dbt_source_relation')} AS brand, coalesce(a.id, 0) AS order_id"
+FX_ON_RAW = "LEFT JOIN fx b ON CAST(a.created_at AS DATE) = b.date AND a.currency = b.to_currency_code"
+LATEST_ORDER = "QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0) ORDER BY a._daton_batch_runtime DESC) = 1"
+
+SQL["ShopifyOrdersAddresses"] = f"""WITH {NESTED}
+SELECT {ORDER_HEAD}, {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
+    {_addr('billing_address', 'billing_address.v')},
+    {_addr('shipping_address', 'a.shipping_address')},
+    coalesce(a.email, 'N/A') AS email, {LINEAGE}
+{nested_from('a.billing_address AS billing_address')}
+{LATEST_ORDER}"""
+
+SQL["ShopifyOrdersNoteAttributes"] = f"""WITH {NESTED}
+SELECT {ORDER_HEAD}, {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
+    coalesce(note_attributes.v.name, 'N/A') AS name, note_attributes.v.value AS value, {LINEAGE}
+{nested_from('a.note_attributes AS note_attributes')}
+QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0), CAST(note_attributes.v.name AS VARCHAR)
+                           ORDER BY a._daton_batch_runtime DESC) = 1"""
+
+SQL["ShopifyOrdersLineItemsProperties"] = f"""WITH {NESTED}
+SELECT {ORDER_HEAD}, {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
+    coalesce(CAST(line_items.v.id AS VARCHAR), 'N/A') AS line_items_id,
+    CAST(line_items.v.product_id AS VARCHAR) AS product_id, CAST(line_items.v.sku AS VARCHAR) AS sku,
+    CAST(line_items.v.variant_id AS VARCHAR) AS variant_id,
+    coalesce(properties.v.name, 'N/A') AS name, properties.v.value AS value, {LINEAGE}
+{nested_from('a.line_items AS line_items', 'line_items.v.properties AS properties')}
+QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0), a.name ORDER BY a._daton_batch_runtime DESC) = 1"""
+
+SQL["ShopifyOrdersLineItemsTaxLines"] = f"""WITH {NESTED}, {FX},
+s AS (
+  SELECT {ORDER_HEAD}, {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
+      CAST(line_items.v.id AS VARCHAR) AS line_items_id, CAST(line_items.v.product_id AS VARCHAR) AS product_id,
+      CAST(line_items.v.sku AS VARCHAR) AS sku, CAST(line_items.v.variant_id AS VARCHAR) AS variant_id,
+      coalesce(tax_lines.v.title, 'N/A') AS title, tax_lines.v.rate AS rate, tax_lines.v.price AS price,
+      shop_money.v.amount AS shop_money_amount, shop_money.v.currency_code AS shop_money_currency_code,
+      presentment_money.v.amount AS presentment_money_amount,
+      presentment_money.v.currency_code AS presentment_money_currency_code,
+      {FXCOLS}, {LINEAGE}
+  {nested_from('a.line_items AS line_items', 'line_items.v.tax_lines AS tax_lines', 'tax_lines.v.price_set AS price_set',
+               'price_set.v.shop_money AS shop_money', 'price_set.v.presentment_money AS presentment_money')}
+  {FX_ON_RAW}
+  {LATEST_ORDER})
+SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY _daton_batch_runtime DESC, line_items_id NULLS FIRST,
+    title NULLS FIRST, shop_money_amount NULLS FIRST, presentment_money_currency_code NULLS FIRST,
+    fx_currency_code NULLS FIRST, fx_rate NULLS FIRST) AS _seq_id
+FROM s"""
+
+SQL["ShopifyOrdersDiscountAllocations"] = f"""WITH {NESTED}, {FX}
+SELECT {ORDER_HEAD}, {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
+    coalesce(line_items.v.id, 0) AS line_items_id, line_items.v.product_id AS line_items_product_id,
+    line_items.v.sku AS line_items_sku, discount_allocations.v.amount AS amount,
+    coalesce(discount_allocations.v.discount_application_index, 0) AS discount_application_index,
+    shop_money.v.amount AS shop_money_amount, shop_money.v.currency_code AS shop_money_currency_code,
+    presentment_money.v.amount AS presentment_money_amount,
+    presentment_money.v.currency_code AS presentment_money_currency_code,
+    {FXCOLS}, {LINEAGE}
+{nested_from('a.line_items AS line_items', 'line_items.v.discount_allocations AS discount_allocations',
+             'discount_allocations.v.amount_set AS amount_set', 'amount_set.v.shop_money AS shop_money',
+             'amount_set.v.presentment_money AS presentment_money')}
+{FX_ON_RAW}
+{LATEST_ORDER}"""

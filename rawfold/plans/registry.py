@@ -404,3 +404,16 @@ def check_recency_q(spark, d):
     import datetime as _dt
     as_of = _dt.datetime.fromisoformat(RECENCY_AS_OF)
     return check_recency(_union(spark, d), "updated_at", as_of, 30, group_by=["currency"])
+
+
+# ---- spec-built order datasets over the nested raw orders -----------------------------------------
+def _nested_dataset(name):
+    def run(spark, d):
+        return dataset(name, dt.nested_arms(spark, d), spark, d)
+    run.__doc__ = f"The {name} staging dataset built from its spec."
+    return run
+
+
+for _name in ("ShopifyOrdersAddresses", "ShopifyOrdersNoteAttributes", "ShopifyOrdersLineItemsProperties",
+              "ShopifyOrdersLineItemsTaxLines", "ShopifyOrdersDiscountAllocations"):
+    query(_name)(_nested_dataset(_name))

@@ -255,7 +255,8 @@ SPECS: tuple[DatasetSpec, ...] = (
                  _s("sku", "line_items.sku"), _s("variant_id", "line_items.variant_id"),
                  Key("title", "tax_lines.title", "N/A"), SStar("tax_lines", ("price_set", "title")), *_money()),
         latest=Latest((ID0,)), fx=Fx("created_at", "currency"), seq_by="order_id",
-        seq_tiebreak=("line_items_id", "title", "shop_money_amount", "presentment_money_amount"),
+        seq_tiebreak=("line_items_id", "title", "shop_money_amount", "presentment_money_currency_code",
+                      "fx_currency_code", "fx_rate"),
         merge_keys=("order_id",)),
     DatasetSpec(
         name="ShopifyOrdersNoteAttributes", pattern=ORDERS, exclude_pattern=ORDERS_NOT, switch="ShopifyOrders",
