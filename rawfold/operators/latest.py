@@ -47,7 +47,7 @@ def keep_latest(df: DataFrame, keys: Sequence, order: Sequence, *, ties: bool =
     """Rows ranked first per ``keys`` by ``order`` (all descending, NULLs last).
 
     ``keys`` and ``order`` are column names or Column expressions (``coalesce(id, 0)``).
-    NULL keys form one group, as in a window ``PARTITION BY``.
+    NULL keys form one group, as in a window ``PARTITION BY``. Tie-breakers also rank descending.
     """
     keys, order, tiebreak = list(keys), list(order), list(tiebreak)
     if not order:

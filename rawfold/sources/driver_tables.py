@@ -84,11 +84,20 @@ def _money(amount: Column, code: Column) -> Column:
     return F.struct(amount.alias("amount"), code.alias("currency_code"))
 
 
+def _when_array(cond: Column, element: Column) -> Column:
+    """``[element]`` when ``cond`` else ``[]`` (same element type, stays in generated code)."""
+    return F.slice(F.array(element), 1, F.when(cond, F.lit(1)).otherwise(F.lit(0)))
+
+
 def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw orders with nested arrays, one version per (order, ship date)."""
+    """Raw orders with nested arrays, one version per (order, ship date).
+
+    One shuffle: ``orders LEFT JOIN lineitem`` on the order key, then an aggregate per
+    (order, ship date) that reuses the join's hash partitioning on the order key.
+    """
     li = read(spark, sf_dir, "lineitem")
     o = read(spark, sf_dir, "orders")
-    lx = li.join(o.select("o_orderkey", "o_custkey"), li["l_orderkey"] == o["o_orderkey"])
+    j = o.join(li, o["o_orderkey"] == li["l_orderkey"], "left")
     cur = _cur(F.col("o_custkey"))
     tax_amt = F.col("l_extendedprice") * F.col("l_tax")
     disc_amt = F.col("l_extendedprice") * F.col("l_discount")
@@ -109,14 +118,16 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("item-"), _s(F.col("l_linenumber"))).alias("name"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
-        F.filter(F.array(tax_line), lambda _: F.col("l_tax") > 0).alias("tax_lines"),
-        F.filter(F.array(allocation), lambda _: F.col("l_discount") > 0).alias("discount_allocations"),
+        _when_array(F.col("l_tax") > 0, tax_line).alias("tax_lines"),
+        _when_array(F.col("l_discount") > 0, allocation).alias("discount_allocations"),
         F.array(F.struct(F.lit("returnflag").alias("name"), F.col("l_returnflag").alias("value")),
                 F.struct(F.lit("linestatus").alias("name"), F.col("l_linestatus").alias("value"))).alias("properties"),
     )
-    versions = lx.groupBy("l_orderkey", "l_shipdate").agg(
-        F.count(F.lit(1)).alias("n_items"), F.collect_list(item).alias("line_items"))
-    j = o.join(versions, o["o_orderkey"] == versions["l_orderkey"], "left")
+    order_cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    has_item = F.col("l_orderkey").isNotNull()
+    g = j.groupBy(*order_cols, "l_shipdate").agg(
+        F.count("l_orderkey").alias("n_items"),
+        F.collect_list(F.when(has_item, item)).alias("items"))
     ck = F.col("o_custkey")
     addr = F.struct(
         F.concat(_s(F.col("o_orderkey")), F.lit(" Main St")).alias("address1"),
@@ -127,17 +138,17 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("N"), _s(ck % 25)).alias("country"),
         F.concat(F.lit("Cust"), _s(ck)).alias("last_name"))
     shipped = F.coalesce(F.col("l_shipdate"), F.col("o_orderdate"))
-    return j.select(
+    return g.select(
         *_order_fields(),
         shipped.alias("updated_at"),
-        F.col("line_items"),
+        F.when(F.col("n_items") > 0, F.col("items")).alias("line_items"),
         addr.alias("shipping_address"),
         F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.array(addr)).alias("billing_address"),
         F.array(F.struct(F.lit("priority").alias("name"), F.col("o_orderpriority").alias("value")),
                 F.struct(F.lit("status").alias("name"), F.col("o_orderstatus").alias("value"))).alias("note_attributes"),
         F.concat(F.lit("u"), _s(ck % 10)).alias("_daton_user_id"),
         _epoch_ms(shipped).alias("_daton_batch_runtime"),
-        F.coalesce(F.col("n_items"), F.lit(0)).alias("_daton_batch_id"),
+        F.col("n_items").alias("_daton_batch_id"),
     )
 
 

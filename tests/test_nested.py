@@ -1,0 +1,38 @@
+from pyspark.sql import functions as F
+
+from rawfold.operators.nested import drop_nested_fields, prefixed, struct_star, unnest, unnest_chain
+
+SCHEMA = ("id long, items array<struct<id:long, name:string, tax:array<struct<t:string, p:double>>>>, "
+          "addr struct<city:string, zip:string>, bill array<struct<city:string>>")
+
+
+def frame(spark):
+    rows = [
+        (1, [(10, "a", [("vat", 1.0), ("gst", 2.0)]), (11, "b", [])], ("X", "1"), [("B1",)]),
+        (2, [], None, None),
+        (3, None, ("Y", "2"), [("B3",), ("B4",)]),
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_outer_unnest_keeps_null_and_empty(spark):
+    out = unnest(frame(spark), "items")
+    assert out.count() == 4  # 2 items + one row for the empty and one for the null array
+    assert out.filter(F.col("items").isNull()).count() == 2
+
+
+def test_chain_struct_and_siblings(spark):
+    out = unnest_chain(frame(spark), ["items", ("items", "tax"), "ADDR", "bill"])
+    rows = out.select("id", "tax.t", "addr.city", "bill.city").collect()
+    assert len([r for r in rows if r.id == 1]) == 3 and len([r for r in rows if r.id == 3]) == 2
+    assert {r[1] for r in rows if r.id == 1} == {"vat", "gst", None}
+
+
+def test_struct_star_prefixes_collisions_and_drops(spark):
+    f = unnest(frame(spark), "items")
+    cols = struct_star(f, "items", ["tax"], taken=["id"])
+    assert [n for n, _ in cols] == ["items_id", "name"]
+    picked = prefixed(f, "addr", ["city", "nope"])
+    assert [n for n, _ in picked] == ["addr_city", "addr_nope"]
+    d = drop_nested_fields(frame(spark), "items", ["tax"])
+    assert "tax" not in d.schema["items"].dataType.elementType.fieldNames()
