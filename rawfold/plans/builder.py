@@ -98,9 +98,12 @@ def build(spec: DatasetSpec, relations, settings: Settings, *, fx: DataFrame | N
     union_cols = a.columns
     lt = spec.latest
 
+    # row_number picks one row: without a spec tie-breaker, batch id then relation make it repeatable
+    tiebreak = lt.tiebreak if (lt is None or lt.ties or lt.tiebreak) else (BATCH_ID, SOURCE_RELATION)
+
     def latest(df, keys):
         return keep_latest(df, [_expr(k) for k in keys], [_expr(o) for o in lt.order], ties=lt.ties,
-                           tiebreak=[_expr(t) for t in lt.tiebreak], strategy=latest_strategy)
+                           tiebreak=[_expr(t) for t in tiebreak], strategy=latest_strategy)
 
     if lt and lt.stage == "parent":
         a = latest(a, lt.keys)

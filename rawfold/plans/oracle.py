@@ -7,7 +7,9 @@ LEFT JOIN LATERAL unnest, QUALIFY ...), independent of the Spark implementation.
 
 from __future__ import annotations
 
-from rawfold.sources.driver_tables import ORDERS_A, ORDERS_B, RATES_A, RATES_B, RELATION_SUFFIXES
+from rawfold.sources.driver_tables import (
+    FLAT_BATCH0_MS, ORDERS_A, ORDERS_B, RATES_A, RATES_B, RELATION_SUFFIXES, flat_relation,
+)
 
 TZ = "America/Chicago"
 
@@ -404,3 +406,97 @@ SELECT {ORDER_HEAD}, {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS
              'amount_set.v.presentment_money AS presentment_money')}
 {FX_ON_RAW}
 {LATEST_ORDER}"""
+
+
+# ---- flat entities: customers loaded three times, two stores ----------------------------------------
+FV = f"""fv AS (
+  SELECT CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey END AS id,
+    CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_mktsegment END AS title,
+    c_name AS name, concat('C', CAST(c_custkey % 5 AS VARCHAR)) AS currency, c_acctbal AS balance,
+    c_custkey % 300 AS inventory_item_id,
+    CASE WHEN c_nationkey = 0 THEN NULL ELSE CAST(c_nationkey AS BIGINT) END AS location_id,
+    CAST(c_nationkey AS BIGINT) AS fulfillment_id,
+    created_at, updated_at, updated_at AS processed_at, updated_at AS happened_at,
+    CASE WHEN v = 2 THEN updated_at END AS completed_at,
+    CASE WHEN v = 1 THEN updated_at END AS disabled_at,
+    created_at + to_days(2) AS estimated_delivery_at,
+    concat('u', CAST(v AS VARCHAR)) AS _daton_user_id,
+    {FLAT_BATCH0_MS} + v * 86400000 AS _daton_batch_runtime,
+    c_custkey AS _daton_batch_id,
+    c_nationkey % 2 AS arm
+  FROM (SELECT *, created_at + to_days(CAST((c_custkey + v) % 3 AS BIGINT)) AS updated_at
+        FROM (SELECT *, TIMESTAMP '2021-03-01 00:00:00' + to_hours(CAST(c_custkey % 2000 AS BIGINT)) AS created_at
+              FROM customer, (SELECT unnest([0, 1, 2]) AS v))))"""
+
+
+def flat_union(entity: str) -> str:
+    return f"""{FV},
+u AS (
+  SELECT '{flat_relation('Acme_us', entity)}' AS _dbt_source_relation, * EXCLUDE (arm) FROM fv WHERE arm = 0
+  UNION ALL BY NAME
+  SELECT '{flat_relation('Zest_ca', entity)}' AS _dbt_source_relation, * EXCLUDE (arm, balance) FROM fv WHERE arm = 1)"""
+
+
+DATON_COLS = "_dbt_source_relation, _daton_user_id, _daton_batch_runtime, _daton_batch_id"
+
+
+def flat_dataset(entity: str, key_col: str | None, key_default, tz_cols: tuple, partition: str, *,
+                 ties: bool = True, order: str = "_daton_batch_runtime DESC", fx: str | None = None) -> str:
+    """A flat staging dataset: key default, converted timestamps, every other column, newest load per key.
+
+    ``fx`` = ``"raw:<col>"`` joins rates on the unconverted column after the rank (QUALIFY after the
+    join), ``"out:<col>"`` on the converted output column of the ranked derived table.
+    """
+    head = []
+    if key_col:
+        if key_default is None:
+            head.append(f"{key_col}")
+        elif isinstance(key_default, str):
+            head.append(f"coalesce(CAST({key_col} AS VARCHAR), '{key_default}') AS {key_col}")
+        else:
+            head.append(f"coalesce({key_col}, {key_default}) AS {key_col}")
+    head += [f"{tz(c)} AS {c}" for c in tz_cols]
+    excl = ", ".join(([key_col] if key_col else []) + list(tz_cols) + DATON_COLS.split(", "))
+    rank = "dense_rank()" if ties else "row_number()"
+    tie = "" if ties else ", _daton_batch_id DESC, _dbt_source_relation DESC"
+    b = f"""SELECT {brand()} AS brand, {', '.join(head + [f'* EXCLUDE ({excl})'])}, {DATON_COLS},
+    {integration_id()} AS _daton_sourceversion_integration_id, updated_at AS __raw_updated_at
+  FROM u QUALIFY {rank} OVER (PARTITION BY {partition} ORDER BY {order}{tie}) = 1"""
+    if fx is None:
+        return f"WITH {flat_union(entity)}, b AS ({b}) SELECT * EXCLUDE (__raw_updated_at) FROM b"
+    where, col = fx.split(":")
+    on = f"CAST(a.{'__raw_' + col if where == 'raw' else col} AS DATE)"
+    return f"""WITH {flat_union(entity)}, {FX}, b AS ({b})
+SELECT a.* EXCLUDE (__raw_updated_at), {FXCOLS}
+FROM b a LEFT JOIN fx b ON {on} = b.date AND a.currency = b.to_currency_code"""
+
+
+SQL["ShopifyLocations"] = flat_dataset("locations", "id", 0, ("created_at", "updated_at"), "coalesce(id, 0)")
+SQL["ShopifyInventoryItems"] = flat_dataset("inventory_items", "id", 0, ("created_at", "updated_at"),
+                                            "coalesce(id, 0)", ties=False)
+SQL["ShopifyInventoryLevels"] = f"""WITH {flat_union('inventory_levels')}
+SELECT {brand()} AS brand, coalesce(inventory_item_id, 0) AS inventory_item_id, coalesce(location_id, 0) AS location_id,
+    {tz('updated_at')} AS updated_at, * EXCLUDE (inventory_item_id, location_id, updated_at, {DATON_COLS}),
+    {DATON_COLS}, {integration_id()} AS _daton_sourceversion_integration_id
+FROM u QUALIFY dense_rank() OVER (PARTITION BY coalesce(inventory_item_id, 0), coalesce(location_id, 0)
+    ORDER BY updated_at DESC, _daton_batch_runtime DESC, _daton_batch_id DESC) = 1"""
+SQL["ShopifyCustomerAddress"] = flat_dataset("customer_address", None, None, (), "id", ties=False)
+SQL["ShopifyGiftCards"] = flat_dataset("gift_cards", "id", "N/A", ("created_at", "updated_at", "disabled_at"), "id",
+                                       fx="out:updated_at")
+SQL["ShopifyPolicies"] = flat_dataset("policies", "title", "N/A", ("created_at", "updated_at"),
+                                      "coalesce(title, 'N/A')")
+SQL["ShopifyFulfillmentEvents"] = flat_dataset(
+    "fulfillment_events", "id", "N/A", ("happened_at", "created_at", "updated_at", "estimated_delivery_at"),
+    "id, fulfillment_id", ties=False)
+SQL["ShopifyTenderTransactions"] = flat_dataset("tender_transactions", "id", None, ("processed_at",), "id",
+                                                fx="out:processed_at")
+SQL["ShopifyAbandonedCheckouts"] = flat_dataset("abandoned_checkouts", "id", "N/A",
+                                                ("created_at", "updated_at", "completed_at"), "id", ties=False,
+                                                fx="out:updated_at")
+SQL["ShopifyShop"] = f"""WITH {flat_union('shop')}, {FX}
+SELECT {brand('a._dbt_source_relation')} AS brand, {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
+    a.* EXCLUDE (created_at, updated_at, {DATON_COLS}), {FXCOLS},
+    a._dbt_source_relation, a._daton_user_id, a._daton_batch_runtime, a._daton_batch_id,
+    {integration_id('a._dbt_source_relation')} AS _daton_sourceversion_integration_id
+FROM u a LEFT JOIN fx b ON CAST(a.updated_at AS DATE) = b.date AND a.currency = b.to_currency_code
+QUALIFY dense_rank() OVER (PARTITION BY a.id ORDER BY a._daton_batch_runtime DESC) = 1"""

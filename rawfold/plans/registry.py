@@ -417,3 +417,24 @@ def _nested_dataset(name):
 for _name in ("ShopifyOrdersAddresses", "ShopifyOrdersNoteAttributes", "ShopifyOrdersLineItemsProperties",
               "ShopifyOrdersLineItemsTaxLines", "ShopifyOrdersDiscountAllocations"):
     query(_name)(_nested_dataset(_name))
+
+
+# ---- spec-built flat datasets over customers loaded three times ------------------------------------
+FLAT_ENTITIES = {
+    "ShopifyLocations": "locations", "ShopifyInventoryItems": "inventory_items",
+    "ShopifyInventoryLevels": "inventory_levels", "ShopifyCustomerAddress": "customer_address",
+    "ShopifyGiftCards": "gift_cards", "ShopifyPolicies": "policies",
+    "ShopifyFulfillmentEvents": "fulfillment_events", "ShopifyTenderTransactions": "tender_transactions",
+    "ShopifyAbandonedCheckouts": "abandoned_checkouts", "ShopifyShop": "shop",
+}
+
+
+def _flat_dataset(name, entity):
+    def run(spark, d):
+        return dataset(name, dt.flat_arms(spark, d, entity), spark, d)
+    run.__doc__ = f"The {name} staging dataset built from its spec over flat raw records."
+    return run
+
+
+for _name, _entity in FLAT_ENTITIES.items():
+    query(_name)(_flat_dataset(_name, _entity))

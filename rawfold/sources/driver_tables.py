@@ -202,3 +202,48 @@ def relation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = F.when(ck % 13 == 0, short).otherwise(full)
     return c.select(ck.alias("c_custkey"), table.alias("table_name"),
                     F.concat(F.lit("`insightsprod`.`raw`.`"), table, F.lit("`")).alias("relation"))
+
+
+FLAT_BATCH0_MS = 1_614_556_800_000  # 2021-03-01 00:00:00 UTC, first load of the flat entities
+
+
+def flat_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat raw records (one per customer), loaded three times (``arm`` = store 0/1 by nation parity)."""
+    c = read(spark, sf_dir, "customer")
+    x = c.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("v"))
+    ck, v = F.col("c_custkey"), F.col("v")
+    created = F.timestamp_add("HOUR", (ck % 2000).cast("int"), F.lit("2021-03-01 00:00:00").cast("timestamp_ntz"))
+    updated = F.timestamp_add("DAY", ((ck + v) % 3).cast("int"), created)
+    return x.select(
+        F.when(ck % 11 == 0, F.lit(None).cast("long")).otherwise(ck).alias("id"),
+        F.when(ck % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("title"),
+        F.col("c_name").alias("name"),
+        _cur(ck).alias("currency"),
+        F.col("c_acctbal").alias("balance"),
+        (ck % 300).alias("inventory_item_id"),
+        F.when(F.col("c_nationkey") == 0, F.lit(None).cast("long"))
+         .otherwise(F.col("c_nationkey").cast("long")).alias("location_id"),
+        F.col("c_nationkey").cast("long").alias("fulfillment_id"),
+        created.alias("created_at"),
+        updated.alias("updated_at"),
+        updated.alias("processed_at"),
+        updated.alias("happened_at"),
+        F.when(v == 2, updated).alias("completed_at"),
+        F.when(v == 1, updated).alias("disabled_at"),
+        F.timestamp_add("DAY", F.lit(2), created).alias("estimated_delivery_at"),
+        F.concat(F.lit("u"), _s(v)).alias("_daton_user_id"),
+        (F.lit(FLAT_BATCH0_MS) + v * 86400000).alias("_daton_batch_runtime"),
+        ck.alias("_daton_batch_id"),
+        (F.col("c_nationkey") % 2).alias("arm"),
+    )
+
+
+def flat_relation(store: str, entity: str) -> str:
+    return f"`insightsprod`.`raw`.`{store}_shopify_{'1' if store == 'Acme_us' else '22'}_{entity}`"
+
+
+def flat_arms(spark: SparkSession, sf_dir: str, entity: str) -> list[tuple[str, DataFrame]]:
+    """The flat records as two store relations of ``entity``; the second store lacks ``balance``."""
+    v = flat_versions(spark, sf_dir)
+    return [(flat_relation("Acme_us", entity), v.filter(F.col("arm") == 0).drop("arm")),
+            (flat_relation("Zest_ca", entity), v.filter(F.col("arm") == 1).drop("arm", "balance"))]
