@@ -25,6 +25,8 @@ class Settings:
     ``enabled`` overrides the per-dataset default switch (``{"ShopifyProducts": False}``).
     ``broadcast_max_rows`` is the proven size bound under which a lookup side (FX rates,
     merge keys) is broadcast; above it the join shuffles and AQE handles skew.
+    ``seq_strategy`` numbers ``_seq_id`` with ``"ranged"`` (no parent confined to one task) or
+    ``"window"`` (one window task per parent).
     """
 
     timezone_conversion: bool = True
@@ -39,6 +41,7 @@ class Settings:
     enabled: dict = field(default_factory=dict)
     broadcast_max_rows: int = 2_000_000
     full_refresh: bool = False
+    seq_strategy: str = "ranged"
 
     def with_(self, **kw) -> "Settings":
         return replace(self, **kw)

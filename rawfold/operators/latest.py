@@ -88,12 +88,44 @@ def _window(df: DataFrame, keys, order, ties, tiebreak) -> DataFrame:
 
 
 def seq_id(df: DataFrame, keys: Sequence, order: Sequence, tiebreak: Sequence = (),
-           name: str = "_seq_id") -> DataFrame:
-    """``row_number() over (partition by keys order by order desc, tiebreak)`` as ``name``.
+           name: str = "_seq_id", strategy: str = "window") -> DataFrame:
+    """``row_number() over (partition by keys order by order desc, tiebreak asc)`` as ``name``.
 
     Tie-breakers make the numbering repeatable (after keep-latest every row of a parent shares
     one batch, so the order column alone does not decide it).
+
+    ``strategy="ranged"`` numbers rows without putting a parent's rows into one task: rows are
+    range-partitioned on (keys, order, tiebreak) (sampled bounds split a hot parent over several
+    tasks), sorted, and checkpointed to the shared folder so partition ids and positions are fixed;
+    each row's number is the count of its parent's rows in earlier partitions (a running sum over
+    per-(parent, partition) counts, at most one row per partition) plus its position in its own
+    partition. Same numbers as the window, exactly.
     """
-    w = Window.partitionBy(*[_col(k) for k in keys]).orderBy(
-        *[_col(o).desc_nulls_last() for o in order], *[_col(t).asc_nulls_first() for t in tiebreak])
-    return df.withColumn(name, F.row_number().over(w))
+    if strategy == "window":
+        w = Window.partitionBy(*[_col(k) for k in keys]).orderBy(
+            *[_col(o).desc_nulls_last() for o in order], *[_col(t).asc_nulls_first() for t in tiebreak])
+        return df.withColumn(name, F.row_number().over(w))
+    if strategy != "ranged":
+        raise ValueError(f"unknown seq_id strategy {strategy!r}")
+    from rawfold.session import shared_dir
+    shared_dir(df.sparkSession)
+    cols = df.columns
+    kn = [f"__sk{i}" for i in range(len(keys))]
+    on = [f"__so{i}" for i in range(len(order))]
+    tn = [f"__st{i}" for i in range(len(tiebreak))]
+    d = df.withColumns({**{n: _col(k) for n, k in zip(kn, keys)}, **{n: _col(o) for n, o in zip(on, order)},
+                        **{n: _col(t) for n, t in zip(tn, tiebreak)}})
+    sort = ([F.col(k).asc_nulls_first() for k in kn] + [F.col(o).desc_nulls_last() for o in on]
+            + [F.col(t).asc_nulls_first() for t in tn])
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = (d.repartitionByRange(parts, *sort).sortWithinPartitions(*sort)
+          .withColumns({"__spid": F.spark_partition_id(), "__spos": F.monotonically_increasing_id()})
+          .withColumn("__skey", F.struct(*kn))
+          .checkpoint(eager=True))
+    firsts = r.groupBy("__skey", "__spid").agg(F.min("__spos").alias("__sfirst"),
+                                               F.count(F.lit(1)).alias("__scnt"))
+    before = Window.partitionBy("__skey").orderBy("__spid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = firsts.withColumn("__soff", F.coalesce(F.sum("__scnt").over(before), F.lit(0))).drop("__scnt")
+    out = r.join(offs, ["__skey", "__spid"])
+    return out.select(*[F.col(f"`{c}`") for c in cols],
+                      (F.col("__soff") + (F.col("__spos") - F.col("__sfirst")) + 1).alias(name))

@@ -88,7 +88,7 @@ def projection(f: DataFrame, spec: DatasetSpec, union_cols: Sequence[str],
 
 def build(spec: DatasetSpec, relations, settings: Settings, *, fx: DataFrame | None = None,
           fx_rows: int | None = None, watermark: int | None = None, lookback_ms: int = 0,
-          include_audit: bool = True, latest_strategy: str = "auto") -> DataFrame:
+          include_audit: bool = True, latest_strategy: str = "auto", seq_strategy: str | None = None) -> DataFrame:
     """Plan of one dataset over its raw relations (full load when ``watermark`` is None)."""
     if spec.kind == "per_arm_rates":
         return build_rates(spec, relations, settings, watermark=watermark, lookback_ms=lookback_ms,
@@ -148,7 +148,8 @@ def build(spec: DatasetSpec, relations, settings: Settings, *, fx: DataFrame | N
     if include_audit:
         res = res.withColumns({LAST_UPDATED: F.current_timestamp(), RUN_ID: F.lit(settings.run_id)})
     if spec.seq_by:
-        res = seq_id(res, [spec.seq_by], [BATCH_RUNTIME], tiebreak=spec.seq_tiebreak)
+        res = seq_id(res, [spec.seq_by], [BATCH_RUNTIME], tiebreak=spec.seq_tiebreak,
+                     strategy=seq_strategy or settings.seq_strategy)
     return res
 
 

@@ -302,7 +302,7 @@ def latest_composite_key(spark, d):
 @query("seq_id")
 def seq_id_q(spark, d):
     return seq_id_op(_union(spark, d), [F.coalesce("id", F.lit(0))], [BATCH_RUNTIME],
-                     tiebreak=[BATCH_ID, SOURCE_RELATION, USER_ID, "name"])
+                     tiebreak=[BATCH_ID, SOURCE_RELATION, USER_ID, "name"], strategy=SETTINGS.seq_strategy)
 
 
 # ---- nested data -----------------------------------------------------------------------------------

@@ -57,3 +57,14 @@ def test_aggregate_plan_pre_aggregates_before_shuffle(spark):
     assert "partial_max" in plan and "LeftSemi" in plan
     plan_rn = keep_latest(df, ["id"], ["b"], ties=False)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan_rn and "Window" not in plan_rn
+
+
+def test_ranged_seq_id_equals_window_numbering_with_a_hot_parent(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.randint(0, 20), rnd.randint(1, 3), i) for i in range(2000)]
+    rows += [(7, 9, 5000 + i) for i in range(3000)]  # hot parent spanning several range partitions
+    rows += [(None, 1, 9000 + i) for i in range(50)]
+    df = spark.createDataFrame(rows, "p long, b long, t long")
+    w = {(r.t): r._seq_id for r in seq_id(df, ["p"], ["b"], ["t"]).collect()}
+    r = {(r.t): r._seq_id for r in seq_id(df, ["p"], ["b"], ["t"], strategy="ranged").collect()}
+    assert w == r
