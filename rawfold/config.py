@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field, replace
 
-# Fixed values that must equal the reference project's defaults.
+# Project defaults and column names that staged data must keep.
 DEFAULT_TO_TIMEZONE = "America/Chicago"
 DEFAULT_FX_LOOKBACK_MS = 2_592_000_000  # 30 days in milliseconds
 DEFAULT_RUN_ID = "manual"
