@@ -69,6 +69,8 @@ ADDR = """{'address1': concat(CAST(o_orderkey AS VARCHAR), ' Main St'), 'address
       'province': concat('P', CAST(o_custkey % 13 AS VARCHAR)), 'country': concat('N', CAST(o_custkey % 25 AS VARCHAR)),
       'last_name': concat('Cust', CAST(o_custkey AS VARCHAR))}"""
 
+PRICE_TEXT = "concat(CAST(o_orderkey % 100 AS VARCHAR), '.', lpad(CAST(o_custkey % 100 AS VARCHAR), 2, '0'))"
+
 NESTED = f"""lx AS (SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 ver AS (
   SELECT l_orderkey, l_shipdate, count(*) AS n_items, list({{
@@ -93,6 +95,24 @@ no AS (
     {ADDR} AS shipping_address,
     CASE WHEN o_orderstatus = 'P' THEN NULL ELSE [{ADDR}] END AS billing_address,
     [{{'name': 'priority', 'value': o_orderpriority}}, {{'name': 'status', 'value': o_orderstatus}}] AS note_attributes,
+    [{{'id': o_orderkey * 10 + 1, 'title': 'Standard', 'price': {PRICE_TEXT},
+       'tax_lines': CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH')
+           THEN [{{'price': {PRICE_TEXT}, 'rate': '0.10', 'title': 'Ship VAT', 'channel_liable': CAST(NULL AS VARCHAR)}}]
+           ELSE [] END,
+       'discount_allocations': CASE WHEN o_orderstatus = 'F'
+           THEN [{{'amount': {PRICE_TEXT}, 'discount_application_index': CAST(0 AS BIGINT)}}] ELSE [] END}}] AS shipping_lines,
+    CASE WHEN o_orderstatus = 'O' THEN [{{'target_type': 'line_item',
+        'type': CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE 'discount_code' END,
+        'value_type': 'percentage', 'value': '10.0', 'allocation_method': 'across'}}] ELSE [] END AS discount_applications,
+    CASE WHEN o_orderstatus = 'F' THEN [{{'id': o_orderkey * 10 + 2, 'order_id': o_orderkey,
+        'name': concat('#', CAST(o_orderkey AS VARCHAR), '.1'), 'status': 'success', 'receipt': 'r',
+        'admin_graphql_api_id': 'gid', 'line_items': line_items}}] ELSE [] END AS fulfillments,
+    [{{'id': CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_custkey END, 'created_at': o_orderdate,
+       'updated_at': coalesce(l_shipdate, o_orderdate), 'first_name': concat('F', CAST(o_custkey AS VARCHAR)),
+       'last_name': concat('L', CAST(o_custkey AS VARCHAR)), 'state': 'regular',
+       'default_address': [{{'id': o_custkey * 10, 'customer_id': o_custkey,
+           'phone': concat('555-', lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0')),
+           'city': concat('City', CAST(o_custkey % 50 AS VARCHAR))}}]}}] AS customer,
     concat('u', CAST(o_custkey % 10 AS VARCHAR)) AS _daton_user_id,
     epoch_ms(coalesce(l_shipdate, o_orderdate)) AS _daton_batch_runtime,
     coalesce(n_items, 0) AS _daton_batch_id,
@@ -500,3 +520,88 @@ SELECT {brand('a._dbt_source_relation')} AS brand, {tz('a.created_at')} AS creat
     {integration_id('a._dbt_source_relation')} AS _daton_sourceversion_integration_id
 FROM u a LEFT JOIN fx b ON CAST(a.updated_at AS DATE) = b.date AND a.currency = b.to_currency_code
 QUALIFY dense_rank() OVER (PARTITION BY a.id ORDER BY a._daton_batch_runtime DESC) = 1"""
+
+
+# ---- the rest of the order family -------------------------------------------------------------------
+SQL["ShopifyOrdersShippingLines"] = f"""WITH {NESTED}, {FX}
+SELECT {ORDER_HEAD}, {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
+    coalesce(shipping_lines.v.id, 0) AS shipping_lines_id, shipping_lines.v.title AS title, shipping_lines.v.price AS price,
+    {FXCOLS}, {LINEAGE}
+{nested_from('a.shipping_lines AS shipping_lines')}
+{FX_ON_RAW}
+{LATEST_ORDER}"""
+
+SQL["ShopifyOrdersShippingLinesTaxLines"] = f"""WITH {NESTED}, {FX},
+s AS (
+  SELECT {brand('a._dbt_source_relation')} AS brand, CAST(a.id AS DECIMAL(38,9)) AS order_id,
+      {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
+      coalesce(CAST(shipping_lines.v.id AS DECIMAL(38,9)), 0) AS shipping_lines_id,
+      coalesce(CAST(tax_lines.v.price AS DECIMAL(38,9)), 0) AS shipping_lines_tax_lines_price,
+      coalesce(CAST(tax_lines.v.rate AS DECIMAL(38,9)), 0) AS shipping_lines_tax_lines_rate,
+      coalesce(CAST(tax_lines.v.title AS VARCHAR), '') AS shipping_lines_tax_lines_title,
+      CAST(tax_lines.v.channel_liable AS VARCHAR) AS shipping_lines_tax_lines_channel_liable,
+      {FXCOLS},
+      a._dbt_source_relation, a._daton_user_id, a._daton_batch_runtime, a._daton_batch_id,
+      {integration_tokens('a._dbt_source_relation')} AS _daton_sourceversion_integration_id
+  {nested_from('a.shipping_lines AS shipping_lines', 'shipping_lines.v.tax_lines AS tax_lines')}
+  {FX_ON_RAW}
+  WHERE CAST(tax_lines.v.price AS DECIMAL(38,9)) IS NOT NULL)
+SELECT * FROM s
+QUALIFY row_number() OVER (PARTITION BY order_id, shipping_lines_id, shipping_lines_tax_lines_price,
+    shipping_lines_tax_lines_rate, shipping_lines_tax_lines_title, shipping_lines_tax_lines_channel_liable
+    ORDER BY _daton_batch_runtime DESC, _daton_batch_id DESC, fx_currency_code DESC NULLS LAST,
+             fx_rate DESC NULLS LAST, _dbt_source_relation DESC, _daton_user_id DESC) = 1"""
+
+SQL["ShopifyOrdersShippingLinesDiscountAllocations"] = f"""WITH {NESTED}, {FX}
+SELECT {brand('a._dbt_source_relation')} AS brand, CAST(a.id AS DECIMAL(38,9)) AS order_id,
+    {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
+    coalesce(CAST(shipping_lines.v.id AS DECIMAL(38,9)), 0) AS shipping_lines_id,
+    CAST(discount_allocations.v.amount AS DECIMAL(38,9)) AS shipping_lines_discount_amount,
+    coalesce(discount_allocations.v.discount_application_index, 0) AS discount_application_index,
+    shipping_lines.v.title AS title, shipping_lines.v.price AS price,
+    {FXCOLS},
+    a._dbt_source_relation, a._daton_user_id, a._daton_batch_runtime, a._daton_batch_id,
+    {integration_tokens('a._dbt_source_relation')} AS _daton_sourceversion_integration_id
+{nested_from('a.shipping_lines AS shipping_lines', 'shipping_lines.v.discount_allocations AS discount_allocations')}
+{FX_ON_RAW}
+WHERE CAST(discount_allocations.v.amount AS DECIMAL(38,9)) IS NOT NULL
+QUALIFY dense_rank() OVER (PARTITION BY a.id ORDER BY a._daton_batch_runtime DESC) = 1"""
+
+SQL["ShopifyOrdersDiscountApplications"] = f"""WITH {NESTED}, {FX},
+s AS (
+  SELECT {ORDER_HEAD}, {tz('a.created_at')} AS order_created_at, {tz('a.updated_at')} AS order_updated_at,
+      discount_applications.v.value AS value, discount_applications.v.allocation_method AS allocation_method,
+      coalesce(discount_applications.v.target_type, 'N/A') AS target_type,
+      coalesce(discount_applications.v.type, 'N/A') AS type,
+      coalesce(discount_applications.v.value_type, 'N/A') AS value_type,
+      {FXCOLS}, {LINEAGE}
+  {nested_from('a.discount_applications AS discount_applications')}
+  {FX_ON_RAW}
+  {LATEST_ORDER})
+SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY _daton_batch_runtime DESC, target_type NULLS FIRST,
+    type NULLS FIRST, value_type NULLS FIRST, fx_currency_code NULLS FIRST, fx_rate NULLS FIRST) AS _seq_id
+FROM s"""
+
+SQL["ShopifyOrdersFulfillments"] = f"""WITH {NESTED}, {FX}
+SELECT {ORDER_HEAD}, {tz('a.created_at')} AS order_created_at, {tz('a.updated_at')} AS order_updated_at,
+    coalesce(CAST(fulfillments.v.id AS VARCHAR), 'N/A') AS fulfillments_id,
+    CAST(fulfillments.v.order_id AS VARCHAR) AS fulfillments_order_id,
+    CAST(fulfillments.v.name AS VARCHAR) AS fulfillments_name, fulfillments.v.status AS status,
+    coalesce(CAST(line_items.v.id AS VARCHAR), 'N/A') AS line_items_id, CAST(line_items.v.name AS VARCHAR) AS line_items_name,
+    line_items.v.product_id, line_items.v.variant_id, line_items.v.sku, line_items.v.quantity, line_items.v.price,
+    {FXCOLS}, {LINEAGE}
+{nested_from('a.fulfillments AS fulfillments', 'fulfillments.v.line_items AS line_items')}
+{FX_ON_RAW}
+{LATEST_ORDER}"""
+
+SQL["ShopifyOrdersCustomer"] = f"""WITH {NESTED}, {FX}
+SELECT {ORDER_HEAD}, {tz('a.created_at')} AS order_created_at, {tz('a.updated_at')} AS order_updated_at,
+    customer.v.state AS state, coalesce(customer.v.id, 0) AS customer_id,
+    customer.v.first_name AS customer_first_name, customer.v.last_name AS customer_last_name,
+    {tz('customer.v.created_at')} AS created_at, {tz('customer.v.updated_at')} AS updated_at,
+    default_address.v.id AS default_address_id, default_address.v.customer_id AS default_customer_id,
+    default_address.v.phone AS default_phone, default_address.v.city AS city, {LINEAGE}
+{nested_from('a.customer AS customer', 'customer.v.default_address AS default_address')}
+{FX_ON_RAW}
+QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0), coalesce(customer.v.id, 0)
+    ORDER BY a._daton_batch_runtime DESC, a._daton_batch_id DESC) = 1"""

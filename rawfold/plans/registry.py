@@ -415,7 +415,9 @@ def _nested_dataset(name):
 
 
 for _name in ("ShopifyOrdersAddresses", "ShopifyOrdersNoteAttributes", "ShopifyOrdersLineItemsProperties",
-              "ShopifyOrdersLineItemsTaxLines", "ShopifyOrdersDiscountAllocations"):
+              "ShopifyOrdersLineItemsTaxLines", "ShopifyOrdersDiscountAllocations", "ShopifyOrdersShippingLines",
+              "ShopifyOrdersShippingLinesTaxLines", "ShopifyOrdersShippingLinesDiscountAllocations",
+              "ShopifyOrdersDiscountApplications", "ShopifyOrdersFulfillments", "ShopifyOrdersCustomer"):
     query(_name)(_nested_dataset(_name))
 
 

@@ -189,7 +189,7 @@ SPECS: tuple[DatasetSpec, ...] = (
                  Key("type", "discount_applications.type", "N/A"),
                  Key("value_type", "discount_applications.value_type", "N/A")),
         latest=Latest((ID0,)), fx=Fx("created_at", "currency"), seq_by="order_id",
-        seq_tiebreak=("target_type", "type", "value_type"), merge_keys=("order_id",)),
+        seq_tiebreak=("target_type", "type", "value_type", "fx_currency_code", "fx_rate"), merge_keys=("order_id",)),
     DatasetSpec(
         name="ShopifyOrdersFulfillments", pattern=ORDERS, exclude_pattern=ORDERS_NOT, switch="ShopifyOrders",
         union_exclude=("client_details", "current_subtotal_price_set", "current_total_discounts_set",

@@ -138,6 +138,32 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("N"), _s(ck % 25)).alias("country"),
         F.concat(F.lit("Cust"), _s(ck)).alias("last_name"))
     shipped = F.coalesce(F.col("l_shipdate"), F.col("o_orderdate"))
+    ok, st = F.col("o_orderkey"), F.col("o_orderstatus")
+    price_text = F.concat(_s(ok % 100), F.lit("."), F.lpad(_s(ck % 100), 2, "0"))
+    ship_tax = F.struct(price_text.alias("price"), F.lit("0.10").alias("rate"), F.lit("Ship VAT").alias("title"),
+                        F.lit(None).cast("string").alias("channel_liable"))
+    ship_disc = F.struct(price_text.alias("amount"), F.lit(0).cast("long").alias("discount_application_index"))
+    shipping = F.struct(
+        (ok * 10 + 1).alias("id"), F.lit("Standard").alias("title"), price_text.alias("price"),
+        _when_array(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), ship_tax).alias("tax_lines"),
+        _when_array(st == "F", ship_disc).alias("discount_allocations"))
+    application = F.struct(
+        F.lit("line_item").alias("target_type"),
+        F.when(ck % 3 == 0, F.lit(None).cast("string")).otherwise(F.lit("discount_code")).alias("type"),
+        F.lit("percentage").alias("value_type"), F.lit("10.0").alias("value"),
+        F.lit("across").alias("allocation_method"))
+    fulfillment = F.struct(
+        (ok * 10 + 2).alias("id"), ok.alias("order_id"), F.concat(F.lit("#"), _s(ok), F.lit(".1")).alias("name"),
+        F.lit("success").alias("status"), F.lit("r").alias("receipt"), F.lit("gid").alias("admin_graphql_api_id"),
+        F.when(F.col("n_items") > 0, F.col("items")).alias("line_items"))
+    customer = F.struct(
+        F.when(ck % 7 == 0, F.lit(None).cast("long")).otherwise(ck).alias("id"),
+        F.col("o_orderdate").alias("created_at"), shipped.alias("updated_at"),
+        F.concat(F.lit("F"), _s(ck)).alias("first_name"), F.concat(F.lit("L"), _s(ck)).alias("last_name"),
+        F.lit("regular").alias("state"),
+        F.array(F.struct((ck * 10).alias("id"), ck.alias("customer_id"),
+                         F.concat(F.lit("555-"), F.lpad(_s(ck % 10000), 4, "0")).alias("phone"),
+                         F.concat(F.lit("City"), _s(ck % 50)).alias("city"))).alias("default_address"))
     return g.select(
         *_order_fields(),
         shipped.alias("updated_at"),
@@ -146,6 +172,10 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.array(addr)).alias("billing_address"),
         F.array(F.struct(F.lit("priority").alias("name"), F.col("o_orderpriority").alias("value")),
                 F.struct(F.lit("status").alias("name"), F.col("o_orderstatus").alias("value"))).alias("note_attributes"),
+        F.array(shipping).alias("shipping_lines"),
+        _when_array(st == "O", application).alias("discount_applications"),
+        _when_array(st == "F", fulfillment).alias("fulfillments"),
+        F.array(customer).alias("customer"),
         F.concat(F.lit("u"), _s(ck % 10)).alias("_daton_user_id"),
         _epoch_ms(shipped).alias("_daton_batch_runtime"),
         F.col("n_items").alias("_daton_batch_id"),
