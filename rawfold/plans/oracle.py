@@ -440,6 +440,13 @@ FV = f"""fv AS (
     CASE WHEN v = 2 THEN updated_at END AS completed_at,
     CASE WHEN v = 1 THEN updated_at END AS disabled_at,
     created_at + to_days(2) AS estimated_delivery_at,
+    created_at + to_hours(6) AS published_at,
+    created_at AS starts_at,
+    created_at + to_days(30) AS ends_at,
+    updated_at + to_days(7) AS evidence_due_by,
+    CASE WHEN v >= 1 THEN updated_at END AS evidence_sent_on,
+    CASE WHEN v = 2 THEN updated_at END AS finalized_on,
+    created_at AS initiated_at,
     concat('u', CAST(v AS VARCHAR)) AS _daton_user_id,
     {FLAT_BATCH0_MS} + v * 86400000 AS _daton_batch_runtime,
     c_custkey AS _daton_batch_id,
@@ -605,3 +612,20 @@ SELECT {ORDER_HEAD}, {tz('a.created_at')} AS order_created_at, {tz('a.updated_at
 {FX_ON_RAW}
 QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0), coalesce(customer.v.id, 0)
     ORDER BY a._daton_batch_runtime DESC, a._daton_batch_id DESC) = 1"""
+
+SQL["ShopifyCollects"] = flat_dataset("collects", "id", "N/A", ("created_at", "updated_at"), "id")
+SQL["ShopifyProductMetafields"] = flat_dataset("product_metafields", "id", "N/A", ("created_at", "updated_at"), "id")
+SQL["ShopifyCustomCollections"] = flat_dataset("custom_collections", "id", "N/A", ("updated_at", "published_at"), "id")
+SQL["ShopifyPriceRules"] = flat_dataset("price_rules", "id", "N/A", ("starts_at", "ends_at", "created_at", "updated_at"),
+                                        "id")
+SQL["ShopifyEvents"] = flat_dataset("events", "id", "N/A", ("created_at",), "id")
+SQL["ShopifyDisputes"] = flat_dataset("disputes", "id", "N/A",
+                                      ("evidence_due_by", "evidence_sent_on", "finalized_on", "initiated_at"), "id",
+                                      fx="out:finalized_on")
+SQL["ShopifyCarrierServices"] = flat_dataset("carrier_services", None, None, (), "id")
+SQL["ShopifyBalanceTransactions"] = flat_dataset("balance_transactions", "id", "N/A", ("processed_at",), "id",
+                                                 fx="out:processed_at")
+SQL["ShopifySmartCollections"] = f"""WITH {flat_union('smart_collections')}
+SELECT {brand()} AS brand, id, {tz('updated_at')} AS updated_at, * EXCLUDE (id, updated_at, {DATON_COLS}),
+    {DATON_COLS}, {integration_id()} AS _daton_sourceversion_integration_id, 1 AS row_num
+FROM u QUALIFY dense_rank() OVER (PARTITION BY id ORDER BY _daton_batch_runtime DESC) = 1"""

@@ -428,6 +428,10 @@ FLAT_ENTITIES = {
     "ShopifyGiftCards": "gift_cards", "ShopifyPolicies": "policies",
     "ShopifyFulfillmentEvents": "fulfillment_events", "ShopifyTenderTransactions": "tender_transactions",
     "ShopifyAbandonedCheckouts": "abandoned_checkouts", "ShopifyShop": "shop",
+    "ShopifyCollects": "collects", "ShopifyProductMetafields": "product_metafields",
+    "ShopifyCustomCollections": "custom_collections", "ShopifyPriceRules": "price_rules",
+    "ShopifyEvents": "events", "ShopifyDisputes": "disputes", "ShopifyCarrierServices": "carrier_services",
+    "ShopifyBalanceTransactions": "balance_transactions", "ShopifySmartCollections": "smart_collections",
 }
 
 

@@ -261,6 +261,13 @@ def flat_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(v == 2, updated).alias("completed_at"),
         F.when(v == 1, updated).alias("disabled_at"),
         F.timestamp_add("DAY", F.lit(2), created).alias("estimated_delivery_at"),
+        F.timestamp_add("HOUR", F.lit(6), created).alias("published_at"),
+        created.alias("starts_at"),
+        F.timestamp_add("DAY", F.lit(30), created).alias("ends_at"),
+        F.timestamp_add("DAY", F.lit(7), updated).alias("evidence_due_by"),
+        F.when(v >= 1, updated).alias("evidence_sent_on"),
+        F.when(v == 2, updated).alias("finalized_on"),
+        created.alias("initiated_at"),
         F.concat(F.lit("u"), _s(v)).alias("_daton_user_id"),
         (F.lit(FLAT_BATCH0_MS) + v * 86400000).alias("_daton_batch_runtime"),
         ck.alias("_daton_batch_id"),
