@@ -629,3 +629,105 @@ SQL["ShopifySmartCollections"] = f"""WITH {flat_union('smart_collections')}
 SELECT {brand()} AS brand, id, {tz('updated_at')} AS updated_at, * EXCLUDE (id, updated_at, {DATON_COLS}),
     {DATON_COLS}, {integration_id()} AS _daton_sourceversion_integration_id, 1 AS row_num
 FROM u QUALIFY dense_rank() OVER (PARTITION BY id ORDER BY _daton_batch_runtime DESC) = 1"""
+
+
+# ---- nested columns on the flat records (customer key = _daton_batch_id, nation = fulfillment_id) ----
+_AMT = "concat(CAST(_daton_batch_id % 1000 AS VARCHAR), '.', lpad(CAST(fulfillment_id AS VARCHAR), 2, '0'))"
+_SUMMARY = ", ".join(f"'{k}_{m}_amount': {_AMT}" for k in ("adjustments", "charges", "refunds", "reserved_funds",
+                                                            "retried_payouts") for m in ("fee", "gross"))
+ENTITY_NESTED = {
+    "default_address": """[{'id': _daton_batch_id * 10, 'customer_id': _daton_batch_id,
+        'first_name': concat('F', CAST(_daton_batch_id AS VARCHAR)), 'last_name': concat('L', CAST(_daton_batch_id AS VARCHAR)),
+        'phone': CASE WHEN _daton_batch_id % 4 = 0 THEN NULL ELSE concat('555-', CAST(_daton_batch_id AS VARCHAR)) END,
+        'city': concat('City', CAST(_daton_batch_id % 50 AS VARCHAR)), 'default': true}]""",
+    "receipt": f"[{{'fee_amount': {_AMT}, 'gateway': 'manual'}}]",
+    "summary": f"[{{{_SUMMARY}}}]",
+    "provinces": "[" + ", ".join(f"""{{'id': concat('P', CAST(fulfillment_id AS VARCHAR), '-{i}'), 'country_id': fulfillment_id,
+        'name': concat('Province ', CAST(fulfillment_id AS VARCHAR), '-{i}'), 'code': concat('P', CAST(fulfillment_id AS VARCHAR)),
+        'shipping_zone_id': fulfillment_id * 10 + {i}, 'tax': CAST({0.05 * (i + 1)!r} AS DOUBLE),
+        'tax_percentage': CAST({5 * (i + 1)} AS BIGINT), 'tax_name': 'GST', 'tax_type': 'normal'}}""" for i in range(2)) + "]",
+    "destination": """[{'id': _daton_batch_id * 10 + 3, 'address1': concat(CAST(_daton_batch_id AS VARCHAR), ' Main St'),
+        'address2': CAST(NULL AS VARCHAR), 'city': concat('City', CAST(_daton_batch_id % 50 AS VARCHAR)),
+        'country': concat('N', CAST(fulfillment_id AS VARCHAR)), 'email': concat('c', CAST(_daton_batch_id AS VARCHAR), '@shop.test'),
+        'first_name': concat('F', CAST(_daton_batch_id AS VARCHAR)), 'last_name': concat('L', CAST(_daton_batch_id AS VARCHAR)),
+        'phone': CAST(NULL AS VARCHAR), 'province': concat('P', CAST(fulfillment_id AS VARCHAR)),
+        'zip': lpad(CAST(_daton_batch_id % 100000 AS VARCHAR), 5, '0')}]""",
+    "line_items": "[" + ", ".join(f"""{{'id': concat(CAST(_daton_batch_id AS VARCHAR), '-{i}'), 'shop_id': fulfillment_id,
+        'fulfillment_order_id': _daton_batch_id, 'quantity': CAST({i + 1} AS BIGINT), 'line_item_id': _daton_batch_id * 10 + {i},
+        'inventory_item_id': _daton_batch_id % 300, 'fulfillable_quantity': CAST({i} AS BIGINT),
+        'variant_id': _daton_batch_id * 100 + {i}}}""" for i in range(2)) + "]",
+}
+
+
+def entity_union(entity: str, nested: tuple[str, ...]) -> str:
+    extra = ", ".join(f"{ENTITY_NESTED[n]} AS {n}" for n in nested)
+    return f"""{FV},
+ev AS (SELECT *, CAST(created_at AS DATE) AS date, {extra}{", updated_at AS fulfill_at" if entity == "fulfillment_orders" else ""} FROM fv),
+u AS (
+  SELECT '{flat_relation('Acme_us', entity)}' AS _dbt_source_relation, * EXCLUDE (arm) FROM ev WHERE arm = 0
+  UNION ALL BY NAME
+  SELECT '{flat_relation('Zest_ca', entity)}' AS _dbt_source_relation, * EXCLUDE (arm, balance) FROM ev WHERE arm = 1)"""
+
+
+def entity_from(*steps: str) -> str:
+    return nested_from(*steps, base="u")
+
+
+LIN_U = f"""a._dbt_source_relation, a._daton_user_id, a._daton_batch_runtime, a._daton_batch_id,
+    {integration_id('a._dbt_source_relation')} AS _daton_sourceversion_integration_id"""
+
+SQL["ShopifyCustomers"] = f"""WITH {entity_union('customers', ('default_address',))}, {FX},
+b AS (
+  SELECT {brand('a._dbt_source_relation')} AS brand, coalesce(a.id, 0) AS customer_id,
+      {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
+      a.* EXCLUDE (id, created_at, updated_at, default_address, {DATON_COLS}),
+      default_address.v.id AS default_address_id, default_address.v.customer_id AS default_address_customer_id,
+      default_address.v.first_name AS default_address_first_name, default_address.v.last_name AS default_address_last_name,
+      default_address.v.phone AS default_address_phone, default_address.v.city AS city, default_address.v."default" AS "default",
+      {LIN_U}
+  {entity_from('a.default_address AS default_address')}
+  QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0) ORDER BY a._daton_batch_runtime DESC) = 1)
+SELECT a.*, {FXCOLS} FROM b a LEFT JOIN fx b ON CAST(a.created_at AS DATE) = b.date AND a.currency = b.to_currency_code"""
+
+SQL["ShopifyTransactions"] = f"""WITH {entity_union('transactions', ('receipt',))}, {FX},
+b AS (
+  SELECT {brand('a._dbt_source_relation')} AS brand, coalesce(a.id, 0) AS transactions_id,
+      {tz('a.created_at')} AS created_at, {tz('a.processed_at')} AS processed_at,
+      a.* EXCLUDE (id, created_at, processed_at, receipt, {DATON_COLS}),
+      receipt.v.fee_amount AS receipt_fee_amount, {LIN_U}
+  {entity_from('a.receipt AS receipt')}
+  QUALIFY row_number() OVER (PARTITION BY coalesce(a.id, 0)
+      ORDER BY a._daton_batch_runtime DESC, a._daton_batch_id DESC) = 1)
+SELECT a.*, {FXCOLS} FROM b a LEFT JOIN fx b ON CAST(a.processed_at AS DATE) = b.date AND a.currency = b.to_currency_code"""
+
+_SUMMARY_COLS = ", ".join(f"summary.v.{k}_{m}_amount AS summary_{k}_{m}_amount" for k in (
+    "adjustments", "charges", "refunds", "reserved_funds", "retried_payouts") for m in ("fee", "gross"))
+SQL["ShopifyPayouts"] = f"""WITH {entity_union('payouts', ('summary',))}, {FX},
+b AS (
+  SELECT {brand('a._dbt_source_relation')} AS brand, coalesce(CAST(a.id AS VARCHAR), 'N/A') AS id,
+      a.* EXCLUDE (id, summary, {DATON_COLS}), {_SUMMARY_COLS}, {LIN_U}
+  {entity_from('a.summary AS summary')}
+  QUALIFY dense_rank() OVER (PARTITION BY a.date ORDER BY a._daton_batch_runtime DESC) = 1)
+SELECT a.*, {FXCOLS} FROM b a LEFT JOIN fx b ON CAST(a.date AS DATE) = b.date AND a.currency = b.to_currency_code"""
+
+_PROV = ", ".join(f"provinces.v.{f} AS provinces_{f}" for f in (
+    "country_id", "name", "code", "shipping_zone_id", "tax", "tax_percentage", "tax_name", "tax_type"))
+SQL["ShopifyCountries"] = f"""WITH {entity_union('countries', ('provinces',))}
+SELECT {brand('a._dbt_source_relation')} AS brand, a.* EXCLUDE (provinces, {DATON_COLS}),
+    coalesce(provinces.v.id, 'N/A') AS provinces_id, {_PROV}, {LIN_U}
+{entity_from('a.provinces AS provinces')}
+QUALIFY dense_rank() OVER (PARTITION BY a.id, provinces.v.id ORDER BY a._daton_batch_runtime DESC) = 1"""
+
+_DEST = ", ".join(f"destination.v.{f} AS destination_{f}" for f in (
+    "id", "address1", "address2", "city", "country", "email", "first_name", "last_name", "phone", "province", "zip"))
+_FLI = ", ".join(f"line_items.v.{f} AS line_items_{f}" for f in (
+    "shop_id", "fulfillment_order_id", "quantity", "line_item_id", "inventory_item_id", "fulfillable_quantity",
+    "variant_id"))
+SQL["ShopifyFulfillmentOrders"] = f"""WITH {entity_union('fulfillment_orders', ('destination', 'line_items'))}
+SELECT {brand('a._dbt_source_relation')} AS brand, coalesce(CAST(a.id AS VARCHAR), 'N/A') AS id,
+    {tz('a.fulfill_at')} AS fulfill_at, {tz('a.created_at')} AS created_at, {tz('a.updated_at')} AS updated_at,
+    a.* EXCLUDE (id, fulfill_at, created_at, updated_at, destination, line_items, {DATON_COLS}),
+    {_DEST}, coalesce(line_items.v.id, 'N/A') AS line_items_id, {_FLI}, {LIN_U}
+{entity_from('a.destination AS destination', 'a.line_items AS line_items')}
+QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY a._daton_batch_runtime DESC, a._daton_batch_id DESC,
+                                                     line_items.v.id DESC) = 1"""

@@ -444,3 +444,27 @@ def _flat_dataset(name, entity):
 
 for _name, _entity in FLAT_ENTITIES.items():
     query(_name)(_flat_dataset(_name, _entity))
+
+
+# ---- spec-built datasets over flat records with nested columns -------------------------------------
+ENTITY_NESTED = {
+    "ShopifyCustomers": ("customers", ("default_address",)),
+    "ShopifyTransactions": ("transactions", ("receipt",)),
+    "ShopifyPayouts": ("payouts", ("summary",)),
+    "ShopifyCountries": ("countries", ("provinces",)),
+    "ShopifyFulfillmentOrders": ("fulfillment_orders", ("destination", "line_items")),
+}
+
+
+def _entity_dataset(name, entity, nested):
+    def run(spark, d):
+        arms = dt.entity_arms(spark, d, entity, nested)
+        if name == "ShopifyFulfillmentOrders":  # raw fulfillment orders carry fulfill_at
+            arms = [(r, df.withColumn("fulfill_at", F.col("updated_at"))) for r, df in arms]
+        return dataset(name, arms, spark, d)
+    run.__doc__ = f"The {name} staging dataset built from its spec over records with nested columns."
+    return run
+
+
+for _name, (_entity, _nested) in ENTITY_NESTED.items():
+    query(_name)(_entity_dataset(_name, _entity, _nested))

@@ -284,3 +284,46 @@ def flat_arms(spark: SparkSession, sf_dir: str, entity: str) -> list[tuple[str,
     v = flat_versions(spark, sf_dir)
     return [(flat_relation("Acme_us", entity), v.filter(F.col("arm") == 0).drop("arm")),
             (flat_relation("Zest_ca", entity), v.filter(F.col("arm") == 1).drop("arm", "balance"))]
+
+
+def _nested_entity_columns() -> dict[str, Column]:
+    """Nested columns of the flat entities, derived from the flat record (customer key, nation key)."""
+    ck, nk = F.col("_daton_batch_id"), F.col("fulfillment_id")
+    amount = F.concat(_s(ck % 1000), F.lit("."), F.lpad(_s(nk), 2, "0"))
+    return {
+        "default_address": F.array(F.struct(
+            (ck * 10).alias("id"), ck.alias("customer_id"), F.concat(F.lit("F"), _s(ck)).alias("first_name"),
+            F.concat(F.lit("L"), _s(ck)).alias("last_name"),
+            F.when(ck % 4 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("555-"), _s(ck))).alias("phone"),
+            F.concat(F.lit("City"), _s(ck % 50)).alias("city"), F.lit(True).alias("default"))),
+        "receipt": F.array(F.struct(amount.alias("fee_amount"), F.lit("manual").alias("gateway"))),
+        "summary": F.array(F.struct(*[amount.alias(f"{k}_{m}_amount") for k in (
+            "adjustments", "charges", "refunds", "reserved_funds", "retried_payouts") for m in ("fee", "gross")])),
+        "provinces": F.array(*[F.struct(
+            F.concat(F.lit("P"), _s(nk), F.lit(f"-{i}")).alias("id"), nk.cast("long").alias("country_id"),
+            F.concat(F.lit("Province "), _s(nk), F.lit(f"-{i}")).alias("name"),
+            F.concat(F.lit("P"), _s(nk)).alias("code"), (nk * 10 + i).cast("long").alias("shipping_zone_id"),
+            F.lit(0.05 * (i + 1)).alias("tax"), F.lit(5 * (i + 1)).cast("long").alias("tax_percentage"),
+            F.lit("GST").alias("tax_name"), F.lit("normal").alias("tax_type")) for i in range(2)]),
+        "destination": F.array(F.struct(
+            (ck * 10 + 3).alias("id"), F.concat(_s(ck), F.lit(" Main St")).alias("address1"),
+            F.lit(None).cast("string").alias("address2"), F.concat(F.lit("City"), _s(ck % 50)).alias("city"),
+            F.concat(F.lit("N"), _s(nk)).alias("country"), F.concat(F.lit("c"), _s(ck), F.lit("@shop.test")).alias("email"),
+            F.concat(F.lit("F"), _s(ck)).alias("first_name"), F.concat(F.lit("L"), _s(ck)).alias("last_name"),
+            F.lit(None).cast("string").alias("phone"), F.concat(F.lit("P"), _s(nk)).alias("province"),
+            F.lpad(_s(ck % 100000), 5, "0").alias("zip"))),
+        "line_items": F.array(*[F.struct(
+            F.concat(_s(ck), F.lit(f"-{i}")).alias("id"), nk.cast("long").alias("shop_id"),
+            ck.alias("fulfillment_order_id"), F.lit(i + 1).cast("long").alias("quantity"),
+            (ck * 10 + i).alias("line_item_id"), (ck % 300).alias("inventory_item_id"),
+            F.lit(i).cast("long").alias("fulfillable_quantity"), (ck * 100 + i).alias("variant_id")) for i in range(2)]),
+    }
+
+
+def entity_arms(spark: SparkSession, sf_dir: str, entity: str, nested: tuple[str, ...]) -> list[tuple[str, DataFrame]]:
+    """Flat records plus the named nested columns, as the two store relations of ``entity``."""
+    cols = _nested_entity_columns()
+    v = flat_versions(spark, sf_dir)
+    v = v.select("*", F.to_date("created_at").alias("date"), *[cols[n].alias(n) for n in nested])
+    return [(flat_relation("Acme_us", entity), v.filter(F.col("arm") == 0).drop("arm")),
+            (flat_relation("Zest_ca", entity), v.filter(F.col("arm") == 1).drop("arm", "balance"))]
