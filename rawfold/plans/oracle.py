@@ -8,7 +8,7 @@ LEFT JOIN LATERAL unnest, QUALIFY ...), independent of the Spark implementation.
 from __future__ import annotations
 
 from rawfold.sources.driver_tables import (
-    FLAT_BATCH0_MS, ORDERS_A, ORDERS_B, RATES_A, RATES_B, RELATION_SUFFIXES, flat_relation,
+    FLAT_BATCH0_MS, ORDERS_A, ORDERS_B, PRODUCT_BATCH0_MS, RATES_A, RATES_B, RELATION_SUFFIXES, flat_relation,
 )
 
 TZ = "America/Chicago"
@@ -731,3 +731,183 @@ SELECT {brand('a._dbt_source_relation')} AS brand, coalesce(CAST(a.id AS VARCHAR
 {entity_from('a.destination AS destination', 'a.line_items AS line_items')}
 QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY a._daton_batch_runtime DESC, a._daton_batch_id DESC,
                                                      line_items.v.id DESC) = 1"""
+
+
+# ---- products (from part) ------------------------------------------------------------------------------
+def _variant(i: int) -> str:
+    price = f"concat(CAST(p_partkey % 100 AS VARCHAR), '.', '{i * 25:02d}')"
+    return f"""{{'id': p_partkey * 10 + {i}, 'product_id': p_partkey,
+      'title': concat('Size ', CAST(p_size + {i} AS VARCHAR)), 'price': {price},
+      'sku': CASE WHEN p_partkey % 5 = 0 AND {i} = 1 THEN NULL ELSE concat('SKU-', CAST(p_partkey AS VARCHAR), '-{i}') END,
+      'position': CAST({i + 1} AS BIGINT), 'inventory_policy': 'deny', 'fulfillment_service': 'manual',
+      'inventory_management': 'shopify', 'created_at': created_at, 'updated_at': updated_at, 'taxable': true,
+      'barcode': CAST(NULL AS VARCHAR), 'grams': CAST(p_size * 10 + {i} AS BIGINT), 'image_id': CAST(NULL AS BIGINT),
+      'weight': CAST(p_size AS DOUBLE) / 10.0, 'weight_unit': 'kg', 'inventory_item_id': p_partkey * 10 + {i},
+      'inventory_quantity': p_partkey % 50 + {i}, 'old_inventory_quantity': p_partkey % 50, 'requires_shipping': true,
+      'admin_graphql_api_id': concat('gid://v/', CAST(p_partkey * 10 + {i} AS VARCHAR)),
+      'presentment_prices': [{{'price': [{{'amount': {price}, 'currency_code': 'USD'}}]}},
+                             {{'price': [{{'amount': {price}, 'currency_code': 'EUR'}}]}}]}}"""
+
+
+PRODUCTS = f"""pv AS (
+  SELECT CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_partkey END AS id, p_name AS title, p_brand AS vendor,
+    p_type AS product_type, 'active' AS status, created_at, updated_at,
+    [{_variant(0)}, {_variant(1)}] AS variants, ['Size'] AS options, [concat('img', CAST(p_partkey AS VARCHAR))] AS images,
+    {{'src': concat('img', CAST(p_partkey AS VARCHAR))}} AS image,
+    concat('u', CAST(v AS VARCHAR)) AS _daton_user_id, {PRODUCT_BATCH0_MS} + v * 86400000 AS _daton_batch_runtime,
+    p_partkey AS _daton_batch_id, p_partkey % 2 AS arm
+  FROM (SELECT *, created_at + to_days(CAST(v AS BIGINT)) AS updated_at
+        FROM (SELECT *, TIMESTAMP '2021-06-01 00:00:00' + to_hours(CAST(p_partkey % 1000 AS BIGINT)) AS created_at
+              FROM part, (SELECT unnest([0, 1]) AS v)))),
+u AS (
+  SELECT '{flat_relation('Acme_us', 'products')}' AS _dbt_source_relation, * EXCLUDE (arm) FROM pv WHERE arm = 0
+  UNION ALL BY NAME
+  SELECT '{flat_relation('Zest_ca', 'products')}' AS _dbt_source_relation, * EXCLUDE (arm, vendor) FROM pv WHERE arm = 1)"""
+
+_VARIANT_FIELDS = ("position", "inventory_policy", "fulfillment_service", "inventory_management", "created_at",
+                   "updated_at", "taxable", "barcode", "grams", "image_id", "weight", "weight_unit", "inventory_item_id",
+                   "inventory_quantity", "old_inventory_quantity", "requires_shipping", "admin_graphql_api_id")
+SQL["ShopifyProducts"] = f"""WITH {PRODUCTS}
+SELECT {brand('a._dbt_source_relation')} AS brand, coalesce(a.id, 0) AS product_id,
+    {tz('a.created_at')} AS product_created_at, {tz('a.updated_at')} AS product_updated_at,
+    a.* EXCLUDE (id, created_at, updated_at, variants, options, images, image, {DATON_COLS}),
+    coalesce(variants.v.id, 0) AS variants_id, variants.v.product_id AS variants_product_id,
+    variants.v.title AS variants_title, variants.v.price AS variants_price,
+    coalesce(variants.v.sku, 'N/A') AS variants_sku,
+    {', '.join(f'variants.v."{f}" AS variants_{f}' for f in _VARIANT_FIELDS)},
+    price.v.amount AS price_amount, price.v.currency_code AS price_currency_code, {LIN_U}
+{nested_from('a.variants AS variants', 'variants.v.presentment_prices AS presentment_prices',
+             'presentment_prices.v.price AS price', base='u')}
+QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0) ORDER BY a._daton_batch_runtime DESC) = 1"""
+
+
+# ---- refunds (returned line items) -----------------------------------------------------------------------
+_RAMT = "concat(CAST(l_linenumber AS VARCHAR), '.', lpad(CAST(l_partkey % 100 AS VARCHAR), 2, '0'))"
+_RCUR = "concat('C', CAST(o_custkey % 5 AS VARCHAR))"
+_MSET = (f"{{'shop_money': [{{'amount': {_RAMT}, 'currency_code': 'USD'}}], "
+         f"'presentment_money': [{{'amount': {_RAMT}, 'currency_code': {_RCUR}}}]}}")
+REFUNDS = f"""rx AS (SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+             WHERE l.l_returnflag = 'R'),
+rg AS (
+  SELECT l_orderkey, o_custkey, l_shipdate, count(*) AS n,
+    list({{'id': l_orderkey * 10 + l_linenumber, 'quantity': CAST(trunc(l_quantity) AS BIGINT),
+           'line_item': [{{'id': l_orderkey * 10 + l_linenumber, 'variant_id': l_suppkey, 'product_id': l_partkey,
+                           'sku': concat('SKU-', CAST(l_partkey AS VARCHAR)), 'total_discount': {_RAMT}, 'gift_card': false,
+                           'tax_lines': [{{'title': 'VAT', 'price_set': [{_MSET}]}}]}}],
+           'subtotal_set': [{_MSET}], 'total_tax_set': [{_MSET}], 'restock_type': 'no_restock'}}) AS refund_line_items,
+    coalesce(list({{'id': l_orderkey * 10 + l_linenumber, 'refund_id': l_orderkey, 'order_id': l_orderkey,
+           'kind': 'refund_discrepancy', 'reason': 'Refund discrepancy', 'amount_set': [{_MSET}],
+           'tax_amount_set': [{_MSET}]}}) FILTER (WHERE l_discount > 0.05), []) AS order_adjustments,
+    list({{'id': l_orderkey * 10 + l_linenumber, 'order_id': l_orderkey, 'created_at': l_shipdate,
+           'currency': {_RCUR}, 'kind': 'refund', 'amount': {_RAMT}}}) AS transactions
+  FROM rx GROUP BY l_orderkey, o_custkey, l_shipdate),
+rf AS (
+  SELECT CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE l_orderkey END AS id, l_orderkey AS order_id,
+    concat('refund ', CAST(l_orderkey AS VARCHAR)) AS note, l_shipdate AS created_at, l_shipdate + to_days(1) AS processed_at,
+    refund_line_items, order_adjustments, transactions, concat('u', CAST(o_custkey % 10 AS VARCHAR)) AS _daton_user_id,
+    epoch_ms(l_shipdate) AS _daton_batch_runtime, n AS _daton_batch_id,
+    '{flat_relation('Acme_us', 'refunds')}' AS _dbt_source_relation
+  FROM rg)"""
+
+_B_LIN = f"""b._dbt_source_relation, b._daton_user_id, b._daton_batch_runtime, b._daton_batch_id,
+    {integration_id('b._dbt_source_relation')} AS _daton_sourceversion_integration_id"""
+_DAT = "a._dbt_source_relation, a._daton_user_id, a._daton_batch_runtime, a._daton_batch_id"
+
+
+def _fx_cols(cur: str) -> str:
+    return f"coalesce(x.value, 1) AS fx_rate, coalesce(x.from_currency_code, {cur}) AS fx_currency_code"
+
+
+SQL["ShopifyRefundsLineItems"] = f"""WITH {REFUNDS}, {FX},
+b AS (
+  SELECT {tz('a.created_at')} AS created_at, {tz('a.processed_at')} AS processed_at, coalesce(a.id, 0) AS refund_id,
+    a.order_id, a.note, coalesce(refund_line_items.v.id, 0) AS refund_line_items_id,
+    refund_line_items.v.quantity AS refund_line_items_quantity, refund_line_items.v.restock_type AS restock_type,
+    line_item.v.id AS refund_line_items_line_item_id, coalesce(line_item.v.variant_id, 0) AS variant_id,
+    line_item.v.product_id AS product_id, line_item.v.sku AS sku, line_item.v.total_discount AS total_discount,
+    line_item.v.gift_card AS gift_card,
+    shop_money.v.amount AS shop_money_amount, shop_money.v.currency_code AS shop_money_currency_code,
+    presentment_money.v.amount AS presentment_money_amount,
+    presentment_money.v.currency_code AS presentment_money_currency_code, {_DAT}
+  {nested_from('a.refund_line_items AS refund_line_items', 'refund_line_items.v.line_item AS line_item',
+               'refund_line_items.v.subtotal_set AS subtotal_set', 'subtotal_set.v.shop_money AS shop_money',
+               'subtotal_set.v.presentment_money AS presentment_money', base='rf')}
+  QUALIFY row_number() OVER (PARTITION BY coalesce(a.id, 0), CAST(refund_line_items.v.id AS VARCHAR)
+      ORDER BY a._daton_batch_runtime DESC, a._daton_batch_id DESC, line_item.v.product_id DESC NULLS LAST,
+               line_item.v.variant_id DESC NULLS LAST, refund_line_items.v.quantity DESC NULLS LAST,
+               shop_money.v.amount DESC NULLS LAST, presentment_money.v.amount DESC NULLS LAST) = 1)
+SELECT {brand('b._dbt_source_relation')} AS brand, b.* EXCLUDE (_dbt_source_relation, _daton_user_id,
+    _daton_batch_runtime, _daton_batch_id), {_fx_cols('b.presentment_money_currency_code')}, {_B_LIN}
+FROM b LEFT JOIN fx x ON CAST(b.created_at AS DATE) = x.date AND b.presentment_money_currency_code = x.to_currency_code"""
+
+SQL["ShopifyRefundsLineItemsTax"] = f"""WITH {REFUNDS}, {FX},
+b AS (
+  SELECT {tz('a.created_at')} AS created_at, {tz('a.processed_at')} AS processed_at, coalesce(a.id, 0) AS refund_id,
+    a.order_id, coalesce(refund_line_items.v.id, 0) AS refund_line_items_id,
+    refund_line_items.v.quantity AS refund_line_items_quantity, line_item.v.id AS refund_line_items_line_item_id,
+    line_item.v.id AS id, line_item.v.variant_id AS variant_id, line_item.v.product_id AS product_id,
+    line_item.v.sku AS sku, coalesce(tax_lines.v.title, 'N/A') AS title,
+    shop_money.v.amount AS shop_money_amount, shop_money.v.currency_code AS shop_money_currency_code,
+    presentment_money.v.amount AS presentment_money_amount,
+    presentment_money.v.currency_code AS presentment_money_currency_code, {_DAT}
+  {nested_from('a.refund_line_items AS refund_line_items', 'refund_line_items.v.line_item AS line_item',
+               'line_item.v.tax_lines AS tax_lines', 'tax_lines.v.price_set AS price_set',
+               'price_set.v.shop_money AS shop_money', 'price_set.v.presentment_money AS presentment_money', base='rf')}
+  QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0) ORDER BY a._daton_batch_runtime DESC) = 1),
+c AS (
+  SELECT {brand('b._dbt_source_relation')} AS brand, b.* EXCLUDE (_dbt_source_relation, _daton_user_id,
+      _daton_batch_runtime, _daton_batch_id), {_fx_cols('b.presentment_money_currency_code')}, {_B_LIN}, 1 AS row_num
+  FROM b LEFT JOIN fx x ON CAST(b.created_at AS DATE) = x.date AND b.presentment_money_currency_code = x.to_currency_code)
+SELECT *, row_number() OVER (PARTITION BY refund_id ORDER BY _daton_batch_runtime DESC, refund_line_items_id NULLS FIRST,
+    title NULLS FIRST, shop_money_amount NULLS FIRST, presentment_money_currency_code NULLS FIRST, product_id NULLS FIRST,
+    variant_id NULLS FIRST, fx_currency_code NULLS FIRST, fx_rate NULLS FIRST) AS _seq_id
+FROM c"""
+
+SQL["ShopifyRefundsOrderAdjustments"] = f"""WITH {REFUNDS}, {FX},
+b AS (
+  SELECT {tz('a.created_at')} AS created_at, {tz('a.processed_at')} AS processed_at, coalesce(a.id, 0) AS refund_id,
+    a.note, coalesce(order_adjustments.v.id, 0) AS order_adjustments_id,
+    order_adjustments.v.refund_id AS order_adjustments_refund_id, order_adjustments.v.order_id AS order_id,
+    order_adjustments.v.kind AS kind, order_adjustments.v.reason AS reason,
+    order_adjustments.v.tax_amount_set AS tax_amount_set,
+    shop_money.v.amount AS amount_set_shop_money_amount, shop_money.v.currency_code AS amount_set_shop_money_currency_code,
+    presentment_money.v.amount AS amount_set_presentment_money_amount,
+    presentment_money.v.currency_code AS amount_set_presentment_money_currency_code, {_DAT}
+  {nested_from('a.order_adjustments AS order_adjustments', 'order_adjustments.v.amount_set AS amount_set',
+               'amount_set.v.shop_money AS shop_money', 'amount_set.v.presentment_money AS presentment_money', base='rf')}
+  QUALIFY row_number() OVER (PARTITION BY coalesce(a.id, 0), a.order_id, CAST(order_adjustments.v.id AS VARCHAR)
+      ORDER BY a._daton_batch_runtime DESC, a._daton_batch_id DESC, shop_money.v.amount DESC NULLS LAST,
+               presentment_money.v.amount DESC NULLS LAST, order_adjustments.v.kind DESC NULLS LAST) = 1),
+c AS (
+  SELECT {brand('b._dbt_source_relation')} AS brand, coalesce(b.order_id, 0) AS order_id,
+      b.* EXCLUDE (tax_amount_set, order_id, _dbt_source_relation, _daton_user_id, _daton_batch_runtime, _daton_batch_id),
+      tsm.v.amount AS tax_amount_set_shop_money_amount, tsm.v.currency_code AS tax_amount_set_shop_money_currency_code,
+      tpm.v.amount AS tax_amount_set_presentment_money_amount,
+      tpm.v.currency_code AS tax_amount_set_presentment_money_currency_code,
+      {_fx_cols('b.amount_set_presentment_money_currency_code')}, {_B_LIN}, 1 AS row_num
+  FROM b LEFT JOIN LATERAL (SELECT unnest(b.tax_amount_set) AS v) AS tas ON TRUE
+    LEFT JOIN LATERAL (SELECT unnest(tas.v.shop_money) AS v) AS tsm ON TRUE
+    LEFT JOIN LATERAL (SELECT unnest(tas.v.presentment_money) AS v) AS tpm ON TRUE
+    LEFT JOIN fx x ON CAST(b.created_at AS DATE) = x.date AND b.amount_set_presentment_money_currency_code = x.to_currency_code)
+SELECT *, row_number() OVER (PARTITION BY refund_id ORDER BY _daton_batch_runtime DESC, order_adjustments_id NULLS FIRST,
+    amount_set_shop_money_amount NULLS FIRST, tax_amount_set_shop_money_amount NULLS FIRST,
+    tax_amount_set_presentment_money_amount NULLS FIRST, fx_currency_code NULLS FIRST, fx_rate NULLS FIRST,
+    note NULLS FIRST) AS _seq_id
+FROM c"""
+
+SQL["ShopifyRefundsTransactions"] = f"""WITH {REFUNDS}, {FX},
+b AS (
+  SELECT {tz('a.created_at')} AS refund_created_at, {tz('a.processed_at')} AS refund_processed_at,
+    coalesce(a.id, 0) AS refund_id, coalesce(transactions.v.id, 0) AS transactions_id,
+    transactions.v.order_id AS order_id, transactions.v.created_at AS created_at, transactions.v.currency AS currency,
+    transactions.v.kind AS kind, transactions.v.amount AS amount, {_DAT}
+  {nested_from('a.transactions AS transactions', base='rf')}
+  QUALIFY dense_rank() OVER (PARTITION BY a.id ORDER BY a._daton_batch_runtime DESC) = 1),
+c AS (
+  SELECT {brand('b._dbt_source_relation')} AS brand, coalesce(b.order_id, 0) AS order_id,
+      b.* EXCLUDE (order_id, _dbt_source_relation, _daton_user_id, _daton_batch_runtime, _daton_batch_id),
+      {_fx_cols('b.currency')}, {_B_LIN}, 1 AS row_num
+  FROM b LEFT JOIN fx x ON CAST(b.created_at AS DATE) = x.date AND b.currency = x.to_currency_code)
+SELECT *, row_number() OVER (PARTITION BY refund_id ORDER BY _daton_batch_runtime DESC, transactions_id NULLS FIRST,
+    amount NULLS FIRST, fx_currency_code NULLS FIRST, fx_rate NULLS FIRST) AS _seq_id
+FROM c"""

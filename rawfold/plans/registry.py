@@ -468,3 +468,21 @@ def _entity_dataset(name, entity, nested):
 
 for _name, (_entity, _nested) in ENTITY_NESTED.items():
     query(_name)(_entity_dataset(_name, _entity, _nested))
+
+
+@query("ShopifyProducts")
+def shopify_products(spark, d):
+    """Products with variants -> presentment prices -> price, from ``part``."""
+    return dataset("ShopifyProducts", dt.product_arms(spark, d), spark, d)
+
+
+def _refund_dataset(name):
+    def run(spark, d):
+        return dataset(name, dt.refund_arms(spark, d), spark, d)
+    run.__doc__ = f"The {name} staging dataset built from its spec over raw refunds (returned line items)."
+    return run
+
+
+for _name in ("ShopifyRefundsLineItems", "ShopifyRefundsLineItemsTax", "ShopifyRefundsOrderAdjustments",
+              "ShopifyRefundsTransactions"):
+    query(_name)(_refund_dataset(_name))

@@ -375,7 +375,8 @@ SPECS: tuple[DatasetSpec, ...] = (
                  Col("total_discount", "line_item.total_discount"), Col("gift_card", "line_item.gift_card"),
                  *_money()),
         latest=Latest((ID0, "cast(refund_line_items.id as string)"), ties=False, stage="rows",
-                      tiebreak=(BI, "shop_money.amount", "presentment_money.amount")),
+                      tiebreak=(BI, "line_item.product_id", "line_item.variant_id", "refund_line_items.quantity",
+                                "shop_money.amount", "presentment_money.amount")),
         fx=Fx("created_at", "presentment_money_currency_code", on="output"),
         merge_keys=("refund_id", "refund_line_items_id")),
     DatasetSpec(
@@ -391,7 +392,9 @@ SPECS: tuple[DatasetSpec, ...] = (
                  Col("sku", "line_item.sku"), Key("title", "tax_lines.title", "N/A"),
                  SStar("tax_lines", ("price_set", "title")), *_money()),
         latest=Latest((ID0,)), fx=Fx("created_at", "presentment_money_currency_code", on="output"),
-        seq_by="refund_id", seq_tiebreak=("refund_line_items_id", "title", "shop_money_amount"),
+        seq_by="refund_id", seq_tiebreak=("refund_line_items_id", "title", "shop_money_amount",
+                                          "presentment_money_currency_code", "product_id", "variant_id",
+                                          "fx_currency_code", "fx_rate"),
         constant_row_num=True, merge_keys=("refund_id",)),
     DatasetSpec(
         name="ShopifyRefundsOrderAdjustments", pattern=REFUNDS,
@@ -403,9 +406,11 @@ SPECS: tuple[DatasetSpec, ...] = (
                  Col("order_adjustments_refund_id", "order_adjustments.refund_id"),
                  SStar("order_adjustments", ("id", "refund_id", "amount_set")), *_money("amount_set_")),
         latest=Latest((ID0, "order_id", "cast(order_adjustments.id as string)"), ties=False, stage="rows",
-                      tiebreak=(BI, "shop_money.amount", "presentment_money.amount")),
+                      tiebreak=(BI, "shop_money.amount", "presentment_money.amount", "order_adjustments.kind")),
         fx=Fx("created_at", "amount_set_presentment_money_currency_code", on="output"),
-        seq_by="refund_id", seq_tiebreak=("order_adjustments_id", "tax_amount_set_shop_money_amount"),
+        seq_by="refund_id", seq_tiebreak=("order_adjustments_id", "amount_set_shop_money_amount",
+                                          "tax_amount_set_shop_money_amount", "tax_amount_set_presentment_money_amount",
+                                          "fx_currency_code", "fx_rate", "note"),
         constant_row_num=True, merge_keys=("refund_id",),
         extra={"post_unnest": ("tax_amount_set", ("tax_amount_set", "shop_money"),
                                ("tax_amount_set", "presentment_money")),
@@ -421,7 +426,8 @@ SPECS: tuple[DatasetSpec, ...] = (
                  Key("refund_id", "id", 0), Key("transactions_id", "transactions.id", 0),
                  SStar("transactions", ("id",))),
         latest=Latest(("id",)), fx=Fx("created_at", "currency", on="output"),
-        seq_by="refund_id", seq_tiebreak=("transactions_id",), constant_row_num=True,
+        seq_by="refund_id", seq_tiebreak=("transactions_id", "amount", "fx_currency_code", "fx_rate"),
+        constant_row_num=True,
         merge_keys=("refund_id",),
         extra={"post_columns": (Key("order_id", "order_id", 0),)},
         notes="rates joined on the nested transaction's own created_at and currency"),

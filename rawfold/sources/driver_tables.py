@@ -327,3 +327,86 @@ def entity_arms(spark: SparkSession, sf_dir: str, entity: str, nested: tuple[str
     v = v.select("*", F.to_date("created_at").alias("date"), *[cols[n].alias(n) for n in nested])
     return [(flat_relation("Acme_us", entity), v.filter(F.col("arm") == 0).drop("arm")),
             (flat_relation("Zest_ca", entity), v.filter(F.col("arm") == 1).drop("arm", "balance"))]
+
+
+PRODUCT_BATCH0_MS = 1_622_505_600_000  # 2021-06-01 00:00:00 UTC
+
+
+def product_arms(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+    """Raw products from ``part``, loaded twice; two variants, each with two presentment prices."""
+    p = read(spark, sf_dir, "part")
+    x = p.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("v"))
+    pk, v, size = F.col("p_partkey"), F.col("v"), F.col("p_size")
+    created = F.timestamp_add("HOUR", (pk % 1000).cast("int"), F.lit("2021-06-01 00:00:00").cast("timestamp_ntz"))
+    updated = F.timestamp_add("DAY", v.cast("int"), created)
+
+    def variant(i: int) -> Column:
+        price = F.concat(_s(pk % 100), F.lit("."), F.lit(f"{i * 25:02d}"))
+        return F.struct(
+            (pk * 10 + i).alias("id"), pk.alias("product_id"), F.concat(F.lit("Size "), _s(size + i)).alias("title"),
+            price.alias("price"),
+            F.when((pk % 5 == 0) & F.lit(i == 1), F.lit(None).cast("string"))
+             .otherwise(F.concat(F.lit("SKU-"), _s(pk), F.lit(f"-{i}"))).alias("sku"),
+            F.lit(i + 1).cast("long").alias("position"), F.lit("deny").alias("inventory_policy"),
+            F.lit("manual").alias("fulfillment_service"), F.lit("shopify").alias("inventory_management"),
+            created.alias("created_at"), updated.alias("updated_at"), F.lit(True).alias("taxable"),
+            F.lit(None).cast("string").alias("barcode"), (size * 10 + i).cast("long").alias("grams"),
+            F.lit(None).cast("long").alias("image_id"), (size.cast("double") / F.lit(10.0)).alias("weight"),
+            F.lit("kg").alias("weight_unit"), (pk * 10 + i).alias("inventory_item_id"),
+            (pk % 50 + i).alias("inventory_quantity"), (pk % 50).alias("old_inventory_quantity"),
+            F.lit(True).alias("requires_shipping"), F.concat(F.lit("gid://v/"), _s(pk * 10 + i)).alias("admin_graphql_api_id"),
+            F.array(F.struct(F.array(_money(price, F.lit("USD"))).alias("price")),
+                    F.struct(F.array(_money(price, F.lit("EUR"))).alias("price"))).alias("presentment_prices"))
+
+    out = x.select(
+        F.when(pk % 13 == 0, F.lit(None).cast("long")).otherwise(pk).alias("id"),
+        F.col("p_name").alias("title"), F.col("p_brand").alias("vendor"), F.col("p_type").alias("product_type"),
+        F.lit("active").alias("status"), created.alias("created_at"), updated.alias("updated_at"),
+        F.array(variant(0), variant(1)).alias("variants"), F.array(F.lit("Size")).alias("options"),
+        F.array(F.concat(F.lit("img"), _s(pk))).alias("images"),
+        F.struct(F.concat(F.lit("img"), _s(pk)).alias("src")).alias("image"),
+        F.concat(F.lit("u"), _s(v)).alias("_daton_user_id"),
+        (F.lit(PRODUCT_BATCH0_MS) + v * 86400000).alias("_daton_batch_runtime"),
+        pk.alias("_daton_batch_id"), (pk % 2).alias("arm"))
+    return [(flat_relation("Acme_us", "products"), out.filter(F.col("arm") == 0).drop("arm")),
+            (flat_relation("Zest_ca", "products"), out.filter(F.col("arm") == 1).drop("arm", "vendor"))]
+
+
+def refund_arms(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+    """Raw refunds: returned line items grouped per (order, ship date), one version per ship date."""
+    li = read(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    cur = _cur(F.col("o_custkey"))
+    amount = F.concat(_s(ln), F.lit("."), F.lpad(_s(pk % 100), 2, "0"))
+    money_set = F.struct(F.array(_money(amount, F.lit("USD"))).alias("shop_money"),
+                         F.array(_money(amount, cur)).alias("presentment_money"))
+    item_id = ok * 10 + ln
+    refund_line = F.struct(
+        item_id.alias("id"), F.col("l_quantity").cast("long").alias("quantity"),
+        F.array(F.struct(item_id.alias("id"), F.col("l_suppkey").alias("variant_id"), pk.alias("product_id"),
+                         F.concat(F.lit("SKU-"), _s(pk)).alias("sku"), amount.alias("total_discount"),
+                         F.lit(False).alias("gift_card"),
+                         F.array(F.struct(F.lit("VAT").alias("title"), F.array(money_set).alias("price_set"))
+                                 ).alias("tax_lines"))).alias("line_item"),
+        F.array(money_set).alias("subtotal_set"), F.array(money_set).alias("total_tax_set"),
+        F.lit("no_restock").alias("restock_type"))
+    adjustment = F.struct(
+        item_id.alias("id"), ok.alias("refund_id"), ok.alias("order_id"), F.lit("refund_discrepancy").alias("kind"),
+        F.lit("Refund discrepancy").alias("reason"), F.array(money_set).alias("amount_set"),
+        F.array(money_set).alias("tax_amount_set"))
+    txn = F.struct(item_id.alias("id"), ok.alias("order_id"), F.col("l_shipdate").alias("created_at"),
+                   cur.alias("currency"), F.lit("refund").alias("kind"), amount.alias("amount"))
+    g = j.groupBy("l_orderkey", "o_custkey", "l_shipdate").agg(
+        F.count(F.lit(1)).alias("n"), F.collect_list(refund_line).alias("refund_line_items"),
+        F.collect_list(F.when(F.col("l_discount") > 0.05, adjustment)).alias("order_adjustments"),
+        F.collect_list(txn).alias("transactions"))
+    out = g.select(
+        F.when(ok % 97 == 0, F.lit(None).cast("long")).otherwise(ok).alias("id"), ok.alias("order_id"),
+        F.concat(F.lit("refund "), _s(ok)).alias("note"), F.col("l_shipdate").alias("created_at"),
+        F.timestamp_add("DAY", F.lit(1), F.col("l_shipdate")).alias("processed_at"),
+        "refund_line_items", "order_adjustments", "transactions",
+        F.concat(F.lit("u"), _s(F.col("o_custkey") % 10)).alias("_daton_user_id"),
+        _epoch_ms(F.col("l_shipdate")).alias("_daton_batch_runtime"), F.col("n").alias("_daton_batch_id"))
+    return [(flat_relation("Acme_us", "refunds"), out)]
