@@ -466,8 +466,8 @@ def _entity_dataset(name, entity, nested):
     return run
 
 
-for _name, (_entity, _nested) in ENTITY_NESTED.items():
-    query(_name)(_entity_dataset(_name, _entity, _nested))
+for _ds, (_ent, _cols) in ENTITY_NESTED.items():
+    query(_ds)(_entity_dataset(_ds, _ent, _cols))
 
 
 @query("ShopifyProducts")
