@@ -18,7 +18,7 @@ CONTRACT = {"_dbt_source_relation", "_daton_user_id", "_daton_batch_runtime", "_
 
 
 # fields the rate join (on output columns) reads out of a struct star
-STAR_FIELDS = {"ShopifyRefundsTransactions": ("transactions.created_at", "transactions.currency"),
+STAR_FIELDS = {"ShopifyRefundsTransactions": ("transactions.created_at", "transactions.currency", "transactions.amount"),
                "ShopifyRefundsOrderAdjustments": ("order_adjustments.id",)}
 
 
