@@ -37,6 +37,12 @@ def fx_left_join(df: DataFrame, fx: DataFrame | None, date_col: Column | str, cu
         return df.withColumns({rate_name: F.lit(1), code_name: cur})
     rates = fx.select(F.col("date").alias("__fx_date"), F.col("to_currency_code").alias("__fx_to"),
                       F.col("from_currency_code").alias("__fx_from"), F.col("value").alias("__fx_value"))
+    if fx_rows is None:
+        # materialize the rate side once in the shared folder, then count it: the count is the
+        # proof of size, and the join reads the same files instead of recomputing the rates
+        from rawfold.session import shared_dir
+        shared_dir(df.sparkSession)
+        rates = rates.checkpoint(eager=True)
     rates = broadcast_if_small(rates, settings.broadcast_max_rows, fx_rows)
     j = df.join(rates, (F.to_date(d) == rates["__fx_date"]) & (cur == rates["__fx_to"]), "left")
     return (j.withColumns({rate_name: F.coalesce(F.col("__fx_value"), F.lit(1)),

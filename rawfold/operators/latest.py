@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,10 +119,14 @@ def seq_id(df: DataFrame, keys: Sequence, order: Sequence, tiebreak: Sequence =
     sort = ([F.col(k).asc_nulls_first() for k in kn] + [F.col(o).desc_nulls_last() for o in on]
             + [F.col(t).asc_nulls_first() for t in tn])
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = (d.repartitionByRange(parts, *sort).sortWithinPartitions(*sort)
-          .withColumns({"__spid": F.spark_partition_id(), "__spos": F.monotonically_increasing_id()})
-          .withColumn("__skey", F.struct(*kn))
-          .checkpoint(eager=True))
+    # the range bounds are sampled from the input and the checkpoint reads it again: keep the input
+    # cached for those two jobs only (recomputable from lineage if an executor is lost)
+    src = d.persist(StorageLevel.MEMORY_AND_DISK)
+    r = (src.repartitionByRange(parts, *sort).sortWithinPartitions(*sort)
+            .withColumns({"__spid": F.spark_partition_id(), "__spos": F.monotonically_increasing_id()})
+            .withColumn("__skey", F.struct(*kn))
+            .checkpoint(eager=True))
+    src.unpersist()
     firsts = r.groupBy("__skey", "__spid").agg(F.min("__spos").alias("__sfirst"),
                                                F.count(F.lit(1)).alias("__scnt"))
     before = Window.partitionBy("__skey").orderBy("__spid").rowsBetween(Window.unboundedPreceding, -1)
