@@ -72,7 +72,13 @@ def keep_latest(df: DataFrame, keys: Sequence, order: Sequence, *, ties: bool =
         maxes = (d.groupBy(*kn).agg(F.max(ostruct).alias("__lmax"))
                  .select(*[F.col(n).alias(n + "m") for n in kn], "__lmax"))
         probe = F.struct(*[d[o] for o in on]) if len(on) > 1 else d[on[0]]
-        cond = [d[n].eqNullSafe(maxes[n + "m"]) for n in kn] + [probe.eqNullSafe(maxes["__lmax"])]
+        nullable = {f.name: f.nullable for f in d.schema.fields}
+
+        def same(left, right, name):  # NULL keys form one group; plain equality when none can occur
+            return left.eqNullSafe(right) if nullable.get(name, True) else left == right
+
+        cond = [same(d[n], maxes[n + "m"], n) for n in kn]
+        cond.append(same(probe, maxes["__lmax"], on[0] if len(on) == 1 else "__struct"))
         return d.join(maxes, cond, "left_semi").select(*[F.col(f"`{c}`") for c in cols])
 
     payload = F.struct(*[F.col(f"`{c}`").alias(f"__lp{i}") for i, c in enumerate(cols)])
