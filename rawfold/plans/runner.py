@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from rawfold.config import Settings
-from rawfold.operators.quality import run_record
+from rawfold.operators.quality import check_not_null, check_unique, run_record, store_failures
 from rawfold.plans.builder import build
 from rawfold.plans.specs import SPECS, DatasetSpec, is_enabled, merge_keys
 from rawfold.session import pin_engine_conf, scratch_path
@@ -40,6 +40,24 @@ def run_dataset(spark: SparkSession, spec: DatasetSpec, source, out_dir: str, se
     return read_current(spark, base)
 
 
+def run_checks(spark: SparkSession, spec: DatasetSpec, df: DataFrame, out_dir: str) -> dict[str, int]:
+    """Key checks on a written dataset; failing rows are stored under ``_failures/<dataset>/<check>``.
+
+    Not-null on the merge keys for every dataset; uniqueness where one row per key is the contract
+    (the rates, and ``row_number`` datasets). ``dense_rank`` datasets keep ties by design.
+    """
+    keys = list(merge_keys(spec))
+    checks = {"not_null_keys": check_not_null(df, keys)}
+    if spec.kind == "per_arm_rates" or (spec.latest is not None and not spec.latest.ties):
+        checks["unique_keys"] = check_unique(df, keys)
+    counts = {}
+    for name, failing in checks.items():
+        path = f"{out_dir.rstrip('/')}/_failures/{spec.name}/{name}"
+        store_failures(failing, path)
+        counts[name] = spark.read.parquet(path).count()
+    return counts
+
+
 def run_all(spark: SparkSession, source, out_dir: str, settings: Settings | None = None,
             only: Iterable[str] | None = None) -> DataFrame:
     """Build every enabled dataset; returns the run-audit rows (also appended under ``out_dir``)."""
@@ -55,10 +73,13 @@ def run_all(spark: SparkSession, source, out_dir: str, settings: Settings | None
         result = run_dataset(spark, spec, source, out_dir, settings, fx=fx, fx_rows=fx_rows)
         if result is None:
             continue
+        failed = run_checks(spark, spec, result, out_dir)
         if spec.kind == "per_arm_rates":
             fx = result.select("date", "from_currency_code", "to_currency_code", "value")
             fx_rows = fx.count()
-        audits.append(run_record(spark, spec.name, result, settings.run_id))
+        status = "success" if not any(failed.values()) else "checks_failed:" + ",".join(
+            f"{k}={v}" for k, v in failed.items() if v)
+        audits.append(run_record(spark, spec.name, result, settings.run_id, status=status))
     if not audits:
         return spark.createDataFrame([], "run_id string, dataset string, row_count long, "
                                          "max_batch_runtime long, status string")

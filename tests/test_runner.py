@@ -29,13 +29,20 @@ def test_full_then_incremental_equals_full_load(spark, tmp_path):
     root, out = str(tmp_path / "raw"), str(tmp_path / "staging")
     v = dt.order_versions(spark, SF_SMALL)
     paths = _write_orders(v.filter(F.col("updated_at") < cut), root, "overwrite")
-    rates_path = f"{root}/daton_exchange_rates"
-    dt.raw_rates(spark, SF_SMALL).drop("k").write.parquet(rates_path)
-    tables = {**paths, "daton_exchange_rates": rates_path, "Acme_us_shopify_1_draft_orders": paths["Acme_us_shopify_1_orders"]}
+    rates_path, backup_path = f"{root}/daton_exchange_rates", f"{root}/backup_exchange_rates"
+    raw_rates = dt.raw_rates(spark, SF_SMALL)
+    raw_rates.drop("k").write.parquet(rates_path)
+    raw_rates.filter(F.col("k") == 0).drop("k").write.parquet(backup_path)
+    tables = {**paths, "daton_exchange_rates": rates_path, "backup_exchange_rates": backup_path,
+              "Acme_us_shopify_1_draft_orders": paths["Acme_us_shopify_1_orders"]}
     source = MappingSource(spark, tables, database="insightsprod", schema="raw")
 
-    audit1 = run_all(spark, source, out, Settings(), only=["ShopifyOrders"]).collect()
-    assert {r.dataset for r in audit1} == {"ExchangeRates", "ShopifyOrders"}
+    audit1 = {r.dataset: r for r in run_all(spark, source, out, Settings(), only=["ShopifyOrders"]).collect()}
+    assert set(audit1) == {"ExchangeRates", "ShopifyOrders"}
+    assert audit1["ShopifyOrders"].status == "success"
+    # the C0 rates arrive from two relations, so the rate key is not unique: stored as failing rows
+    assert audit1["ExchangeRates"].status.startswith("checks_failed:unique_keys=")
+    assert spark.read.parquet(f"{out}/_failures/ExchangeRates/unique_keys").count() > 0
     _write_orders(v.filter(F.col("updated_at") >= cut), root, "append")
     run_all(spark, source, out, Settings(), only=["ShopifyOrders"])
 
