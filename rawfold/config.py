@@ -27,6 +27,8 @@ class Settings:
     merge keys) is broadcast; above it the join shuffles and AQE handles skew.
     ``seq_strategy`` numbers ``_seq_id`` with ``"ranged"`` (no parent confined to one task) or
     ``"window"`` (one window task per parent).
+    ``scope_by_source`` ranks versions per (key, source relation): equal ids from two stores no longer
+    compete (by default they do, as in the source project).
     """
 
     timezone_conversion: bool = True
@@ -42,6 +44,7 @@ class Settings:
     broadcast_max_rows: int = 2_000_000
     full_refresh: bool = False
     seq_strategy: str = "ranged"
+    scope_by_source: bool = False
 
     def with_(self, **kw) -> "Settings":
         return replace(self, **kw)

@@ -102,6 +102,7 @@ def build(spec: DatasetSpec, relations, settings: Settings, *, fx: DataFrame | N
     tiebreak = lt.tiebreak if (lt is None or lt.ties or lt.tiebreak) else (BATCH_ID, SOURCE_RELATION)
 
     def latest(df, keys):
+        keys = tuple(keys) + ((SOURCE_RELATION,) if settings.scope_by_source else ())
         return keep_latest(df, [_expr(k) for k in keys], [_expr(o) for o in lt.order], ties=lt.ties,
                            tiebreak=[_expr(t) for t in tiebreak], strategy=latest_strategy)
 

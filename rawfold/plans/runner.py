@@ -34,9 +34,9 @@ def run_dataset(spark: SparkSession, spec: DatasetSpec, source, out_dir: str, se
     updates.write.parquet(staged)
     updates = spark.read.parquet(staged)
     n = updates.count()
-    merged = merge_by_key(target, updates, merge_keys(spec), max_broadcast_rows=settings.broadcast_max_rows,
+    merged = merge_by_key(target, updates, merge_keys(spec, settings), max_broadcast_rows=settings.broadcast_max_rows,
                           update_rows=n)
-    commit_version(spark, base, merged, cluster_by=spec.cluster_by or merge_keys(spec))
+    commit_version(spark, base, merged, cluster_by=spec.cluster_by or merge_keys(spec, settings))
     return read_current(spark, base)
 
 

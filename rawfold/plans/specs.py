@@ -456,12 +456,19 @@ SPECS: tuple[DatasetSpec, ...] = (
 BY_NAME = {s.name: s for s in SPECS}
 
 
-def merge_keys(spec: DatasetSpec) -> tuple[str, ...]:
-    """Unique key of the written dataset (replace-by-key for ``dense_rank`` datasets)."""
+def merge_keys(spec: DatasetSpec, settings=None) -> tuple[str, ...]:
+    """Unique key of the written dataset (replace-by-key for ``dense_rank`` datasets).
+
+    With ``scope_by_source`` the source relation is part of the key, as it is of the rank.
+    """
     if spec.merge_keys:
-        return spec.merge_keys
-    first = spec.columns[0] if spec.columns else None
-    return (first.name,) if isinstance(first, (Key, Col)) else ("id",)
+        keys = spec.merge_keys
+    else:
+        first = spec.columns[0] if spec.columns else None
+        keys = (first.name,) if isinstance(first, (Key, Col)) else ("id",)
+    if settings is not None and settings.scope_by_source and spec.kind != "per_arm_rates":
+        keys = keys + ("_dbt_source_relation",)
+    return keys
 
 
 def is_enabled(spec: DatasetSpec, settings) -> bool:

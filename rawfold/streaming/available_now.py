@@ -36,8 +36,8 @@ def stage_stream(spark: SparkSession, spec: DatasetSpec, raw_path: str, relation
     def stage(batch: DataFrame, epoch: int) -> None:
         updates = build(spec, [(relation, batch)], settings, fx=fx, fx_rows=fx_rows)
         current = read_current(spark, target)
-        merged = merge_by_key(current, updates, merge_keys(spec), max_broadcast_rows=settings.broadcast_max_rows)
-        commit_version(spark, target, merged, cluster_by=spec.cluster_by or merge_keys(spec))
+        merged = merge_by_key(current, updates, merge_keys(spec, settings), max_broadcast_rows=settings.broadcast_max_rows)
+        commit_version(spark, target, merged, cluster_by=spec.cluster_by or merge_keys(spec, settings))
 
     ckpt = checkpoint or f"{shared_dir(spark).rstrip('/')}/stream-{spec.name}"
     return (stream.writeStream.foreachBatch(stage).option("checkpointLocation", ckpt)

@@ -41,3 +41,17 @@ def test_watermark_reaches_every_scan(spark, tmp_path):
     plan = u._jdf.queryExecution().executedPlan().toString()
     assert plan.count("PushedFilters: [IsNotNull(_daton_batch_runtime), GreaterThanOrEqual(_daton_batch_runtime,10)]") == 2
     assert u.count() == 2
+
+
+def test_scope_by_source_keeps_equal_ids_of_two_stores(spark):
+    from rawfold.config import Settings
+    from rawfold.plans.builder import build
+    from rawfold.plans.specs import BY_NAME
+    a = spark.createDataFrame([(1, 10, 1), (1, 20, 2)], "id long, _daton_batch_runtime long, _daton_batch_id long")
+    b = spark.createDataFrame([(1, 15, 3)], "id long, _daton_batch_runtime long, _daton_batch_id long")
+    arms = [("`d`.`raw`.`A_x_shopify_1_carrier_services`", a), ("`d`.`raw`.`B_y_shopify_2_carrier_services`", b)]
+    spec = BY_NAME["ShopifyCarrierServices"]
+    shared = build(spec, arms, Settings(), include_audit=False)
+    scoped = build(spec, arms, Settings(scope_by_source=True), include_audit=False)
+    assert sorted(r._daton_batch_runtime for r in shared.collect()) == [20]
+    assert sorted(r._daton_batch_runtime for r in scoped.collect()) == [15, 20]
