@@ -24,6 +24,8 @@ def build_session(master: str = "local[*]", app: str = "rawfold", shuffle_partit
                   extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         # checkpoints (ranged numbering, rate side) are removed once no plan references them
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**ENGINE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
