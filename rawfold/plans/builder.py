@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rawfold.config import (
-    BATCH_ID, BATCH_RUNTIME, INTEGRATION_ID, LAST_UPDATED, RUN_ID, SOURCE_RELATION, USER_ID, Settings,
+    BATCH_ID, BATCH_RUNTIME, LAST_UPDATED, RUN_ID, SOURCE_RELATION, USER_ID, Settings,
 )
 from rawfold.functions.convert import NUMERIC, to_wallclock, typed_default
 from rawfold.functions.lineage import brand as brand_expr

@@ -114,7 +114,6 @@ from rawfold.functions.lineage import brand, integration_id, integration_id_toke
 from rawfold.operators.latest import seq_id as seq_id_op  # noqa: E402
 from rawfold.operators.nested import drop_nested_fields, prefixed, struct_star  # noqa: E402
 from rawfold.operators.quality import check_not_null, check_recency, check_unique, run_record  # noqa: E402
-from rawfold.plans.specs import SPECS  # noqa: E402
 from rawfold.session import scratch_path  # noqa: E402
 from rawfold.sources.incremental import (  # noqa: E402
     high_watermark, merge_by_key, watermark_filter, watermark_subquery_sql, write_table,

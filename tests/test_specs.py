@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from rawfold.config import Settings
 from rawfold.plans.builder import build
-from rawfold.plans.spec import Col, Key, Pick, SStar, Star, Tz
+from rawfold.plans.spec import Col, Key, Pick, SStar, Tz
 from rawfold.plans.specs import SPECS, is_enabled
 
 IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(?:\.[A-Za-z_][A-Za-z0-9_]*)*")
