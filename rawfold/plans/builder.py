@@ -42,10 +42,6 @@ def _expr(s: str) -> Column:
     return F.expr(_NUMERIC_CAST.sub("AS decimal(38,9)", s))
 
 
-def _expr_type(df: DataFrame, s: str):
-    return df.select(_expr(s).alias("x")).schema["x"].dataType
-
-
 def projection(f: DataFrame, spec: DatasetSpec, union_cols: Sequence[str],
                settings: Settings) -> list[tuple[str, Column]]:
     """Output ``(name, column)`` pairs of the spec, in order, over the unnested frame ``f``."""
@@ -57,17 +53,26 @@ def projection(f: DataFrame, spec: DatasetSpec, union_cols: Sequence[str],
         taken.add(n.lower())
 
     lineage = {SOURCE_RELATION.lower(), *[d.lower() for d in DATON]}
-    for item in spec.columns:
+
+    def key_source(item: Key) -> Column:
+        e = _expr(item.expr)
+        return e.cast(NUMERIC if item.cast == "numeric" else item.cast) if item.cast else e
+
+    # one analysis resolves the type of every converted or defaulted source column
+    typed = [(i, _expr(it.src) if isinstance(it, Tz) else key_source(it))
+             for i, it in enumerate(spec.columns) if isinstance(it, (Tz, Key))]
+    types = {}
+    if typed:
+        schema = f.select(*[c.alias(f"__t{i}") for i, c in typed]).schema
+        types = {i: schema[f"__t{i}"].dataType for i, _ in typed}
+
+    for idx, item in enumerate(spec.columns):
         if isinstance(item, Col):
             add(item.name, _expr(item.expr))
         elif isinstance(item, Tz):
-            add(item.name, to_wallclock(_expr(item.src), settings, _expr_type(f, item.src)))
+            add(item.name, to_wallclock(_expr(item.src), settings, types[idx]))
         elif isinstance(item, Key):
-            e = _expr(item.expr)
-            if item.cast:
-                e = e.cast(NUMERIC if item.cast == "numeric" else item.cast)
-            t = f.select(e.alias("k")).schema["k"].dataType
-            add(item.name, typed_default(e, item.default, t))
+            add(item.name, typed_default(key_source(item), item.default, types[idx]))
         elif isinstance(item, Star):
             skip = {x.lower() for x in item.exclude} | lineage
             for c in union_cols:
