@@ -3,10 +3,30 @@
 #: lower-case A-Z only: split off the ASCII letters with translate
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: words: characters that are no ASCII or an ASCII letter or digit
+_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
 SQL = {
     "op4_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_NORM} AS norm FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM d WINDOW g AS (PARTITION BY norm)""",
+    "op6_decontaminate": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_NORM}, {_WORD}) AS w FROM documents),
+        b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_NORM}, {_WORD}) AS w FROM benchmark),
+        bw AS (SELECT DISTINCT item, least(10, len(w)) AS l,
+                      unnest(list_transform(range(1, len(w) - least(10, len(w)) + 2),
+                                            lambda i: list_slice(w, i, i + least(10, len(w)) - 1))) AS win
+               FROM b WHERE len(w) > 0),
+        lens AS (SELECT DISTINCT l FROM bw),
+        pos AS (SELECT r, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, lens WHERE len(w) >= l),
+        hits AS (SELECT r, i, pos.l, item FROM pos JOIN bw ON pos.l = bw.l AND list_slice(w, i, i + pos.l - 1) = win),
+        words AS (SELECT r, count(DISTINCT p) AS n_hit
+                  FROM (SELECT r, unnest(range(i, i + l)) AS p FROM hits) GROUP BY r),
+        items AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids
+                  FROM hits GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
 }

@@ -9,9 +9,31 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rawfold.llm.mixing import mix_sources
+    return mix_sources(_t(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rawfold.llm.exact_dedup import exact_dedup
     return exact_dedup(_t(spark, sf_dir, "documents"), stays="largest")
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup,)}
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rawfold.llm.decontaminate import contamination_digest, find_contamination
+    return contamination_digest(find_contamination(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark")))
+
+
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rawfold.llm.minhash import near_dup
+    return near_dup(_t(spark, sf_dir, "documents"), k=4, percent=80)
+
+
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from rawfold.llm.token_store import token_store
+    return token_store(_t(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op4_exact_dedup, op6_decontaminate, op9_minhash, op10_token_store)}
