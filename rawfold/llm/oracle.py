@@ -29,4 +29,36 @@ SQL = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+    # the same windows: budget 1024, history 256, 4 tokens a turn
+    "op2_chat_format": r"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations
+                   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+                   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        o AS (SELECT *, len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) + 4 AS tok,
+                     -- markers, then one more character for each escaped one
+                     14 + length(body) + length(role)
+                     + 3 * length(body) - length(replace(body, '\', '')) - length(replace(body, '#', '')) - length(replace(body, '</', '<'))
+                     + 4 * length(role) - length(replace(role, '\', '')) - length(replace(role, '#', '')) - length(replace(role, '</', '<'))
+                     - length(replace(role, ':', '')) AS chars,
+                     row_number() OVER w - 1 AS ord FROM t
+              WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, body)),
+        h AS (SELECT conv_id, role = 'system' AS sys, tok AS stok, chars AS schars FROM o WHERE ord = 0),
+        s AS (SELECT o.conv_id, ord, tok, chars, greatest(1024 - 256 - CASE WHEN sys THEN stok ELSE 0 END, 64) AS stride,
+                     coalesce(sum(tok) OVER (PARTITION BY o.conv_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                     AS start FROM o JOIN h ON o.conv_id IS NOT DISTINCT FROM h.conv_id WHERE NOT (sys AND ord = 0)),
+        win AS (SELECT *, 2 * (start // stride) + (start + tok > (start // stride + 1) * stride)::INT AS w FROM s),
+        ws AS (SELECT conv_id, w, min(start) AS first FROM win GROUP BY ALL),
+        again AS (SELECT win.conv_id, sum(chars) AS c FROM ws JOIN win ON ws.conv_id IS NOT DISTINCT FROM win.conv_id
+                  AND win.start < first AND win.start >= first - 256 GROUP BY ALL),
+        nw AS (SELECT conv_id, count(*) AS n FROM ws GROUP BY ALL),
+        c AS (SELECT conv_id, count(*) AS n_turns,
+                     sha256(string_agg(role || chr(10) || body || chr(10), '' ORDER BY ord)) AS turns_sha256,
+                     coalesce(sum(length(body)) FILTER (role = 'assistant'), 0) AS loss_chars,
+                     sha256(coalesce(string_agg(body, '' ORDER BY ord) FILTER (role = 'assistant'), '')) AS loss_sha256,
+                     sum(chars) AS chars FROM o GROUP BY ALL)
+        SELECT c.conv_id, n_turns, turns_sha256, loss_chars::BIGINT AS loss_chars, loss_sha256,
+               (c.chars + coalesce(again.c, 0) + CASE WHEN sys THEN schars * (coalesce(n, 1) - 1) ELSE 0 END)::BIGINT AS formatted_chars,
+               coalesce(n, 1)::BIGINT AS n_windows
+        FROM c LEFT JOIN again ON c.conv_id IS NOT DISTINCT FROM again.conv_id
+        LEFT JOIN nw ON c.conv_id IS NOT DISTINCT FROM nw.conv_id JOIN h ON c.conv_id IS NOT DISTINCT FROM h.conv_id""",
 }
