@@ -2,10 +2,11 @@
 
 Only DataFrame functions. The plan:
 
-1. hash -> (rows, id that stays): a partial aggregate, so a hash that holds a third of all rows
-   ships one row per map task;
-2. the rows join these sums on the hash (a sort-merge join whose large partitions AQE splits) and
-   are written once to the shared folder; only rows of groups of two and more keep their text;
+1. hash -> (rows, id that stays) for hashes of two rows and more: a partial aggregate, so a hash that
+   holds a third of all rows ships one row per map task. It is written to the shared folder, so that both sides
+   of the next join are plain shuffles, whose large partitions AQE splits. Groups grow with the documents, so
+   that join is a merge join at every size;
+2. the rows join these groups on the hash and are written once; only rows of groups keep their text;
 3. bytes are compared with the text of the row that stays. A group is dealt over
    ``ceil(rows / salt_rows)`` salts and its one reference text is repeated once per salt, so no task
    holds a large group;
@@ -44,9 +45,12 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), normalize(text_or_empty(text_col)).alias("norm"))
     rows = rows.withColumn("h", hash_fn(F.col("norm")))
 
-    groups = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), best("id").alias("keep"))
-    marked = (rows.withColumn("sha", F.sha2("norm", 256)).join(groups, "h")
-              .withColumn("norm", F.when(F.col("n") > 1, F.col("norm"))))
+    groups = materialize(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), best("id").alias("keep"))
+                         .filter("n > 1"), "exact-dedup-groups")
+    marked = (rows.withColumn("sha", F.sha2("norm", 256)).join(groups.hint("merge"), "h", "left")
+              .withColumn("norm", F.when(F.col("n") > 1, F.col("norm")))
+              .withColumn("keep", F.when(F.col("n") > 1, F.col("keep")).otherwise(F.col("id")))
+              .withColumn("n", F.coalesce("n", F.lit(1))))
     marked = materialize(marked, "exact-dedup")
 
     many = (marked.filter("n > 1")
@@ -63,17 +67,18 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                         F.when(~F.col("same"), F.col("norm")).alias("norm")))
     compared = materialize(compared, "exact-dedup-compared")
 
+    single = marked.filter("n = 1").select("id", "keep", "n", "sha")
+    same = compared.filter("same").select("id", "h", "keep", "n", "sha")
+
     # collisions: none in practice; grouped by the text itself, whatever their number
     other = compared.filter("not same")
-    regrouped = other.groupBy("h", "norm").agg(F.count(F.lit(1)).alias("n2"), best("id").alias("keep2"))
-    regrouped = checkpointed(regrouped)
-    lost = regrouped.groupBy("h").agg(F.sum("n2").alias("lost"))
-
-    single = marked.filter("n = 1").select("id", "keep", "n", "sha")
-    same = (compared.filter("same").join(lost, "h", "left")
-            .select("id", "keep", (F.col("n") - F.coalesce("lost", F.lit(0))).alias("n"), "sha"))
-    again = (other.drop("n", "keep").join(regrouped, ["h", "norm"])
-             .select("id", F.col("keep2").alias("keep"), F.col("n2").alias("n"), "sha"))
-    return single.unionByName(same).unionByName(again).select(
+    regrouped = checkpointed(other.groupBy("h", "norm").agg(F.count(F.lit(1)).alias("n2"), best("id").alias("keep2")))
+    if not regrouped.isEmpty():
+        lost = regrouped.groupBy("h").agg(F.sum("n2").alias("lost"))
+        same = same.join(lost, "h", "left").withColumn("n", F.col("n") - F.coalesce("lost", F.lit(0))).drop("lost")
+        again = (other.drop("n", "keep").join(regrouped, ["h", "norm"])
+                 .select("id", "h", F.col("keep2").alias("keep"), F.col("n2").alias("n"), "sha"))
+        same = same.unionByName(again)
+    return single.unionByName(same.drop("h")).select(
         F.col("id").alias(id_col), F.col("keep").alias("keep_id"), F.col("n").cast("long").alias("group_size"),
         F.col("id").eqNullSafe(F.col("keep")).alias("kept"), F.col("sha").alias("text_sha256"))
