@@ -9,14 +9,16 @@
    keeps its smallest value, and the rounds end when all bins are filled, so every coordinate is filled
    and coordinates agree with a probability of the Jaccard similarity, with the concentration of t
    independent draws.
-4. Bands of ``rows`` coordinates are keys. In every key's bucket each class is paired with the smallest
-   one only; pairs are verified on the full sets, and components are found by label propagation. A
-   bucket whose classes then lie in several components is not settled: its classes outside the bucket's
-   largest component are paired with all classes of other components there and verified too. So no link
-   between components is lost, and no bucket of n copies makes n * n pairs.
+4. Bands of ``rows`` coordinates are keys. Each class is paired with one hub of the buckets it is in; pairs are
+   verified on the full sets, and components are found by star contraction. A bucket whose classes then lie in
+   several components is not settled. For ``rounds`` rounds each class outside its bucket's largest component is
+   paired with one member of it; then what is still apart is compared, by a finer sketch, with all classes of
+   other components in the bucket, and the pairs that may be similar enough are verified too. So links between
+   components are found without making n * n pairs of a bucket of n copies.
 5. Verification is exact: full sets of both sides, ``100 * |A and B| >= percent * |A or B|``.
 
-A pair at exactly 0.8 shares none of the 64 bands of 8 with a probability below 1e-5.
+A pair at exactly 0.8 shares none of the 64 bands of 8 with a probability below 1e-5, and is ruled out by the finer
+sketch with one below 1e-5.
 
 Defined results: null and empty texts have ``n_shingles`` 0 and are their own component; rows that
 repeat an id are separate members (equal texts fall in one class anyway); a null id never names a component
@@ -32,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rawfold.llm.common import WordHashes, bounded_batches, checkpointed, materialize, space_words
 
@@ -115,8 +118,9 @@ def _members(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                 [b.column("id"), b.column("th"), pa.array(digests, pa.binary()), pa.array(n, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64()))], ["id", "th", "digest", "n", "bands"])
 
-    id_type = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {id_type}, th long, digest binary, n long, bands array<long>")
+    schema = T.StructType([docs.schema["id"], T.StructField("th", T.LongType()), T.StructField("digest", T.BinaryType()),
+                           T.StructField("n", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    return docs.mapInArrow(run, schema)
 
 
 def _full_sets(texts: DataFrame, k: int) -> DataFrame:
@@ -136,6 +140,50 @@ def _full_sets(texts: DataFrame, k: int) -> DataFrame:
     return texts.mapInArrow(run, "node long, shingles array<long>")
 
 
+FINE = 2048  # coordinates of the sketch that rules pairs out; two bits of each are kept
+
+
+def fine_bits(shingles: np.ndarray) -> np.ndarray:
+    """Two bits of each of ``FINE`` sketch coordinates, packed into 64-bit words."""
+    two = (fast_similarity_sketch(shingles, FINE) & np.uint64(3)).reshape(-1, 32)
+    return (two << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=1, dtype=np.uint64)
+
+
+def most_mismatches(percent: int) -> int:
+    """Mismatching coordinates that a pair of that similarity exceeds with a probability of 3e-6 (4.5 deviations):
+    two bits agree with a probability of (1 + 3 s) / 4."""
+    p = (1 + 3 * percent / 100) / 4
+    return int(FINE * (1 - p) + 4.5 * (FINE * p * (1 - p)) ** 0.5) + 1
+
+
+def _fine(texts: DataFrame, k: int) -> DataFrame:
+    """(node, digest, text) -> (node, f0, f1, ...) of the texts whose set has that digest."""
+    names = [f"f{i}" for i in range(FINE // 32)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            nodes, bits = [], []
+            for node, digest, text in zip(b.column("node"), b.column("digest"), b.column("text")):
+                s = shingle_set(text.as_py(), k, hashes)
+                if _digest(s) == digest.as_py():
+                    nodes.append(node.as_py())
+                    bits.append(fine_bits(s).view(np.int64))
+            rows = np.array(bits, np.int64).reshape(-1, len(names))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), *[pa.array(rows[:, i]) for i in range(len(names))]],
+                                             ["node", *names])
+
+    return texts.mapInArrow(run, "node long, " + ", ".join(f"{n} long" for n in names))
+
+
+def _texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, digest, text): a text of each class, found by the hash of the text and the id."""
+    carriers = classes.join(nodes, "node").select("node", "digest", F.col("carrier.th").alias("cth"),
+                                                  F.col("carrier.id").alias("cid"))
+    return (docs.join(carriers, (F.col("th") == F.col("cth")) & F.col("id").eqNullSafe(F.col("cid")))
+            .select("node", "digest", "text").dropDuplicates(["node", "text"]))
+
+
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Distinct pairs of classes (a, b) whose full sets are similar enough.
 
@@ -146,10 +194,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percen
              .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
     pairs = materialize(pairs, "near-dup-pairs")
     need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    carriers = classes.join(need, "node").select("node", "digest", F.col("carrier.th").alias("cth"),
-                                                 F.col("carrier.id").alias("cid"))
-    texts = (docs.join(carriers, (F.col("th") == F.col("cth")) & F.col("id").eqNullSafe(F.col("cid")))
-             .select("node", "digest", "text").dropDuplicates(["node", "text"]))
+    texts = _texts_of(need, classes, docs)
     sets = materialize(_full_sets(texts, k), "near-dup-sets")
     with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     both = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -158,6 +203,12 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percen
     return both.filter(common * 100 >= union * percent).select("a", "b")
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """Number and checksums of the edges, in one job: equal when a step has changed nothing."""
+    h = F.xxhash64("u", "v")
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(F.pmod(h, F.lit(1_000_003)))).first())
+
+
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node) and links (a, b) -> (node, comp): the smallest node of the connected component.
 
@@ -165,26 +216,26 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     ships one row per map task, and links shrink to one per node."""
     edges = checkpointed(links.filter("a != b").select(F.greatest("a", "b").alias("u"),
                                                        F.least("a", "b").alias("v")).distinct())
-    while True:
+    mark = _mark(edges)
+    while mark[0]:
         # large star: every larger neighbour is linked to the smallest of the neighbourhood
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")))
-        large = (both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .filter("u != v").distinct())
+        large = checkpointed(both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                             .filter("u != v").distinct())
         # small star: the smaller neighbours and the node itself are linked to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct())
-        small = checkpointed(small)
-        if small.count() == edges.count() and small.exceptAll(edges).isEmpty():
+        edges = checkpointed(large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                             .unionByName(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct())
+        was, mark = mark, _mark(edges)
+        if was == mark:
             break
-        edges = small
     return nodes.join(edges.select(F.col("u").alias("node"), F.col("v").alias("comp")), "node", "left").select(
         "node", F.coalesce("comp", "node").alias("comp"))
 
 
 def near_dup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
-             bands: int = 64, rows: int = 8) -> DataFrame:
+             bands: int = 64, rows: int = 8, rounds: int = 1) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
     bounded_batches(docs.sparkSession)
     docs = (docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -198,20 +249,40 @@ def near_dup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              F.first("n").alias("n"), F.first("bands").alias("bands"))
         .withColumn("node", F.monotonically_increasing_id()), "near-dup-classes")
     keys = classes.select("node", F.explode("bands").alias("key"))
-    # written first: the next join then has plain shuffles on both sides, which AQE can split
-    hubs = materialize(keys.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size"))
-                       .filter("size > 1").drop("size"), "near-dup-hubs")
-    buckets = materialize(keys.join(hubs, "key"), "near-dup-buckets")
-
-    tried = materialize(buckets.filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-                        .distinct(), "near-dup-tried")
-    links = materialize(verify(tried, classes, docs, k, percent), "near-dup-links")
+    # written first: the next joins then have plain shuffles on both sides, which AQE can split
+    shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "near-dup-shared")
+    buckets = materialize(keys.join(shared, "key"), "near-dup-buckets")
+    # the classes that meet most others lie in the middle of their neighbours: one of them is each bucket's hub
+    weight = materialize(buckets.groupBy("node").agg(F.sum("size").alias("w")), "near-dup-weights")
+    hubs = materialize(buckets.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", "node")).alias("hub")),
+                       "near-dup-hubs")
+
+    # first each class with the weightiest hub it meets, then ``rounds`` times one pair for each class that is still apart
+    # from its bucket's largest component, then all pairs across components of a bucket that may be similar enough
     nodes = classes.select("node")
-    comps = materialize(components(nodes, links), "near-dup-components")
-
-    more = materialize(_unsettled(buckets, comps).join(tried, ["a", "b"], "left_anti"), "near-dup-more")
-    if not more.isEmpty():
-        links = links.unionByName(verify(more, classes, docs, k, percent))
+    tried = links = None
+    comps = nodes.withColumn("comp", F.col("node"))
+    for attempt in range(rounds + 2):
+        if attempt == 0:
+            new = (buckets.select("key", "node").join(hubs, "key").groupBy("node").agg(F.max("hub").alias("hub"))
+                   .filter("hub.node != node")
+                   .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct())
+        elif attempt <= rounds:
+            new = _one_each(buckets, comps, attempt)
+        else:
+            new = _unsettled(buckets, comps, classes, docs, k, percent)
+        if new is None:
+            break
+        if tried is not None:
+            new = new.join(tried, ["a", "b"], "left_anti")
+        new = materialize(new, "near-dup-tried")
+        if new.isEmpty():
+            continue
+        tried = new if tried is None else tried.unionByName(new)
+        found = materialize(verify(new, classes, docs, k, percent), "near-dup-links")
+        if found.isEmpty():
+            continue
+        links = found if links is None else links.unionByName(found)
         comps = materialize(components(nodes, links), "near-dup-components")
 
     named = comps.join(classes, "node").select("comp", "digest", "least")
@@ -223,14 +294,70 @@ def near_dup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                       F.col("id").eqNullSafe(comp).alias("kept"))
 
 
-def _unsettled(buckets: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs (a < b) of a bucket that lie in different components: every class outside the bucket's largest
-    component with every class of another component there."""
-    b = buckets.join(comps, "node").select("key", "node", "comp")
+def _apart(buckets: DataFrame, comps: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Rows (key, node, comp, main) of buckets that hold several components: all of them, and those outside the
+    bucket's largest component. None if there are none."""
+    b = materialize(buckets.select("key", "node").join(comps, "node"), "near-dup-placed")
     sizes = b.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("parts"))
-    b = b.join(main.filter("parts > 1"), "key")
-    minor = b.filter("comp != main").select("key", F.col("node").alias("x"), F.col("comp").alias("cx"))
-    every = b.select("key", F.col("node").alias("y"), F.col("comp").alias("cy"))
-    return (minor.join(every, "key").filter("cx != cy")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    main = materialize(main.filter("parts > 1").drop("parts"), "near-dup-apart")
+    if main.isEmpty():
+        return None
+    b = materialize(b.join(main, "key"), "near-dup-open")
+    return b, b.filter("comp != main")
+
+
+def _one_each(buckets: DataFrame, comps: DataFrame, attempt: int) -> DataFrame | None:
+    """One pair (a < b) for each class outside its bucket's largest component: with the member of that component
+    whose hash, other for every attempt, is smallest; over its buckets the smallest of these."""
+    apart = _apart(buckets, comps)
+    if apart is None:
+        return None
+    every, minor = apart
+    chosen = (every.filter("comp = main").groupBy("key")
+              .agg(F.min(F.struct(F.xxhash64(F.lit(attempt), "node").alias("h"), F.col("node").alias("x"))).alias("pick")))
+    best = minor.join(chosen, "key").groupBy("node").agg(F.min("pick").alias("pick"))
+    return best.select(F.least("node", "pick.x").alias("a"), F.greatest("node", "pick.x").alias("b")).distinct()
+
+
+def _unsettled(buckets: DataFrame, comps: DataFrame, classes: DataFrame, docs: DataFrame, k: int,
+               percent: int) -> DataFrame | None:
+    """Pairs (a < b) that share a bucket, lie in different components and may be similar enough: every class outside
+    the bucket's largest component against every class of another component there.
+
+    The comparison is the join's condition, on two bits of each of 2,048 sketch coordinates, so pairs it rules out
+    are never rows; a pair is looked at in the smallest of the keys it shares only."""
+    apart = _apart(buckets, comps)
+    if apart is None:
+        return None
+    every, minor = apart
+    fine = materialize(_fine(_texts_of(every.select("node").distinct(), classes, docs), k), "near-dup-fine")
+    fine = fine.dropDuplicates(["node"]).join(classes.select("node", "bands"), "node")
+    names = [f"f{i}" for i in range(FINE // 32)]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def side(rows: DataFrame, tag: str) -> DataFrame:
+        return (rows.select("key", "node", "comp").join(fine, "node")
+                .toDF("node_" + tag, "key", "comp_" + tag, *[f"{n}_{tag}" for n in names], "bands_" + tag))
+
+    x, y = side(minor, "x").repartition(parts, "key"), side(every, "y").repartition(parts, "key")
+    wrong = F.lit(0)
+    for n in names:
+        v = F.col(n + "_x").bitwiseXOR(F.col(n + "_y"))
+        wrong = wrong + F.bit_count((v.bitwiseOR(F.shiftrightunsigned(v, 1))).bitwiseAND(F.lit(0x5555555555555555)))
+    both = x.join(y, (x["key"] == y["key"]) & (F.col("comp_x") != F.col("comp_y")) & (wrong <= most_mismatches(percent))
+                  & (F.array_min(F.array_intersect("bands_x", "bands_y")) == x["key"]))
+    return both.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+
+
+def drop_near_dups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The row with the smallest id of each component; the same columns.
+
+    Rows are told apart by id and a hash of all their columns, so of rows equal in both one stays."""
+    names = docs.columns
+    keyed = docs.withColumn("__key", F.struct(F.col(f"`{id_col}`").alias("id"),
+                                              F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("row")))
+    marked = near_dup(keyed.select("__key", F.col(f"`{text_col}`").alias("text")), id_col="__key", text_col="text",
+                      **options)
+    stay = marked.filter("kept").select("__key").distinct()
+    return keyed.join(stay, "__key", "left_semi").dropDuplicates(["__key"]).select(*[F.col(f"`{c}`") for c in names])
