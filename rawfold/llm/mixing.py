@@ -93,7 +93,7 @@ def solve_dual(hist: DataFrame, sources: DataFrame, cap: float, *, tol: float =
 
 def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: Sequence[float] = (5, 2, 1), cap: int = 3, offsets: int = 32,
-                bucket_rows: int = 4096) -> DataFrame:
+                bucket_rows: int = 256) -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target, rate, copies, taken``.
 
     ``weights`` go to the sources in code point order (null last), repeating. ``cap`` is a whole number.
