@@ -9,12 +9,16 @@ from __future__ import annotations
 
 import argparse
 
-from rawfold.config import Settings
+from rawfold.config import RATES_POLICIES, Settings
 from rawfold.plans.runner import run_all
 from rawfold.session import build_session
 from rawfold.sources.relations import CatalogSource, MappingSource
 
 
+def _pairs(items: list[str]) -> dict[str, str]:
+    return dict(x.split("=", 1) for x in items)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="rawfold", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
     p.add_argument("--out", required=True, help="staging root (one versioned folder per dataset)")
@@ -29,19 +33,33 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--no-timezone-conversion", action="store_true")
     p.add_argument("--no-currency-conversion", action="store_true")
     p.add_argument("--scope-by-source", action="store_true")
-    p.add_argument("--master", default=None, help="Spark master (default: the session's)")
+    p.add_argument("--master", default=None, help="Spark master (default: the one of spark-submit or the session)")
+    p.add_argument("--shared-schema", help="catalog schema of the exchange rates (default: that of the raw tables)")
+    p.add_argument("--shared-table", action="append", default=[], help="exchange-rate table as name=parquet_path (repeatable)")
+    p.add_argument("--pattern", action="append", default=[], help="dataset=pattern[,exclude pattern] (repeatable)")
+    p.add_argument("--lookback-ms", action="append", default=[], help="dataset=milliseconds (repeatable)")
+    p.add_argument("--partition-by", action="append", default=[], help="dataset=column (repeatable)")
+    p.add_argument("--rates-policy", choices=RATES_POLICIES, default="newest")
     a = p.parse_args(argv)
 
-    spark = build_session(a.master) if a.master else build_session("local[*]")
+    spark = build_session(a.master)
     enabled = {**{n: True for n in a.enable}, **{n: False for n in a.disable}}
     settings = Settings(to_timezone=a.to_timezone, timezone_conversion=not a.no_timezone_conversion,
                         currency_conversion=not a.no_currency_conversion, enabled=enabled,
-                        full_refresh=a.full_refresh, scope_by_source=a.scope_by_source)
+                        full_refresh=a.full_refresh, scope_by_source=a.scope_by_source, rates_policy=a.rates_policy,
+                        patterns={k: tuple((v + ",").split(",")[:2]) for k, v in _pairs(a.pattern).items()},
+                        lookback_ms={k: int(v) for k, v in _pairs(a.lookback_ms).items()},
+                        partition_by=_pairs(a.partition_by))
     if a.catalog_schema:
         source = CatalogSource(spark, a.catalog_schema)
     else:
-        source = MappingSource(spark, dict(t.split("=", 1) for t in a.table))
-    run_all(spark, source, a.out, settings, only=a.only).show(100, truncate=False)
+        source = MappingSource(spark, _pairs(a.table))
+    shared = None
+    if a.shared_schema:
+        shared = CatalogSource(spark, a.shared_schema)
+    elif a.shared_table:
+        shared = MappingSource(spark, _pairs(a.shared_table))
+    run_all(spark, source, a.out, settings, only=a.only, shared=shared).show(100, truncate=False)
 
 
 if __name__ == "__main__":

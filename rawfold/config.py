@@ -17,16 +17,22 @@ INTEGRATION_ID = "_daton_sourceversion_integration_id"
 LAST_UPDATED = "_last_updated"
 RUN_ID = "_run_id"
 
+RATES_POLICIES = ("newest", "fail", "keep")
+
 
 @dataclass(frozen=True)
 class Settings:
     """Knobs a user sets per run.
 
-    ``enabled`` overrides the per-dataset default switch (``{"ShopifyProducts": False}``).
-    ``broadcast_max_rows`` is the proven size bound under which a lookup side (FX rates,
-    merge keys) is broadcast; above it the join shuffles and AQE handles skew.
-    ``seq_strategy`` numbers ``_seq_id`` with ``"ranged"`` (no parent confined to one task) or
-    ``"window"`` (one window task per parent).
+    ``enabled`` overrides the per-dataset default switch (``{"ShopifyProducts": False}``), ``patterns`` its
+    relation patterns (``{"ShopifyOrders": ("%orders_v2", "%draft%")}``: pattern, exclude pattern), ``lookback_ms``
+    how far its incremental loads reach back (rates: ``fx_lookback_ms`` unless named here) and ``partition_by`` the
+    timestamp or date column its target is partitioned by, by day (otherwise by a hash of the rank key into
+    ``target_parts`` parts, fixed when the table is created).
+    ``rates_policy`` says what a run does with a rate key that two relations hold: "newest" load wins, "fail", or
+    "keep" both (each then doubles the fact rows it meets).
+    ``seq_strategy`` numbers ``_seq_id`` with ``"split"`` (a window; parents of more than ``seq_large`` rows over
+    ranges), ``"window"`` or ``"ranged"`` alone.
     ``scope_by_source`` ranks versions per (key, source relation): equal ids from two stores no longer
     compete (by default they do, as in the source project).
     """
@@ -37,14 +43,21 @@ class Settings:
     shopify_v2: bool = True
     fx_lookback_ms: int = DEFAULT_FX_LOOKBACK_MS
     run_id: str = field(default_factory=lambda: os.environ.get("RAWFOLD_RUN_ID", DEFAULT_RUN_ID))
-    raw_database: str = "insightsprod"
-    raw_schema: str = "raw"
-    shared_schema: str = "pulse_shared_prod"
     enabled: dict = field(default_factory=dict)
-    broadcast_max_rows: int = 2_000_000
+    patterns: dict = field(default_factory=dict)
+    lookback_ms: dict = field(default_factory=dict)
+    partition_by: dict = field(default_factory=dict)
+    target_parts: int = 32
+    retain_versions: int = 2
+    rates_policy: str = "newest"
     full_refresh: bool = False
-    seq_strategy: str = "ranged"
+    seq_strategy: str = "split"
+    seq_large: int = 1_000_000
     scope_by_source: bool = False
 
+    def __post_init__(self):
+        if self.rates_policy not in RATES_POLICIES:
+            raise ValueError(f"rates_policy is one of {RATES_POLICIES}, not {self.rates_policy!r}")
+
     def with_(self, **kw) -> "Settings":
         return replace(self, **kw)

@@ -51,12 +51,6 @@ def typed_default(col, default, dtype: T.DataType | None = None) -> Column:
     return F.coalesce(c, F.lit(default))
 
 
-def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
-    """Replace nulls in top-level key columns by typed defaults (``{"id": 0, "sku": "N/A"}``)."""
-    types = {f.name.lower(): f.dataType for f in df.schema.fields}
-    return df.withColumns({k: typed_default(k, v, types.get(k.lower())) for k, v in defaults.items()})
-
-
 def to_numeric(col) -> Column:
     """``cast(x as numeric)``: decimal(38, 9)."""
     return _c(col).cast(NUMERIC)

@@ -8,10 +8,10 @@ returns NULL (instead of failing) when a name has fewer parts than expected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rawfold.config import INTEGRATION_ID, LAST_UPDATED, RUN_ID, SOURCE_RELATION, Settings
+from rawfold.config import INTEGRATION_ID, SOURCE_RELATION
 
 
 def _c(col) -> Column:
@@ -54,8 +54,3 @@ def lineage_columns(style: str = "shopify") -> dict[str, Column]:
     if style == "none":
         return {}
     return {INTEGRATION_ID: integration_id(platform=style)}
-
-
-def audit_columns(df: DataFrame, settings: Settings) -> DataFrame:
-    """Append ``_last_updated`` (job time) and ``_run_id``."""
-    return df.withColumns({LAST_UPDATED: F.current_timestamp(), RUN_ID: F.lit(settings.run_id)})

@@ -3,27 +3,26 @@
 Two semantics exist in the staging recipe:
 
 * ``ties=True``  - ``dense_rank() ... = 1``: every row of the newest batch of a key survives.
-* ``ties=False`` - ``row_number() ... = 1``: exactly one row per key; tie-breaker columns make the
-  choice repeatable.
+* ``ties=False`` - ``row_number() ... = 1``: exactly one row per key; tie-breaker columns, then a hash of all
+  columns, make the choice repeatable.
 
-Default plans are built to survive a hot key (one key holding a large share of all rows):
+Plans that survive a hot key (one key holding a large share of all rows):
 
 * ties=True: ``max(order)`` per key is a partial (map-side) aggregate, so a hot key ships one row
-  per map task; the rows are then kept with a null-safe LEFT SEMI join on (key, order). When the
-  per-key maxima are small AQE turns that join into a broadcast at runtime; otherwise it is a
-  sort-merge join whose skewed partitions AQE splits. No task ever needs all rows of one key.
-* ties=False: the winning row is the ``max`` of a struct (order, tie-breakers, payload), again a
-  partial aggregate: one shuffled row per key per map task and no join at all.
-
-``strategy="window"`` gives the textbook ``Window`` + filter plan (Catalyst adds a map-side
-``WindowGroupLimit``); it is kept for comparison and for payloads that cannot be ordered (maps).
+  per map task; the rows then meet their key's maximum in an INNER join on (key, order). Maxima are
+  unique per key, so rows cannot multiply, and unlike a semi-join the optimizer does not copy it into every arm
+  of the union below: N relations are scanned 2N times. AQE broadcasts small maxima and splits
+  skewed partitions, so no task ever needs all rows of one key.
+* ties=False: ``row_number`` in a window; Catalyst puts a ``WindowGroupLimit`` before the shuffle, so a hot key
+  ships one row per map task.
+
+``strategy="window"`` gives the textbook ``dense_rank`` window + filter plan for ``ties=True`` too, for comparison.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +42,21 @@ def _orderable(dt: T.DataType) -> bool:
     return True
 
 
+#: columns that differ between runs over the same rows, and the merge's own
+_VOLATILE = ("_last_updated", "_run_id")
+
+
+def remaining_order(df: DataFrame) -> list[Column]:
+    """Every lasting column that can be ordered: the last tie-break, so that equal rows alone are interchangeable."""
+    return [F.col(f"`{f.name}`") for f in df.schema.fields
+            if _orderable(f.dataType) and f.name not in _VOLATILE and not f.name.startswith("__")]
+
+
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of the same columns: a last tie-break that can be stored."""
+    return F.xxhash64(*remaining_order(df))
+
+
 def keep_latest(df: DataFrame, keys: Sequence, order: Sequence, *, ties: bool = True,
                 tiebreak: Sequence = (), strategy: str = "auto") -> DataFrame:
     """Rows ranked first per ``keys`` by ``order`` (all descending, NULLs last).
@@ -53,88 +67,92 @@ def keep_latest(df: DataFrame, keys: Sequence, order: Sequence, *, ties: bool =
     keys, order, tiebreak = list(keys), list(order), list(tiebreak)
     if not order:
         raise ValueError("keep_latest needs at least one order column")
-    cols = df.columns
-    if strategy == "auto":
-        strategy = "aggregate"
-        if not ties and not all(_orderable(f.dataType) for f in df.schema.fields):
-            strategy = "window"
-    if strategy == "window":
+    if strategy == "window" or not ties:
         return _window(df, keys, order, ties, tiebreak)
 
+    cols = df.columns
     kn = [f"__lk{i}" for i in range(len(keys))]
     on = [f"__lo{i}" for i in range(len(order))]
-    tn = [f"__lt{i}" for i in range(len(tiebreak))]
-    d = df.withColumns({**{n: _col(k) for n, k in zip(kn, keys)},
-                        **{n: _col(o) for n, o in zip(on, order)},
-                        **{n: _col(t) for n, t in zip(tn, tiebreak)}})
-    if ties:
-        ostruct = F.struct(*on) if len(on) > 1 else F.col(on[0])
-        maxes = (d.groupBy(*kn).agg(F.max(ostruct).alias("__lmax"))
-                 .select(*[F.col(n).alias(n + "m") for n in kn], "__lmax"))
-        probe = F.struct(*[d[o] for o in on]) if len(on) > 1 else d[on[0]]
-        nullable = {f.name: f.nullable for f in d.schema.fields}
-
-        def same(left, right, name):  # NULL keys form one group; plain equality when none can occur
-            return left.eqNullSafe(right) if nullable.get(name, True) else left == right
-
-        cond = [same(d[n], maxes[n + "m"], n) for n in kn]
-        cond.append(same(probe, maxes["__lmax"], on[0] if len(on) == 1 else "__struct"))
-        return d.join(maxes, cond, "left_semi").select(*[F.col(f"`{c}`") for c in cols])
-
-    payload = F.struct(*[F.col(f"`{c}`").alias(f"__lp{i}") for i, c in enumerate(cols)])
-    best = F.max(F.struct(*[F.col(n) for n in on + tn], payload.alias("__lrow")))
-    agg = d.groupBy(*kn).agg(best.alias("__lbest"))
-    return agg.select(*[F.col(f"__lbest.__lrow.__lp{i}").alias(c) for i, c in enumerate(cols)])
+    d = df.withColumns({**{n: _col(k) for n, k in zip(kn, keys)}, **{n: _col(o) for n, o in zip(on, order)}})
+    ostruct = F.struct(*on) if len(on) > 1 else F.col(on[0])
+    maxes = (d.groupBy(*kn).agg(F.max(ostruct).alias("__lmax"))
+             .select(*[F.col(n).alias(n + "m") for n in kn], "__lmax"))
+    probe = F.struct(*[d[o] for o in on]) if len(on) > 1 else d[on[0]]
+    nullable = {f.name: f.nullable for f in d.schema.fields}
+
+    def same(left, right, name):  # NULL keys form one group; plain equality when none can occur
+        return left.eqNullSafe(right) if nullable.get(name, True) else left == right
+
+    cond = [same(d[n], maxes[n + "m"], n) for n in kn]
+    cond.append(same(probe, maxes["__lmax"], on[0] if len(on) == 1 else "__struct"))
+    return d.join(maxes, cond, "inner").select(*[F.col(f"`{c}`") for c in cols])
 
 
 def _window(df: DataFrame, keys, order, ties, tiebreak) -> DataFrame:
-    w = Window.partitionBy(*[_col(k) for k in keys]).orderBy(
-        *[_col(o).desc_nulls_last() for o in list(order) + ([] if ties else list(tiebreak))])
+    by = [_col(o) for o in order] + ([] if ties else [*[_col(t) for t in tiebreak], row_hash(df)])
+    w = Window.partitionBy(*[_col(k) for k in keys]).orderBy(*[c.desc_nulls_last() for c in by])
     fn = F.dense_rank() if ties else F.row_number()
     return df.withColumn("__lrank", fn.over(w)).filter(F.col("__lrank") == 1).drop("__lrank")
 
 
-def seq_id(df: DataFrame, keys: Sequence, order: Sequence, tiebreak: Sequence = (),
-           name: str = "_seq_id", strategy: str = "window") -> DataFrame:
-    """``row_number() over (partition by keys order by order desc, tiebreak asc)`` as ``name``.
+def seq_id(df: DataFrame, keys: Sequence, order: Sequence, tiebreak: Sequence = (), name: str = "_seq_id",
+           strategy: str = "split", large: int = 1_000_000) -> DataFrame:
+    """``row_number() over (partition by keys order by order desc, tiebreak asc, every other column)`` as ``name``.
 
-    Tie-breakers make the numbering repeatable (after keep-latest every row of a parent shares
-    one batch, so the order column alone does not decide it).
+    After keep-latest every row of a parent shares one batch, so the order column alone does not decide the
+    numbering; ordering by all remaining columns last makes it repeatable (only equal rows are interchangeable).
 
-    ``strategy="ranged"`` numbers rows without putting a parent's rows into one task: rows are
-    range-partitioned on (keys, order, tiebreak) (sampled bounds split a hot parent over several
-    tasks), sorted, and checkpointed to the shared folder so partition ids and positions are fixed;
-    each row's number is the count of its parent's rows in earlier partitions (a running sum over
-    per-(parent, partition) counts, at most one row per partition) plus its position in its own
-    partition. Same numbers as the window, exactly.
+    ``strategy="split"`` uses the ordinary window for every parent of at most ``large`` rows, and gives the rows of a
+    larger one out over range partitions (see ``_ranged``), so that no task holds it alone. Parents are counted by a
+    partial aggregate; both ways give the same numbers. ``"window"`` and ``"ranged"`` force one of them.
     """
-    if strategy == "window":
-        w = Window.partitionBy(*[_col(k) for k in keys]).orderBy(
-            *[_col(o).desc_nulls_last() for o in order], *[_col(t).asc_nulls_first() for t in tiebreak])
-        return df.withColumn(name, F.row_number().over(w))
-    if strategy != "ranged":
+    if strategy not in ("split", "window", "ranged"):
         raise ValueError(f"unknown seq_id strategy {strategy!r}")
+    if strategy == "window":
+        return _numbered(df, keys, order, tiebreak, name)
+    if strategy == "ranged":
+        return _ranged(df, keys, order, tiebreak, name)
+    kn = [f"__sk{i}" for i in range(len(keys))]
+    d = df.withColumns({n: _col(k) for n, k in zip(kn, keys)})
+    from rawfold.session import shared_dir
+    shared_dir(df.sparkSession)
+    big = (d.groupBy(*kn).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > large)
+           .select(*[F.col(n).alias(n + "b") for n in kn])).checkpoint(eager=True)
+    if big.isEmpty():
+        return _numbered(df, keys, order, tiebreak, name)
+    cond = [d[n].eqNullSafe(big[n + "b"]) for n in kn]
+    small = d.join(big, cond, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    rest = d.join(big, cond, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+    return _numbered(small, keys, order, tiebreak, name).unionByName(_ranged(rest, keys, order, tiebreak, name))
+
+
+def _sort_columns(df: DataFrame, keys, order, tiebreak) -> list[Column]:
+    return ([_col(o).desc_nulls_last() for o in order] + [_col(t).asc_nulls_first() for t in tiebreak]
+            + [c.asc_nulls_first() for c in remaining_order(df)])
+
+
+def _numbered(df: DataFrame, keys, order, tiebreak, name) -> DataFrame:
+    w = Window.partitionBy(*[_col(k) for k in keys]).orderBy(*_sort_columns(df, keys, order, tiebreak))
+    return df.withColumn(name, F.row_number().over(w))
+
+
+def _ranged(df: DataFrame, keys, order, tiebreak, name) -> DataFrame:
+    """The same numbers without putting a parent's rows into one task.
+
+    Rows are range-partitioned on (keys, order, tiebreak, all other columns) (sampled bounds split a large parent over
+    several tasks), sorted, and checkpointed to the shared folder so that partition ids and positions are fixed. A row's
+    number is its position in its own partition plus its parent's rows in earlier ones."""
     from rawfold.session import shared_dir
     shared_dir(df.sparkSession)
     cols = df.columns
     kn = [f"__sk{i}" for i in range(len(keys))]
-    on = [f"__so{i}" for i in range(len(order))]
-    tn = [f"__st{i}" for i in range(len(tiebreak))]
-    d = df.withColumns({**{n: _col(k) for n, k in zip(kn, keys)}, **{n: _col(o) for n, o in zip(on, order)},
-                        **{n: _col(t) for n, t in zip(tn, tiebreak)}})
-    sort = ([F.col(k).asc_nulls_first() for k in kn] + [F.col(o).desc_nulls_last() for o in on]
-            + [F.col(t).asc_nulls_first() for t in tn])
+    d = df.withColumns({n: _col(k) for n, k in zip(kn, keys)})
+    sort = [F.col(k).asc_nulls_first() for k in kn] + _sort_columns(df, keys, order, tiebreak)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # the range bounds are sampled from the input and the checkpoint reads it again: keep the input
-    # cached for those two jobs only (recomputable from lineage if an executor is lost)
-    src = d.persist(StorageLevel.MEMORY_AND_DISK)
-    r = (src.repartitionByRange(parts, *sort).sortWithinPartitions(*sort)
-            .withColumns({"__spid": F.spark_partition_id(), "__spos": F.monotonically_increasing_id()})
-            .withColumn("__skey", F.struct(*kn))
-            .checkpoint(eager=True))
-    src.unpersist()
-    firsts = r.groupBy("__skey", "__spid").agg(F.min("__spos").alias("__sfirst"),
-                                               F.count(F.lit(1)).alias("__scnt"))
+    r = (d.repartitionByRange(parts, *sort).sortWithinPartitions(*sort)
+         .withColumns({"__spid": F.spark_partition_id(), "__spos": F.monotonically_increasing_id()})
+         .withColumn("__skey", F.struct(*kn)).drop(*kn).checkpoint(eager=True))
+    firsts = r.groupBy("__skey", "__spid").agg(F.min("__spos").alias("__sfirst"), F.count(F.lit(1)).alias("__scnt"))
     before = Window.partitionBy("__skey").orderBy("__spid").rowsBetween(Window.unboundedPreceding, -1)
     offs = firsts.withColumn("__soff", F.coalesce(F.sum("__scnt").over(before), F.lit(0))).drop("__scnt")
     out = r.join(offs, ["__skey", "__spid"])

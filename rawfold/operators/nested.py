@@ -44,7 +44,7 @@ def unnest(df: DataFrame, path: str, alias: str | None = None) -> DataFrame:
     alias = _existing(df, alias or path.split(".")[-1])
     dt = resolve_type(df, path)
     if dt is None:
-        return df.withColumn(alias, F.lit(None))
+        return df.withColumn(alias, F.lit(None).cast(T.StringType()))
     c = F.col(path)
     if isinstance(dt, T.ArrayType):
         return df.withColumn(alias, F.explode_outer(c))
@@ -91,10 +91,10 @@ def struct_star(df: DataFrame, col: str, exclude: Iterable[str] = (), prefix: st
 
 
 def prefixed(df: DataFrame, col: str, fields: Sequence[str], prefix: str | None = None) -> list[tuple[str, Column]]:
-    """``col.f AS col_f`` for each field; a field the raw schema lacks becomes NULL."""
+    """``col.f AS col_f`` for each field; a field the raw schema lacks becomes a NULL string."""
     p = f"{col.split('.')[-1]}_" if prefix is None else prefix
-    return [(p + f, F.col(f"{col}.`{f}`") if resolve_type(df, f"{col}.{f}") is not None else F.lit(None))
-            for f in fields]
+    return [(p + f, F.col(f"{col}.`{f}`") if resolve_type(df, f"{col}.{f}") is not None
+             else F.lit(None).cast(T.StringType())) for f in fields]
 
 
 def drop_nested_fields(df: DataFrame, column: str, fields: Iterable[str]) -> DataFrame:

@@ -24,10 +24,10 @@ from rawfold.functions.convert import NUMERIC, to_wallclock, typed_default
 from rawfold.functions.lineage import brand as brand_expr
 from rawfold.functions.lineage import lineage_columns
 from rawfold.operators.fx import FX_CURRENCY, FX_RATE, fx_left_join
-from rawfold.operators.latest import keep_latest, seq_id
+from rawfold.operators.latest import keep_latest, row_hash, seq_id
 from rawfold.operators.nested import prefixed, struct_star, unnest_chain
 from rawfold.plans.spec import Col, DatasetSpec, Key, Pick, SStar, Star, Tz
-from rawfold.sources.incremental import watermark_filter
+from rawfold.sources.incremental import RANK_KEY, RANK_ORDER, watermark_filter
 from rawfold.sources.relations import union_relations
 
 DATON = (USER_ID, BATCH_RUNTIME, BATCH_ID)
@@ -91,37 +91,78 @@ def projection(f: DataFrame, spec: DatasetSpec, union_cols: Sequence[str],
     return out
 
 
+def tiebreak_of(spec: DatasetSpec) -> tuple[str, ...]:
+    """row_number picks one row: without a spec tie-breaker, batch id then relation make it repeatable."""
+    lt = spec.latest
+    return lt.tiebreak if (lt is None or lt.ties or lt.tiebreak) else (BATCH_ID, SOURCE_RELATION)
+
+
+def rank_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str], tiebreak: Sequence[str], ties: bool) -> dict[str, Column]:
+    """Rank key (JSON text of its values) and rank order of every row, for later merges."""
+    key = F.to_json(F.struct(*[_expr(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)]))
+    by = [_expr(o).alias(f"o{i}") for i, o in enumerate(order)]
+    if not ties:
+        by += [_expr(t).alias(f"t{i}") for i, t in enumerate(tiebreak)] + [row_hash(df).alias("h")]
+    return {RANK_KEY: key, RANK_ORDER: F.struct(*by)}
+
+
+def parents(spec: DatasetSpec, relations, settings: Settings, *, watermark: int | None = None,
+            lookback_ms: int = 0) -> DataFrame:
+    """Union of the relations, reduced to the newest parents where the spec ranks parents (all raw columns)."""
+    where = None if watermark is None else watermark_filter(watermark, lookback_ms)
+    a = union_relations(relations, where=where)
+    return _latest(a, spec, settings) if spec.latest and spec.latest.stage == "parent" else a
+
+
+def rank_keys(spec: DatasetSpec, settings: Settings) -> tuple[str, ...]:
+    return tuple(spec.latest.keys) + ((SOURCE_RELATION,) if settings.scope_by_source else ())
+
+
+def _latest(df: DataFrame, spec: DatasetSpec, settings: Settings, strategy: str = "auto") -> DataFrame:
+    lt = spec.latest
+    return keep_latest(df, [_expr(k) for k in rank_keys(spec, settings)], [_expr(o) for o in lt.order], ties=lt.ties,
+                       tiebreak=[_expr(t) for t in tiebreak_of(spec)], strategy=strategy)
+
+
 def build(spec: DatasetSpec, relations, settings: Settings, *, fx: DataFrame | None = None,
-          fx_rows: int | None = None, watermark: int | None = None, lookback_ms: int = 0,
-          include_audit: bool = True, latest_strategy: str = "auto", seq_strategy: str | None = None) -> DataFrame:
-    """Plan of one dataset over its raw relations (full load when ``watermark`` is None)."""
+          watermark: int | None = None, lookback_ms: int = 0, include_audit: bool = True,
+          latest_strategy: str = "auto", seq_strategy: str | None = None, carry_rank: bool = False,
+          staged: DataFrame | None = None) -> DataFrame:
+    """Plan of one dataset over its raw relations (full load when ``watermark`` is None).
+
+    ``carry_rank`` adds the rank key and order of every row (hidden columns for later merges). ``staged`` is the result of
+    ``parents`` for the same relations and rank, written once for several datasets. A dataset that numbers its rows
+    with ``seq_strategy`` "split" runs one job here, which counts its parents; nothing else does.
+    """
     if spec.kind == "per_arm_rates":
         return build_rates(spec, relations, settings, watermark=watermark, lookback_ms=lookback_ms,
-                           include_audit=include_audit)
+                           include_audit=include_audit, carry_rank=carry_rank)
     where = None if watermark is None else watermark_filter(watermark, lookback_ms)
-    a = union_relations(relations, exclude=spec.union_exclude, where=where)
-    union_cols = a.columns
     lt = spec.latest
+    if staged is None:
+        a = union_relations(relations, exclude=spec.union_exclude, where=where)
+    else:
+        drop = {e.lower() for e in spec.union_exclude if "." not in e}
+        a = staged.select(*[F.col(f"`{c}`") for c in staged.columns if c.lower() not in drop])
+    union_cols = a.columns
 
-    # row_number picks one row: without a spec tie-breaker, batch id then relation make it repeatable
-    tiebreak = lt.tiebreak if (lt is None or lt.ties or lt.tiebreak) else (BATCH_ID, SOURCE_RELATION)
-
-    def latest(df, keys):
-        keys = tuple(keys) + ((SOURCE_RELATION,) if settings.scope_by_source else ())
-        return keep_latest(df, [_expr(k) for k in keys], [_expr(o) for o in lt.order], ties=lt.ties,
-                           tiebreak=[_expr(t) for t in tiebreak], strategy=latest_strategy)
+    def ranked(df: DataFrame, done: bool = False) -> DataFrame:
+        out = df if done else _latest(df, spec, settings, latest_strategy)
+        if carry_rank:
+            out = out.withColumns(rank_columns(df, rank_keys(spec, settings), lt.order, tiebreak_of(spec), lt.ties))
+        return out
 
     if lt and lt.stage == "parent":
-        a = latest(a, lt.keys)
+        a = ranked(a, done=staged is not None)
     f = unnest_chain(a, spec.unnest)
     if spec.where:
         f = f.filter(_expr(spec.where))
     if lt and lt.stage == "rows":
-        f = latest(f, lt.keys)
+        f = ranked(f)
 
     cols = projection(f, spec, union_cols, settings)
     taken = {n.lower() for n, _ in cols}
-    hidden: list[Column] = []
+    hidden: list[Column] = [F.col(c) for c in (RANK_KEY, RANK_ORDER) if c in f.columns]
     if spec.fx is not None and spec.fx.on == "raw":
         hidden += [_expr(spec.fx.date).alias(HIDDEN_FX_DATE), _expr(spec.fx.currency).alias(HIDDEN_FX_CUR)]
     carry = [F.col(c) for c in (SOURCE_RELATION, *DATON) if c in f.columns and c.lower() not in taken]
@@ -131,34 +172,41 @@ def build(spec: DatasetSpec, relations, settings: Settings, *, fx: DataFrame | N
             out = out.withColumn(d, F.lit(None).cast("long" if d != USER_ID else "string"))
 
     if lt and lt.stage == "output" and not lt.after_fx:
-        out = latest(out, lt.keys)
+        out = ranked(out)
     out = _post(out, spec)
     if spec.fx is not None:
         if spec.fx.on == "output":
             out = out.withColumns({HIDDEN_FX_DATE: _expr(spec.fx.date), HIDDEN_FX_CUR: _expr(spec.fx.currency)})
-        joined = fx_left_join(out, fx, HIDDEN_FX_DATE, HIDDEN_FX_CUR, settings, fx_rows=fx_rows)
+        joined = fx_left_join(out, fx, HIDDEN_FX_DATE, HIDDEN_FX_CUR, settings)
         if not spec.fx.columns:
             joined = joined.drop(FX_RATE, FX_CURRENCY)
         out = joined.drop(HIDDEN_FX_DATE, HIDDEN_FX_CUR)
     if lt and lt.stage == "output" and lt.after_fx:
-        out = latest(out, lt.keys)
+        out = ranked(out)
 
     front = [brand_expr().alias("brand")] if spec.brand else []
-    body = [c for c in out.columns if c not in (SOURCE_RELATION, *DATON, FX_RATE, FX_CURRENCY)]
+    own = (SOURCE_RELATION, *DATON, FX_RATE, FX_CURRENCY, RANK_KEY, RANK_ORDER)
+    body = [c for c in out.columns if c not in own]
     fxc = [c for c in (FX_RATE, FX_CURRENCY) if c in out.columns]
     tail = [F.col(SOURCE_RELATION), *[F.col(d) for d in DATON]]
     lin = [v.alias(k) for k, v in lineage_columns(spec.lineage).items()]
-    res = out.select(*front, *[F.col(f"`{c}`") for c in body], *[F.col(c) for c in fxc], *tail, *lin)
+    rank = [F.col(c) for c in (RANK_KEY, RANK_ORDER) if c in out.columns]
+    res = out.select(*front, *[F.col(f"`{c}`") for c in body], *[F.col(c) for c in fxc], *tail, *lin, *rank)
     if spec.constant_row_num:
         res = res.withColumn("row_num", F.lit(1))
     if include_audit:
         res = res.withColumns({LAST_UPDATED: F.current_timestamp(), RUN_ID: F.lit(settings.run_id)})
-    if spec.seq_by:
-        res = seq_id(res, [spec.seq_by], [BATCH_RUNTIME], tiebreak=spec.seq_tiebreak,
-                     strategy=seq_strategy or settings.seq_strategy)
+    if spec.seq_by and seq_strategy != "later":
+        res = number(res, spec, settings, seq_strategy)
     return res
 
 
+def number(df: DataFrame, spec: DatasetSpec, settings: Settings, strategy: str | None = None) -> DataFrame:
+    """``_seq_id`` of the spec over output rows."""
+    return seq_id(df, [spec.seq_by], [BATCH_RUNTIME], tiebreak=spec.seq_tiebreak,
+                  strategy=strategy or settings.seq_strategy, large=settings.seq_large)
+
+
 def _post(out: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Steps written outside the ranked derived table: a second unnest and re-keyed columns."""
     steps = spec.extra.get("post_unnest", ())
@@ -176,14 +224,16 @@ def _post(out: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 
 def build_rates(spec: DatasetSpec, relations, settings: Settings, *, watermark: int | None = None,
-                lookback_ms: int = 0, include_audit: bool = True) -> DataFrame:
+                lookback_ms: int = 0, include_audit: bool = True, carry_rank: bool = False) -> DataFrame:
     """Exchange rates: per relation, keep the newest row per (date, from, to); then UNION ALL.
 
-    The dedup is inside each arm, so the same key from two relations survives twice.
+    The dedup is inside each arm, so the same key from two relations survives twice (``Settings.rates_policy`` decides
+    what a run makes of that). Their rank key holds the relation unless the newest load of all relations wins.
     """
+    keys = ("date", "from_currency_code", "to_currency_code")
     arms = []
     for r in relations:
-        df = r.load() if hasattr(r, "load") else r[1]
+        name, df = (r.name, r.load()) if hasattr(r, "load") else r
         if watermark is not None:
             df = df.filter(watermark_filter(watermark, lookback_ms))
         cols = {c.lower() for c in df.columns}
@@ -192,12 +242,16 @@ def build_rates(spec: DatasetSpec, relations, settings: Settings, *, watermark:
             value = F.coalesce(F.col("value"), F.col("value_bn").cast(NUMERIC))
         arm = df.select(F.col("date"), F.col("from_currency_code"), F.col("to_currency_code"),
                         value.alias("value"), *[F.col(d) for d in DATON])
-        arm = keep_latest(arm, ["date", "from_currency_code", "to_currency_code"], [BATCH_RUNTIME],
-                          ties=False, tiebreak=[BATCH_ID])
+        arm = keep_latest(arm, list(keys), [BATCH_RUNTIME], ties=False, tiebreak=[BATCH_ID])
+        if carry_rank:
+            own = () if settings.rates_policy == "newest" else (f"'{name}'",)
+            arm = arm.withColumns(rank_columns(arm, (*keys, *own), (BATCH_RUNTIME,), (BATCH_ID,), ties=False))
         arms.append(arm)
     out = arms[0]
     for a in arms[1:]:
         out = out.unionByName(a)
+    if carry_rank and settings.rates_policy == "newest":
+        out = keep_latest(out, [RANK_KEY], [RANK_ORDER], ties=False)
     if include_audit:
         out = out.withColumns({LAST_UPDATED: F.current_timestamp(), RUN_ID: F.lit(settings.run_id)})
     return out

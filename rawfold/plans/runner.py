@@ -1,43 +1,161 @@
 """Run the enabled datasets: rates first (every rate join reads them), then the rest.
 
-Per dataset: discover relations -> read the current version -> watermark (one small job) ->
+Per dataset: discover relations -> read the current manifest -> watermark (one small job) ->
 build the plan -> write the updates to the shared folder (cuts lineage; a lost executor re-runs
-only the write stage) -> merge by key -> write a new version -> switch the pointer -> audit row.
+only the write stage) -> find the parts they touch -> merge by rank -> write the touched parts -> next
+manifest -> checks -> audit row. A dataset that fails is recorded with its error, the datasets that
+need it are skipped, the others run, and the run raises at the end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rawfold.config import Settings
+from rawfold.operators.fx import MissingRates
 from rawfold.operators.quality import check_not_null, check_unique, run_record, store_failures
-from rawfold.plans.builder import build
+from rawfold.plans.builder import build, number, parents, rank_keys, tiebreak_of
 from rawfold.plans.specs import SPECS, DatasetSpec, is_enabled, merge_keys
 from rawfold.session import pin_engine_conf, scratch_path
-from rawfold.sources.incremental import commit_version, high_watermark, merge_by_key, read_current
+from rawfold.sources.incremental import (
+    HIDDEN, RANK_KEY, Manifest, _delete, commit_parts, high_watermark, merge_ranked, read_current, read_manifest, read_parts,
+)
 from rawfold.sources.relations import discover
 
+AUDIT = "run_id string, dataset string, row_count long, max_batch_runtime long, status string"
+
+
+class DuplicateRates(ValueError):
+    """Two relations hold the same rate key and the policy is "fail"."""
+
+
+class RunFailed(RuntimeError):
+    """Some datasets failed; the audit rows say which."""
+
+
+# --- parts --------------------------------------------------------------------------------------------
+
+def part_column(spec: DatasetSpec, settings: Settings, n_parts: int) -> Column:
+    """The part a row belongs to: its day, or a hash of its rank key; of its parent where rows are numbered, so that
+    a parent's rows share a part."""
+    by = settings.partition_by.get(spec.name, spec.partition_by)
+    if by and not spec.seq_by:
+        return F.coalesce(F.to_date(F.col(by)).cast("string"), F.lit("null"))
+    key = F.col(spec.seq_by).cast("string") if spec.seq_by else F.col(RANK_KEY)
+    return F.pmod(F.xxhash64(key), F.lit(n_parts)).cast("string")
+
+
+def touched_parts(spark: SparkSession, base: str, m: Manifest, updates: DataFrame, spec: DatasetSpec,
+                  settings: Settings) -> list[str]:
+    """Parts of the updates and, where a part is not a function of the rank key, of the target rows they may replace
+    (found by reading two columns of the target)."""
+    part = part_column(spec, settings, m.n_parts).alias("p")
+    found = updates.select(part)
+    by_day = settings.partition_by.get(spec.name, spec.partition_by) and not spec.seq_by
+    if (by_day or spec.seq_by) and m.folders:
+        target = read_parts(spark, m, sorted(m.folders))
+        found = found.unionByName(target.join(updates.select(RANK_KEY), RANK_KEY, "left_semi").select(part))
+    return sorted(r["p"] for r in found.distinct().collect())  # at most one row a part
+
+
+def merge_into(spark: SparkSession, spec: DatasetSpec, base: str, updates: DataFrame, settings: Settings, *,
+               reread: bool, epoch: int | None = None, full: bool = False) -> Manifest:
+    """Merge staged updates (with rank columns) into the table at ``base`` and commit the touched parts."""
+    old = read_manifest(spark, base)
+    fresh = full or old is None or not old.folders
+    n_parts = settings.target_parts if old is None or full else old.n_parts
+    touched = None if fresh else touched_parts(spark, base, old, updates, spec, settings)
+    target = None if fresh else read_parts(spark, old, touched)
+    ties = spec.latest is not None and spec.latest.ties
+    merged = merge_ranked(target, updates, ties=ties, reread=reread)
+    if spec.seq_by:
+        merged = _renumber(target, updates, merged, spec, settings)
+    return commit_parts(spark, base, merged, old, touched, part=part_column(spec, settings, n_parts), n_parts=n_parts,
+                        cluster_by=spec.cluster_by or merge_keys(spec, settings), epoch=epoch,
+                        retain=settings.retain_versions)
+
+
+def _renumber(target: DataFrame | None, updates: DataFrame, merged: DataFrame, spec: DatasetSpec,
+              settings: Settings) -> DataFrame:
+    """Number the rows of every parent that lost or gained a row; other parents keep their numbers."""
+    if target is None:
+        return number(merged.drop("_seq_id"), spec, settings)
+    by = spec.seq_by
+    lost = target.join(updates.select(RANK_KEY), RANK_KEY, "left_semi").select(F.col(by).alias("__p"))
+    moved = updates.select(F.col(by).alias("__p")).unionByName(lost).distinct()
+    same = F.col(by).eqNullSafe(F.col("__p"))
+    again = merged.join(moved, same, "left_semi").drop("_seq_id")
+    return merged.join(moved, same, "left_anti").unionByName(number(again, spec, settings), allowMissingColumns=True)
+
+
+# --- running ------------------------------------------------------------------------------------------
+
+def relations_of(spec: DatasetSpec, source, settings: Settings, shared=None) -> list:
+    """Relations by the spec's patterns or the run's overrides; rates are looked for in their own source if there is one."""
+    pattern, exclude = settings.patterns.get(spec.name, (spec.pattern, spec.exclude_pattern))
+    return discover(shared if shared is not None and spec.kind == "per_arm_rates" else source, pattern, exclude)
+
+
+def _lookback(spec: DatasetSpec, settings: Settings) -> int:
+    return settings.lookback_ms.get(spec.name, settings.fx_lookback_ms if spec.kind == "per_arm_rates" else 0)
+
+
+class _Staging:
+    """Newest parents of one (pattern, rank) written once and read by every dataset built from them."""
+
+    def __init__(self, spark: SparkSession, shared_by: dict):
+        self.spark, self.shared_by, self.written = spark, shared_by, {}
+
+    @staticmethod
+    def key(spec: DatasetSpec, settings: Settings) -> tuple | None:
+        lt = spec.latest
+        if lt is None or lt.stage != "parent" or spec.kind == "per_arm_rates":
+            return None
+        patterns = settings.patterns.get(spec.name, (spec.pattern, spec.exclude_pattern))
+        return (*patterns, rank_keys(spec, settings), lt.order, lt.ties, () if lt.ties else tiebreak_of(spec))
+
+    def get(self, spec: DatasetSpec, relations, settings: Settings, watermark, lookback: int) -> DataFrame | None:
+        key = self.key(spec, settings)
+        if key is None or self.shared_by.get(key, 0) < 2:
+            return None
+        own = (key, watermark, lookback)
+        if own not in self.written:
+            path = scratch_path(self.spark, "parents")
+            parents(spec, relations, settings, watermark=watermark, lookback_ms=lookback).write.parquet(path)
+            self.written[own] = path
+        return self.spark.read.parquet(self.written[own])
+
+    def clean(self) -> None:
+        _delete(self.spark, list(self.written.values()))
+
 
 def run_dataset(spark: SparkSession, spec: DatasetSpec, source, out_dir: str, settings: Settings, *,
-                fx: DataFrame | None = None, fx_rows: int | None = None) -> DataFrame | None:
-    relations = discover(source, spec.pattern, spec.exclude_pattern)
+                fx: DataFrame | None = None, shared=None, staging: _Staging | None = None) -> DataFrame | None:
+    relations = relations_of(spec, source, settings, shared)
     if not relations:
         return None
     base = f"{out_dir.rstrip('/')}/{spec.name}"
     target = None if settings.full_refresh else read_current(spark, base)
-    w = high_watermark(target)
-    lookback = settings.fx_lookback_ms if spec.kind == "per_arm_rates" else 0
-    updates = build(spec, relations, settings, fx=fx, fx_rows=fx_rows, watermark=w, lookback_ms=lookback)
-    staged = scratch_path(spark, f"updates-{spec.name}")
-    updates.write.parquet(staged)
-    updates = spark.read.parquet(staged)
-    n = updates.count()
-    merged = merge_by_key(target, updates, merge_keys(spec, settings), max_broadcast_rows=settings.broadcast_max_rows,
-                          update_rows=n)
-    commit_version(spark, base, merged, cluster_by=spec.cluster_by or merge_keys(spec, settings))
-    return read_current(spark, base)
+    w, lookback = high_watermark(target), _lookback(spec, settings)
+    staged = staging.get(spec, relations, settings, w, lookback) if staging else None
+    updates = build(spec, relations, settings, fx=fx, watermark=w, lookback_ms=lookback, carry_rank=True,
+                    seq_strategy="later", staged=staged)
+    path = scratch_path(spark, f"updates-{spec.name}")
+    try:
+        updates.write.parquet(path)
+        updates = spark.read.parquet(path)
+        if spec.kind == "per_arm_rates" and settings.rates_policy == "fail":
+            twice = check_unique(updates, list(spec.merge_keys)).count()
+            if twice:
+                raise DuplicateRates(f"{twice} rate keys are held by more than one relation")
+        merge_into(spark, spec, base, updates, settings, reread=True, full=settings.full_refresh)
+    finally:
+        _delete(spark, [path])
+    written = read_current(spark, base)
+    return written if written is not None else spark.createDataFrame([], updates.schema).drop(*HIDDEN)
 
 
 def run_checks(spark: SparkSession, spec: DatasetSpec, df: DataFrame, out_dir: str) -> dict[str, int]:
@@ -59,32 +177,43 @@ def run_checks(spark: SparkSession, spec: DatasetSpec, df: DataFrame, out_dir: s
 
 
 def run_all(spark: SparkSession, source, out_dir: str, settings: Settings | None = None,
-            only: Iterable[str] | None = None) -> DataFrame:
-    """Build every enabled dataset; returns the run-audit rows (also appended under ``out_dir``)."""
+            only: Iterable[str] | None = None, *, shared=None) -> DataFrame:
+    """Build every enabled dataset; returns this run's audit rows, read back from ``_run_audit``.
+
+    ``shared`` is where the exchange rates are, if not among the raw tables. With currency conversion on, a dataset that
+    joins rates fails if there are none.
+    """
     settings = settings or Settings()
     pin_engine_conf(spark)
     wanted = set(only) if only else None
-    fx = fx_rows = None
-    audits = []
-    ordered = sorted(SPECS, key=lambda s: s.kind != "per_arm_rates")
+    ordered = [s for s in sorted(SPECS, key=lambda s: s.kind != "per_arm_rates")
+               if is_enabled(s, settings) and (not wanted or s.name in wanted or s.kind == "per_arm_rates")]
+    keys = [_Staging.key(s, settings) for s in ordered]
+    staging = _Staging(spark, {k: keys.count(k) for k in keys})
+    fx, rates_failed, audits, failed_sets = None, None, [], []
+    path = f"{out_dir.rstrip('/')}/_run_audit"
     for spec in ordered:
-        if not is_enabled(spec, settings) or (wanted and spec.name not in wanted and spec.kind != "per_arm_rates"):
-            continue
-        result = run_dataset(spark, spec, source, out_dir, settings, fx=fx, fx_rows=fx_rows)
-        if result is None:
-            continue
-        failed = run_checks(spark, spec, result, out_dir)
-        if spec.kind == "per_arm_rates":
-            fx = result.select("date", "from_currency_code", "to_currency_code", "value")
-            fx_rows = fx.count()
-        status = "success" if not any(failed.values()) else "checks_failed:" + ",".join(
-            f"{k}={v}" for k, v in failed.items() if v)
-        audits.append(run_record(spark, spec.name, result, settings.run_id, status=status))
-    if not audits:
-        return spark.createDataFrame([], "run_id string, dataset string, row_count long, "
-                                         "max_batch_runtime long, status string")
-    audit = audits[0]
-    for a in audits[1:]:
-        audit = audit.unionByName(a)
-    audit.write.mode("append").parquet(f"{out_dir.rstrip('/')}/_run_audit")
+        try:
+            if spec.fx is not None and rates_failed:
+                raise MissingRates(f"skipped: {rates_failed}")
+            result = run_dataset(spark, spec, source, out_dir, settings, fx=fx, shared=shared, staging=staging)
+            if result is None:
+                continue
+            failed = run_checks(spark, spec, result, out_dir)
+            if spec.kind == "per_arm_rates":
+                fx = result.select("date", "from_currency_code", "to_currency_code", "value")
+            status = "success" if not any(failed.values()) else "checks_failed:" + ",".join(
+                f"{k}={v}" for k, v in failed.items() if v)
+            audits.append(tuple(run_record(spark, spec.name, result, settings.run_id, status=status).first()))
+        except Exception as e:  # noqa: BLE001 - recorded, and raised at the end of the run
+            failed_sets.append((spec.name, e))
+            audits.append((settings.run_id, spec.name, None, None, f"error: {type(e).__name__}: {str(e)[:300]}"))
+            if spec.kind == "per_arm_rates":
+                rates_failed = f"{spec.name} failed"
+    staging.clean()
+    audit = spark.createDataFrame(audits, AUDIT)  # one row a dataset
+    if audits:
+        audit.coalesce(1).write.mode("append").parquet(path)
+    if failed_sets:
+        raise RunFailed("; ".join(f"{n}: {type(e).__name__}: {str(e)[:200]}" for n, e in failed_sets)) from failed_sets[0][1]
     return audit

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -20,13 +19,23 @@ ENGINE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "rawfold", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, app: str = "rawfold", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    b = (SparkSession.builder.master(master).appName(app)
+    """A session with the engine's settings.
+
+    ``master`` None leaves it to ``spark-submit`` or the defaults, and shuffle partitions stay the session's own
+    (AQE merges partitions but never adds any) unless given; a local master defaults to 8 of them.
+    """
+    b = (SparkSession.builder.appName(app)
          .config("spark.ui.enabled", "false")
-         # checkpoints (ranged numbering, rate side) are removed once no plan references them
-         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+         # checkpoints are removed once no plan references them
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
+    if master:
+        b = b.master(master)
+        if shuffle_partitions is None and master.startswith("local"):
+            shuffle_partitions = 8
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**ENGINE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -45,11 +54,15 @@ def pin_engine_conf(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a folder of our own chosen.
+    Read from the session. Only a local master may leave it unset (tests): a folder of our own is chosen then. On a
+    cluster a machine's temporary folder would not be seen by the others, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: master {master} needs a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="rawfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -60,11 +73,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder (never a machine-local temp dir on a cluster)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_exists(path: str) -> bool:
-    return os.path.exists(path[5:] if path.startswith("file:") else path)

@@ -1,25 +1,34 @@
-"""Incremental loads: high watermark, lookback, merge by unique key, and the written table layout.
+"""Incremental loads: high watermark, lookback, merge by rank, and the versioned table on disk.
 
 * The watermark (``max(_daton_batch_runtime)`` of the target) is computed first, in one small job
   that reads a single column, and passed on as a literal so it reaches every raw scan as a
   pushed-down filter (a scalar subquery would stay a runtime filter).
 * The filter is inclusive (``>=``), so the last batch is read again; the merge is idempotent.
-* Parquet has no MERGE: the merged table is written to a new version folder and the
-  ``_current`` pointer (a one-line text dataset) is switched afterwards, so a path is never
-  overwritten while it is read.
+* Written rows carry their rank (hidden columns ``__rk``, ``__ro``): the merge compares versions of the same
+  rank key in the same order the full build ranks them, so incremental loads equal a full build.
+* Parquet has no MERGE: a table is a set of parts (by a hash of the rank key, or by the date of a column).
+  A commit writes new folders for the touched parts only, then a numbered, immutable manifest that names
+  the folder of every part. Readers take the newest manifest. Nothing is overwritten, so a crash before the manifest
+  leaves the old version, and untouched part files keep their names.
 """
 
 from __future__ import annotations
 
-import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawfold.config import BATCH_RUNTIME
-from rawfold.operators.fx import broadcast_if_small
 
+RANK_KEY, RANK_ORDER, PART = "__rk", "__ro", "__part"
+HIDDEN = (RANK_KEY, RANK_ORDER, PART)
+_MANIFEST = "version long, n_parts int, part string, folder string, epoch long"
+
+
+# --- watermark ----------------------------------------------------------------------------------------
 
 def high_watermark(target: DataFrame | None, column: str = BATCH_RUNTIME) -> int | None:
     """``max(column)`` of the target, or None when there is no target yet."""
@@ -46,36 +55,61 @@ def watermark_subquery_sql(target_view: str, lookback_ms: int = 0, column: str =
     return f"{column} >= (SELECT coalesce(max({column}), 0) FROM {target_view})"
 
 
-def merge_by_key(target: DataFrame | None, updates: DataFrame, keys: Sequence[str], *,
-                 max_broadcast_rows: int = 2_000_000, update_rows: int | None = None) -> DataFrame:
+# --- merging ------------------------------------------------------------------------------------------
+
+def merge_by_key(target: DataFrame | None, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert: every target row whose key occurs in ``updates`` is replaced by the update rows.
 
     For keys with several update rows (``dense_rank`` datasets) all of them are inserted, so a key
-    is replaced as a whole. Implemented as ``target LEFT ANTI JOIN keys(updates) UNION ALL updates``;
-    the keys side is broadcast only when ``update_rows`` (or its count) is within the bound.
+    is replaced as a whole. Implemented as ``target LEFT ANTI JOIN keys(updates) UNION ALL updates``; AQE sends the
+    keys everywhere only if their measured size is below its bound.
     """
     if target is None:
         return updates
     ukeys = updates.select(*[F.col(k).alias(f"__mk_{k}") for k in keys])
-    ukeys = broadcast_if_small(ukeys, max_broadcast_rows, update_rows)
     cond = [target[k].eqNullSafe(ukeys[f"__mk_{k}"]) for k in keys]
     kept = target.join(ukeys, cond, "left_anti")
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
+def merge_ranked(target: DataFrame | None, updates: DataFrame, *, ties: bool, reread: bool) -> DataFrame:
+    """Keep-latest over target rows and updates, both carrying ``__rk`` and ``__ro``.
+
+    All rows of one rank key and side share their rank order (they are that side's newest). The newer side wins. Where
+    both are equal: with ``reread`` (batch loads read the last batch again) the updates hold every such row and
+    replace the target's; without (a stream reads each file once) rows of a tie are joined together, and a
+    ``row_number`` dataset takes one side's.
+    """
+    if target is None:
+        return updates
+    newest_u = updates.groupBy(F.col(RANK_KEY).alias("__k")).agg(F.max(RANK_ORDER).alias("__u"))
+    newest_t = (target.join(newest_u.select("__k"), F.col(RANK_KEY) == F.col("__k"), "left_semi")
+                .groupBy(F.col(RANK_KEY).alias("__k")).agg(F.max(RANK_ORDER).alias("__t")))
+    older = F.col(RANK_ORDER) < F.col("__u")
+    gone = older if ties and not reread else older | (F.col(RANK_ORDER) == F.col("__u"))
+    kept = (target.join(newest_u, F.col(RANK_KEY) == F.col("__k"), "left")
+            .filter(F.col("__u").isNull() | ~gone).drop("__k", "__u"))
+    new = (updates.join(newest_t, F.col(RANK_KEY) == F.col("__k"), "left")
+           .filter(F.col("__t").isNull() | (F.col(RANK_ORDER) >= F.col("__t"))).drop("__k", "__t"))
+    return kept.unionByName(new, allowMissingColumns=True)
+
+
+# --- layout -------------------------------------------------------------------------------------------
+
 def layout_for_write(df: DataFrame, cluster_by: Sequence[str] = (), partition_by: str | None = None,
                      partitions: int | None = None) -> DataFrame:
-    """Cluster rows for writing: range-partition on (partition column, cluster keys), sort within.
+    """Cluster rows for writing: range-partition on (partition column, cluster keys, row hash), sort within.
 
     Range partitioning (sampled bounds) spreads a hot date over several tasks by its cluster keys,
-    where hashing on the date alone would send the whole day to one task; each task then writes
-    a few contiguous, sorted date folders.
+    where hashing on the date alone would send the whole day to one task; the row hash last splits rows that are equal
+    in all of these (null ids that default to 0). Each task then writes a few contiguous, sorted date folders.
     """
-    by = ([partition_by] if partition_by else []) + list(cluster_by)
+    by = ([partition_by] if partition_by else []) + [c for c in cluster_by if c != partition_by]
     if not by:
         return df
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *by).sortWithinPartitions(*by)
+    hashable = [f"`{f.name}`" for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return df.repartitionByRange(n, *by, F.xxhash64(*hashable)).sortWithinPartitions(*by)
 
 
 def write_table(df: DataFrame, path: str, *, partition_by: str | None = None,
@@ -86,24 +120,114 @@ def write_table(df: DataFrame, path: str, *, partition_by: str | None = None,
     w.parquet(path)
 
 
-def current_version(spark: SparkSession, base: str) -> str | None:
-    """Folder of the current version of a versioned table, or None."""
+# --- versions -----------------------------------------------------------------------------------------
+
+@dataclass(frozen=True)
+class Manifest:
+    """The newest version of a table: the folder of every part."""
+
+    version: int
+    n_parts: int
+    folders: dict = field(default_factory=dict)
+    epoch: int | None = None
+
+
+def read_manifest(spark: SparkSession, base: str) -> Manifest | None:
+    """The newest manifest; None only if there is none. Any other failure to read is raised."""
     try:
-        row = spark.read.text(f"{base}/_current").first()
-    except Exception:  # noqa: BLE001 - no pointer yet
+        df = spark.read.schema(_MANIFEST).json(f"{base}/_versions/*")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    newest = df.agg(F.max("version").alias("v")).first()["v"]
+    if newest is None:
         return None
-    return row[0].strip() if row else None
+    rows = df.filter(F.col("version") == newest).collect()  # one row a part
+    return Manifest(newest, rows[0]["n_parts"], {r["part"]: r["folder"] for r in rows if r["part"] is not None}, rows[0]["epoch"])
+
 
+def _read(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    # parts of several versions may differ in columns; those of one do not, and their footers need not be merged
+    versions = {f.rsplit("/", 2)[-2] for f in folders}
+    return spark.read.option("mergeSchema", str(len(versions) > 1).lower()).parquet(*folders)
 
-def read_current(spark: SparkSession, base: str) -> DataFrame | None:
-    v = current_version(spark, base)
-    return None if v is None else spark.read.parquet(v)
+
+def read_current(spark: SparkSession, base: str, *, hidden: bool = False) -> DataFrame | None:
+    """The current version, or None; ``hidden`` keeps the rank columns."""
+    m = read_manifest(spark, base)
+    if m is None or not m.folders:
+        return None
+    df = _read(spark, sorted(set(m.folders.values())))
+    return df if hidden else df.drop(*HIDDEN)
+
+
+def read_parts(spark: SparkSession, m: Manifest, parts: Sequence[str]) -> DataFrame | None:
+    folders = [m.folders[p] for p in parts if p in m.folders]
+    return _read(spark, folders) if folders else None
+
+
+def _write_manifest(spark: SparkSession, base: str, m: Manifest) -> None:
+    rows = [(m.version, m.n_parts, p, f, m.epoch) for p, f in sorted(m.folders.items())] or [(m.version, m.n_parts, None, None, m.epoch)]
+    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("errorifexists").json(f"{base}/_versions/{m.version:012d}")
+
+
+def commit_parts(spark: SparkSession, base: str, df: DataFrame, old: Manifest | None, touched: Sequence[str] | None, *,
+                 part: Column, n_parts: int, cluster_by: Sequence[str] = (), epoch: int | None = None,
+                 retain: int = 2, before_switch: Callable[[], None] | None = None) -> Manifest:
+    """Write ``df`` (all rows of the touched parts; None: of all) as new folders, then the next manifest.
+
+    Versions older than the newest ``retain`` are removed with the folders that only they name."""
+    version = (old.version if old else 0) + 1
+    root = f"{base}/data/{version:012d}"
+    _delete(spark, [root])  # what a crashed run of this version left; no manifest names it
+    out = df.withColumn(PART, part.cast("string"))
+    write_table(out, root, partition_by=PART, cluster_by=cluster_by)
+    if before_switch:
+        before_switch()
+    written = {p: f"{root}/{PART}={p}" for p in _part_names(spark, root)}
+    kept = {} if old is None or touched is None else {p: f for p, f in old.folders.items() if p not in set(touched)}
+    m = Manifest(version, n_parts, {**kept, **written}, epoch)
+    _write_manifest(spark, base, m)
+    _retire(spark, base, m, retain)
+    return m
 
 
 def commit_version(spark: SparkSession, base: str, df: DataFrame, *, partition_by: str | None = None,
-                   cluster_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as a new version of ``base`` and switch the pointer to it."""
-    folder = f"{base}/v{time.time_ns()}"
-    write_table(df, folder, partition_by=partition_by, cluster_by=cluster_by)
-    spark.createDataFrame([(folder,)], "v string").coalesce(1).write.mode("overwrite").text(f"{base}/_current")
-    return folder
+                   cluster_by: Sequence[str] = ()) -> Manifest:
+    """Write ``df`` as a new version of ``base`` as a whole: one part, or one by value of ``partition_by``."""
+    part = F.coalesce(F.col(partition_by).cast("string"), F.lit("null")) if partition_by else F.lit("0")
+    return commit_parts(spark, base, df, read_manifest(spark, base), None, part=part, n_parts=1, cluster_by=cluster_by)
+
+
+# --- files (through the session's Hadoop file systems, so any store Spark writes to) ----------------------
+
+def _path(spark: SparkSession, name: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _part_names(spark: SparkSession, root: str) -> list[str]:
+    p, fs = _path(spark, root)
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{PART}="))
+
+
+def _delete(spark: SparkSession, names: Sequence[str]) -> None:
+    for n in names:
+        p, fs = _path(spark, n)
+        fs.delete(p, True)
+
+
+def _retire(spark: SparkSession, base: str, m: Manifest, retain: int) -> None:
+    """Remove manifests older than the newest ``retain``, and folders no remaining one names."""
+    p, fs = _path(spark, f"{base}/_versions")
+    versions = sorted(int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit())
+    gone = [v for v in versions if v <= m.version - retain]
+    if not gone:
+        return
+    df = spark.read.schema(_MANIFEST).json([f"{base}/_versions/{v:012d}" for v in versions])
+    rows = df.select("version", "folder").distinct().collect()  # parts x retained versions
+    used = {r["folder"] for r in rows if r["version"] not in gone}
+    _delete(spark, [f"{base}/_versions/{v:012d}" for v in gone])
+    _delete(spark, sorted({r["folder"] for r in rows if r["folder"]} - used))

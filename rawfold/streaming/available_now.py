@@ -2,9 +2,10 @@
 
 The source has no streaming operators; its incremental load is a batch high-watermark. Here the
 file source's own checkpoint tracks which raw files were read, and every micro-batch is staged and
-merged into the target with the same batch code (``foreachBatch``), so a restart resumes exactly
-where it stopped. ``Trigger.AvailableNow`` processes what is there and stops, like a scheduled run.
-The checkpoint lives in the shared folder the session names in ``spark.checkpoint.dir``.
+merged into the target with the same rank rules as the batch code (``foreachBatch``), so files in any
+order and any number a trigger give the rows of one build over all of them. ``Trigger.AvailableNow`` processes what is
+there and stops, like a scheduled run. A manifest names the micro-batch that made it, so one that is replayed after a crash
+is not merged twice.
 """
 
 from __future__ import annotations
@@ -14,16 +15,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rawfold.config import Settings
 from rawfold.plans.builder import build
+from rawfold.plans.runner import merge_into
 from rawfold.plans.spec import DatasetSpec
-from rawfold.plans.specs import merge_keys
-from rawfold.session import pin_engine_conf, shared_dir
-from rawfold.sources.incremental import commit_version, merge_by_key, read_current
+from rawfold.session import pin_engine_conf, scratch_path
+from rawfold.sources.incremental import _delete, read_manifest
 
 
 def stage_stream(spark: SparkSession, spec: DatasetSpec, raw_path: str, relation: str, target: str,
                  settings: Settings | None = None, *, fx: DataFrame | None = None,
                  checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Stage new parquet files of one raw relation into ``target`` (versioned), micro-batch by micro-batch."""
+    """Stage new parquet files of one raw relation into ``target`` (versioned), micro-batch by micro-batch.
+
+    ``checkpoint`` is where the stream remembers what it has read (default: beside the target, so that a later run
+    resumes)."""
     settings = settings or Settings()
     pin_engine_conf(spark)
     schema = spark.read.parquet(raw_path).schema
@@ -31,14 +35,20 @@ def stage_stream(spark: SparkSession, spec: DatasetSpec, raw_path: str, relation
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(raw_path)
-    fx_rows = fx.count() if fx is not None else None
 
     def stage(batch: DataFrame, epoch: int) -> None:
-        updates = build(spec, [(relation, batch)], settings, fx=fx, fx_rows=fx_rows)
-        current = read_current(spark, target)
-        merged = merge_by_key(current, updates, merge_keys(spec, settings), max_broadcast_rows=settings.broadcast_max_rows)
-        commit_version(spark, target, merged, cluster_by=spec.cluster_by or merge_keys(spec, settings))
-
-    ckpt = checkpoint or f"{shared_dir(spark).rstrip('/')}/stream-{spec.name}"
+        session = batch.sparkSession
+        done = read_manifest(session, target)
+        if done is not None and done.epoch is not None and done.epoch >= epoch:
+            return
+        updates = build(spec, [(relation, batch)], settings, fx=fx, carry_rank=True, seq_strategy="later")
+        path = scratch_path(session, f"stream-{spec.name}")
+        try:
+            updates.write.parquet(path)
+            merge_into(session, spec, target, session.read.parquet(path), settings, reread=False, epoch=epoch)
+        finally:
+            _delete(session, [path])
+
+    ckpt = checkpoint or f"{target.rstrip('/')}/_stream"
     return (stream.writeStream.foreachBatch(stage).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())

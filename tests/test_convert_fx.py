@@ -1,11 +1,12 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from rawfold.config import Settings
 from rawfold.functions.convert import millis_to_ts, to_wallclock, typed_default
 from rawfold.functions.lineage import brand, integration_id, integration_id_tokens, store_token
-from rawfold.operators.fx import fx_left_join
+from rawfold.operators.fx import MissingRates, fx_left_join
 
 
 def test_timezone_conversion_is_dst_aware_and_flagged(spark):
@@ -42,7 +43,8 @@ def test_fx_join_fans_out_defaults_and_flag(spark):
     out = fx_left_join(facts, fx, "ts", "cur", Settings())
     rows = sorted((r.id, r.fx_rate, r.fx_currency_code) for r in out.collect())
     assert rows == [(1, 2.0, "USD"), (1, 3.0, "EUR"), (2, 1.0, "C9")]
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    off = fx_left_join(facts, fx, "ts", "cur", Settings(currency_conversion=False))
+    off = fx_left_join(facts, None, "ts", "cur", Settings(currency_conversion=False))
     assert sorted((r.id, r.fx_rate) for r in off.collect()) == [(1, 1), (2, 1)]
+    assert off.schema["fx_rate"].dataType.simpleString() == "decimal(38,9)"
+    with pytest.raises(MissingRates):
+        fx_left_join(facts, None, "ts", "cur", Settings())

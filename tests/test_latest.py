@@ -51,12 +51,58 @@ def test_seq_id_numbers_each_parent(spark):
     assert out == {(1, "a"): 1, (1, "b"): 2, (2, "c"): 1}
 
 
-def test_aggregate_plan_pre_aggregates_before_shuffle(spark):
-    df = spark.createDataFrame(ROWS, SCHEMA)
-    plan = keep_latest(df, ["id"], ["b"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max" in plan and "LeftSemi" in plan
-    plan_rn = keep_latest(df, ["id"], ["b"], ties=False)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max" in plan_rn and "Window" not in plan_rn
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def many_relations(spark, tmp_path_factory):
+    from rawfold.sources.relations import union_relations
+    path = str(tmp_path_factory.mktemp("rel") / "r")
+    spark.createDataFrame([(1, 10, "a", 1.0), (1, 20, "b", 2.0)], "id long, _daton_batch_runtime long, v string, w double").write.parquet(path)
+    return union_relations([(f"r{i}", spark.read.parquet(path)) for i in range(32)])
+
+
+def test_scans_grow_with_the_relations_not_their_square(many_relations):
+    ties = _plan(keep_latest(many_relations, ["id"], ["_daton_batch_runtime"]))
+    assert ties.count("FileScan parquet") <= 64
+    one = _plan(keep_latest(many_relations, ["id"], ["_daton_batch_runtime"], ties=False))
+    assert one.count("FileScan parquet") == 32
+    assert keep_latest(many_relations, ["id"], ["_daton_batch_runtime"]).count() == 32
+    assert keep_latest(many_relations, ["id"], ["_daton_batch_runtime"], ties=False).count() == 1
+
+
+def test_a_key_ships_one_row_per_map_task(many_relations):
+    ties = _plan(keep_latest(many_relations, ["id"], ["_daton_batch_runtime"]))
+    assert "partial_max" in ties and "Window" not in ties
+    one = _plan(keep_latest(many_relations, ["id"], ["_daton_batch_runtime"], ties=False))
+    assert "WindowGroupLimit" in one and "Partial" in one  # the limit runs before the shuffle too
+    assert "SortAggregate" not in ties + one
+
+
+def test_one_row_choice_does_not_depend_on_the_partitions(spark):
+    rows = [(i % 5, 1, f"v{i}", float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, b long, v string, w double")
+    picks = [sorted(map(tuple, keep_latest(df.repartition(n, *c), ["k"], ["b"], ties=False).collect()))
+             for n, c in ((1, []), (7, []), (5, ["v"]))]
+    assert picks[0] == picks[1] == picks[2]
+
+
+def test_numbers_are_repeatable_on_tied_sort_columns(spark):
+    rows = [(i % 3, 1, "same", f"v{i}") for i in range(600)]
+    df = spark.createDataFrame(rows, "p long, b long, t string, other string")
+    runs = [{r.other: r._seq_id for r in seq_id(df.repartition(n), ["p"], ["b"], ["t"], strategy=s).collect()}
+            for n, s in ((1, "window"), (9, "window"), (4, "ranged"), (6, "split"))]
+    assert all(r == runs[0] for r in runs)
+
+
+def test_large_parents_are_numbered_over_ranges_with_the_same_numbers(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, *range(20)]), rnd.randint(1, 3), i) for i in range(1500)] + [(7, 9, 5000 + i) for i in range(900)]
+    df = spark.createDataFrame(rows, "p long, b long, t long")
+    w = {r.t: r._seq_id for r in seq_id(df, ["p"], ["b"], ["t"], strategy="window").collect()}
+    s = {r.t: r._seq_id for r in seq_id(df, ["p"], ["b"], ["t"], strategy="split", large=200).collect()}
+    assert w == s
 
 
 def test_ranged_seq_id_equals_window_numbering_with_a_hot_parent(spark):
@@ -65,6 +111,6 @@ def test_ranged_seq_id_equals_window_numbering_with_a_hot_parent(spark):
     rows += [(7, 9, 5000 + i) for i in range(3000)]  # hot parent spanning several range partitions
     rows += [(None, 1, 9000 + i) for i in range(50)]
     df = spark.createDataFrame(rows, "p long, b long, t long")
-    w = {(r.t): r._seq_id for r in seq_id(df, ["p"], ["b"], ["t"]).collect()}
+    w = {(r.t): r._seq_id for r in seq_id(df, ["p"], ["b"], ["t"], strategy="window").collect()}
     r = {(r.t): r._seq_id for r in seq_id(df, ["p"], ["b"], ["t"], strategy="ranged").collect()}
     assert w == r

@@ -142,7 +142,7 @@ def test_spec_builds_with_contract_columns(spark, spec, fx):
         r = list(_value(f.dataType, i) for f in schema.fields[:-3])
         rows.append(tuple(r) + (f"u{i}", 1000 + (i % 2), i))
     raw = spark.createDataFrame(rows, schema)
-    rel = "`insightsprod`.`raw`.`Acme_us_shopify_1_" + spec.pattern.strip("%").split("%")[-1] + "`"
+    rel = "`lake`.`raw`.`Acme_us_shopify_1_" + spec.pattern.strip("%").split("%")[-1] + "`"
     out = build(spec, [(rel, raw)], Settings(), fx=fx if spec.fx else None)
     cols = [c.lower() for c in out.columns]
     assert len(cols) == len(set(cols)), f"duplicate output columns in {spec.name}"
