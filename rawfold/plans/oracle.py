@@ -8,9 +8,11 @@ LEFT JOIN LATERAL unnest, QUALIFY ...), independent of the Spark implementation.
 from __future__ import annotations
 
 from rawfold.sources.driver_tables import (
-    FLAT_BATCH0_MS, ORDERS_A, ORDERS_B, PRODUCT_BATCH0_MS, RATES_A, RATES_B, RELATION_SUFFIXES, flat_relation,
+    ENTITY_RATE_DAYS, ENTITY_RATES_FROM, FLAT_BATCH0_MS, ORDERS_A, ORDERS_B, PRODUCT_BATCH0_MS, RATES_A, RATES_B, RELATION_SUFFIXES, flat_relation,
 )
 
+from rawfold.plans.specs import SPECS
+
 TZ = "America/Chicago"
 
 
@@ -71,6 +73,10 @@ ADDR = """{'address1': concat(CAST(o_orderkey AS VARCHAR), ' Main St'), 'address
 
 PRICE_TEXT = "concat(CAST(o_orderkey % 100 AS VARCHAR), '.', lpad(CAST(o_custkey % 100 AS VARCHAR), 2, '0'))"
 
+APPLICATION = """{{'target_type': 'line_item',
+        'type': CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE 'discount_code' END,
+        'value_type': 'percentage', 'value': '{}', 'allocation_method': '{}'}}"""
+
 NESTED = f"""lx AS (SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 ver AS (
   SELECT l_orderkey, l_shipdate, count(*) AS n_items, list({{
@@ -101,9 +107,8 @@ no AS (
            ELSE [] END,
        'discount_allocations': CASE WHEN o_orderstatus = 'F'
            THEN [{{'amount': {PRICE_TEXT}, 'discount_application_index': CAST(0 AS BIGINT)}}] ELSE [] END}}] AS shipping_lines,
-    CASE WHEN o_orderstatus = 'O' THEN [{{'target_type': 'line_item',
-        'type': CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE 'discount_code' END,
-        'value_type': 'percentage', 'value': '10.0', 'allocation_method': 'across'}}] ELSE [] END AS discount_applications,
+    CASE WHEN o_orderstatus = 'O' THEN [{APPLICATION.format('10.0', 'across')}, {APPLICATION.format('10.0', 'each')},
+        {APPLICATION.format('5.0', 'each')}] ELSE [] END AS discount_applications,
     CASE WHEN o_orderstatus = 'F' THEN [{{'id': o_orderkey * 10 + 2, 'order_id': o_orderkey,
         'name': concat('#', CAST(o_orderkey AS VARCHAR), '.1'), 'status': 'success', 'receipt': 'r',
         'admin_graphql_api_id': 'gid', 'line_items': line_items}}] ELSE [] END AS fulfillments,
@@ -119,7 +124,7 @@ no AS (
     '{ORDERS_A}' AS _dbt_source_relation
   FROM orders LEFT JOIN ver ON o_orderkey = ver.l_orderkey)"""
 
-RR = """rr AS (
+RR = f"""rr AS (
   SELECT d AS date, f AS from_currency_code, concat('C', CAST(k AS VARCHAR)) AS to_currency_code,
     CASE WHEN k = 3 THEN NULL ELSE CAST(k + 1 AS DOUBLE) + CAST(day(d) AS DOUBLE) / 100.0 + CAST(v AS DOUBLE) / 1000.0 END AS value,
     concat(CAST(k + 1 AS VARCHAR), '.', lpad(CAST(day(d) AS VARCHAR), 2, '0'), CAST(v AS VARCHAR)) AS value_bn,
@@ -128,7 +133,8 @@ RR = """rr AS (
     CAST(v AS BIGINT) AS _daton_batch_id, k
   FROM (SELECT d, k, f, unnest([0, 1]) AS v FROM (
           SELECT d, k, unnest(CASE WHEN k = 1 THEN ['USD', 'EUR'] ELSE ['USD'] END) AS f FROM (
-            SELECT d, unnest([0, 1, 2, 3]) AS k FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)))))"""
+            SELECT d, unnest([0, 1, 2, 3]) AS k FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders
+              UNION SELECT CAST(DATE '{ENTITY_RATES_FROM}' + CAST(c_custkey % {ENTITY_RATE_DAYS} AS INTEGER) AS DATE) FROM customer)))))"""
 
 FXA = f"""fxa AS (
   SELECT '{RATES_A}' AS _dbt_source_relation, * EXCLUDE (k) FROM rr
@@ -207,7 +213,7 @@ QUALIFY dense_rank() OVER (PARTITION BY coalesce(a.id, 0) ORDER BY a._daton_batc
 
 _SUF = ", ".join(f"'{x}'" for x in RELATION_SUFFIXES)
 NAMES = f"""names AS (
-  SELECT c_custkey, tn AS table_name, concat('`insightsprod`.`raw`.`', tn, '`') AS relation FROM (
+  SELECT c_custkey, tn AS table_name, concat('`lake`.`raw`.`', tn, '`') AS relation FROM (
     SELECT c_custkey, CASE WHEN c_custkey % 13 = 0
         THEN concat(lower(c_mktsegment), 'shop', [{_SUF}][c_custkey % {len(RELATION_SUFFIXES)} + 1])
         ELSE concat(c_mktsegment, '_n', CAST(c_nationkey AS VARCHAR), '_shopify_', CAST(c_custkey % 7 AS VARCHAR), '_',
@@ -224,12 +230,7 @@ def _match(entity, pattern, exclude):
 
 
 SQL["relation_match"] = f"""WITH {NAMES}
-{' UNION ALL '.join(_match(e, p, x) for e, p, x in (
-    ('ShopifyOrders', '%shopify%orders', '%shopify%t_orders'),
-    ('ShopifyTransactions', '%shopify%transactions', '%tender%'),
-    ('ShopifyEvents', '%shopify%events%', '%fulfillment%'),
-    ('ShopifyAbandonedCheckouts', '%shopify%abandoned_checkouts%', '%transactions%'),
-    ('ShopifyRefundsLineItems', '%shopify%refunds', '')))}"""
+{' UNION ALL '.join(_match(s.name, s.pattern, s.exclude_pattern) for s in SPECS)}"""
 
 SQL["brand_from_source"] = f"WITH {NAMES} SELECT relation, {brand('relation')} AS brand FROM names"
 SQL["integration_id"] = (f"WITH {NAMES} SELECT relation, {integration_id('relation')} "
@@ -356,8 +357,8 @@ SELECT date, from_currency_code, to_currency_code, count(*) AS n_records FROM fx
 GROUP BY date, from_currency_code, to_currency_code HAVING count(*) > 1"""
 SQL["check_not_null"] = f"""WITH {OV}, {U} SELECT * FROM u WHERE id IS NULL OR email IS NULL"""
 SQL["check_recency"] = f"""WITH {OV}, {U}
-SELECT currency, max(updated_at) AS latest FROM u GROUP BY currency
-HAVING max(updated_at) IS NULL OR max(updated_at) < TIMESTAMP '2001-11-04 00:00:00' - INTERVAL 30 DAY"""
+SELECT email, max(updated_at) AS latest FROM u GROUP BY email
+HAVING max(updated_at) IS NULL OR max(updated_at) < TIMESTAMP '2001-11-04 00:00:00' - INTERVAL 365 DAY"""
 
 
 def _addr(prefix: str, src: str) -> str:
@@ -586,7 +587,8 @@ s AS (
   {FX_ON_RAW}
   {LATEST_ORDER})
 SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY _daton_batch_runtime DESC, target_type NULLS FIRST,
-    type NULLS FIRST, value_type NULLS FIRST, fx_currency_code NULLS FIRST, fx_rate NULLS FIRST) AS _seq_id
+    type NULLS FIRST, value_type NULLS FIRST, fx_currency_code NULLS FIRST, fx_rate NULLS FIRST,
+    value NULLS FIRST, allocation_method NULLS FIRST) AS _seq_id
 FROM s"""
 
 SQL["ShopifyOrdersFulfillments"] = f"""WITH {NESTED}, {FX}

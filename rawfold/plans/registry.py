@@ -16,7 +16,7 @@ from rawfold.operators.fx import fx_left_join
 from rawfold.operators.latest import keep_latest
 from rawfold.operators.nested import unnest_chain
 from rawfold.plans.builder import build
-from rawfold.plans.specs import BY_NAME
+from rawfold.plans.specs import BY_NAME, SPECS
 from rawfold.session import pin_engine_conf
 from rawfold.sources import driver_tables as dt
 from rawfold.sources.relations import union_relations
@@ -123,8 +123,6 @@ from rawfold.sources.relations import match_relations  # noqa: E402
 CUT = "1998-01-01 00:00:00"
 CUT_DATE = "1998-01-01"
 RECENCY_AS_OF = "2001-11-04 00:00:00"
-MATCHED_ENTITIES = ("ShopifyOrders", "ShopifyTransactions", "ShopifyEvents", "ShopifyAbandonedCheckouts",
-                    "ShopifyRefundsLineItems")
 
 
 def _ts(s: str):
@@ -136,10 +134,9 @@ def relation_match(spark, d):
     """Relations per entity by LIKE pattern minus exclude pattern (case-insensitive)."""
     names = dt.relation_names(spark, d)
     out = None
-    for e in MATCHED_ENTITIES:
-        s = BY_NAME[e]
+    for s in SPECS:
         m = match_relations(names, s.pattern, s.exclude_pattern).select(
-            F.lit(e).alias("entity"), "relation", "table_name")
+            F.lit(s.name).alias("entity"), "relation", "table_name")
         out = m if out is None else out.unionByName(m)
     return out
 
@@ -268,7 +265,7 @@ def merge_upsert(spark, d):
     target = _state(_loaded(u))
     w = high_watermark(target)
     updates = _state(u.filter(watermark_filter(w)))
-    return merge_by_key(target, updates, ["order_id"], max_broadcast_rows=SETTINGS.broadcast_max_rows)
+    return merge_by_key(target, updates, ["order_id"])
 
 
 @query("partition_by_date")
@@ -402,7 +399,7 @@ def check_not_null_q(spark, d):
 def check_recency_q(spark, d):
     import datetime as _dt
     as_of = _dt.datetime.fromisoformat(RECENCY_AS_OF)
-    return check_recency(_union(spark, d), "updated_at", as_of, 30, group_by=["currency"])
+    return check_recency(_union(spark, d), "updated_at", as_of, 365, group_by=["email"])
 
 
 # ---- spec-built order datasets over the nested raw orders -----------------------------------------

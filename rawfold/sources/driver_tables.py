@@ -22,10 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed relation names of the derived raw tables.
-ORDERS_A = "`insightsprod`.`raw`.`Acme_us_shopify_1_orders`"
-ORDERS_B = "`insightsprod`.`raw`.`Zest_ca_shopify_22_orders`"
-RATES_A = "`insightsprod`.`pulse_shared_prod`.`daton_exchange_rates`"
-RATES_B = "`insightsprod`.`pulse_shared_prod`.`backup_exchange_rates`"
+ORDERS_A = "`lake`.`raw`.`Acme_us_shopify_1_orders`"
+ORDERS_B = "`lake`.`raw`.`Zest_ca_shopify_22_orders`"
+RATES_A = "`lake`.`shared`.`daton_exchange_rates`"
+RATES_B = "`lake`.`shared`.`backup_exchange_rates`"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -147,11 +147,15 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         (ok * 10 + 1).alias("id"), F.lit("Standard").alias("title"), price_text.alias("price"),
         _when_array(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), ship_tax).alias("tax_lines"),
         _when_array(st == "F", ship_disc).alias("discount_allocations"))
-    application = F.struct(
-        F.lit("line_item").alias("target_type"),
-        F.when(ck % 3 == 0, F.lit(None).cast("string")).otherwise(F.lit("discount_code")).alias("type"),
-        F.lit("percentage").alias("value_type"), F.lit("10.0").alias("value"),
-        F.lit("across").alias("allocation_method"))
+
+    def application(value: str, method: str) -> Column:  # the two of an order differ in their last fields only
+        return F.struct(
+            F.lit("line_item").alias("target_type"),
+            F.when(ck % 3 == 0, F.lit(None).cast("string")).otherwise(F.lit("discount_code")).alias("type"),
+            F.lit("percentage").alias("value_type"), F.lit(value).alias("value"),
+            F.lit(method).alias("allocation_method"))
+
+    applications = F.array(application("10.0", "across"), application("10.0", "each"), application("5.0", "each"))
     fulfillment = F.struct(
         (ok * 10 + 2).alias("id"), ok.alias("order_id"), F.concat(F.lit("#"), _s(ok), F.lit(".1")).alias("name"),
         F.lit("success").alias("status"), F.lit("r").alias("receipt"), F.lit("gid").alias("admin_graphql_api_id"),
@@ -173,7 +177,7 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.lit("priority").alias("name"), F.col("o_orderpriority").alias("value")),
                 F.struct(F.lit("status").alias("name"), F.col("o_orderstatus").alias("value"))).alias("note_attributes"),
         F.array(shipping).alias("shipping_lines"),
-        _when_array(st == "O", application).alias("discount_applications"),
+        F.slice(applications, 1, F.when(st == "O", F.lit(3)).otherwise(F.lit(0))).alias("discount_applications"),
         _when_array(st == "F", fulfillment).alias("fulfillments"),
         F.array(customer).alias("customer"),
         F.concat(F.lit("u"), _s(ck % 10)).alias("_daton_user_id"),
@@ -186,9 +190,17 @@ def nested_arms(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]
     return [(ORDERS_A, nested_orders(spark, sf_dir))]
 
 
+ENTITY_RATES_FROM, ENTITY_RATE_DAYS = "2021-02-27", 130
+
+
 def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw daily rates (``arm`` 0 = main relation; C0 rows are repeated in relation 1)."""
-    d = read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
+    """Raw daily rates (``arm`` 0 = main relation; C0 rows are repeated in relation 1).
+
+    Days: those of the orders, and the days of the flat entities (one per customer, ``ENTITY_RATE_DAYS`` in all)."""
+    days = read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"))
+    more = read(spark, sf_dir, "customer").select(F.date_add(
+        F.lit(ENTITY_RATES_FROM).cast("date"), (F.col("c_custkey") % ENTITY_RATE_DAYS).cast("int")).alias("d"))
+    d = days.unionByName(more).distinct()
     x = (d.select("d", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("k"))
           .select("d", "k", F.explode(F.when(F.col("k") == 1, F.array(F.lit("USD"), F.lit("EUR")))
                                       .otherwise(F.array(F.lit("USD")))).alias("f"))
@@ -215,7 +227,10 @@ def rate_arms(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
 # Fixed suffixes of the derived relation names (entity part of a connector table name).
 RELATION_SUFFIXES = ("orders", "draft_orders", "fulfillment_orders", "transactions", "tender_transactions",
                      "balance_transactions", "events", "fulfillment_events", "refunds", "abandoned_checkouts",
-                     "products", "customers")
+                     "products", "customers", "exchange_rates", "carrier_services", "collects", "countries",
+                     "custom_collections", "customer_address", "disputes", "gift_cards", "inventory_items",
+                     "inventory_levels", "locations", "payouts", "policies", "price_rules", "product_metafields", "shop",
+                     "smart_collections")
 
 
 def relation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +246,7 @@ def relation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = F.concat(F.lower(F.col("c_mktsegment")), F.lit("shop"), suffix)
     table = F.when(ck % 13 == 0, short).otherwise(full)
     return c.select(ck.alias("c_custkey"), table.alias("table_name"),
-                    F.concat(F.lit("`insightsprod`.`raw`.`"), table, F.lit("`")).alias("relation"))
+                    F.concat(F.lit("`lake`.`raw`.`"), table, F.lit("`")).alias("relation"))
 
 
 FLAT_BATCH0_MS = 1_614_556_800_000  # 2021-03-01 00:00:00 UTC, first load of the flat entities
@@ -276,7 +291,7 @@ def flat_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_relation(store: str, entity: str) -> str:
-    return f"`insightsprod`.`raw`.`{store}_shopify_{'1' if store == 'Acme_us' else '22'}_{entity}`"
+    return f"`lake`.`raw`.`{store}_shopify_{'1' if store == 'Acme_us' else '22'}_{entity}`"
 
 
 def flat_arms(spark: SparkSession, sf_dir: str, entity: str) -> list[tuple[str, DataFrame]]:
