@@ -3,6 +3,9 @@
 Runs each query over ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on ``local[$BENCH_CPUS]``
 (default 8). Each query is fully computed with the ``noop`` sink (every column, no collect), once
 to warm up and then ``$BENCH_RUNS`` times (default 3); the median is reported. Prints one JSON line.
+
+The queries read raw tables that Spark derives from the given tables, in the same plan; ``fixture`` holds the
+time of deriving those alone, so a query's own share is its time less its fixture's.
 """
 
 from __future__ import annotations
@@ -26,28 +29,41 @@ HEADLINE = (
     "merge_upsert",                      # watermark + incremental load + merge by key
 )
 
+#: raw table -> the headline queries that derive it
+FIXTURE_OF = {
+    "order_versions": ("ShopifyOrders", "union_then_dedup", "latest_row_number", "fx_left_join", "merge_upsert"),
+    "nested_orders": ("ShopifyOrdersLineItems", "ShopifyOrdersLineItemsTaxLines"),
+    "raw_rates": ("ExchangeRates",),
+}
+
 
 def main() -> None:
     from rawfold.plans.registry import QUERIES
+    from rawfold.sources import driver_tables
     from rawfold.session import build_session
 
+    fixture_makers = {name: getattr(driver_tables, name) for name in FIXTURE_OF}
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session(f"local[{cpus}]", app="rawfold-bench", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
-    times: dict[str, float] = {}
-    for name in HEADLINE:
+
+    def median_of(make) -> float:
         def once() -> float:
             t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            make().write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
         once()
-        times[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        return round(statistics.median(once() for _ in range(runs)), 3)
+
+    fixtures = {name: median_of(lambda make=make: make(spark, sf_dir)) for name, make in fixture_makers.items()}
+    times = {name: median_of(lambda name=name: QUERIES[name](spark, sf_dir)) for name in HEADLINE}
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "sum_median_query_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "cpus": cpus, "runs": runs}))
+                      "cpus": cpus, "runs": runs, "fixture": fixtures,
+                      "fixture_of": {q: f for f, qs in FIXTURE_OF.items() for q in qs}}))
     spark.stop()
 
 
