@@ -1,0 +1,82 @@
+import pytest
+
+from llm_rules import alnum
+from rawfold.llm.decontaminate import contamination_digest, decontaminate, find_contamination
+
+
+def brute(docs, items, window=10):
+    """(doc_id, n_words, n_hit, item ids) by comparing every window with every item window."""
+    wins = {}
+    for item, text in items:
+        w = alnum(text)
+        size = min(window, len(w))
+        for i in range(len(w) - size + 1) if w else ():
+            wins.setdefault(tuple(w[i:i + size]), set()).add(item)
+    out = []
+    for doc, text in docs:
+        w, hit, found = alnum(text), set(), set()
+        for win, owners in wins.items():
+            for i in range(len(w) - len(win) + 1):
+                if tuple(w[i:i + len(win)]) == win:
+                    hit |= set(range(i, i + len(win)))
+                    found |= owners
+        out.append((doc, len(w), len(hit), sorted(str(x) for x in found if x is not None)))
+    return sorted(out, key=str)
+
+
+def flat(found):
+    return sorted(((r["doc_id"], r["n_words"], sum(s["last"] - s["first"] + 1 for s in r["spans"]), list(r["items"]))
+                   for r in found.collect()), key=str)
+
+
+def case(words):
+    items = [(1, words(30, 1)), (2, words(10, 2)), (3, "Only three WORDS"), (4, words(12, 1) + " other end"), (5, ""), (6, None),
+             (3, "second row, of item three"), (None, "an item with null id"), (10, words(25, 4))]
+    docs = [(1, words(20, 7) + " " + items[0][1].upper() + " " + words(5, 8)), (2, words(300, 9)), (3, None), (4, ""),
+            (5, "x only, three--words! y"), (6, " ".join(words(30, 1).split()[5:15])), (6, words(10, 2) * 1),
+            (7, "an item with NULL id"), (None, words(25, 4)), (8, " ".join(words(30, 1).split()[:9])),
+            (9, "only three words " * 50), (10, words(60_000, 3) + " " + words(10, 2)), (11, "second row of item three")]
+    return docs, items
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_equals_brute_force_in_one_block_and_in_many(spark, make_docs, words, block_bytes):
+    docs, items = case(words)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = find_contamination(make_docs(docs), bench, block_bytes=block_bytes)
+    assert flat(got) == brute(docs, items)
+
+
+def test_digest(spark, make_docs, words):
+    import hashlib
+    docs, items = case(words)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"])
+           for r in contamination_digest(find_contamination(make_docs(docs), bench)).collect()}
+    want = {(d, h, len(i), hashlib.sha256(",".join(i).encode()).hexdigest(), h > 0) for d, _, h, i in brute(docs, items)}
+    assert got == want
+
+
+def test_removal_of_documents_and_of_spans(spark, make_docs, words):
+    docs, items = case(words)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    d = make_docs(docs)
+    clean = {i for i, _, h, _ in brute(docs, items) if not h}
+    out = decontaminate(d, bench)
+    assert out.columns == d.columns and {r["doc_id"] for r in out.collect()} == clean
+    cut = decontaminate(make_docs([(1, "keep, this. Only three  words? and é this"), (2, None)]),
+                        spark.createDataFrame([(3, "only three words")], "item_id long, text string"), action="cut")
+    assert {(r["doc_id"], r["text"]) for r in cut.collect()} == {(1, "keep, this. ? and é this"), (2, None)}
+    with pytest.raises(ValueError):
+        decontaminate(d, bench, action="hide")
+
+
+def test_empty_tables_and_clashing_columns(spark, make_docs, words):
+    bench = spark.createDataFrame([(3, "only three words")], "item_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert find_contamination(make_docs([]), bench).count() == 0
+    assert flat(find_contamination(make_docs([(1, "only three words")]), none)) == [(1, 3, 0, [])]
+    d = make_docs([(1, "only three words"), (2, "fine")]).selectExpr(
+        "*", "1 as row", "2 as doc", "3 as spans", "4 as items", "5 as n_words", "6 as id")
+    assert [r["doc_id"] for r in decontaminate(d, bench).collect()] == [2]
+    assert flat(find_contamination(d, bench)) == [(1, 3, 3, ["3"]), (2, 1, 0, [])]
