@@ -197,7 +197,7 @@ def _cut_words(found: DataFrame, text_col: str) -> DataFrame:
             for t, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist()):
                 if t and spans:
                     raw = t.encode()
-                    places = [m.span() for m in word.finditer(raw)]
+                    places = [m.span() for m in word.finditer(raw.lower())]  # bytes: A-Z only
                     for s in reversed(spans):
                         raw = raw[:places[s["first"]][0]] + raw[places[s["last"]][1]:]
                     t = raw.decode()
