@@ -131,52 +131,133 @@ def shard_bytes(doc_ids: list, counts: list[int], ids: np.ndarray) -> Iterator[b
 
 class PieceEncoder:
     """Ids of whole texts by remembered pieces. Two generations of the memory bound it: a full one becomes the
-    old one, so frequent pieces stay."""
+    old one, so frequent pieces stay; long pieces are not remembered."""
 
-    #: a space between two characters that are no white space (Python's and the tokenizer's)
+    #: a space between two characters that are no white space (Python's, which holds all of the tokenizer's)
     CUT = re.compile(r"(?<=\S) (?=\S)")
-
-    def __init__(self, path: str, limit: int = 300_000):
+    #: texts without these, and with no white space at their ends, can be cut at every space
+    DOUBLE = ("  ", " \n", "\n ", "\t")
+    RARE = re.compile("[\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+    LONGEST = 48
+    #: words of Latin letters with punctuation after them, over one line break: the parts never merge, so a piece met
+    #: for the first time is put together from parts that are known already
+    PARTS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?#$%&*|]*)"
+                       "(?:(\n)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?#$%&*|]*))?")
+
+    def __init__(self, path: str, limit: int = 700_000):
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = {t.content for t in added.values()}
+        vocab = self.tokenizer.get_vocab()
+        #: bytes of each token: byte-level tokens are written with one character a byte
+        self.sizes = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
+        for token, i in vocab.items():
+            self.sizes[i] = len(token)
         self.limit, self.now, self.old = limit, {}, {}
+        #: ids are remembered in two bytes where they fit
+        self.dtype = np.dtype(np.uint16 if len(self.sizes) <= 1 << 16 else np.uint32)
+        self.line = self._ids("\n").tobytes()
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
-    def pieces(self, text: str) -> list[str]:
+    def pieces(self, text: str) -> tuple[str, list[str]]:
+        """(the first piece, the others without the space that begins each)."""
         if any(s in text for s in self.special):
-            return [text]  # added tokens are looked for before pieces are cut
-        parts = text.split(" ")
-        odd = [i for i, p in enumerate(parts) if not p or p[0].isspace() or p[-1].isspace()]
-        if not odd:
-            return [parts[0], *[" " + p for p in parts[1:]]]
-        cuts = [m.start() for m in self.CUT.finditer(text)]
-        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
-
-    def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.uint32)
-        parts = self.pieces(text)
-        now, old = self.now, self.old
-        missing = []
-        for p in parts:
-            if p not in now:
-                if p in old:
-                    now[p] = old[p]
-                else:
-                    now[p] = None
-                    missing.append(p)
-        for p, e in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-            now[p] = np.array(e.ids, np.uint32).tobytes()
-        ids = np.frombuffer(b"".join(map(now.__getitem__, parts)), np.uint32)
+            return text, []  # added tokens are looked for before pieces are cut
+        rare = any(c in text for c in "\r\x0b\x0c\x1c\x1d\x1e\x1f") if text.isascii() else self.RARE.search(text)
+        if rare or text[0].isspace() or text[-1].isspace() or any(d in text for d in self.DOUBLE):
+            cuts = [m.start() for m in self.CUT.finditer(text)]
+            return text[:cuts[0]] if cuts else text, [text[a + 1:b] for a, b in zip(cuts, [*cuts[1:], len(text)])]
+        first, *rest = text.split(" ")
+        return first, rest
+
+    def _learn(self, missing: list[str], before: str = " ", key: str = "") -> None:
+        """Encode pieces, each with ``before`` (a space or a line break) before it and none ending in white space, as one
+        text: they stay apart. With a line break, which is a token of its own, the ids are those of the bare piece."""
+        ids = self._ids(before + before.join(missing))
+        at = np.cumsum(self.sizes[ids])
+        ends = np.cumsum([len(p) + 1 if p.isascii() else len(p.encode("utf-8", "surrogatepass")) + 1 for p in missing])
+        cuts = np.searchsorted(at, ends) + 1
+        if not len(at) or cuts[-1] != len(ids) or (at[cuts - 1] != ends).any():  # not a byte-level vocabulary
+            for p in missing:
+                self.now[key + p] = self._ids(before * (not key) + p).tobytes()
+            return
+        width = self.dtype.itemsize
+        packed, lo, skip = ids.tobytes(), 0, width * len(key)
+        for p, hi in zip(missing, (width * cuts).tolist()):
+            self.now[key + p] = packed[lo + skip:hi]
+            lo = hi
+
+    def _known(self, key: str) -> bool:
+        if key in self.now:
+            return True
+        if key in self.old:
+            self.now[key] = self.old[key]
+            return True
+        return False
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [self.pieces(t) if t else ("", []) for t in texts]
+        now, old, odd, made = self.now, self.old, {}, []
+        missing, bare = set(), set()  # with a space before them; without (remembered under "\n" + word)
+        unknown = set().union(*(rest for _, rest in cut)).difference(now)
+        fresh = unknown.difference(old)
+        for p in unknown - fresh:
+            now[p] = old[p]
+        for p in fresh:
+            if len(p) > self.LONGEST or p[-1].isspace():
+                odd[p] = self._ids(" " + p).tobytes()
+            elif p.isalpha():
+                missing.add(p)
+            elif parts := self.PARTS.fullmatch(p):
+                word, marks, line, second, more = parts.groups()
+                made.append((p, word, marks, line, second, more))
+                if not self._known(word):
+                    missing.add(word)
+                for x in (marks, second, more):
+                    if x and not self._known("\n" + x):
+                        bare.add(x)
+            else:
+                missing.add(p)
+        for first, _ in cut:
+            if first and len(first) <= self.LONGEST and first.isalpha() and not self._known("\n" + first):
+                bare.add(first)
+        if missing:
+            self._learn(list(missing))
+        if bare:
+            self._learn(list(bare), "\n", "\n")
+        for p, word, marks, line, second, more in made:
+            ids = now[word] + now["\n" + marks] if marks else now[word]
+            if line:
+                ids += self.line + now["\n" + second] + (now["\n" + more] if more else b"")
+            now[p] = ids
+        out = []
+        for first, rest in cut:
+            known = list(map(now.__getitem__, rest)) if not odd else [odd[p] if p in odd else now[p] for p in rest]
+            if first:
+                known.insert(0, now.get("\n" + first) or self._ids(first).tobytes())
+            out.append(np.frombuffer(b"".join(known), self.dtype))
         if len(now) > self.limit:
             self.now, self.old = {}, now
-        return ids
+        return out
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text])[0]
+
+
+_ENCODERS: dict[str, PieceEncoder] = {}
+
+
+def encoder(path: str) -> PieceEncoder:
+    """One encoder a worker process, kept for its next tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = PieceEncoder(path)
+    return _ENCODERS[path]
 
 
 # --- Spark ------------------------------------------------------------------------------------------
@@ -189,7 +270,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str, *, id_col: str
                  end_id: int = 2, shards: int | None = None) -> list[dict]:
     """Write the shards; returns the manifest, one row per shard: file, docs, tokens (in order)."""
     spark = docs.sparkSession
-    bounded_batches(spark, 500)
+    bounded_batches(spark)
     fs, root = _filesystem(out)
     fs.create_dir(root, recursive=True)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
@@ -201,13 +282,12 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str, *, id_col: str
               .withColumn("part", F.spark_partition_id()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, doc_ids, counts, ids, part = PieceEncoder(tokenizer_path), [], [], [], None
-        end = np.array([end_id], np.uint32)
+        pieces, doc_ids, counts, ids, part = encoder(tokenizer_path), [], [], [], None
+        end = np.array([end_id], np.uint32).astype(pieces.dtype if end_id < 1 << 16 else np.uint32)
         for b in batches:
             part = b.column("part")[0].as_py() if len(b) and part is None else part
             doc_ids += b.column("doc_id").to_pylist()
-            for t in b.column("text"):
-                e = encoder.encode(t.as_py())
+            for e in pieces.encode_all(b.column("text").to_pylist()):
                 counts.append(len(e) + 1)
                 ids += [e, end]
             ids = [np.concatenate(ids)] if ids else []
@@ -249,19 +329,17 @@ def read_tokens(spark, out: str, manifest: list[dict]) -> DataFrame:
         return spark.createDataFrame([], schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _ENCODERS.clear()  # this worker may have written before; later stages need its memory
         for b in batches:
             for file, first in zip(b.column("file").to_pylist(), b.column("first").to_pylist()):
                 shard = open_shard(file)
-                ids, starts, crc, kept = [], [], [], []
-                for i in range(shard.n_docs):
-                    a, z = int(shard.starts[i]), int(shard.starts[i + 1])
-                    null = shard.null_ids[i >> 3] >> (i & 7) & 1
-                    ids.append(None if null else int(shard.doc_ids[i]))
-                    starts.append(first + a)
-                    kept.append(z - a)
-                    crc.append(zlib.crc32(shard.tokens(a, z).astype("<u4").tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, starts, kept, crc)],
-                                                 ["doc_id", "start", "n_tokens", "ids_crc32"])
+                tokens = shard.tokens(0, shard.n_tokens).astype("<u4")
+                at = shard.starts.astype(np.int64)
+                null = np.unpackbits(shard.null_ids, bitorder="little")[:shard.n_docs].astype(bool)
+                crc = [zlib.crc32(tokens[a:z]) for a, z in zip(at[:-1].tolist(), at[1:].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard.doc_ids, pa.int64(), mask=null), pa.array(at[:-1] + first), pa.array(np.diff(at)),
+                     pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     files = spark.createDataFrame(rows, "file string, first long").repartition(len(rows))
     return files.mapInArrow(run, schema)
