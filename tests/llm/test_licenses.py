@@ -1,3 +1,4 @@
+import itertools
 import re
 
 import pytest
@@ -64,3 +65,50 @@ def test_hundreds_of_rules_each_behind_its_keyword():
         joined = b" ".join(w).decode()
         every = suppress([Detection(*m.span(), r.label, r.priority, i) for i, r in enumerate(all_rules) for m in r.pattern.finditer(joined)])
         assert s.detect(w)[1] == every
+
+
+def matching(parsed):
+    """A text for every choice of alternatives, optional parts and letters of a parsed pattern."""
+    parts = []
+    for op, arg in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            parts.append([chr(arg)])
+        elif kind == "IN":
+            parts.append(["7" if str(o) == "CATEGORY" and "DIGIT" in str(a) else "q" if str(o) == "CATEGORY" else chr(a) for o, a in arg])
+        elif kind == "SUBPATTERN":
+            parts.append(matching(arg[-1]))
+        elif kind == "BRANCH":
+            parts.append([t for branch in arg[1] for t in matching(branch)])
+        elif kind == "MAX_REPEAT":
+            low, high, what = arg
+            parts.append([t * n for n in range(low, min(high, low + 1) + 1) for t in matching(what)])
+        else:
+            assert kind in ("ASSERT", "ASSERT_NOT"), kind
+    return ["".join(p) for p in itertools.product(*parts)]
+
+
+def unfiltered(all_rules, joined):
+    return suppress([Detection(*m.span(), r.label, r.priority, i) for i, r in enumerate(all_rules) for m in r.pattern.finditer(joined)])
+
+
+def test_the_prefilter_hides_no_match_of_any_alternative_of_any_rule():
+    all_rules, s, n = rules(), Scanner(), 0
+    for r in all_rules:
+        for text in matching(re._parser.parse(r.pattern.pattern)):
+            assert r.pattern.fullmatch(text), (r, text)
+            assert f" {r.keyword} " in f" {text} ", (r, text)
+            assert s.detect(text.encode().split())[1] == unfiltered(all_rules, text) != [], (r, text)
+            n += 1
+    assert n > 2000
+
+
+@pytest.mark.parametrize("text,label", [
+    ("SPDX-License-Identifier: BSL-1.0", "boost-1.0"), ("FreeBSD License", "bsd-2-clause"), ("Berkeley Software Distribution License", "bsd"),
+    ("PSF License", "python-2.0"), ("PSF-2.0", "python-2.0"), ("X Consortium License", "x11"), ("under the same terms as Perl itself", "artistic"),
+    ("CreativeML Open RAIL-M", "openrail-m"), ("Llama community licence", "llama-community"), ("SPDX-License-Identifier: MPL-1.1", "mpl-1.1"),
+    ("the\u00a0WTFPL", "wtfpl"), ("\u3000ISC licence", "isc")])
+def test_signatures_without_their_familys_name(text, label):
+    w = [x.encode() for x in alnum(text)]
+    hits = Scanner().detect(w)[1]
+    assert label in {h.label for h in hits} and hits == unfiltered(rules(), b" ".join(w).decode())
