@@ -256,6 +256,11 @@ def _write(file: str, a: np.ndarray) -> None:
     os.replace(own, file)
 
 
+def _drop_shuffles(spark) -> None:
+    """Spark deletes a finished step's shuffle files once the driver's JVM has collected the step's plan."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def _count(docs: DataFrame, store: Store, k: int, shards: int) -> Order:
     """Count the grams of order k of all rows of ``docs`` (text) and write their shards."""
     path = store.path
@@ -269,8 +274,8 @@ def _count(docs: DataFrame, store: Store, k: int, shards: int) -> Order:
                 if k == 1:
                     keys = tokens
                 else:
-                    *_, (_, _, ids, _) = _gram_ids(store, k - 1, tokens, sizes)
-                    word = store.find(1, tokens)[0] if k > 2 else ids
+                    grams = list(_gram_ids(store, k - 1, tokens, sizes))
+                    word, ids = grams[0][2], grams[-1][2]
                     context = np.concatenate(([0], ids[:-1]))
                     context[np.cumsum(sizes) - sizes] = store.special(k - 1)
                     keys = context.astype(np.uint64) * np.uint64(store.base) + word.astype(np.uint64)
@@ -295,6 +300,7 @@ def _count(docs: DataFrame, store: Store, k: int, shards: int) -> Order:
 
     done = (docs.mapInArrow(count, _PACK).repartition(shards, "shard").groupBy("shard")
             .applyInArrow(merge, _SIZES).collect())  # one row a shard
+    _drop_shuffles(docs.sparkSession)
     by = {r["shard"]: r for r in done}
     for s in range(shards):
         if s not in by:
@@ -339,8 +345,10 @@ def _spread(spark, store: Store, k: int, of_shard, width: int, size: int, ranges
                                       **{f"n{i}": int((n == i).sum()) for i in (1, 2, 3, 4)}}], _SIZES_ARROW)
 
     shards = len(store.orders[k].sizes)
-    return (spark.range(0, shards, 1, shards).mapInArrow(send, _PACK).repartition(ranges, "shard").groupBy("shard")
+    done = (spark.range(0, shards, 1, shards).mapInArrow(send, _PACK).repartition(ranges, "shard").groupBy("shard")
             .applyInArrow(add, _SIZES).collect())  # one row a range
+    _drop_shuffles(spark)
+    return done
 
 
 def _adjusted(store: Store, k: int, shard: int) -> np.ndarray:

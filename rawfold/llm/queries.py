@@ -43,7 +43,7 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rawfold.llm.kn_lm import build, score
     docs = _t(spark, sf_dir, "documents")
     held_out = crc_mod_col("doc_id", 5) == 1
-    store = build(docs, ~held_out)
+    store = build(docs, ~held_out, order=3)
     return (score(docs, store).withColumn("held_out", held_out).withColumn("train_tokens", F.lit(store.orders[1].total).cast("long"))
             .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))
 

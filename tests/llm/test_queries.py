@@ -37,6 +37,16 @@ def test_one_row_per_document(spark, name):
     assert got.count() == docs.count() and got.select("doc_id").exceptAll(docs.select("doc_id")).isEmpty()
 
 
+def test_op5_scores_by_contexts_of_two_words(spark):
+    from rawfold.llm.common import crc_mod_col
+    from rawfold.llm.kn_lm import build, score
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {(r["doc_id"], r["score"]) for r in QUERIES["op5_lm_score"](spark, SF).collect()}
+    learn = crc_mod_col("doc_id", 5) != 1
+    of = [{(r["doc_id"], r["score"]) for r in score(docs, build(docs, learn, order=k)).collect()} for k in (2, 3)]
+    assert got == of[1] != of[0]
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before = docs
