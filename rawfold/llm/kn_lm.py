@@ -5,6 +5,7 @@ Tokens are words (lower-cased A-Z) by a 64-bit hash, then one end token a docume
 * order 1: the sorted array of token hashes in shards by hash range, with counts; a token's id is its rank;
 * order k > 1: a gram's key is ``id of its first k-1 tokens * M + id of its last token`` (no two grams share one);
   sorted arrays of keys with counts, in shards by a hash of the key; a gram's id is its rank;
+* counts and sums have 32 bits, or 64 in the files and packs whose greatest needs them;
 * per context: the sum of its adjusted counts and its back-off weight, in one array by the context's id.
 
 Counting: a task sums equal keys of a few million tokens, packs them by shard (sorted, differences, compressed) and
@@ -70,16 +71,22 @@ def _unsqueeze(b: bytes, n: int, dtype) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(dtype).ravel()
 
 
+def fitting(values: np.ndarray):
+    """The type that holds all values: 32 bits, or 64 where the greatest needs them."""
+    return np.uint64 if len(values) and values.max() > 0xFFFFFFFF else np.uint32
+
+
 def pack(keys: np.ndarray, values: np.ndarray) -> dict:
-    """Sorted distinct keys and their values (one row each, 32 bits)."""
-    return {"n": len(keys), "keys": _squeeze(np.diff(keys, prepend=np.uint64(0))),
-            "vals": _squeeze(np.ascontiguousarray(values.astype(np.uint32)).reshape(len(keys), -1).view(np.uint32))}
+    """Sorted distinct keys and their values (one row each, of 4 or 8 bytes a value)."""
+    dtype = fitting(values)
+    return {"n": len(keys), "item": np.dtype(dtype).itemsize, "keys": _squeeze(np.diff(keys, prepend=np.uint64(0))),
+            "vals": _squeeze(np.ascontiguousarray(values.astype(dtype)).reshape(len(keys), -1))}
 
 
-def unpack(n: int, keys: bytes, vals: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+def unpack(n: int, item: int, keys: bytes, vals: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     k = np.cumsum(_unsqueeze(keys, n, np.uint64), dtype=np.uint64)
-    raw = pa.decompress(vals, decompressed_size=4 * width * n, codec="zstd", asbytes=True)
-    v = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4 * width, n).T).view(np.uint32).reshape(n, width)
+    raw = pa.decompress(vals, decompressed_size=item * width * n, codec="zstd", asbytes=True)
+    v = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(item * width, n).T).view(f"u{item}").reshape(n, width)
     return k, v
 
 
@@ -92,12 +99,12 @@ def _sum_equal(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nda
     return keys[first], np.add.reduceat(values[order].astype(np.uint64), first, axis=0)
 
 
-_PACK = "shard int, n long, keys binary, vals binary"
+_PACK = "shard int, n long, item int, keys binary, vals binary"
 
 
 def _pack_batch(rows: list[dict]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, pa.schema([("shard", pa.int32()), ("n", pa.int64()), ("keys", pa.binary()),
-                                                       ("vals", pa.binary())]))
+    return pa.RecordBatch.from_pylist(rows, pa.schema([("shard", pa.int32()), ("n", pa.int64()), ("item", pa.int32()),
+                                                       ("keys", pa.binary()), ("vals", pa.binary())]))
 
 
 def _emit(keys: np.ndarray, values: np.ndarray, shard: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -154,6 +161,11 @@ class Store:
         """M of the keys: token ids and the begin."""
         return self.orders[1].size + 1
 
+    @property
+    def neighbours(self):
+        """Type of a number of distinct left neighbours: at most all token ids and the begin."""
+        return np.uint32 if self.base <= 0xFFFFFFFF else np.uint64
+
     def special(self, k: int) -> int:
         """Id of the context of k begins."""
         return self.orders[k].size
@@ -162,13 +174,16 @@ class Store:
         return self._map(f"o{k}-{shard:05d}.keys", np.uint64)
 
     def shard_counts(self, k: int, shard: int) -> np.ndarray:
-        return self._map(f"o{k}-{shard:05d}.counts", np.uint32)
+        """32 bits a count, or 64 in a shard whose greatest needs them; its size tells."""
+        name, size = f"o{k}-{shard:05d}.counts", self.orders[k].sizes[shard]
+        wide = name not in self._maps and size and os.path.getsize(f"{self.path}/{name}") == 8 * size
+        return self._map(name, np.uint64 if wide else np.uint32)
 
     def find(self, k: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids or -1, raw counts or 0)."""
         sizes = self.orders[k].sizes
         uniq, inv = np.unique(keys, return_inverse=True)
-        ids, counts = np.full(len(uniq), -1, np.int64), np.zeros(len(uniq), np.uint32)
+        ids, counts = np.full(len(uniq), -1, np.int64), np.zeros(len(uniq), np.uint64)
         shard = _shard_of(k, uniq, len(sizes))
         by = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[by], np.arange(len(sizes) + 1))
@@ -210,7 +225,7 @@ class Store:
         return self.find(k, head.astype(np.uint64) * np.uint64(self.base) + last.astype(np.uint64))[0]
 
     def continuations(self, k: int) -> np.ndarray:
-        return self._map(f"cont{k}.bin", np.uint32)
+        return self._map(f"cont{k}.bin", self.neighbours)
 
     def contexts(self, k: int) -> np.ndarray:
         """[contexts of order k-1 and the begin, (sum, back-off weight)]."""
@@ -241,7 +256,7 @@ def _gram_ids(store: Store, upto: int, tokens: np.ndarray, sizes: np.ndarray) ->
         context = np.concatenate(([0], ids[:-1]))
         context[starts] = store.special(k - 1)
         known = (context >= 0) & (word >= 0)
-        ids, counts = np.full(len(word), -1, np.int64), np.zeros(len(word), np.uint32)
+        ids, counts = np.full(len(word), -1, np.int64), np.zeros(len(word), np.uint64)
         if k in store.orders:
             ids[known], counts[known] = store.find(
                 k, context[known].astype(np.uint64) * np.uint64(store.base) + word[known].astype(np.uint64))
@@ -261,6 +276,10 @@ def _drop_shuffles(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def _write_counts(file: str, n: np.ndarray) -> None:
+    _write(file, n.astype(fitting(n)))
+
+
 def _count(docs: DataFrame, store: Store, k: int, shards: int) -> Order:
     """Count the grams of order k of all rows of ``docs`` (text) and write their shards."""
     path = store.path
@@ -290,11 +309,11 @@ def _count(docs: DataFrame, store: Store, k: int, shards: int) -> Order:
             yield from _emit(uniq, n, _shard_of(k, uniq, shards))
 
     def merge(table: pa.Table) -> pa.Table:
-        packs = [unpack(r["n"], r["keys"], r["vals"], 1) for r in table.to_pylist()]
+        packs = [unpack(r["n"], r["item"], r["keys"], r["vals"], 1) for r in table.to_pylist()]
         keys, n = _sum_equal(np.concatenate([p[0] for p in packs]), np.concatenate([p[1] for p in packs])[:, 0])
         shard = table.column("shard")[0].as_py()
         _write(f"{path}/o{k}-{shard:05d}.keys", keys)
-        _write(f"{path}/o{k}-{shard:05d}.counts", np.minimum(n, 0xFFFFFFFF).astype(np.uint32))
+        _write_counts(f"{path}/o{k}-{shard:05d}.counts", n)
         return pa.Table.from_pylist([{"shard": shard, "size": len(keys), "total": int(n.sum()),
                                       **{f"n{i}": int((n == i).sum()) for i in (1, 2, 3, 4)}}], _SIZES_ARROW)
 
@@ -334,7 +353,7 @@ def _spread(spark, store: Store, k: int, of_shard, width: int, size: int, ranges
         lo, hi = part * step, min(size, (part + 1) * step)
         sums = np.zeros((hi - lo, width), np.uint64)
         for r in table.to_pylist():
-            ids, values = unpack(r["n"], r["keys"], r["vals"], width)
+            ids, values = unpack(r["n"], r["item"], r["keys"], r["vals"], width)
             sums[(ids - np.uint64(lo)).astype(np.int64)] += values
         place = np.ascontiguousarray(finish(sums).astype(dtype))
         with open(f"{path}/{file}", "r+b") as f:
@@ -373,7 +392,7 @@ def _context_sums(k: int):
     def of_shard(store: Store, shard: int) -> tuple[np.ndarray, np.ndarray]:
         c = _adjusted(store, k, shard)
         head = (np.asarray(store.keys(k, shard)) // np.uint64(store.base)).astype(np.int64)
-        return head, np.stack([c, c == 1, c == 2, c >= 3], axis=1).astype(np.uint32)
+        return head, np.stack([c, c == 1, c == 2, c >= 3], axis=1).astype(c.dtype)
     return of_shard
 
 
@@ -410,7 +429,7 @@ def build(docs: DataFrame, learn: Column, *, text_col: str = "text", order: int
         _spread(spark, store, k, _context_sums(k), 4, orders[k - 1].size + 1, ranges + 1, f"ctx{k}.bin", np.float32, 2,
                 _weights(orders[k].discounts()))
         lower = _spread(spark, store, k, _left_neighbours(k), 1, max(1, orders[k - 1].size), ranges, f"cont{k - 1}.bin",
-                        np.uint32, 1, lambda sums: sums)
+                        store.neighbours, 1, lambda sums: sums)
         if k > 2:
             orders[k - 1] = orders[k - 1]._replace(counts=tuple(sum(r[f"n{i}"] for r in lower) for i in (1, 2, 3, 4)))
         else:

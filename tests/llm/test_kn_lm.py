@@ -120,3 +120,36 @@ def test_nothing_to_learn_from_and_empty_table(make_docs):
         build(d, F.lit(True), order=1)
     with pytest.raises(ValueError):
         build(d, F.lit(True), path="s3://bucket/x")
+
+
+def test_counts_and_sums_beyond_32_bits_are_exact(tmp_path):
+    import numpy as np
+
+    from rawfold.llm.common import WordHashes
+    from rawfold.llm.kn_lm import _END, Order, Store, _context_sums, _emit, _sum_equal, _write_counts, pack, score_texts, unpack
+    keys, wide = np.array([3, 9], np.uint64), np.array([[5, 2**33 + 1], [2**40, 7]], np.uint64)
+    for values in (wide, wide % 1000):
+        p = pack(keys, values)
+        k, v = unpack(p["n"], p["item"], p["keys"], p["vals"], 2)
+        assert (k == keys).all() and (v == values).all()
+
+    # a word of 5e9 tokens: its count, its context's sum and its score
+    h = WordHashes()
+    tokens = sorted((h[b"a"], h[_END]))
+    counts = {h[b"a"]: 5_000_000_000, h[_END]: 10}
+    store = Store(str(tmp_path), {1: Order((2,), (0, 0, 0, 0), 5_000_000_010), 2: Order((2,))}, 2)
+    np.array(tokens, np.uint64).tofile(tmp_path / "o1-00000.keys")
+    _write_counts(f"{tmp_path}/o1-00000.counts", np.array([counts[t] for t in tokens], np.uint64))
+    a = tokens.index(h[b"a"])
+    grams = np.array(sorted(a * 3 + i for i in (0, 1)), np.uint64)
+    grams.tofile(tmp_path / "o2-00000.keys")
+    _write_counts(f"{tmp_path}/o2-00000.counts", np.array([3_000_000_000, 3_000_000_000], np.uint64))
+    assert store.find(1, np.array(tokens, np.uint64))[1].tolist() == [counts[t] for t in tokens]
+    assert store.find(2, grams)[1].tolist() == [3_000_000_000] * 2
+    ids, sums = _sum_equal(*_context_sums(2)(store, 0))
+    batch, = _emit(ids.astype(np.uint64), sums, np.zeros(1, np.int64))
+    r = batch.to_pylist()[0]
+    assert unpack(r["n"], r["item"], r["keys"], r["vals"], 4)[1].tolist() == [[6_000_000_000, 0, 0, 2]]
+    one = Store(str(tmp_path), {0: Order((2,)), 1: store.orders[1]}, 1)
+    base = score_texts(one, ["a"], h)[2][0]
+    assert base == pytest.approx(sum(math.log10((c + 0.5) / (5_000_000_010 + 1.5)) for c in counts.values()), rel=1e-12)
