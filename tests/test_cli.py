@@ -4,7 +4,7 @@ from rawfold.__main__ import main
 from rawfold.sources import driver_tables as dt
 from rawfold.sources.incremental import read_current
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_cli_builds_enabled_datasets(spark, tmp_path, capsys):

@@ -8,7 +8,7 @@ from rawfold.plans.registry import QUERIES
 from rawfold.plans.specs import SPECS
 from tools.oracle_check import TABLES, rows_of
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 @pytest.fixture(scope="module")

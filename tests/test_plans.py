@@ -3,7 +3,7 @@
 from rawfold.plans.registry import QUERIES
 from rawfold.sources import driver_tables
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _plan(df):

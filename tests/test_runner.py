@@ -13,7 +13,7 @@ from rawfold.sources import driver_tables as dt
 from rawfold.sources.incremental import read_current
 from rawfold.sources.relations import MappingSource
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 DROP = ("_last_updated", "_run_id")
 

@@ -5,7 +5,7 @@ from rawfold.sources import driver_tables as dt
 from rawfold.sources.incremental import read_current
 from rawfold.streaming import stage_stream
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_available_now_stream_stages_and_merges(spark, tmp_path):
