@@ -80,4 +80,22 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store(_t(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_chat_format, op3_toxicity, op4_exact_dedup, op5_lm_score, op6_decontaminate, op7_license_scan, op8_language_id, op9_minhash, op10_token_store)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rawfold.llm.conversations import damage, repair, repair_digest
+    turns = _t(spark, sf_dir, "conversations")
+    return repair_digest(repair(damage(turns)), turns)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rawfold.llm.fim import fill_in_middle, fim_digest
+    return fim_digest(fill_in_middle(_t(spark, sf_dir, "documents"), seed=1))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rawfold.llm.fingerprints import fingerprint_report
+    return fingerprint_report(_t(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_mixing, op2_chat_format, op3_toxicity, op4_exact_dedup, op5_lm_score, op6_decontaminate, op7_license_scan,
+    op8_language_id, op9_minhash, op10_token_store, op11_conversation_repair, op12_fill_in_middle, op13_fingerprints)}

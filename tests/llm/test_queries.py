@@ -13,7 +13,7 @@ TABLES = "documents benchmark labels conversations".split()
 
 
 def test_one_query_per_operator_and_the_pipeline():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_dups", "decontaminate", "mix", "tokens"]
 
