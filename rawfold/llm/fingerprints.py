@@ -76,7 +76,7 @@ def merge(a: Column, b: Column, *, scale: int = 8) -> Column:
 
 
 def _pairs(keys: DataFrame, parts: int) -> DataFrame:
-    """(k, id, n, c) -> (k, next, m, times): the key of each key's next row, and for how many of its rows.
+    """(k, id, n, c) -> (k, id, next, m, times): the key of each key's next row, and for how many of its rows.
 
     ``m`` is a third of the row's characters. Of c equal rows, c - 1 are followed by an equal one."""
     order = [F.col("id").desc_nulls_last(), F.col("k")]
@@ -92,8 +92,8 @@ def _pairs(keys: DataFrame, parts: int) -> DataFrame:
         F.first("first").over(all_parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("follow"))
     near = ranged.withColumn("next", F.lead("k").over(inside)).join(follow, F.col("pid") == F.col("p"))
     m = F.floor(F.col("n") / 3).cast("int")
-    other = near.select("k", F.coalesce("next", "follow").alias("next"), m.alias("m"), F.lit(1).cast("long").alias("times"))
-    same = ranged.filter("c > 1").select("k", F.col("k").alias("next"), m.alias("m"), (F.col("c") - 1).alias("times"))
+    other = near.select("k", "id", F.coalesce("next", "follow").alias("next"), m.alias("m"), F.lit(1).cast("long").alias("times"))
+    same = ranged.filter("c > 1").select("k", "id", F.col("k").alias("next"), m.alias("m"), (F.col("c") - 1).alias("times"))
     return other.unionByName(same)
 
 
@@ -110,12 +110,12 @@ def with_neighbours(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                                  F.count(F.lit(1)).alias("c"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = materialize(_pairs(keys, parts), "fingerprint-pairs")
-    # one row a key; both joins below read this one shuffle
+    # one row a key; both joins below use the same columns of it, so they read one shuffle
     base = (add_sketch(rows, "text", "sketch", words=words, scale=scale).withColumn("sketch", F.unhex("sketch"))
-            .groupBy("k").agg(F.first("id").alias("id"), F.first("text").alias("text"), F.first("sketch").alias("sketch")))
+            .groupBy("k").agg(F.first("text").alias("text"), F.first("sketch").alias("sketch")))
     sent = (base.select(F.col("k").alias("next"), F.col("text").alias("t"), F.col("sketch").alias("next_sketch"))
             .join(pairs, "next")
-            .select(F.col("k").alias("to"), "times", F.substr(F.col("t"), F.lit(1), F.col("m")).alias("head"), "next_sketch"))
+            .select(F.col("k").alias("to"), "id", "times", F.substr(F.col("t"), F.lit(1), F.col("m")).alias("head"), "next_sketch"))
     out = base.join(sent, F.col("k") == F.col("to"))
     out = out.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))))
     return out.select("id", "text", "head", *[F.lower(F.hex(c)).alias(c) for c in ("sketch", "next_sketch")])

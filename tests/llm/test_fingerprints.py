@@ -84,5 +84,8 @@ def test_likeness_is_near_that_of_the_full_sets(make_docs, words):
 
 
 def test_one_shuffle_of_the_texts_and_no_python(spark, make_docs, words):
-    plan = fingerprint_report(make_docs([(i, words(9, i)) for i in range(50)]))._jdf.queryExecution().executedPlan().toString()
-    assert "Arrow" not in plan and "Python" not in plan
+    out = fingerprint_report(make_docs([(i, words(9, i)) for i in range(50)]))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    assert "Arrow" not in plan and "Python" not in plan and plan.count("ReusedExchange") == 1
