@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from dataclasses import dataclass, field, replace
 
@@ -18,6 +19,7 @@ LAST_UPDATED = "_last_updated"
 RUN_ID = "_run_id"
 
 RATES_POLICIES = ("newest", "fail", "keep")
+WATERMARKS = ("global", "relation")
 
 
 @dataclass(frozen=True)
@@ -29,6 +31,11 @@ class Settings:
     how far its incremental loads reach back (rates: ``fx_lookback_ms`` unless named here) and ``partition_by`` the
     timestamp or date column its target is partitioned by, by day (otherwise by a hash of the rank key into
     ``target_parts`` parts, fixed when the table is created).
+    ``watermark`` is "global" (one maximum of the target, as in the source project: a store whose batch arrives after a newer one of
+    another store is not loaded) or "relation" (one for each relation, kept in the manifest). A load that meets another
+    writer's commit is merged again up to ``commit_attempts`` times. Folders of a part are rewritten once ``compact_fan`` of them are of
+    one size (counted from ``compact_smallest`` bytes). ``recency`` names datasets whose newest value of a column must be at most some
+    days older than ``as_of`` (default: now), by group: ``{"ShopifyOrders": ("updated_at", 2, ("brand",))}``.
     ``rates_policy`` says what a run does with a rate key that two relations hold: "newest" load wins, "fail", or
     "keep" both (each then doubles the fact rows it meets).
     ``seq_strategy`` numbers ``_seq_id`` with ``"split"`` (a window; parents of more than ``seq_large`` rows over
@@ -49,6 +56,12 @@ class Settings:
     partition_by: dict = field(default_factory=dict)
     target_parts: int = 32
     retain_versions: int = 2
+    watermark: str = "global"
+    commit_attempts: int = 5
+    compact_fan: int = 4
+    compact_smallest: int = 16 << 20
+    recency: dict = field(default_factory=dict)
+    as_of: dt.datetime | None = None
     rates_policy: str = "newest"
     full_refresh: bool = False
     seq_strategy: str = "split"
@@ -58,6 +71,8 @@ class Settings:
     def __post_init__(self):
         if self.rates_policy not in RATES_POLICIES:
             raise ValueError(f"rates_policy is one of {RATES_POLICIES}, not {self.rates_policy!r}")
+        if self.watermark not in WATERMARKS:
+            raise ValueError(f"watermark is one of {WATERMARKS}, not {self.watermark!r}")
 
     def with_(self, **kw) -> "Settings":
         return replace(self, **kw)

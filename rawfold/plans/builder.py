@@ -27,7 +27,7 @@ from rawfold.operators.fx import FX_CURRENCY, FX_RATE, fx_left_join
 from rawfold.operators.latest import keep_latest, row_hash, seq_id
 from rawfold.operators.nested import prefixed, struct_star, unnest_chain
 from rawfold.plans.spec import Col, DatasetSpec, Key, Pick, SStar, Star, Tz
-from rawfold.sources.incremental import RANK_KEY, RANK_ORDER, watermark_filter
+from rawfold.sources.incremental import RANK_KEY, RANK_ORDER, relation_filter
 from rawfold.sources.relations import union_relations
 
 DATON = (USER_ID, BATCH_RUNTIME, BATCH_ID)
@@ -106,10 +106,10 @@ def rank_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str], tiebr
     return {RANK_KEY: key, RANK_ORDER: F.struct(*by)}
 
 
-def parents(spec: DatasetSpec, relations, settings: Settings, *, watermark: int | None = None,
+def parents(spec: DatasetSpec, relations, settings: Settings, *, watermark: int | dict | None = None,
             lookback_ms: int = 0) -> DataFrame:
     """Union of the relations, reduced to the newest parents where the spec ranks parents (all raw columns)."""
-    where = None if watermark is None else watermark_filter(watermark, lookback_ms)
+    where = relation_filter(watermark, lookback_ms)
     a = union_relations(relations, where=where)
     return _latest(a, spec, settings) if spec.latest and spec.latest.stage == "parent" else a
 
@@ -125,10 +125,10 @@ def _latest(df: DataFrame, spec: DatasetSpec, settings: Settings, strategy: str
 
 
 def build(spec: DatasetSpec, relations, settings: Settings, *, fx: DataFrame | None = None,
-          watermark: int | None = None, lookback_ms: int = 0, include_audit: bool = True,
+          watermark: int | dict | None = None, lookback_ms: int = 0, include_audit: bool = True,
           latest_strategy: str = "auto", seq_strategy: str | None = None, carry_rank: bool = False,
           staged: DataFrame | None = None) -> DataFrame:
-    """Plan of one dataset over its raw relations (full load when ``watermark`` is None).
+    """Plan of one dataset over its raw relations (full load when ``watermark`` is None; a mapping has one for each relation).
 
     ``carry_rank`` adds the rank key and order of every row (hidden columns for later merges). ``staged`` is the result of
     ``parents`` for the same relations and rank, written once for several datasets. A dataset that numbers its rows
@@ -137,7 +137,7 @@ def build(spec: DatasetSpec, relations, settings: Settings, *, fx: DataFrame | N
     if spec.kind == "per_arm_rates":
         return build_rates(spec, relations, settings, watermark=watermark, lookback_ms=lookback_ms,
                            include_audit=include_audit, carry_rank=carry_rank)
-    where = None if watermark is None else watermark_filter(watermark, lookback_ms)
+    where = relation_filter(watermark, lookback_ms)
     lt = spec.latest
     if staged is None:
         a = union_relations(relations, exclude=spec.union_exclude, where=where)
@@ -223,7 +223,7 @@ def _post(out: DataFrame, spec: DatasetSpec) -> DataFrame:
     return out.drop(*spec.extra.get("post_drop", ()))
 
 
-def build_rates(spec: DatasetSpec, relations, settings: Settings, *, watermark: int | None = None,
+def build_rates(spec: DatasetSpec, relations, settings: Settings, *, watermark: int | dict | None = None,
                 lookback_ms: int = 0, include_audit: bool = True, carry_rank: bool = False) -> DataFrame:
     """Exchange rates: per relation, keep the newest row per (date, from, to); then UNION ALL.
 
@@ -234,8 +234,9 @@ def build_rates(spec: DatasetSpec, relations, settings: Settings, *, watermark:
     arms = []
     for r in relations:
         name, df = (r.name, r.load()) if hasattr(r, "load") else r
-        if watermark is not None:
-            df = df.filter(watermark_filter(watermark, lookback_ms))
+        cond = relation_filter(watermark, lookback_ms)(name)
+        if cond is not None:
+            df = df.filter(cond)
         cols = {c.lower() for c in df.columns}
         value = F.col("value")
         if "value_bn" in cols:

@@ -6,26 +6,20 @@
 * The filter is inclusive (``>=``), so the last batch is read again; the merge is idempotent.
 * Written rows carry their rank (hidden columns ``__rk``, ``__ro``): the merge compares versions of the same
   rank key in the same order the full build ranks them, so incremental loads equal a full build.
-* Parquet has no MERGE: a table is a set of parts (by a hash of the rank key, or by the date of a column).
-  A commit writes new folders for the touched parts only, then a numbered, immutable manifest that names
-  the folder of every part. Readers take the newest manifest. Nothing is overwritten, so a crash before the manifest
-  leaves the old version, and untouched part files keep their names.
+* Parquet has no MERGE: ``versions`` keeps a table as immutable folders and delete sets under numbered manifests.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rawfold.config import BATCH_RUNTIME
-
-RANK_KEY, RANK_ORDER, PART = "__rk", "__ro", "__part"
-HIDDEN = (RANK_KEY, RANK_ORDER, PART)
-_MANIFEST = "version long, n_parts int, part string, folder string, epoch long"
+from rawfold.sources.versions import (  # noqa: F401 - the table format is part of this module's interface
+    HIDDEN, PART, RANK_KEY, RANK_ORDER, Manifest, commit_parts, commit_version, read_current, read_manifest,
+)
 
 
 # --- watermark ----------------------------------------------------------------------------------------
@@ -47,6 +41,31 @@ def watermark_filter(watermark: int | None, lookback_ms: int = 0, column: str =
     return F.col(column) >= F.lit(watermark_value(watermark, lookback_ms))
 
 
+def relation_filter(watermark, lookback_ms: int = 0, column: str = BATCH_RUNTIME):
+    """Filter of a relation by its name: the same for all from one number (None: no filter), its own from a mapping of relation to
+    number (none for a relation that has none yet). Each is a literal in its arm of the union."""
+    def of(name: str) -> Column | None:
+        w = watermark.get(name) if isinstance(watermark, dict) else watermark
+        return None if w is None else watermark_filter(w, lookback_ms, column)
+    return of
+
+
+def newest_by_relation(arms: Sequence[tuple[str, DataFrame]], watermark=None, lookback_ms: int = 0,
+                       column: str = BATCH_RUNTIME) -> dict[str, int]:
+    """``max(column)`` of each relation, of the rows its filter leaves: one column of the load. Taken before the load itself, so a
+    batch that lands in between is read again by the next."""
+    where = relation_filter(watermark, lookback_ms, column)
+    found = None
+    for name, df in arms:
+        cond = where(name)
+        one = (df if cond is None else df.filter(cond)).select(F.lit(name).alias("r"), F.col(column).cast("long").alias("w"))
+        found = one if found is None else found.unionByName(one)
+    if found is None:
+        return {}
+    rows = found.groupBy("r").agg(F.max("w").alias("w")).collect()  # one row a relation
+    return {r["r"]: r["w"] for r in rows if r["w"] is not None}
+
+
 def watermark_subquery_sql(target_view: str, lookback_ms: int = 0, column: str = BATCH_RUNTIME) -> str:
     """The same predicate as SQL text with an uncorrelated scalar subquery."""
     if lookback_ms:
@@ -72,25 +91,32 @@ def merge_by_key(target: DataFrame | None, updates: DataFrame, keys: Sequence[st
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
-def merge_ranked(target: DataFrame | None, updates: DataFrame, *, ties: bool, reread: bool) -> DataFrame:
-    """Keep-latest over target rows and updates, both carrying ``__rk`` and ``__ro``.
+def merge_sides(target: DataFrame, updates: DataFrame, *, ties: bool, reread: bool) -> tuple[DataFrame, DataFrame]:
+    """Target rows that the updates replace, and the update rows that count; both sides carry ``__rk`` and ``__ro``.
 
     All rows of one rank key and side share their rank order (they are that side's newest). The newer side wins. Where
     both are equal: with ``reread`` (batch loads read the last batch again) the updates hold every such row and
     replace the target's; without (a stream reads each file once) rows of a tie are joined together, and a
     ``row_number`` dataset takes one side's.
     """
-    if target is None:
-        return updates
     newest_u = updates.groupBy(F.col(RANK_KEY).alias("__k")).agg(F.max(RANK_ORDER).alias("__u"))
     newest_t = (target.join(newest_u.select("__k"), F.col(RANK_KEY) == F.col("__k"), "left_semi")
                 .groupBy(F.col(RANK_KEY).alias("__k")).agg(F.max(RANK_ORDER).alias("__t")))
     older = F.col(RANK_ORDER) < F.col("__u")
-    gone = older if ties and not reread else older | (F.col(RANK_ORDER) == F.col("__u"))
-    kept = (target.join(newest_u, F.col(RANK_KEY) == F.col("__k"), "left")
-            .filter(F.col("__u").isNull() | ~gone).drop("__k", "__u"))
+    replaced = older if ties and not reread else older | (F.col(RANK_ORDER) == F.col("__u"))
+    gone = target.join(newest_u, F.col(RANK_KEY) == F.col("__k")).filter(replaced).drop("__k", "__u")
     new = (updates.join(newest_t, F.col(RANK_KEY) == F.col("__k"), "left")
            .filter(F.col("__t").isNull() | (F.col(RANK_ORDER) >= F.col("__t"))).drop("__k", "__t"))
+    return gone, new
+
+
+def merge_ranked(target: DataFrame | None, updates: DataFrame, *, ties: bool, reread: bool) -> DataFrame:
+    """Keep-latest over all target rows and updates (see ``merge_sides``)."""
+    if target is None:
+        return updates
+    gone, new = merge_sides(target, updates, ties=ties, reread=reread)
+    gone = gone.select(F.col(RANK_KEY).alias("__g")).distinct()  # a key goes with all its rows
+    kept = target.join(gone, F.col(RANK_KEY) == F.col("__g"), "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 
@@ -118,116 +144,3 @@ def write_table(df: DataFrame, path: str, *, partition_by: str | None = None,
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-
-
-# --- versions -----------------------------------------------------------------------------------------
-
-@dataclass(frozen=True)
-class Manifest:
-    """The newest version of a table: the folder of every part."""
-
-    version: int
-    n_parts: int
-    folders: dict = field(default_factory=dict)
-    epoch: int | None = None
-
-
-def read_manifest(spark: SparkSession, base: str) -> Manifest | None:
-    """The newest manifest; None only if there is none. Any other failure to read is raised."""
-    try:
-        df = spark.read.schema(_MANIFEST).json(f"{base}/_versions/*")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    newest = df.agg(F.max("version").alias("v")).first()["v"]
-    if newest is None:
-        return None
-    rows = df.filter(F.col("version") == newest).collect()  # one row a part
-    return Manifest(newest, rows[0]["n_parts"], {r["part"]: r["folder"] for r in rows if r["part"] is not None}, rows[0]["epoch"])
-
-
-def _read(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-    # parts of several versions may differ in columns; those of one do not, and their footers need not be merged
-    versions = {f.rsplit("/", 2)[-2] for f in folders}
-    return spark.read.option("mergeSchema", str(len(versions) > 1).lower()).parquet(*folders)
-
-
-def read_current(spark: SparkSession, base: str, *, hidden: bool = False) -> DataFrame | None:
-    """The current version, or None; ``hidden`` keeps the rank columns."""
-    m = read_manifest(spark, base)
-    if m is None or not m.folders:
-        return None
-    df = _read(spark, sorted(set(m.folders.values())))
-    return df if hidden else df.drop(*HIDDEN)
-
-
-def read_parts(spark: SparkSession, m: Manifest, parts: Sequence[str]) -> DataFrame | None:
-    folders = [m.folders[p] for p in parts if p in m.folders]
-    return _read(spark, folders) if folders else None
-
-
-def _write_manifest(spark: SparkSession, base: str, m: Manifest) -> None:
-    rows = [(m.version, m.n_parts, p, f, m.epoch) for p, f in sorted(m.folders.items())] or [(m.version, m.n_parts, None, None, m.epoch)]
-    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("errorifexists").json(f"{base}/_versions/{m.version:012d}")
-
-
-def commit_parts(spark: SparkSession, base: str, df: DataFrame, old: Manifest | None, touched: Sequence[str] | None, *,
-                 part: Column, n_parts: int, cluster_by: Sequence[str] = (), epoch: int | None = None,
-                 retain: int = 2, before_switch: Callable[[], None] | None = None) -> Manifest:
-    """Write ``df`` (all rows of the touched parts; None: of all) as new folders, then the next manifest.
-
-    Versions older than the newest ``retain`` are removed with the folders that only they name."""
-    version = (old.version if old else 0) + 1
-    root = f"{base}/data/{version:012d}"
-    _delete(spark, [root])  # what a crashed run of this version left; no manifest names it
-    out = df.withColumn(PART, part.cast("string"))
-    write_table(out, root, partition_by=PART, cluster_by=cluster_by)
-    if before_switch:
-        before_switch()
-    written = {p: f"{root}/{PART}={p}" for p in _part_names(spark, root)}
-    kept = {} if old is None or touched is None else {p: f for p, f in old.folders.items() if p not in set(touched)}
-    m = Manifest(version, n_parts, {**kept, **written}, epoch)
-    _write_manifest(spark, base, m)
-    _retire(spark, base, m, retain)
-    return m
-
-
-def commit_version(spark: SparkSession, base: str, df: DataFrame, *, partition_by: str | None = None,
-                   cluster_by: Sequence[str] = ()) -> Manifest:
-    """Write ``df`` as a new version of ``base`` as a whole: one part, or one by value of ``partition_by``."""
-    part = F.coalesce(F.col(partition_by).cast("string"), F.lit("null")) if partition_by else F.lit("0")
-    return commit_parts(spark, base, df, read_manifest(spark, base), None, part=part, n_parts=1, cluster_by=cluster_by)
-
-
-# --- files (through the session's Hadoop file systems, so any store Spark writes to) ----------------------
-
-def _path(spark: SparkSession, name: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(name)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _part_names(spark: SparkSession, root: str) -> list[str]:
-    p, fs = _path(spark, root)
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{PART}="))
-
-
-def _delete(spark: SparkSession, names: Sequence[str]) -> None:
-    for n in names:
-        p, fs = _path(spark, n)
-        fs.delete(p, True)
-
-
-def _retire(spark: SparkSession, base: str, m: Manifest, retain: int) -> None:
-    """Remove manifests older than the newest ``retain``, and folders no remaining one names."""
-    p, fs = _path(spark, f"{base}/_versions")
-    versions = sorted(int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit())
-    gone = [v for v in versions if v <= m.version - retain]
-    if not gone:
-        return
-    df = spark.read.schema(_MANIFEST).json([f"{base}/_versions/{v:012d}" for v in versions])
-    rows = df.select("version", "folder").distinct().collect()  # parts x retained versions
-    used = {r["folder"] for r in rows if r["version"] not in gone}
-    _delete(spark, [f"{base}/_versions/{v:012d}" for v in gone])
-    _delete(spark, sorted({r["folder"] for r in rows if r["folder"]} - used))

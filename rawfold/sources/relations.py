@@ -120,13 +120,13 @@ def _common_type(types: list[T.DataType]) -> T.DataType | None:
 
 
 def union_relations(relations: Sequence[tuple[str, DataFrame]] | Sequence[Relation],
-                    exclude: Iterable[str] = (), where: Column | str | None = None,
+                    exclude: Iterable[str] = (), where: Column | str | Callable[[str], Column | None] | None = None,
                     source_column: str = SOURCE_RELATION) -> DataFrame:
     """UNION ALL by name over a superset schema; missing columns become NULL.
 
     * ``exclude``: top-level column names dropped from every arm (case-insensitive). Dotted names
       (``"shipping_lines.tax_lines"``) are not applied here; the builder drops them from the output.
-    * ``where``: filter applied to each arm before the union (incremental watermark).
+    * ``where``: filter applied to each arm before the union (incremental watermark); a function gives each relation its own.
     * ``source_column``: the relation name of each row.
     """
     arms = [(r.name, r.load()) if isinstance(r, Relation) else r for r in relations]
@@ -137,8 +137,9 @@ def union_relations(relations: Sequence[tuple[str, DataFrame]] | Sequence[Relati
     for name, df in arms:
         keep = [c for c in df.columns if c.lower() not in drop and c.lower() != source_column.lower()]
         df = df.select(*[F.col(f"`{c}`") for c in keep])
-        if where is not None:
-            df = df.filter(F.expr(where) if isinstance(where, str) else where)
+        cond = F.expr(where) if isinstance(where, str) else where(name) if callable(where) and not isinstance(where, Column) else where
+        if cond is not None:
+            df = df.filter(cond)
         cleaned.append((name, df))
 
     # reconcile conflicting scalar types before stacking

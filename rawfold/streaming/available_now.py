@@ -18,7 +18,7 @@ from rawfold.plans.builder import build
 from rawfold.plans.runner import merge_into
 from rawfold.plans.spec import DatasetSpec
 from rawfold.session import pin_engine_conf, scratch_path
-from rawfold.sources.incremental import _delete, read_manifest
+from rawfold.sources.versions import _delete, read_manifest
 
 
 def stage_stream(spark: SparkSession, spec: DatasetSpec, raw_path: str, relation: str, target: str,

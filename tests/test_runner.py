@@ -155,3 +155,49 @@ def test_order_parents_are_staged_once_and_scratch_is_removed(spark, tmp_path):
     got = read_current(spark, str(tmp_path / "ShopifyOrdersLineItems")).drop(*DROP)
     cols = sorted(want.columns)
     assert got.select(cols).exceptAll(want.select(cols)).isEmpty() and want.select(cols).exceptAll(got.select(cols)).isEmpty()
+
+
+def test_empty_rates_are_missing_rates(spark, tmp_path):
+    source = MappingSource(spark, {"Acme_us_shopify_1_gift_cards": gift_cards(spark), "a_exchange_rates": rates_table(spark)})
+    with pytest.raises(RunFailed, match="ShopifyGiftCards: MissingRates"):
+        run_all(spark, source, str(tmp_path), Settings(enabled=BOTH), only=["ShopifyGiftCards"])
+
+
+def test_failing_rows_of_this_run_and_the_one_before_are_stored(spark, tmp_path):
+    """Two relations hold a rate key: with "keep" it fails the uniqueness check; the next run's rows come beside the last one's."""
+    settings = Settings(enabled=BOTH, rates_policy="keep")
+    for newest in (2, 3):
+        source = MappingSource(spark, {"a_exchange_rates": rates_table(spark, (2.0, 1)), "b_exchange_rates": rates_table(spark, (3.0, newest))})
+        audit = run_all(spark, source, str(tmp_path), settings, only=["ExchangeRates"]).collect()
+        assert [r.status for r in audit] == ["checks_failed:unique_keys=1"]
+    stored = spark.read.parquet(f"{tmp_path}/_failures/ExchangeRates/unique_keys").collect()
+    assert len(stored) == 2 and len({r["version"] for r in stored}) == 2 and {r["n_records"] for r in stored} == {2}
+
+
+def test_full_refresh_drops_what_the_raw_tables_no_longer_hold(spark, tmp_path):
+    loc = lambda *ids: {"Acme_us_shopify_1_locations": spark.createDataFrame([(i, NOW, NOW, "C1", "u", 100, 0) for i in ids], LOC)}
+    ids = lambda: {r["id"] for r in read_current(spark, f"{tmp_path}/ShopifyLocations").collect()}
+    run_all(spark, MappingSource(spark, loc(1, 2)), str(tmp_path), only=["ShopifyLocations"])
+    run_all(spark, MappingSource(spark, loc(2, 3)), str(tmp_path), only=["ShopifyLocations"])
+    assert ids() == {1, 2, 3}
+    run_all(spark, MappingSource(spark, loc(2, 3)), str(tmp_path), Settings(full_refresh=True), only=["ShopifyLocations"])
+    assert ids() == {2, 3}
+
+
+@pytest.mark.parametrize("days,status", [(400, "success"), (3, "checks_failed:recency=1")])
+def test_recency_is_checked_in_the_run(spark, tmp_path, days, status):
+    loc = spark.createDataFrame([(1, NOW, NOW, "C1", "u", 100, 0)], LOC)
+    settings = Settings(recency={"ShopifyLocations": ("updated_at", days, ("brand",))}, as_of=dtm.datetime(2024, 5, 1))
+    audit = run_all(spark, MappingSource(spark, {"Acme_us_shopify_1_locations": loc}), str(tmp_path), settings, only=["ShopifyLocations"])
+    assert [r.status for r in audit.collect()] == [status]
+
+
+def test_staged_parents_are_removed_when_a_run_is_interrupted(spark, tmp_path, monkeypatch):
+    from rawfold.plans import runner
+    cleaned = []
+    monkeypatch.setattr(runner._Staging, "clean", lambda self: cleaned.append(1))
+    monkeypatch.setattr(runner, "run_checks", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    loc = spark.createDataFrame([(1, NOW, NOW, "C1", "u", 100, 0)], LOC)
+    with pytest.raises(KeyboardInterrupt):
+        run_all(spark, MappingSource(spark, {"Acme_us_shopify_1_locations": loc}), str(tmp_path), only=["ShopifyLocations"])
+    assert cleaned
