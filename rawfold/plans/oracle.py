@@ -8,7 +8,7 @@ LEFT JOIN LATERAL unnest, QUALIFY ...), independent of the Spark implementation.
 from __future__ import annotations
 
 from rawfold.sources.driver_tables import (
-    ENTITY_RATE_DAYS, ENTITY_RATES_FROM, FLAT_BATCH0_MS, ORDERS_A, ORDERS_B, PRODUCT_BATCH0_MS, RATES_A, RATES_B, RELATION_SUFFIXES, flat_relation,
+    ENTITY_RATE_DAYS, ENTITY_RATES_FROM, FLAT_BATCH0_MS, MIXED_RELATIONS, ORDERS_A, ORDERS_B, PRODUCT_BATCH0_MS, RATES_A, RATES_B, RELATION_SUFFIXES, flat_relation,
 )
 
 from rawfold.plans.specs import SPECS
@@ -232,6 +232,10 @@ def _match(entity, pattern, exclude):
 SQL["relation_match"] = f"""WITH {NAMES}
 {' UNION ALL '.join(_match(s.name, s.pattern, s.exclude_pattern) for s in SPECS)}"""
 
+SQL["relation_match_schemas"] = f"""WITH {NAMES}, s AS (SELECT *, 'raw_' || lower(table_name)[1] AS table_schema FROM names)
+SELECT table_schema, relation, table_name FROM s
+WHERE table_name ILIKE '%shopify%orders%' AND NOT table_name ILIKE '%draft%' AND table_schema ILIKE 'raw_a%'"""
+
 SQL["brand_from_source"] = f"WITH {NAMES} SELECT relation, {brand('relation')} AS brand FROM names"
 SQL["integration_id"] = (f"WITH {NAMES} SELECT relation, {integration_id('relation')} "
                          f"AS _daton_sourceversion_integration_id FROM names")
@@ -239,6 +243,17 @@ SQL["integration_id_tokens"] = (f"WITH {NAMES} SELECT relation, {integration_tok
                                 f"AS _daton_sourceversion_integration_id FROM names")
 SQL["store_token"] = f"WITH {NAMES} SELECT relation, list_reverse(string_split(relation, '_'))[4] AS store FROM names"
 
+SQL["merge_on_read"] = f"""WITH {OV}, {U}
+SELECT coalesce(id, 0) AS order_id, _dbt_source_relation, _daton_batch_runtime, _daton_batch_id FROM u
+QUALIFY dense_rank() OVER (PARTITION BY coalesce(id, 0) ORDER BY _daton_batch_runtime DESC) = 1"""
+SQL["union_nested_types"] = f"""
+SELECT l_orderkey::BIGINT AS order_id, '{MIXED_RELATIONS[0]}' AS _dbt_source_relation, l_linenumber::VARCHAR AS item_id,
+    l_extendedprice::DOUBLE AS price, NULL::VARCHAR AS note FROM lineitem WHERE l_suppkey % 3 = 0
+UNION ALL SELECT l_orderkey::BIGINT, '{MIXED_RELATIONS[1]}', l_linenumber::VARCHAR, l_extendedprice::DECIMAL(18, 2)::DOUBLE, NULL FROM lineitem
+    WHERE l_suppkey % 3 = 1 QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey) = 1
+UNION ALL SELECT l_orderkey::BIGINT, '{MIXED_RELATIONS[2]}', 'L' || l_linenumber::VARCHAR, l_extendedprice::DOUBLE, l_returnflag FROM lineitem
+    WHERE l_suppkey % 3 = 2"""
+
 SQL["union_exclude"] = f"WITH {OV}, {U} SELECT * EXCLUDE (total_price, financial_status) FROM u"
 SQL["star_except"] = f"""WITH {OV}, {U}
 SELECT {brand()} AS brand, coalesce(id, 0) AS order_id,

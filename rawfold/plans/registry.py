@@ -16,10 +16,12 @@ from rawfold.operators.fx import fx_left_join
 from rawfold.operators.latest import keep_latest
 from rawfold.operators.nested import unnest_chain
 from rawfold.plans.builder import build
+from rawfold.plans.runner import merge_into
 from rawfold.plans.specs import BY_NAME, SPECS
 from rawfold.session import pin_engine_conf
 from rawfold.sources import driver_tables as dt
 from rawfold.sources.relations import union_relations
+from rawfold.sources.versions import read_current
 
 SETTINGS = Settings()
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +143,29 @@ def relation_match(spark, d):
     return out
 
 
+@query("relation_match_schemas")
+def relation_match_schemas(spark, d):
+    """Order relations of every schema that matches a pattern, as rows of an information schema."""
+    parts = F.split(F.translate("relation", "`", ""), r"\.")
+    names = dt.relation_names(spark, d).withColumn("table_schema", F.concat(F.get(parts, 1), F.lit("_"), F.substring(F.lower("table_name"), 1, 1)))
+    return match_relations(names, "%shopify%orders%", "%draft%", schema_pattern="raw_a%").select("table_schema", "relation", "table_name")
+
+
+@query("merge_on_read")
+def merge_on_read(spark, d):
+    """Orders loaded up to a cut, then the rest: read through delete sets, the rows of one build over all."""
+    base, spec = scratch_path(spark, "merge_on_read"), BY_NAME["ShopifyOrders"]
+    arms = dt.order_arms(spark, d)
+    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    for old in (True, False):
+        some = [(n, df.filter((F.col("updated_at") < cut) if old else (F.col("updated_at") >= cut))) for n, df in arms]
+        updates = build(spec, some, SETTINGS.with_(currency_conversion=False), include_audit=False, carry_rank=True)
+        path = scratch_path(spark, "merge_on_read_updates")
+        updates.write.parquet(path)
+        merge_into(spark, spec, base, spark.read.parquet(path), SETTINGS, reread=True)
+    return read_current(spark, base).select("order_id", SOURCE_RELATION, BATCH_RUNTIME, BATCH_ID)
+
+
 @query("brand_from_source")
 def brand_from_source(spark, d):
     return dt.relation_names(spark, d).select("relation", brand("relation").alias("brand"))
@@ -173,6 +198,15 @@ def union_exclude(spark, d):
     return _union(spark, d, exclude=["total_price", "financial_status"])
 
 
+@query("union_nested_types")
+def union_nested_types(spark, d):
+    """Stores whose nested items differ in type: an array of (long id, price), an array of (text id, decimal price, note), one object."""
+    u = union_relations(dt.mixed_item_arms(spark, d))
+    x = unnest_chain(u, ["items"])
+    return x.select("order_id", SOURCE_RELATION, F.col("items.id").alias("item_id"), F.col("items.price").alias("price"),
+                    F.col("items.note").alias("note"))
+
+
 @query("star_except")
 def star_except(spark, d):
     u = _union(spark, d)

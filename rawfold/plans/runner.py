@@ -104,7 +104,7 @@ def _merge_once(spark: SparkSession, spec: DatasetSpec, base: str, updates: Data
             gone, new, whole = _renumber(spark, base, old, hits, gone, updates, new, keys, spec, settings)
         folders = write_attempt(spark, base, attempt, new, part=part, cluster_by=_cluster_by(spec, settings))
         dead = {} if gone is None else write_deletes(spark, base, attempt, gone, keys)
-        return commit_load(spark, base, old, attempt, folders, dead, keys=sought, whole_parts=whole, **common)
+        return commit_load(spark, base, old, attempt, new, folders, dead, keys=sought, whole_parts=whole, **common)
     except BaseException:
         drop_attempt(spark, base, attempt)
         raise

@@ -249,6 +249,25 @@ def relation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("`lake`.`raw`.`"), table, F.lit("`")).alias("relation"))
 
 
+MIXED_RELATIONS = tuple(f"`lake`.`raw`.`{t}`" for t in ("Acme_us_shopify_1_carts", "Solo_uk_shopify_9_carts", "Zest_ca_shopify_22_carts"))
+
+
+def mixed_item_arms(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+    """Carts of three stores by ``l_suppkey % 3`` whose ``items`` differ in type: an array of (long id, double price); a single
+    object (the line of least number) with a decimal price; an array of (text id ``L<n>``, double price, note)."""
+    li = read(spark, sf_dir, "lineitem")
+    number, price = F.col("l_linenumber").cast("long"), F.col("l_extendedprice")
+    item = [F.struct(number.alias("id"), price.cast("double").alias("price")),
+            F.struct(number.cast("int").alias("id"), price.cast("decimal(18,2)").alias("price")),
+            F.struct(F.concat(F.lit("L"), _s(number)).alias("id"), price.cast("double").alias("price"), F.col("l_returnflag").alias("note"))]
+    arms = []
+    for k, name in enumerate(MIXED_RELATIONS):
+        rows = li.filter(F.col("l_suppkey") % 3 == k).groupBy(F.col("l_orderkey").cast("long").alias("order_id"))
+        items = F.min_by(item[1], F.struct("l_linenumber", "l_suppkey")) if k == 1 else F.collect_list(item[k])
+        arms.append((name, rows.agg(items.alias("items"))))
+    return arms
+
+
 FLAT_BATCH0_MS = 1_614_556_800_000  # 2021-03-01 00:00:00 UTC, first load of the flat entities
 
 

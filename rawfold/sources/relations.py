@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rawfold.config import SOURCE_RELATION
+from rawfold.sources.types import common_type, convert
 
 
 def like_regex(pattern: str) -> re.Pattern:
@@ -38,11 +39,14 @@ def matches(name: str, pattern: str, exclude: str = "") -> bool:
     return ilike(name, pattern) and not (exclude and ilike(name, exclude))
 
 
-def match_relations(names: DataFrame, pattern: str, exclude: str = "", column: str = "table_name") -> DataFrame:
-    """Filter a DataFrame of relation/table names with the same LIKE semantics, on executors."""
+def match_relations(names: DataFrame, pattern: str, exclude: str = "", column: str = "table_name", *,
+                    schema_pattern: str = "", schema_column: str = "table_schema") -> DataFrame:
+    """Filter a DataFrame of relation/table names with the same LIKE semantics, on executors; with a schema pattern also by schema."""
     cond = F.col(column).ilike(pattern)
     if exclude:
         cond = cond & ~F.col(column).ilike(exclude)
+    if schema_pattern:
+        cond = cond & F.col(schema_column).ilike(schema_pattern)
     return names.filter(cond)
 
 
@@ -60,18 +64,25 @@ class Relation:
 
 
 class CatalogSource:
-    """Raw tables registered in the Spark catalog under one schema (database)."""
+    """Raw tables registered in the Spark catalog under the schemas (databases) that match a LIKE pattern.
+
+    ``schema`` may be a plain name. A table is then known as ``<schema>.<table>``; patterns look at the table's own name."""
 
     def __init__(self, spark: SparkSession, schema: str, database: str | None = None):
         self.spark, self.schema, self.database = spark, schema, database or "spark_catalog"
 
+    def schemas(self) -> list[str]:
+        if "%" not in self.schema:
+            return [self.schema]
+        return sorted(d.name for d in self.spark.catalog.listDatabases() if ilike(d.name, self.schema))
+
     def tables(self) -> list[str]:
-        return [t.name for t in self.spark.catalog.listTables(self.schema)]
+        # views of the session belong to no schema and would come once for each
+        return [f"{s}.{t.name}" for s in self.schemas() for t in self.spark.catalog.listTables(s) if not t.isTemporary]
 
     def relation(self, table: str) -> Relation:
-        full = f"{self.schema}.{table}"
-        return Relation(relation_name(self.database, self.schema, table), table,
-                        lambda: self.spark.table(full))
+        schema, name = table.split(".", 1) if "." in table else (self.schema, table)
+        return Relation(relation_name(self.database, schema, name), name, lambda: self.spark.table(f"`{schema}`.`{name}`"))
 
 
 class MappingSource:
@@ -92,37 +103,13 @@ class MappingSource:
 
 def discover(source, pattern: str, exclude: str = "") -> list[Relation]:
     """Relations of ``source`` whose table name matches ``pattern`` and not ``exclude``; sorted by name."""
-    return [source.relation(t) for t in sorted(source.tables()) if matches(t, pattern, exclude)]
-
-
-_NUMERIC_RANK = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4, T.FloatType: 6,
-                 T.DoubleType: 7}
-
-
-def _common_type(types: list[T.DataType]) -> T.DataType | None:
-    """Type every arm is cast to when arms disagree; None = leave to ``unionByName``."""
-    if all(t == types[0] for t in types):
-        return None
-    kinds = {type(t) for t in types}
-    if kinds <= set(_NUMERIC_RANK) | {T.DecimalType}:
-        if T.DecimalType in kinds and kinds & {T.FloatType, T.DoubleType}:
-            return T.DoubleType()
-        if T.DecimalType in kinds:
-            return T.DecimalType(38, 9)
-        return max(types, key=lambda t: _NUMERIC_RANK[type(t)])
-    if kinds <= {T.TimestampType, T.TimestampNTZType, T.DateType}:
-        return T.TimestampType() if T.TimestampType in kinds else T.TimestampNTZType()
-    if any(isinstance(t, (T.StructType, T.ArrayType, T.MapType)) for t in types):
-        return None
-    # Mixed scalar kinds (e.g. bigint id in one store, string id in another): widen to string,
-    # never to a numeric type that would fail on the first non-numeric value.
-    return T.StringType()
+    return [source.relation(t) for t in sorted(source.tables()) if matches(t.rsplit(".", 1)[-1], pattern, exclude)]
 
 
 def union_relations(relations: Sequence[tuple[str, DataFrame]] | Sequence[Relation],
                     exclude: Iterable[str] = (), where: Column | str | Callable[[str], Column | None] | None = None,
                     source_column: str = SOURCE_RELATION) -> DataFrame:
-    """UNION ALL by name over a superset schema; missing columns become NULL.
+    """UNION ALL by name over a superset schema; missing columns become NULL, differing types their common one (``types``).
 
     * ``exclude``: top-level column names dropped from every arm (case-insensitive). Dotted names
       (``"shipping_lines.tax_lines"``) are not applied here; the builder drops them from the output.
@@ -142,19 +129,17 @@ def union_relations(relations: Sequence[tuple[str, DataFrame]] | Sequence[Relati
             df = df.filter(cond)
         cleaned.append((name, df))
 
-    # reconcile conflicting scalar types before stacking
-    seen: dict[str, list[T.DataType]] = {}
+    # one type a column for all arms, also inside arrays and structs; null columns where an arm has none
+    seen: dict[str, tuple[str, list[T.DataType]]] = {}
     for _, df in cleaned:
         for f in df.schema.fields:
-            seen.setdefault(f.name.lower(), []).append(f.dataType)
-    casts = {k: t for k, v in seen.items() if (t := _common_type(v)) is not None}
+            seen.setdefault(f.name.lower(), (f.name, []))[1].append(f.dataType)
+    types = {k: common_type(v) for k, (_, v) in seen.items()}
 
     tagged = []
     for name, df in cleaned:
         cols = [F.lit(name).alias(source_column)]
         for f in df.schema.fields:
-            c = F.col(f"`{f.name}`")
-            target = casts.get(f.name.lower())
-            cols.append(c.cast(target).alias(f.name) if target is not None else c)
+            cols.append(convert(F.col(f"`{f.name}`"), f.dataType, types[f.name.lower()]).alias(f.name))
         tagged.append(df.select(*cols))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)

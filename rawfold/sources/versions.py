@@ -25,6 +25,9 @@ from dataclasses import asdict, dataclass, field, replace
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rawfold.sources.types import common_type, readable
 
 RANK_KEY, RANK_ORDER, PART = "__rk", "__ro", "__part"
 HIDDEN = (RANK_KEY, RANK_ORDER, PART)
@@ -58,7 +61,8 @@ class Folder:
 
 @dataclass(frozen=True)
 class Manifest:
-    """One version of a table. ``keys`` are the columns of its delete sets; ``watermarks`` the newest batch of each relation."""
+    """One version of a table. ``keys`` are the columns of its delete sets; ``watermarks`` the newest batch of each relation;
+    ``schema`` (JSON) has the columns of all its folders, so that no file is opened to learn them."""
 
     version: int
     n_parts: int
@@ -66,6 +70,7 @@ class Manifest:
     epoch: int | None = None
     keys: tuple = (RANK_KEY,)
     watermarks: dict = field(default_factory=dict)
+    schema: str = ""
 
     def parts(self) -> dict[str, list[Folder]]:
         out: dict[str, list[Folder]] = {}
@@ -140,10 +145,24 @@ def put_manifest(spark: SparkSession, base: str, m: Manifest) -> bool:
 
 # --- reading ----------------------------------------------------------------------------------------------
 
-def _parquet(spark: SparkSession, base: str, folders: Sequence[Folder]) -> DataFrame:
-    # folders of several attempts may differ in columns; those of one do not, and their footers need not be merged
-    merge = len({f.attempt for f in folders}) > 1
-    return spark.read.option("mergeSchema", str(merge).lower()).parquet(*[f"{base}/{f.path}" for f in folders])
+def _parquet(spark: SparkSession, m: Manifest, paths: Sequence[str]) -> DataFrame:
+    return spark.read.schema(T.StructType.fromJson(json.loads(m.schema))).parquet(*paths)
+
+
+def _schema_of(old: Manifest | None, df: DataFrame) -> str:
+    """The columns of both; a column that changes its type must be readable as the new one, so only new fields and wider numbers
+    are allowed."""
+    have = df.drop(PART, ATT).schema
+    if old is None or not old.schema:
+        return json.dumps(have.jsonValue())
+    before = T.StructType.fromJson(json.loads(old.schema))
+    both = common_type([before, have])
+    for f in both.fields:
+        for side in (before, have):
+            if f.name in side.names and not readable(side[f.name].dataType, f.dataType):
+                raise TypeError(f"column {f.name} was {before[f.name].dataType.simpleString()} and is {have[f.name].dataType.simpleString()}:"
+                                " rebuild the table with full_refresh")
+    return json.dumps(both.jsonValue())
 
 
 def _placed(df: DataFrame) -> DataFrame:
@@ -159,9 +178,11 @@ def _same_keys(df: DataFrame, dead: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
-def _deletes(spark: SparkSession, base: str, attempts: Iterable[str], keys: Sequence[str]) -> DataFrame:
-    d = spark.read.parquet(*[f"{base}/deletes/{a}" for a in sorted(set(attempts))])
-    return d.select(F.col(ATT).alias("__da"), F.col(PART).alias("__dp"), *[F.col(k).alias(f"__d{i}") for i, k in enumerate(keys)])
+def _deletes(spark: SparkSession, base: str, m: Manifest, attempts: Iterable[str]) -> DataFrame:
+    fields = T.StructType.fromJson(json.loads(m.schema))
+    schema = T.StructType([T.StructField(ATT, T.StringType()), T.StructField(PART, T.StringType()), *[fields[k] for k in m.keys]])
+    d = spark.read.schema(schema).parquet(*[f"{base}/deletes/{a}" for a in sorted(set(attempts))])
+    return d.select(F.col(ATT).alias("__da"), F.col(PART).alias("__dp"), *[F.col(k).alias(f"__d{i}") for i, k in enumerate(m.keys)])
 
 
 def _alive(spark: SparkSession, base: str, m: Manifest, placed: DataFrame, folders: Sequence[Folder]) -> DataFrame:
@@ -169,7 +190,7 @@ def _alive(spark: SparkSession, base: str, m: Manifest, placed: DataFrame, folde
     attempts = [a for f in folders for a in f.deletes]
     if not attempts:
         return placed
-    dead = _deletes(spark, base, attempts, m.keys)
+    dead = _deletes(spark, base, m, attempts)
     return placed.join(dead, _same_keys(placed, dead, m.keys), "left_anti")
 
 
@@ -178,10 +199,10 @@ def read_folders(spark: SparkSession, base: str, m: Manifest, folders: Sequence[
     clean, dirty = [f for f in folders if not f.deletes], [f for f in folders if f.deletes]
     arms = []
     if clean:
-        df = _parquet(spark, base, clean)
+        df = _parquet(spark, m, [f"{base}/{f.path}" for f in clean])
         arms.append(_placed(df) if placed else df)
     if dirty:
-        df = _alive(spark, base, m, _placed(_parquet(spark, base, dirty)), dirty)
+        df = _alive(spark, base, m, _placed(_parquet(spark, m, [f"{base}/{f.path}" for f in dirty])), dirty)
         arms.append(df if placed else df.drop(ATT, PART))
     if not arms:
         return None
@@ -202,6 +223,10 @@ def read_parts(spark: SparkSession, base: str, m: Manifest, parts: Iterable[str]
 
 # --- the key index ----------------------------------------------------------------------------------------
 
+_INDEX = {"files": f"{PART} string, file string, rows long, lo string, hi string, blocks long",
+          "bloom": f"{PART} string, file string, block long, bits binary"}
+
+
 def _positions(key: str) -> list[Column]:
     return [F.pmod(F.xxhash64(F.lit(i), F.col(key)), F.lit(_BITS)) for i in range(1, _HASHES + 1)]
 
@@ -209,13 +234,13 @@ def _positions(key: str) -> list[Column]:
 def _write_index(spark: SparkSession, base: str, attempt: str) -> dict[str, int]:
     """Index the files of an attempt; rows by part."""
     root = f"{base}/data/{ATT}={attempt}"
-    df = spark.read.parquet(root)
+    df = spark.read.schema(f"{RANK_KEY} string").parquet(root)
     rows = df.select(RANK_KEY, F.col("_metadata.file_name").alias("file"),
                      F.regexp_extract(F.col("_metadata.file_path"), f"/{PART}=([^/]*)/", 1).alias(PART))
     files = rows.groupBy(PART, "file").agg(F.count(F.lit(1)).alias("rows"), F.min(RANK_KEY).alias("lo"), F.max(RANK_KEY).alias("hi"))
     files = files.withColumn("blocks", F.ceil(F.col("rows") * _BITS_A_KEY / _BITS).cast("long"))
     files.write.parquet(f"{base}/index/{attempt}/files")
-    files = spark.read.parquet(f"{base}/index/{attempt}/files")
+    files = spark.read.schema(_INDEX["files"]).parquet(f"{base}/index/{attempt}/files")
     keyed = rows.join(files.select(PART, "file", "blocks"), [PART, "file"])
     keyed = keyed.select(PART, "file", F.pmod(F.xxhash64(RANK_KEY), "blocks").alias("block"),
                          F.explode(F.array(*_positions(RANK_KEY))).alias("bit"))
@@ -248,7 +273,7 @@ def candidate_files(spark: SparkSession, base: str, folders: Sequence[Folder], k
 
 
 def _from_index(spark: SparkSession, base: str, attempts: Sequence[str], kind: str) -> DataFrame:
-    df = spark.read.parquet(*[f"{base}/index/{a}/{kind}" for a in attempts])
+    df = spark.read.schema(_INDEX[kind]).parquet(*[f"{base}/index/{a}/{kind}" for a in attempts])
     return df.withColumn(ATT, F.regexp_extract(F.col("_metadata.file_path"), f"/index/([^/]*)/{kind}/", 1))
 
 
@@ -258,8 +283,7 @@ def read_candidates(spark: SparkSession, base: str, m: Manifest, keys: DataFrame
     if not found:
         return None
     paths = [f"{base}/data/{ATT}={a}/{PART}={p}/{f}" for a, p, f in found]
-    merge = len({a for a, _, _ in found}) > 1
-    df = _placed(spark.read.option("mergeSchema", str(merge).lower()).parquet(*paths))
+    df = _placed(_parquet(spark, m, paths))
     names = {(a, p) for a, p, _ in found}
     return _alive(spark, base, m, df, [f for f in m.folders if f.name in names])
 
@@ -289,7 +313,7 @@ def write_deletes(spark: SparkSession, base: str, attempt: str, dead: DataFrame,
     """Write the delete set of an attempt from placed dead rows; dead rows by folder."""
     path = f"{base}/deletes/{attempt}"
     dead.groupBy(ATT, PART, *keys).agg(F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    counts = spark.read.parquet(path).groupBy(ATT, PART).agg(F.sum("rows").alias("n")).collect()  # one row a folder
+    counts = spark.read.schema(f"{ATT} string, {PART} string, rows long").parquet(path).groupBy(ATT, PART).agg(F.sum("rows").alias("n")).collect()  # one row a folder
     if not counts:
         _delete(spark, [path])
     return {(r[ATT], r[PART]): r["n"] for r in counts}
@@ -303,16 +327,16 @@ def _marked(folders: Iterable[Folder], attempt: str, dead: dict[tuple[str, str],
     return tuple(replace(f, dead=f.dead + dead[f.name], deletes=(*f.deletes, attempt)) if f.name in dead else f for f in folders)
 
 
-def commit_load(spark: SparkSession, base: str, old: Manifest, attempt: str, new: Sequence[Folder], dead: dict[tuple[str, str], int], *,
-                keys: DataFrame, epoch: int | None = None, watermarks: dict | None = None, whole_parts: Iterable[str] = (),
+def commit_load(spark: SparkSession, base: str, old: Manifest, attempt: str, df: DataFrame, new: Sequence[Folder],
+                dead: dict[tuple[str, str], int], *, keys: DataFrame, epoch: int | None = None, watermarks: dict | None = None, whole_parts: Iterable[str] = (),
                 retain: int = 2, before_switch: Callable[[], None] | None = None) -> Manifest:
-    """Commit a load merged with ``old``: on top of what was committed meanwhile if that does not concern its keys (with
+    """Commit a load (``df``, written as ``new``) merged with ``old``: on top of what was committed meanwhile if that does not concern its keys (with
     their parts, as for ``candidate_files``) or the parts it has read as a whole; else ``CommitConflict``."""
     if before_switch:
         before_switch()
     now = old
     while True:
-        m = replace(now, version=now.version + 1, folders=(*_marked(now.folders, attempt, dead), *new),
+        m = replace(now, version=now.version + 1, folders=(*_marked(now.folders, attempt, dead), *new), schema=_schema_of(now, df),
                     epoch=now.epoch if epoch is None else epoch,
                     watermarks={**now.watermarks, **{k: max(v, now.watermarks.get(k, v)) for k, v in (watermarks or {}).items()}})
         if put_manifest(spark, base, m):
@@ -337,7 +361,8 @@ def commit_parts(spark: SparkSession, base: str, df: DataFrame, old: Manifest |
     if before_switch:
         before_switch()
     kept = () if old is None or touched is None else tuple(f for f in old.folders if f.part not in set(touched))
-    m = Manifest((old.version if old else 0) + 1, n_parts, (*kept, *new), epoch, tuple(keys), watermarks or {})
+    m = Manifest((old.version if old else 0) + 1, n_parts, (*kept, *new), epoch, tuple(keys), watermarks or {},
+                 _schema_of(old if kept else None, df))
     if not put_manifest(spark, base, m):
         drop_attempt(spark, base, attempt)
         raise CommitConflict(f"version {m.version} of {base} was committed by another writer")

@@ -183,3 +183,14 @@ def test_each_relation_has_its_own_pushed_filter(spark, tmp_path):
     assert newest_by_relation(arms, marks) == {"a": 3000, "b": 1000, "new": 1}
     with pytest.raises(ValueError):
         Settings(watermark="store")
+
+
+def test_new_columns_and_wider_numbers_are_read_a_new_kind_is_an_error(spark, tmp_path):
+    base, settings = str(tmp_path / "t"), Settings(target_parts=1, compact_fan=99)
+    one = loads(spark, (1,), 100).withColumn("n", F.lit(5).cast("int"))
+    merge_into(spark, SPEC, base, one, settings, reread=True)
+    merge_into(spark, SPEC, base, loads(spark, (2,), 200).withColumns({"n": F.lit(6).cast("long"), "extra": F.lit("x")}), settings, reread=True)
+    assert sorted((r["id"], r["n"], r["extra"]) for r in read_current(spark, base).collect()) == [(1, 5, None), (2, 6, "x")]
+    with pytest.raises(TypeError, match="full_refresh"):
+        merge_into(spark, SPEC, base, loads(spark, (3,), 300).withColumn("n", F.lit("seven")), settings, reread=True)
+    assert read_current(spark, base).count() == 2  # and nothing was committed
