@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,16 +79,41 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of every query that ends inside, instead of when the driver's garbage happens to be collected.
+    For queries whose result is written: nothing reads their shuffles again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: cuts the lineage and is
     whole again after an executor is lost."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with shuffles_released(spark):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Remove materialized tables that no later plan reads."""
+    for df in tables:
+        if df is not None:
+            p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder, for small tables."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_released(df.sparkSession):
+        return df.checkpoint(eager=True)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawfold.llm.common import WordHashes, bounded_batches, checkpointed, materialize, space_words
+from rawfold.llm.common import WordHashes, bounded_batches, checkpointed, discard, materialize, space_words
 
 _M1, _M2, _K = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
@@ -200,7 +200,9 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percen
     both = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
     union = F.size("sa").cast("long") + F.size("sb") - common
-    return both.filter(common * 100 >= union * percent).select("a", "b")
+    links = materialize(both.filter(common * 100 >= union * percent).select("a", "b"), "near-dup-links")
+    discard(pairs, sets)
+    return links
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -257,29 +259,33 @@ def near_dup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     hubs = materialize(buckets.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", "node")).alias("hub")),
                        "near-dup-hubs")
 
+    discard(shared, weight)
     # first each class with the weightiest hub it meets, then ``rounds`` times one pair for each class that is still apart
     # from its bucket's largest component, then all pairs across components of a bucket that may be similar enough
     nodes = classes.select("node")
     tried = links = None
     comps = nodes.withColumn("comp", F.col("node"))
     for attempt in range(rounds + 2):
+        scratch: list[DataFrame] = []
         if attempt == 0:
             new = (buckets.select("key", "node").join(hubs, "key").groupBy("node").agg(F.max("hub").alias("hub"))
                    .filter("hub.node != node")
                    .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct())
+            scratch.append(hubs)
         elif attempt <= rounds:
-            new = _one_each(buckets, comps, attempt)
+            new = _one_each(buckets, comps, attempt, scratch)
         else:
-            new = _unsettled(buckets, comps, classes, docs, k, percent)
+            new = _unsettled(buckets, comps, classes, docs, k, percent, scratch)
         if new is None:
             break
         if tried is not None:
             new = new.join(tried, ["a", "b"], "left_anti")
         new = materialize(new, "near-dup-tried")
+        discard(*scratch)
         if new.isEmpty():
             continue
         tried = new if tried is None else tried.unionByName(new)
-        found = materialize(verify(new, classes, docs, k, percent), "near-dup-links")
+        found = verify(new, classes, docs, k, percent)
         if found.isEmpty():
             continue
         links = found if links is None else links.unionByName(found)
@@ -287,30 +293,39 @@ def near_dup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     named = comps.join(classes, "node").select("comp", "digest", "least")
     names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = named.join(names, "comp").select("digest", "component_id")
+    named = materialize(named.join(names, "comp").select("digest", "component_id"), "near-dup-names")
+    discard(classes, buckets)
     out = members.select("id", "digest", "n").join(named, "digest", "left")
     comp = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), comp.alias("component_id"),
                       F.col("id").eqNullSafe(comp).alias("kept"))
 
 
-def _apart(buckets: DataFrame, comps: DataFrame) -> tuple[DataFrame, DataFrame] | None:
-    """Rows (key, node, comp, main) of buckets that hold several components: all of them, and those outside the
-    bucket's largest component. None if there are none."""
-    b = materialize(buckets.select("key", "node").join(comps, "node"), "near-dup-placed")
-    sizes = b.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("parts"))
+CELL = 256  # classes of a bucket that meet in one place
+
+
+def _apart(buckets: DataFrame, comps: DataFrame, scratch: list[DataFrame]) -> tuple[DataFrame, DataFrame] | None:
+    """Rows (key, node, comp, main, cells) of buckets that hold several components: all of them, and those outside the
+    bucket's largest component; ``cells`` grows with the bucket. None if there are none. Tables written are added to ``scratch``."""
+    placed = materialize(buckets.select("key", "node").join(comps, "node"), "near-dup-placed")
+    sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("parts"),
+                                    F.ceil(F.sum("n") / CELL).cast("long").alias("cells"))
     main = materialize(main.filter("parts > 1").drop("parts"), "near-dup-apart")
+    scratch.append(main)
     if main.isEmpty():
+        discard(placed)
         return None
-    b = materialize(b.join(main, "key"), "near-dup-open")
+    b = materialize(placed.join(main, "key"), "near-dup-open")
+    scratch.append(b)
+    discard(placed)
     return b, b.filter("comp != main")
 
 
-def _one_each(buckets: DataFrame, comps: DataFrame, attempt: int) -> DataFrame | None:
+def _one_each(buckets: DataFrame, comps: DataFrame, attempt: int, scratch: list[DataFrame]) -> DataFrame | None:
     """One pair (a < b) for each class outside its bucket's largest component: with the member of that component
     whose hash, other for every attempt, is smallest; over its buckets the smallest of these."""
-    apart = _apart(buckets, comps)
+    apart = _apart(buckets, comps, scratch)
     if apart is None:
         return None
     every, minor = apart
@@ -320,32 +335,37 @@ def _one_each(buckets: DataFrame, comps: DataFrame, attempt: int) -> DataFrame |
     return best.select(F.least("node", "pick.x").alias("a"), F.greatest("node", "pick.x").alias("b")).distinct()
 
 
-def _unsettled(buckets: DataFrame, comps: DataFrame, classes: DataFrame, docs: DataFrame, k: int,
-               percent: int) -> DataFrame | None:
+def _unsettled(buckets: DataFrame, comps: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int,
+               scratch: list[DataFrame]) -> DataFrame | None:
     """Pairs (a < b) that share a bucket, lie in different components and may be similar enough: every class outside
     the bucket's largest component against every class of another component there.
 
     The comparison is the join's condition, on two bits of each of 2,048 sketch coordinates, so pairs it rules out
-    are never rows; a pair is looked at in the smallest of the keys it shares only."""
-    apart = _apart(buckets, comps)
+    are never rows; a pair is looked at in the smallest of the keys it shares only. A bucket's classes are dealt out over cells of some
+    ``CELL``, and the classes outside its largest component go to each of them, so no task holds a large bucket."""
+    apart = _apart(buckets, comps, scratch)
     if apart is None:
         return None
     every, minor = apart
     fine = materialize(_fine(_texts_of(every.select("node").distinct(), classes, docs), k), "near-dup-fine")
+    scratch.append(fine)
     fine = fine.dropDuplicates(["node"]).join(classes.select("node", "bands"), "node")
     names = [f"f{i}" for i in range(FINE // 32)]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def side(rows: DataFrame, tag: str) -> DataFrame:
-        return (rows.select("key", "node", "comp").join(fine, "node")
-                .toDF("node_" + tag, "key", "comp_" + tag, *[f"{n}_{tag}" for n in names], "bands_" + tag))
+    def side(rows: DataFrame, tag: str, cell) -> DataFrame:
+        return (rows.select("key", "node", "comp", cell.alias("cell")).join(fine, "node")
+                .toDF("node_" + tag, "key", "comp_" + tag, "cell", *[f"{n}_{tag}" for n in names], "bands_" + tag)
+                .repartition(parts, "key", "cell"))
 
-    x, y = side(minor, "x").repartition(parts, "key"), side(every, "y").repartition(parts, "key")
+    x = side(minor, "x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
+    y = side(every, "y", F.pmod(F.xxhash64("node"), "cells"))
     wrong = F.lit(0)
     for n in names:
         v = F.col(n + "_x").bitwiseXOR(F.col(n + "_y"))
         wrong = wrong + F.bit_count((v.bitwiseOR(F.shiftrightunsigned(v, 1))).bitwiseAND(F.lit(0x5555555555555555)))
-    both = x.join(y, (x["key"] == y["key"]) & (F.col("comp_x") != F.col("comp_y")) & (wrong <= most_mismatches(percent))
+    both = x.join(y, (x["key"] == y["key"]) & (x["cell"] == y["cell"]) & (F.col("comp_x") != F.col("comp_y"))
+                  & (wrong <= most_mismatches(percent))
                   & (F.array_min(F.array_intersect("bands_x", "bands_y")) == x["key"]))
     return both.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
