@@ -250,7 +250,7 @@ SQL["union_nested_types"] = f"""
 SELECT l_orderkey::BIGINT AS order_id, '{MIXED_RELATIONS[0]}' AS _dbt_source_relation, l_linenumber::VARCHAR AS item_id,
     l_extendedprice::DOUBLE AS price, NULL::VARCHAR AS note FROM lineitem WHERE l_suppkey % 3 = 0
 UNION ALL SELECT l_orderkey::BIGINT, '{MIXED_RELATIONS[1]}', l_linenumber::VARCHAR, l_extendedprice::DECIMAL(18, 2)::DOUBLE, NULL FROM lineitem
-    WHERE l_suppkey % 3 = 1 QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey) = 1
+    WHERE l_suppkey % 3 = 1 QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_extendedprice) = 1
 UNION ALL SELECT l_orderkey::BIGINT, '{MIXED_RELATIONS[2]}', 'L' || l_linenumber::VARCHAR, l_extendedprice::DOUBLE, l_returnflag FROM lineitem
     WHERE l_suppkey % 3 = 2"""
 

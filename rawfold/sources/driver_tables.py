@@ -263,7 +263,7 @@ def mixed_item_arms(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFra
     arms = []
     for k, name in enumerate(MIXED_RELATIONS):
         rows = li.filter(F.col("l_suppkey") % 3 == k).groupBy(F.col("l_orderkey").cast("long").alias("order_id"))
-        items = F.min_by(item[1], F.struct("l_linenumber", "l_suppkey")) if k == 1 else F.collect_list(item[k])
+        items = F.min_by(item[1], F.struct("l_linenumber", "l_suppkey", "l_extendedprice")) if k == 1 else F.collect_list(item[k])
         arms.append((name, rows.agg(items.alias("items"))))
     return arms
 
