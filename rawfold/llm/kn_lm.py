@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawfold.llm.common import WordHashes, bounded_batches, space_words
+from rawfold.llm.common import WordHashes, bounded_batches, shuffles_released, space_words
 from rawfold.session import scratch_path
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -271,11 +271,6 @@ def _write(file: str, a: np.ndarray) -> None:
     os.replace(own, file)
 
 
-def _drop_shuffles(spark) -> None:
-    """Spark deletes a finished step's shuffle files once the driver's JVM has collected the step's plan."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def _write_counts(file: str, n: np.ndarray) -> None:
     _write(file, n.astype(fitting(n)))
 
@@ -317,9 +312,9 @@ def _count(docs: DataFrame, store: Store, k: int, shards: int) -> Order:
         return pa.Table.from_pylist([{"shard": shard, "size": len(keys), "total": int(n.sum()),
                                       **{f"n{i}": int((n == i).sum()) for i in (1, 2, 3, 4)}}], _SIZES_ARROW)
 
-    done = (docs.mapInArrow(count, _PACK).repartition(shards, "shard").groupBy("shard")
-            .applyInArrow(merge, _SIZES).collect())  # one row a shard
-    _drop_shuffles(docs.sparkSession)
+    with shuffles_released(docs.sparkSession):
+        done = (docs.mapInArrow(count, _PACK).repartition(shards, "shard").groupBy("shard")
+                .applyInArrow(merge, _SIZES).collect())  # one row a shard
     by = {r["shard"]: r for r in done}
     for s in range(shards):
         if s not in by:
@@ -364,10 +359,9 @@ def _spread(spark, store: Store, k: int, of_shard, width: int, size: int, ranges
                                       **{f"n{i}": int((n == i).sum()) for i in (1, 2, 3, 4)}}], _SIZES_ARROW)
 
     shards = len(store.orders[k].sizes)
-    done = (spark.range(0, shards, 1, shards).mapInArrow(send, _PACK).repartition(ranges, "shard").groupBy("shard")
-            .applyInArrow(add, _SIZES).collect())  # one row a range
-    _drop_shuffles(spark)
-    return done
+    with shuffles_released(spark):
+        return (spark.range(0, shards, 1, shards).mapInArrow(send, _PACK).repartition(ranges, "shard").groupBy("shard")
+                .applyInArrow(add, _SIZES).collect())  # one row a range
 
 
 def _adjusted(store: Store, k: int, shard: int) -> np.ndarray:
