@@ -1,6 +1,7 @@
 """Incremental loads equal one full build, for every dataset spec: batch in steps, and streams in any file order."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,8 +87,17 @@ def test_runner_in_steps_equals_full_build(spark, name, fx, tmp_path):
     assert texts(got) == texts(full_build(spark, spec, rows, schema, fx))
 
 
-@pytest.mark.parametrize("spec", [s for s in STANDARD if s.name not in RUNNER], ids=lambda s: s.name)
-def test_every_table_in_two_loads_and_compacted_equals_full_build(spark, spec, fx, tmp_path):
+def shape(spec):
+    return spec.latest.stage, spec.latest.ties, spec.latest.after_fx, bool(spec.seq_by), len(spec.unnest), bool(spec.where), spec.fx is not None
+
+
+#: one spec of each shape; all of them with RAWFOLD_ALL_SPECS set
+SHAPES = list({shape(s): s for s in reversed(STANDARD) if s.name not in RUNNER}.values())
+
+
+@pytest.mark.parametrize("spec", [s for s in STANDARD if s.name not in RUNNER] if os.environ.get("RAWFOLD_ALL_SPECS") else SHAPES,
+                         ids=lambda s: s.name)
+def test_table_in_two_loads_and_compacted_equals_full_build(spark, spec, fx, tmp_path):
     from rawfold.plans.runner import _cluster_by
     from rawfold.sources.versions import compact, read_manifest
     rows, schema = raw_rows(spec)
