@@ -272,11 +272,17 @@ class Scanner:
 
 
 def suppress(found: list[Detection]) -> list[Detection]:
-    """Drop what lies inside a kept detection that goes first: higher priority, then longer, then earlier rule."""
+    """Drop what lies inside a detection that goes first: higher priority, then longer, then earlier rule; in order of place.
+
+    One sweep over the detections by start, the longer first: whatever can hold a detection has then been met, so the
+    furthest end met at its priority or a higher one decides. What is dropped may count as holding others, as what holds
+    it holds them too."""
+    furthest = dict.fromkeys({d.priority for d in found}, -1)
     kept: list[Detection] = []
-    for d in sorted(found, key=lambda d: (-d.priority, -(d.end - d.start), d.order, d.start)):
-        if not any(k.start <= d.start and d.end <= k.end for k in kept):
+    for d in sorted(found, key=lambda d: (d.start, -d.end, -d.priority, d.order)):
+        if all(end < d.end for priority, end in furthest.items() if priority >= d.priority):
             kept.append(d)
+        furthest[d.priority] = max(furthest[d.priority], d.end)
     return sorted(kept)
 
 
