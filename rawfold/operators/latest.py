@@ -103,27 +103,32 @@ def seq_id(df: DataFrame, keys: Sequence, order: Sequence, tiebreak: Sequence =
     numbering; ordering by all remaining columns last makes it repeatable (only equal rows are interchangeable).
 
     ``strategy="split"`` uses the ordinary window for every parent of at most ``large`` rows, and gives the rows of a
-    larger one out over range partitions (see ``_ranged``), so that no task holds it alone. Parents are counted by a
-    partial aggregate; both ways give the same numbers. ``"window"`` and ``"ranged"`` force one of them.
+    larger one out over range partitions (see ``_ranged``), so that no task holds it alone. The plan below is computed once: its rows
+    are written to the shared folder, parents are counted from the key columns read back, and the numbering reads the written rows.
+    ``"counted"`` is the same for rows that are stored already, without writing them again. All ways give the same
+    numbers; ``"window"`` and ``"ranged"`` force one of them.
     """
-    if strategy not in ("split", "window", "ranged"):
+    if strategy not in ("split", "counted", "window", "ranged"):
         raise ValueError(f"unknown seq_id strategy {strategy!r}")
     if strategy == "window":
         return _numbered(df, keys, order, tiebreak, name)
     if strategy == "ranged":
         return _ranged(df, keys, order, tiebreak, name)
+    from rawfold.session import scratch_path, shared_dir
+    shared_dir(df.sparkSession)
     kn = [f"__sk{i}" for i in range(len(keys))]
     d = df.withColumns({n: _col(k) for n, k in zip(kn, keys)})
-    from rawfold.session import shared_dir
-    shared_dir(df.sparkSession)
+    if strategy == "split":
+        path = scratch_path(df.sparkSession, "unnumbered")
+        d.write.parquet(path)
+        d = df.sparkSession.read.schema(d.schema).parquet(path)
     big = (d.groupBy(*kn).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > large)
            .select(*[F.col(n).alias(n + "b") for n in kn])).checkpoint(eager=True)
     if big.isEmpty():
-        return _numbered(df, keys, order, tiebreak, name)
+        return _numbered(d, kn, order, tiebreak, name).drop(*kn)
     cond = [d[n].eqNullSafe(big[n + "b"]) for n in kn]
-    small = d.join(big, cond, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
-    rest = d.join(big, cond, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
-    return _numbered(small, keys, order, tiebreak, name).unionByName(_ranged(rest, keys, order, tiebreak, name))
+    small, rest = (d.join(big, cond, how).select(*[F.col(f"`{c}`") for c in d.columns]) for how in ("left_anti", "left_semi"))
+    return _numbered(small, kn, order, tiebreak, name).unionByName(_ranged(rest, kn, order, tiebreak, name)).drop(*kn)
 
 
 def _sort_columns(df: DataFrame, keys, order, tiebreak) -> list[Column]:
@@ -145,7 +150,7 @@ def _ranged(df: DataFrame, keys, order, tiebreak, name) -> DataFrame:
     from rawfold.session import shared_dir
     shared_dir(df.sparkSession)
     cols = df.columns
-    kn = [f"__sk{i}" for i in range(len(keys))]
+    kn = [f"__pk{i}" for i in range(len(keys))]
     d = df.withColumns({n: _col(k) for n, k in zip(kn, keys)})
     sort = [F.col(k).asc_nulls_first() for k in kn] + _sort_columns(df, keys, order, tiebreak)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

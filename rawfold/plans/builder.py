@@ -132,7 +132,7 @@ def build(spec: DatasetSpec, relations, settings: Settings, *, fx: DataFrame | N
 
     ``carry_rank`` adds the rank key and order of every row (hidden columns for later merges). ``staged`` is the result of
     ``parents`` for the same relations and rank, written once for several datasets. A dataset that numbers its rows
-    with ``seq_strategy`` "split" runs one job here, which counts its parents; nothing else does.
+    with ``seq_strategy`` "split" is computed and written here, and its parents counted; nothing else runs a job.
     """
     if spec.kind == "per_arm_rates":
         return build_rates(spec, relations, settings, watermark=watermark, lookback_ms=lookback_ms,

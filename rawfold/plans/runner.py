@@ -78,6 +78,11 @@ def _cluster_by(spec: DatasetSpec, settings: Settings) -> tuple:
     return tuple(spec.cluster_by or merge_keys(spec, settings))
 
 
+def _stored(settings: Settings) -> str:
+    """The way of numbering rows that are written already."""
+    return "counted" if settings.seq_strategy == "split" else settings.seq_strategy
+
+
 def _merge_once(spark: SparkSession, spec: DatasetSpec, base: str, updates: DataFrame, settings: Settings, *, reread: bool,
                 epoch: int | None, full: bool, watermarks: dict | None, before_switch) -> Manifest:
     old = read_manifest(spark, base)
@@ -87,7 +92,7 @@ def _merge_once(spark: SparkSession, spec: DatasetSpec, base: str, updates: Data
     keys = (RANK_KEY, spec.seq_by) if spec.seq_by else (RANK_KEY,)
     if full or old is None or not old.folders:
         n_parts = settings.target_parts if old is None or full else old.n_parts
-        rows = number(updates.drop("_seq_id"), spec, settings) if spec.seq_by else updates
+        rows = number(updates.drop("_seq_id"), spec, settings, _stored(settings)) if spec.seq_by else updates
         return commit_parts(spark, base, rows, old, None, part=part_column(spec, settings, n_parts), n_parts=n_parts,
                             cluster_by=_cluster_by(spec, settings), keys=keys, **common)
     attempt, path = new_attempt(), scratch_path(spark, f"hits-{spec.name}")
@@ -123,7 +128,7 @@ def _renumber(spark: SparkSession, base: str, old: Manifest, hits: DataFrame | N
     whole = sorted(r["p"] for r in moved.select(F.col("__p").alias(by)).select(part).distinct().collect())  # at most one row a part
     there = read_parts(spark, base, old, whole, placed=True)
     if there is None:
-        return gone, number(new.drop("_seq_id"), spec, settings), whole
+        return gone, number(new.drop("_seq_id"), spec, settings, _stored(settings)), whole
     there = there.join(moved, F.col(by).eqNullSafe(F.col("__p")), "left_semi")
     alive = there
     if gone is not None:
@@ -131,7 +136,7 @@ def _renumber(spark: SparkSession, base: str, old: Manifest, hits: DataFrame | N
         same = [there[c].eqNullSafe(dead[f"__g{i}"]) for i, c in enumerate((ATT, PART, *keys))]
         alive = there.join(dead, same, "left_anti")
     rows = alive.drop(ATT, PART, "_seq_id").unionByName(new.drop("_seq_id"), allowMissingColumns=True)
-    return there.select(ATT, PART, *keys), number(rows, spec, settings), whole
+    return there.select(ATT, PART, *keys), number(rows, spec, settings, _stored(settings)), whole
 
 
 # --- running ------------------------------------------------------------------------------------------

@@ -114,3 +114,20 @@ def test_ranged_seq_id_equals_window_numbering_with_a_hot_parent(spark):
     w = {(r.t): r._seq_id for r in seq_id(df, ["p"], ["b"], ["t"], strategy="window").collect()}
     r = {(r.t): r._seq_id for r in seq_id(df, ["p"], ["b"], ["t"], strategy="ranged").collect()}
     assert w == r
+
+
+@pytest.mark.parametrize("large", [10, 10_000])
+def test_split_seq_id_computes_the_plan_below_once(spark, large):
+    computed = spark.sparkContext.accumulator(0)
+
+    def seen(i):
+        computed.add(1)
+        return (0 if i % 3 else i, i % 7, i)
+    df = spark.createDataFrame(spark.sparkContext.parallelize(range(600), 5).map(seen), "p int, b int, t int")
+    out = seq_id(df, [F.coalesce("p", F.lit(0))], ["b"], ["t"], large=large)
+    got = {r.t: r._seq_id for r in out.collect()}
+    assert computed.value == 600 and out.columns == ["p", "b", "t", "_seq_id"]
+    assert "unnumbered-" in "".join(out.inputFiles()) or large == 10  # the ranged part is read from its checkpoint
+    assert got == {r.t: r._seq_id for r in seq_id(df, ["p"], ["b"], ["t"], strategy="window").collect()}
+    plain = spark.createDataFrame(df.collect(), df.schema)
+    assert got == {r.t: r._seq_id for r in seq_id(plain, ["p"], ["b"], ["t"], strategy="counted", large=large).collect()}
