@@ -31,6 +31,8 @@ class Settings:
     how far its incremental loads reach back (rates: ``fx_lookback_ms`` unless named here) and ``partition_by`` the
     timestamp or date column its target is partitioned by, by day (otherwise by a hash of the rank key into
     ``target_parts`` parts, fixed when the table is created).
+    ``interleave`` names datasets whose folders are clustered by several columns alike, along a Z curve, instead of sorted by their
+    keys: ``{"ShopifyOrders": ("customer_id", "created_at")}``.
     ``watermark`` is "global" (one maximum of the target, as in the source project: a store whose batch arrives after a newer one of
     another store is not loaded) or "relation" (one for each relation, kept in the manifest). A load that meets another
     writer's commit is merged again up to ``commit_attempts`` times. Folders of a part are rewritten once ``compact_fan`` of them are of
@@ -54,6 +56,7 @@ class Settings:
     patterns: dict = field(default_factory=dict)
     lookback_ms: dict = field(default_factory=dict)
     partition_by: dict = field(default_factory=dict)
+    interleave: dict = field(default_factory=dict)
     target_parts: int = 32
     retain_versions: int = 2
     watermark: str = "global"

@@ -306,6 +306,9 @@ UNION ALL
 SELECT * FROM upd"""
 SQL["partition_by_date"] = f"""WITH {OV}, {U}
 SELECT CAST(created_at AS DATE) AS created_date, count(*) AS row_count FROM u GROUP BY 1"""
+SQL["cluster_interleaved"] = f"""WITH {OV}, {U}
+SELECT _dbt_source_relation, CAST(updated_at AS DATE) AS updated_date, count(*) AS row_count, min(id) AS min_id, max(id) AS max_id
+FROM u WHERE updated_at >= DATE '1997-01-01' GROUP BY 1, 2"""
 SQL["run_audit"] = f"""WITH {OV}, {U}, {FX}, staged AS ({ORDERS_BODY})
 SELECT 'manual' AS run_id, 'ShopifyOrders' AS dataset, count(*) AS row_count,
     max(_daton_batch_runtime) AS max_batch_runtime, 'success' AS status FROM staged"""

@@ -117,6 +117,7 @@ from rawfold.operators.latest import seq_id as seq_id_op  # noqa: E402
 from rawfold.operators.nested import drop_nested_fields, prefixed, struct_star  # noqa: E402
 from rawfold.operators.quality import check_not_null, check_recency, check_unique, run_record  # noqa: E402
 from rawfold.session import scratch_path  # noqa: E402
+from rawfold.sources.clustering import Interleaved  # noqa: E402
 from rawfold.sources.incremental import (  # noqa: E402
     high_watermark, merge_by_key, watermark_filter, watermark_subquery_sql, write_table,
 )
@@ -312,6 +313,16 @@ def partition_by_date(spark, d):
     return back.groupBy("created_date").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query("cluster_interleaved")
+def cluster_interleaved(spark, d):
+    """Write along a Z curve over three columns; what a filter on the second one reads back, by store and day."""
+    path = scratch_path(spark, "cluster_interleaved")
+    write_table(_union(spark, d), path, cluster_by=Interleaved(("id", "updated_at", "total_price")))
+    recent = spark.read.parquet(path).filter(F.col("updated_at") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+    return (recent.groupBy(SOURCE_RELATION, F.to_date("updated_at").alias("updated_date"))
+            .agg(F.count(F.lit(1)).alias("row_count"), F.min("id").alias("min_id"), F.max("id").alias("max_id")))
+
+
 @query("run_audit")
 def run_audit(spark, d):
     return run_record(spark, "ShopifyOrders", shopify_orders(spark, d), SETTINGS.run_id)

@@ -21,6 +21,7 @@ from rawfold.operators.quality import check_not_null, check_recency, check_uniqu
 from rawfold.plans.builder import build, number, parents, rank_keys, tiebreak_of
 from rawfold.plans.specs import SPECS, DatasetSpec, is_enabled, merge_keys
 from rawfold.session import pin_engine_conf, scratch_path
+from rawfold.sources.clustering import Interleaved
 from rawfold.sources.incremental import high_watermark, merge_sides, newest_by_relation
 from rawfold.sources.versions import (
     ATT, HIDDEN, PART, RANK_KEY, RANK_ORDER, CommitConflict, Manifest, _delete, commit_load, commit_parts, compact, drop_attempt,
@@ -75,6 +76,8 @@ def merge_into(spark: SparkSession, spec: DatasetSpec, base: str, updates: DataF
 
 
 def _cluster_by(spec: DatasetSpec, settings: Settings) -> tuple:
+    if spec.name in settings.interleave:
+        return Interleaved(settings.interleave[spec.name])
     return tuple(spec.cluster_by or merge_keys(spec, settings))
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rawfold.config import BATCH_RUNTIME
+from rawfold.sources.clustering import Interleaved, curve
 from rawfold.sources.versions import (  # noqa: F401 - the table format is part of this module's interface
     HIDDEN, PART, RANK_KEY, RANK_ORDER, Manifest, commit_parts, commit_version, read_current, read_manifest,
 )
@@ -129,7 +130,15 @@ def layout_for_write(df: DataFrame, cluster_by: Sequence[str] = (), partition_by
     Range partitioning (sampled bounds) spreads a hot date over several tasks by its cluster keys,
     where hashing on the date alone would send the whole day to one task; the row hash last splits rows that are equal
     in all of these (null ids that default to 0). Each task then writes a few contiguous, sorted date folders.
+    ``Interleaved`` keys are laid out along a Z curve instead, within each partition value.
     """
+    if isinstance(cluster_by, Interleaved) and cluster_by:
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        first = [partition_by] if partition_by else []
+        placed = curve(df, [c for c in cluster_by if c != partition_by])
+        hashable = [f"`{f.name}`" for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        return (placed.repartitionByRange(n, *first, "__z", F.xxhash64(*hashable))
+                .sortWithinPartitions(*first, "__z", *[F.col(f"`{c}`") for c in cluster_by]).drop("__z"))
     by = ([partition_by] if partition_by else []) + [c for c in cluster_by if c != partition_by]
     if not by:
         return df
