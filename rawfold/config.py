@@ -30,7 +30,8 @@ class Settings:
     relation patterns (``{"ShopifyOrders": ("%orders_v2", "%draft%")}``: pattern, exclude pattern), ``lookback_ms``
     how far its incremental loads reach back (rates: ``fx_lookback_ms`` unless named here) and ``partition_by`` the
     timestamp or date column its target is partitioned by, by day (otherwise by a hash of the rank key into
-    ``target_parts`` parts, fixed when the table is created).
+    ``target_parts`` parts, fixed when the table is created). Days become months, months years, once a table would have more
+    than ``max_parts`` parts by time; it is laid out anew then.
     ``interleave`` names datasets whose folders are clustered by several columns alike, along a Z curve, instead of sorted by their
     keys: ``{"ShopifyOrders": ("customer_id", "created_at")}``.
     ``watermark`` is "global" (one maximum of the target, as in the source project: a store whose batch arrives after a newer one of
@@ -58,6 +59,7 @@ class Settings:
     partition_by: dict = field(default_factory=dict)
     interleave: dict = field(default_factory=dict)
     target_parts: int = 32
+    max_parts: int = 4_000  # fixed value: the most parts that a partitioned warehouse table may have
     retain_versions: int = 2
     watermark: str = "global"
     commit_attempts: int = 5
@@ -77,5 +79,8 @@ class Settings:
         if self.watermark not in WATERMARKS:
             raise ValueError(f"watermark is one of {WATERMARKS}, not {self.watermark!r}")
 
+        if self.max_parts < 2:
+            raise ValueError("max_parts is 2 or more")
+
     def with_(self, **kw) -> "Settings":
         return replace(self, **kw)

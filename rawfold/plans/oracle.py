@@ -306,6 +306,11 @@ UNION ALL
 SELECT * FROM upd"""
 SQL["partition_by_date"] = f"""WITH {OV}, {U}
 SELECT CAST(created_at AS DATE) AS created_date, count(*) AS row_count FROM u GROUP BY 1"""
+SQL["partition_granularity"] = f"""WITH {OV}, {U}, newest AS (
+  SELECT coalesce(id, 0) AS order_id, updated_at FROM u
+  QUALIFY dense_rank() OVER (PARTITION BY coalesce(id, 0) ORDER BY _daton_batch_runtime DESC) = 1)
+SELECT coalesce(strftime(updated_at, '%Y-%m'), 'null') AS part, count(*) AS row_count, min(order_id) AS min_order_id,
+    max(order_id) AS max_order_id FROM newest GROUP BY 1"""
 SQL["cluster_interleaved"] = f"""WITH {OV}, {U}
 SELECT _dbt_source_relation, CAST(updated_at AS DATE) AS updated_date, count(*) AS row_count, min(id) AS min_id, max(id) AS max_id
 FROM u WHERE updated_at >= DATE '1997-01-01' GROUP BY 1, 2"""

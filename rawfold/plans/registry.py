@@ -21,7 +21,7 @@ from rawfold.plans.specs import BY_NAME, SPECS
 from rawfold.session import pin_engine_conf
 from rawfold.sources import driver_tables as dt
 from rawfold.sources.relations import union_relations
-from rawfold.sources.versions import read_current
+from rawfold.sources.versions import PART, read_current, read_folders
 
 SETTINGS = Settings()
 Query = Callable[[SparkSession, str], DataFrame]
@@ -313,6 +313,23 @@ def partition_by_date(spark, d):
     return back.groupBy("created_date").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query("partition_granularity")
+def partition_granularity(spark, d):
+    """Orders merged into parts by time: days at first, months once the days are more than the bound; rows by part."""
+    base, spec = scratch_path(spark, "partition_granularity"), BY_NAME["ShopifyOrders"]
+    settings = SETTINGS.with_(currency_conversion=False, timezone_conversion=False, partition_by={spec.name: "updated_at"}, max_parts=400)
+    arms = dt.order_arms(spark, d)
+    cut = F.lit("1993-01-01 00:00:00").cast("timestamp_ntz")
+    for old in (True, False):
+        some = [(n, df.filter((F.col("updated_at") < cut) if old else (F.col("updated_at") >= cut))) for n, df in arms]
+        path = scratch_path(spark, "partition_granularity_updates")
+        build(spec, some, settings, include_audit=False, carry_rank=True).write.parquet(path)
+        m = merge_into(spark, spec, base, spark.read.parquet(path), settings, reread=True)
+    rows = read_folders(spark, base, m, m.folders, placed=True)
+    return rows.groupBy(F.col(PART).alias("part")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("order_id").alias("min_order_id"), F.max("order_id").alias("max_order_id"))
+
+
 @query("cluster_interleaved")
 def cluster_interleaved(spark, d):
     """Write along a Z curve over three columns; what a filter on the second one reads back, by store and day."""

@@ -22,10 +22,11 @@ from rawfold.plans.builder import build, number, parents, rank_keys, tiebreak_of
 from rawfold.plans.specs import SPECS, DatasetSpec, is_enabled, merge_keys
 from rawfold.session import pin_engine_conf, scratch_path
 from rawfold.sources.clustering import Interleaved
+from rawfold.sources.granularity import choose_grain, period
 from rawfold.sources.incremental import high_watermark, merge_sides, newest_by_relation
 from rawfold.sources.versions import (
     ATT, HIDDEN, PART, RANK_KEY, RANK_ORDER, CommitConflict, Manifest, _delete, commit_load, commit_parts, compact, drop_attempt,
-    new_attempt, read_candidates, read_current, read_manifest, read_parts, write_attempt, write_deletes,
+    new_attempt, read_candidates, read_current, read_folders, read_manifest, read_parts, write_attempt, write_deletes,
 )
 from rawfold.sources.relations import discover
 
@@ -42,19 +43,40 @@ class RunFailed(RuntimeError):
 
 # --- parts --------------------------------------------------------------------------------------------
 
-def part_column(spec: DatasetSpec, settings: Settings, n_parts: int) -> Column:
-    """The part a row belongs to: its day, or a hash of its rank key; of its parent where rows are numbered, so that
-    a parent's rows share a part."""
-    by = settings.partition_by.get(spec.name, spec.partition_by)
-    if by and not spec.seq_by:
-        return F.coalesce(F.to_date(F.col(by)).cast("string"), F.lit("null"))
+def _time_column(spec: DatasetSpec, settings: Settings) -> str | None:
+    """The column whose date is a row's part; None for parts by hash."""
+    return None if spec.seq_by else settings.partition_by.get(spec.name, spec.partition_by)
+
+
+def part_column(spec: DatasetSpec, settings: Settings, n_parts: int, grain: str = "day") -> Column:
+    """The part a row belongs to: its day (or month, year), or a hash of its rank key; of its parent where rows are numbered, so
+    that a parent's rows share a part."""
+    by = _time_column(spec, settings)
+    if by:
+        return period(by, grain)
     key = F.col(spec.seq_by).cast("string") if spec.seq_by else F.col(RANK_KEY)
     return F.pmod(F.xxhash64(key), F.lit(n_parts)).cast("string")
 
 
 def _part_of_key(spec: DatasetSpec, settings: Settings) -> bool:
     """Whether a row's part follows from its rank key."""
-    return not spec.seq_by and not settings.partition_by.get(spec.name, spec.partition_by)
+    return not spec.seq_by and not _time_column(spec, settings)
+
+
+def _grain(spec: DatasetSpec, settings: Settings, updates: DataFrame, old: Manifest | None) -> str:
+    """The grain of parts by time once the updates are in."""
+    by, now = _time_column(spec, settings), old.grain if old else "day"
+    if not by:
+        return now
+    return choose_grain(updates, by, settings.max_parts, {f.part for f in old.folders} if old else (), now)
+
+
+def _lay_out(spark: SparkSession, spec: DatasetSpec, base: str, old: Manifest, grain: str, settings: Settings) -> Manifest:
+    """All live rows in parts of a coarser grain, as a version of its own. At most three times in a table's life."""
+    rows = read_folders(spark, base, old, old.folders)
+    return commit_parts(spark, base, rows, old, None, part=part_column(spec, settings, old.n_parts, grain), n_parts=old.n_parts,
+                        cluster_by=_cluster_by(spec, settings), epoch=old.epoch, keys=old.keys, watermarks=old.watermarks,
+                        grain=grain, retain=settings.retain_versions)
 
 
 def merge_into(spark: SparkSession, spec: DatasetSpec, base: str, updates: DataFrame, settings: Settings, *,
@@ -96,10 +118,14 @@ def _merge_once(spark: SparkSession, spec: DatasetSpec, base: str, updates: Data
     if full or old is None or not old.folders:
         n_parts = settings.target_parts if old is None or full else old.n_parts
         rows = number(updates.drop("_seq_id"), spec, settings, _stored(settings)) if spec.seq_by else updates
-        return commit_parts(spark, base, rows, old, None, part=part_column(spec, settings, n_parts), n_parts=n_parts,
-                            cluster_by=_cluster_by(spec, settings), keys=keys, **common)
+        grain = _grain(spec, settings, updates, None)
+        return commit_parts(spark, base, rows, old, None, part=part_column(spec, settings, n_parts, grain), n_parts=n_parts,
+                            cluster_by=_cluster_by(spec, settings), keys=keys, grain=grain, **common)
+    grain = _grain(spec, settings, updates, old)
+    if grain != old.grain:
+        old = _lay_out(spark, spec, base, old, grain, settings)
     attempt, path = new_attempt(), scratch_path(spark, f"hits-{spec.name}")
-    part = part_column(spec, settings, old.n_parts)
+    part = part_column(spec, settings, old.n_parts, old.grain)
     sought = updates.select(RANK_KEY, (part if _part_of_key(spec, settings) else F.lit(None).cast("string")).alias(PART))
     try:
         gone, new, whole = None, updates, []
@@ -127,7 +153,7 @@ def _renumber(spark: SparkSession, base: str, old: Manifest, hits: DataFrame | N
     by = spec.seq_by
     moved = updates.select(F.col(by).alias("__p"))
     moved = (moved if hits is None else moved.unionByName(hits.select(F.col(by).alias("__p")))).distinct()
-    part = part_column(spec, settings, old.n_parts).alias("p")
+    part = part_column(spec, settings, old.n_parts, old.grain).alias("p")
     whole = sorted(r["p"] for r in moved.select(F.col("__p").alias(by)).select(part).distinct().collect())  # at most one row a part
     there = read_parts(spark, base, old, whole, placed=True)
     if there is None:

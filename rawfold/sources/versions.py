@@ -62,7 +62,7 @@ class Folder:
 @dataclass(frozen=True)
 class Manifest:
     """One version of a table. ``keys`` are the columns of its delete sets; ``watermarks`` the newest batch of each relation;
-    ``schema`` (JSON) has the columns of all its folders, so that no file is opened to learn them."""
+    ``schema`` (JSON) has the columns of all its folders, so that no file is opened to learn them; ``grain`` is that of parts by time."""
 
     version: int
     n_parts: int
@@ -71,6 +71,7 @@ class Manifest:
     keys: tuple = (RANK_KEY,)
     watermarks: dict = field(default_factory=dict)
     schema: str = ""
+    grain: str = "day"
 
     def parts(self) -> dict[str, list[Folder]]:
         out: dict[str, list[Folder]] = {}
@@ -346,7 +347,7 @@ def commit_load(spark: SparkSession, base: str, old: Manifest, attempt: str, df:
         before, after = {f.name: f for f in old.folders}, {f.name: f for f in now.folders}
         added = [f for name, f in after.items() if name not in before]
         changed = {name for name, f in before.items() if after.get(name) != f}
-        if (now.n_parts != old.n_parts or (epoch is not None and now.epoch is not None and now.epoch >= epoch)
+        if (now.n_parts != old.n_parts or now.grain != old.grain or (epoch is not None and now.epoch is not None and now.epoch >= epoch)
                 or set(dead) - set(after) or {f.part for f in added} & set(whole_parts)
                 or {p for _, p in changed} & set(whole_parts) or candidate_files(spark, base, added, keys)):
             raise CommitConflict(f"version {now.version} of {base} holds keys of this load")
@@ -354,7 +355,8 @@ def commit_load(spark: SparkSession, base: str, old: Manifest, attempt: str, df:
 
 def commit_parts(spark: SparkSession, base: str, df: DataFrame, old: Manifest | None, touched: Sequence[str] | None, *,
                  part: Column, n_parts: int, cluster_by: Sequence[str] = (), epoch: int | None = None, keys: Sequence[str] = (RANK_KEY,),
-                 watermarks: dict | None = None, retain: int = 2, before_switch: Callable[[], None] | None = None) -> Manifest:
+                 watermarks: dict | None = None, grain: str = "day", retain: int = 2,
+                 before_switch: Callable[[], None] | None = None) -> Manifest:
     """Write ``df`` (all rows of the touched parts; None: of all) as new folders in place of those parts' folders."""
     attempt = new_attempt()
     new = write_attempt(spark, base, attempt, df, part=part, cluster_by=cluster_by)
@@ -362,7 +364,7 @@ def commit_parts(spark: SparkSession, base: str, df: DataFrame, old: Manifest |
         before_switch()
     kept = () if old is None or touched is None else tuple(f for f in old.folders if f.part not in set(touched))
     m = Manifest((old.version if old else 0) + 1, n_parts, (*kept, *new), epoch, tuple(keys), watermarks or {},
-                 _schema_of(old if kept else None, df))
+                 _schema_of(old if kept else None, df), grain)
     if not put_manifest(spark, base, m):
         drop_attempt(spark, base, attempt)
         raise CommitConflict(f"version {m.version} of {base} was committed by another writer")

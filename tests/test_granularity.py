@@ -1,0 +1,112 @@
+"""Parts by time: names and counts at each grain, tables that pass the bound, hot days, writers that meet a new layout."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from rawfold.config import Settings
+from rawfold.plans.builder import build
+from rawfold.plans.runner import merge_into
+from rawfold.plans.specs import BY_NAME
+from rawfold.sources.granularity import choose_grain, coarsened, period
+from rawfold.sources.versions import read_current, read_manifest
+
+SPEC = BY_NAME["ShopifyLocations"]
+SCHEMA = ("id long, created_at timestamp_ntz, updated_at timestamp_ntz, v string, _daton_user_id string, "
+          "_daton_batch_runtime long, _daton_batch_id long")
+T = dt.datetime(2000, 1, 1)
+NAME = "`lake`.`raw`.`Acme_us_shopify_1_locations`"
+
+
+def settings(most, **kw):
+    return Settings(partition_by={SPEC.name: "created_at"}, timezone_conversion=False, max_parts=most, **kw)
+
+
+def load(spark, days, batch, s):
+    """One row for each (id, day or None); its value names the batch."""
+    raw = spark.createDataFrame([(i, None if d is None else T + dt.timedelta(days=d, hours=5), T, f"{batch}-{i}", "u", batch, 0)
+                                 for i, d in days], SCHEMA)
+    out = build(SPEC, [(NAME, raw)], s, include_audit=False, carry_rank=True)
+    return spark.createDataFrame(out.collect(), out.schema)
+
+
+def rows(spark, base):
+    return sorted((r["id"], str(r["created_at"]), r["v"]) for r in read_current(spark, base).collect())
+
+
+def test_names_of_parts(spark):
+    d = spark.sql("SELECT explode(array(DATE'2024-01-05', DATE'2024-02-29', DATE'0007-12-31', DATE'-0044-03-15', DATE'+12024-05-06', NULL)) AS t")
+    got = {g: [r["p"] for r in d.select(period("t", g).alias("p")).collect()] for g in ("day", "month", "year", "all")}
+    assert got["day"] == ["2024-01-05", "2024-02-29", "0007-12-31", "-0044-03-15", "+12024-05-06", "null"]
+    assert got["month"] == ["2024-01", "2024-02", "0007-12", "-0044-03", "+12024-05", "null"]
+    assert got["year"] == ["2024", "2024", "0007", "-0044", "+12024", "null"] and got["all"] == ["all"] * 5 + ["null"]
+    for i, fine in enumerate(got):
+        for coarse in list(got)[i:]:
+            assert coarsened(got[fine], fine, coarse) == set(got[coarse])
+    with pytest.raises(ValueError, match="grain"):
+        period("t", "week")
+
+
+@pytest.mark.parametrize("most,grain", [(800, "day"), (731, "day"), (730, "month"), (24, "month"), (23, "year"), (2, "year"), ])
+def test_the_finest_grain_within_the_bound(spark, most, grain):
+    d = spark.range(731).select(F.date_add(F.lit(dt.date(2000, 1, 1)), F.col("id").cast("int")).alias("t"))  # two years
+    assert choose_grain(d, "t", most) == grain
+
+
+def test_parts_that_are_there_count_and_a_grain_never_gets_finer(spark):
+    d = spark.range(10).select(F.date_add(F.lit(dt.date(2000, 1, 1)), F.col("id").cast("int")).alias("t"))
+    assert choose_grain(d, "t", 12, {"2000-01-01", "1999-12-31"}) == "day"  # 11 different
+    assert choose_grain(d, "t", 10, {"2000-01-01", "1999-12-31"}) == "month"
+    assert choose_grain(d, "t", 12, {"2000"}, "year") == "year" and choose_grain(d.limit(0), "t", 2) == "day"
+    assert choose_grain(d, "t", 2, {"1998", "1999", "null"}, "year") == "all"
+    with pytest.raises(ValueError):
+        choose_grain(d, "t", 1)
+
+
+def test_five_thousand_days_are_at_most_four_thousand_parts(spark, tmp_path):
+    base, s = str(tmp_path / "t"), Settings(partition_by={SPEC.name: "created_at"}, timezone_conversion=False)
+    merge_into(spark, SPEC, base, load(spark, [(i, i) for i in range(5_000)], 100, s), s, reread=True)
+    m = read_manifest(spark, base)
+    assert m.grain == "month" and len(m.parts()) == 165 <= s.max_parts == 4_000 and read_current(spark, base).count() == 5_000
+
+
+def test_a_table_that_passes_the_bound_is_laid_out_anew_and_merges_equal(spark, tmp_path):
+    steps = [([(i, i) for i in range(20)] + [(900, None)], 100), ([(i, i + 10) for i in (3, 4)] + [(i, i) for i in range(20, 26)], 200),
+             ([(i, i) for i in range(26, 70)] + [(5, 400), (900, 7)], 300), ([(6, 800), (70, 1200), (71, 1600), (72, None)], 400),
+             ([(i, i * 400) for i in range(80, 90)], 500)]
+    grains, tables = {}, {}
+    for most in (30, 4_000):
+        base, s, grains[most] = str(tmp_path / str(most)), settings(most, watermark="relation"), []
+        for n, (days, batch) in enumerate(steps):
+            merge_into(spark, SPEC, base, load(spark, days, batch, s), s, reread=True, watermarks={"a": batch})
+            m = read_manifest(spark, base)
+            assert len(m.parts()) <= most and m.watermarks == {"a": batch}
+            grains[most].append(m.grain)
+        tables[most] = rows(spark, base)
+    assert grains == {30: ["day", "day", "month", "month", "month"], 4_000: ["day"] * 5}
+    assert tables[30] == tables[4_000] and len(tables[30]) == 70 + 1 + 3 + 10
+    assert ("5", f"{T + dt.timedelta(days=400, hours=5)}", "300-5") == tuple(map(str, next(r for r in tables[30] if r[0] == 5)))
+
+
+def test_a_hot_day_is_several_files_of_one_part(spark, tmp_path):
+    base, s = str(tmp_path / "t"), settings(4_000)
+    merge_into(spark, SPEC, base, load(spark, [(i, 3 if i % 2 else i % 6) for i in range(4_000)], 100, s), s, reread=True)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t" / "data").glob("*/__part=*")}
+    assert files["__part=2000-01-04"] > 2 and len(files) == 4
+
+
+def test_a_load_that_meets_a_new_layout_is_merged_again(spark, tmp_path):
+    base, s, calls = str(tmp_path / "t"), settings(12), []
+    merge_into(spark, SPEC, base, load(spark, [(i, i) for i in range(10)], 100, s), s, reread=True)
+
+    def second():
+        if not calls:
+            calls.append(1)
+            merge_into(spark, SPEC, base, load(spark, [(i, i) for i in range(20, 60)], 300, s), s, reread=True)
+
+    merge_into(spark, SPEC, base, load(spark, [(1, 1), (11, 5)], 200, s), s, reread=True, before_switch=second)
+    m = read_manifest(spark, base)
+    assert m.grain == "month" and set(m.parts()) == {"2000-01", "2000-02"}
+    assert {r[0]: r[2] for r in rows(spark, base)} == ({i: f"100-{i}" for i in range(10)} | {1: "200-1", 11: "200-11"}
+                                                       | {i: f"300-{i}" for i in range(20, 60)})
