@@ -17,6 +17,8 @@ result (no documents) or no hits (no benchmark); other columns are ignored (``de
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rawfold.llm.common import alnum_words, bounded_batches, checkpointed
+from rawfold.llm.common import alnum_words, bounded_batches, checkpointed, discard, materialize
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,20 +97,31 @@ def _spans(hit: np.ndarray) -> list[dict]:
 
 
 def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple]]:
-    """The benchmark's items in blocks of at most ``block_bytes`` of text (a longer item is a block alone).
+    """The benchmark's items in blocks of at most ``block_bytes`` of text and one item more.
 
-    Yields one block at a time to the driver: what is collected is bounded by the block."""
+    Yields one block at a time to the driver: what is collected is bounded by the block. Blocks are cut by a prefix sum over
+    ranges of about a block: a range adds up its own sizes, and the driver gets one number of each. Rows that repeat an item and
+    its text are taken once, so that they cannot fill a range."""
     items = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"),
                              F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text") + 16).alias("b")).first()["b"] or 0
     if total <= block_bytes:
         yield [(r["item"], r["text"]) for r in items.collect()]
         return
-    order = Window.partitionBy().orderBy("item", "text").rowsBetween(Window.unboundedPreceding, -1)
-    slim = items.withColumn("before", F.coalesce(F.sum(F.octet_length("text") + 16).over(order), F.lit(0)))
-    slim = checkpointed(slim.withColumn("block", F.floor(F.col("before") / block_bytes)).drop("before"))
+    keyed = items.distinct().withColumns({"h": F.xxhash64("item", "text"), "size": F.octet_length("text") + 16})
+    ranges = materialize(keyed.repartitionByRange(math.ceil(total / block_bytes), "h").withColumn("range", F.spark_partition_id()),
+                         "benchmark-ranges")
+    sums = sorted(tuple(r) for r in ranges.groupBy("range").agg(F.sum("size")).collect())  # one row a range
+    starts = itertools.accumulate((n for _, n in sums), initial=0)
+    offsets = ranges.sparkSession.createDataFrame([(r, s) for (r, _), s in zip(sums, starts)], "range int, start long")
+    order = Window.partitionBy("range").orderBy("h", "item", "text").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("size").over(order), F.lit(0)) + F.col("start")
+    slim = materialize(ranges.join(offsets, "range").select("item", "text", F.floor(before / block_bytes).alias("block")),
+                       "benchmark-blocks")
+    discard(ranges)
     for row in slim.select("block").distinct().orderBy("block").toLocalIterator():
         yield [(r["item"], r["text"]) for r in slim.filter(F.col("block") == row["block"]).collect()]
+    discard(slim)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

@@ -1,7 +1,7 @@
 import pytest
 
 from llm_rules import alnum
-from rawfold.llm.decontaminate import contamination_digest, decontaminate, find_contamination
+from rawfold.llm.decontaminate import benchmark_blocks, contamination_digest, decontaminate, find_contamination
 
 
 def brute(docs, items, window=10):
@@ -47,6 +47,17 @@ def test_equals_brute_force_in_one_block_and_in_many(spark, make_docs, words, bl
     assert flat(got) == brute(docs, items)
 
 
+def test_blocks_hold_every_item_once_within_their_bound_and_no_task_holds_all(spark, words):
+    rows = [(i, words(1 + i % 40, i)) for i in range(300)] + [(7, "the same item")] * 200 + [(None, None), (None, ""), (9, words(400, 5))]
+    bench = spark.createDataFrame(rows, "item_id long, text string").repartition(5)
+    blocks = list(benchmark_blocks(bench, "item_id", "text", 2_000))
+    want = {(None if i is None else str(i), t or "") for i, t in rows}
+    assert sorted((x for b in blocks for x in b), key=str) == sorted(want, key=str) and len(blocks) > 5
+    sizes = [[len(t.encode()) + 16 for _, t in b] for b in blocks]
+    assert all(sum(s) - max(s) < 2_000 for s in sizes)
+    assert list(benchmark_blocks(bench.limit(0), "item_id", "text", 10)) == [[]]
+
+
 def test_digest(spark, make_docs, words):
     import hashlib
     docs, items = case(words)
