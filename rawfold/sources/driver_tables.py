@@ -269,11 +269,17 @@ def mixed_item_arms(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFra
 
 
 FLAT_BATCH0_MS = 1_614_556_800_000  # 2021-03-01 00:00:00 UTC, first load of the flat entities
+SPREAD_PARTS = 64
 
 
-def flat_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat raw records (one per customer), loaded three times (``arm`` = store 0/1 by nation parity)."""
+def flat_versions(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Flat raw records (one per customer), loaded three times (``arm`` = store 0/1 by nation parity).
+
+    ``spread`` deals the customers out before their rows grow: a small file is one task, however wide and many they become.
+    Their number is given, since Spark would merge parts of so few bytes."""
     c = read(spark, sf_dir, "customer")
+    if spread:
+        c = c.repartition(SPREAD_PARTS, "c_custkey", "c_name")
     x = c.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("v"))
     ck, v = F.col("c_custkey"), F.col("v")
     created = F.timestamp_add("HOUR", (ck % 2000).cast("int"), F.lit("2021-03-01 00:00:00").cast("timestamp_ntz"))
@@ -357,7 +363,7 @@ def _nested_entity_columns() -> dict[str, Column]:
 def entity_arms(spark: SparkSession, sf_dir: str, entity: str, nested: tuple[str, ...]) -> list[tuple[str, DataFrame]]:
     """Flat records plus the named nested columns, as the two store relations of ``entity``."""
     cols = _nested_entity_columns()
-    v = flat_versions(spark, sf_dir)
+    v = flat_versions(spark, sf_dir, spread=True)
     v = v.select("*", F.to_date("created_at").alias("date"), *[cols[n].alias(n) for n in nested])
     return [(flat_relation("Acme_us", entity), v.filter(F.col("arm") == 0).drop("arm")),
             (flat_relation("Zest_ca", entity), v.filter(F.col("arm") == 1).drop("arm", "balance"))]
