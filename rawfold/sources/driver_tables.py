@@ -99,35 +99,40 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     j = o.join(li, o["o_orderkey"] == li["l_orderkey"], "left")
     cur = _cur(F.col("o_custkey"))
-    tax_amt = F.col("l_extendedprice") * F.col("l_tax")
-    disc_amt = F.col("l_extendedprice") * F.col("l_discount")
-    tax_line = F.struct(
-        F.lit("VAT").alias("title"), F.col("l_tax").alias("rate"), tax_amt.alias("price"),
-        F.array(F.struct(F.array(_money(tax_amt, F.lit("USD"))).alias("shop_money"),
-                         F.array(_money(tax_amt, cur), _money(tax_amt, F.lit("USD"))).alias("presentment_money"))
-                ).alias("price_set"))
-    allocation = F.struct(
-        disc_amt.alias("amount"), (F.col("l_linenumber") - 1).cast("long").alias("discount_application_index"),
-        F.array(F.struct(F.array(_money(disc_amt, F.lit("USD"))).alias("shop_money"),
-                         F.array(_money(disc_amt, cur)).alias("presentment_money"))).alias("amount_set"))
-    item = F.struct(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("variant_id"),
-        F.concat(F.lit("SKU-"), _s(F.col("l_partkey"))).alias("sku"),
-        F.concat(F.lit("item-"), _s(F.col("l_linenumber"))).alias("name"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_extendedprice").alias("price"),
-        _when_array(F.col("l_tax") > 0, tax_line).alias("tax_lines"),
-        _when_array(F.col("l_discount") > 0, allocation).alias("discount_allocations"),
-        F.array(F.struct(F.lit("returnflag").alias("name"), F.col("l_returnflag").alias("value")),
-                F.struct(F.lit("linestatus").alias("name"), F.col("l_linestatus").alias("value"))).alias("properties"),
-    )
     order_cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
-    has_item = F.col("l_orderkey").isNotNull()
+    # the lines are collected as they are; the nested item is made of them afterwards
+    line = F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                    "l_returnflag", "l_linestatus")
     g = j.groupBy(*order_cols, "l_shipdate").agg(
         F.count("l_orderkey").alias("n_items"),
-        F.collect_list(F.when(has_item, item)).alias("items"))
+        F.collect_list(F.when(F.col("l_orderkey").isNotNull(), line)).alias("lines"))
+
+    def item(x: Column) -> Column:
+        tax_amt = x["l_extendedprice"] * x["l_tax"]
+        disc_amt = x["l_extendedprice"] * x["l_discount"]
+        tax_line = F.struct(
+            F.lit("VAT").alias("title"), x["l_tax"].alias("rate"), tax_amt.alias("price"),
+            F.array(F.struct(F.array(_money(tax_amt, F.lit("USD"))).alias("shop_money"),
+                             F.array(_money(tax_amt, cur), _money(tax_amt, F.lit("USD"))).alias("presentment_money"))
+                    ).alias("price_set"))
+        allocation = F.struct(
+            disc_amt.alias("amount"), (x["l_linenumber"] - 1).cast("long").alias("discount_application_index"),
+            F.array(F.struct(F.array(_money(disc_amt, F.lit("USD"))).alias("shop_money"),
+                             F.array(_money(disc_amt, cur)).alias("presentment_money"))).alias("amount_set"))
+        return F.struct(
+            (F.col("o_orderkey") * 10 + x["l_linenumber"]).alias("id"),
+            x["l_partkey"].alias("product_id"),
+            x["l_suppkey"].alias("variant_id"),
+            F.concat(F.lit("SKU-"), _s(x["l_partkey"])).alias("sku"),
+            F.concat(F.lit("item-"), _s(x["l_linenumber"])).alias("name"),
+            x["l_quantity"].alias("quantity"),
+            x["l_extendedprice"].alias("price"),
+            _when_array(x["l_tax"] > 0, tax_line).alias("tax_lines"),
+            _when_array(x["l_discount"] > 0, allocation).alias("discount_allocations"),
+            F.array(F.struct(F.lit("returnflag").alias("name"), x["l_returnflag"].alias("value")),
+                    F.struct(F.lit("linestatus").alias("name"), x["l_linestatus"].alias("value"))).alias("properties"))
+
+    items = F.when(F.col("n_items") > 0, F.transform("lines", item))
     ck = F.col("o_custkey")
     addr = F.struct(
         F.concat(_s(F.col("o_orderkey")), F.lit(" Main St")).alias("address1"),
@@ -159,7 +164,7 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     fulfillment = F.struct(
         (ok * 10 + 2).alias("id"), ok.alias("order_id"), F.concat(F.lit("#"), _s(ok), F.lit(".1")).alias("name"),
         F.lit("success").alias("status"), F.lit("r").alias("receipt"), F.lit("gid").alias("admin_graphql_api_id"),
-        F.when(F.col("n_items") > 0, F.col("items")).alias("line_items"))
+        items.alias("line_items"))
     customer = F.struct(
         F.when(ck % 7 == 0, F.lit(None).cast("long")).otherwise(ck).alias("id"),
         F.col("o_orderdate").alias("created_at"), shipped.alias("updated_at"),
@@ -171,7 +176,7 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(
         *_order_fields(),
         shipped.alias("updated_at"),
-        F.when(F.col("n_items") > 0, F.col("items")).alias("line_items"),
+        items.alias("line_items"),
         addr.alias("shipping_address"),
         F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.array(addr)).alias("billing_address"),
         F.array(F.struct(F.lit("priority").alias("name"), F.col("o_orderpriority").alias("value")),
