@@ -3,13 +3,13 @@
 A text is lower-cased (A-Z), everything of ASCII that is no letter becomes a space, and its subwords are the byte
 n-grams of 2 to 4 inside words, the spaces around a word included. Each is hashed to a row of an
 embedding table; the mean of a whole text's rows goes through a linear softmax. Trained in numpy by
-stochastic gradient descent on word spans of a bounded sample of labelled rows (``max_docs`` and ``max_bytes`` in
-all, shared evenly by the languages, chosen by a hash of the id). A part of the sample is held back: on it the softmax
-temperature is fitted (score = calibrated probability).
+stochastic gradient descent on word spans of all labelled rows: Spark deals them into parts, a task trains on each, and the
+models are averaged. A tenth of each part is held back: on it the softmax temperature is fitted (score = calibrated probability).
 
 A document is rejected by its score or by how familiar its subwords are (mean log frequency in training: a text of
 another language can be sure of its nearest one). All but ``alpha`` of the rightly recognised documents reach both
-thresholds; for them, 10 / alpha rows (half of all at most) are kept from training and scored by Spark. Fewer than
+thresholds; for them, a tenth of all rows (10 / alpha, half of all at most, if that is more) is kept from training and scored by
+Spark. Fewer than
 2 / alpha right ones cannot tell: the threshold is then half the lowest score of a right one, and none of familiarity.
 
 Since the softmax is linear in the mean, the table is multiplied by its weights before it is sent, and a
@@ -120,13 +120,24 @@ def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], n
 
 # --- training -----------------------------------------------------------------------------------------
 
-def train(rows: list[tuple[str, str]], *, dim: int = 16, buckets: int = 1 << 16, epochs: int = 6, rate: float = 4.0,
-          spans: int = 4, batch: int = 64, seed: int = 7) -> LanguageModel:
+def train(rows: list[tuple[str, str]], **options) -> LanguageModel:
     """rows: (text, language). Plain SGD; every tenth document (at least one a language) calibrates."""
+    return learn_part(rows, **options)[0]
+
+
+def _frequency(seen: np.ndarray) -> np.ndarray:
+    buckets = len(seen) - 1
+    return np.log((seen + 0.5) / (seen.sum() + 0.5 * buckets))
+
+
+def learn_part(rows: list[tuple[str, str]], *, langs: list[str] | None = None, dim: int = 16, buckets: int = 1 << 16,
+               epochs: int = 6, rate: float = 4.0, spans: int = 4, batch: int = 64, seed: int = 7) -> tuple[LanguageModel, np.ndarray]:
+    """The model of these rows and how often each bucket was seen; ``langs``: the languages of all rows, of which these may be a part."""
     rows = sorted((lang, t) for t, lang in rows if has_letter(t))
-    langs = sorted({lang for lang, _ in rows}, key=lambda s: s.encode())
-    if not langs:
-        return LanguageModel([], np.zeros((buckets + 1, 1), np.float32), np.zeros(1), 1.0, 0.0)
+    if langs is None:
+        langs = sorted({lang for lang, _ in rows}, key=lambda s: s.encode())
+    if not rows:
+        return LanguageModel([], np.zeros((buckets + 1, 1), np.float32), np.zeros(1), 1.0, 0.0), np.zeros(buckets + 1, np.int64)
     rng = np.random.default_rng(seed)
     code = {lang: i for i, lang in enumerate(langs)}
     held = [i % 10 == 9 for i in range(len(rows))]
@@ -179,7 +190,7 @@ def train(rows: list[tuple[str, str]], *, dim: int = 16, buckets: int = 1 << 16,
             emb[uniq] -= lr * len(pick) * moved
             step += 1
     seen = np.bincount(np.concatenate([np.empty(0, np.int64), *subwords]), minlength=buckets + 1)
-    table = np.concatenate([emb @ w, np.log((seen + 0.5) / (seen.sum() + 0.5 * buckets))[:, None]], axis=1).astype(np.float32)
+    table = np.concatenate([emb @ w, _frequency(seen)[:, None]], axis=1).astype(np.float32)
     table[buckets] = 0
     model = LanguageModel(langs, table, bias, 1.0, 0.0)
 
@@ -194,7 +205,7 @@ def train(rows: list[tuple[str, str]], *, dim: int = 16, buckets: int = 1 << 16,
     temperature = min((0.05 * 1.25 ** i for i in range(28)), key=loss)
     p = _softmax(logits / temperature)
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == truth])
-    return model._replace(temperature=temperature, threshold=float(right[0]) / 2 if len(right) else 0.0)
+    return model._replace(temperature=temperature, threshold=float(right[0]) / 2 if len(right) else 0.0), seen
 
 
 def calibrated(model: LanguageModel, rows: DataFrame, alpha: float) -> LanguageModel:
@@ -291,15 +302,94 @@ def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", k
     return _scored(docs, model, text_col, keep, ("lang_pred", "score", "accepted"))
 
 
+_CHUNK = 4096  # buckets of a model sent as one row
+
+
 def fit(docs: DataFrame, learn: Column, *, label: str = "lang", id_col: str = "doc_id", text_col: str = "text",
-        max_docs: int = 6000, max_bytes: int = 24 << 20, alpha: float = 5e-4, **options) -> LanguageModel:
-    """A model from a bounded sample of the rows for which ``learn`` holds; its threshold from others of them (``alpha`` 0:
-    without)."""
-    rows, others = labelled_sample(docs, learn, label, id_col, text_col, max_docs, max_bytes, 10 / alpha if alpha else 0)
-    model = train(rows, **options)
+        part_docs: int = 6000, part_bytes: int = 24 << 20, max_labels: int = 200, alpha: float = 5e-4, epochs: int = 6,
+        buckets: int = 1 << 16, **options) -> LanguageModel:
+    """A model from all rows for which ``learn`` holds and that have a label; with ``alpha``, a tenth of them (10 / alpha rows, half
+    of all at most, if that is more) sets its thresholds instead of being trained on.
+
+    Spark deals the rows into parts of about ``part_docs`` rows and ``part_bytes`` bytes by a hash; each task trains on one part, and
+    the models, which are linear in their tables, are averaged by rows, their counts summed. The same on every run."""
+    spark = docs.sparkSession
+    d = docs.filter(learn).select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{label}`").cast("string").alias("label"),
+                                  hash63(12, f"`{id_col}`", F.octet_length(f"`{text_col}`")).alias("side")).filter(
+        "label is not null and text is not null")
+    counted = d.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text").cast("long")).alias("b"))
+    sizes = counted.orderBy(F.desc("n"), "label").limit(max_labels).collect()
+    if not sizes:
+        return train([], buckets=buckets)
+    total, others = sum(r["n"] for r in sizes), None
+    if alpha:
+        kept = F.col("side") <= hash_limit(max(0.1, min(0.5, 10 / alpha / total)))
+        others, d = d.filter(kept).select("text", "label"), d.filter(~kept)
+    langs = sorted((r["label"] for r in sizes), key=lambda s: s.encode())
+    parts = max(1, -(-total // part_docs), -(-sum(r["b"] for r in sizes) // part_bytes))
+    model = _averaged(d.filter(F.col("label").isin(langs)), langs, parts, buckets,
+                      dict(options, epochs=max(2, -(-epochs // parts))) if parts > 1 else dict(options, epochs=epochs))
     return calibrated(model, others, alpha) if others is not None else model
 
 
+def _averaged(rows: DataFrame, langs: list[str], parts: int, buckets: int, options: dict) -> LanguageModel:
+    """The average of the models of ``parts`` parts of ``rows`` (text, label, side)."""
+    bounded_batches(rows.sparkSession)
+    width = len(langs)
+
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, last = [], None
+        for b in batches:  # in the order of a hash: copies of a row are neighbours, and taken once
+            for t, lang in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
+                if (t, lang) != last:
+                    own.append((t, lang))
+                last = t, lang
+        m, seen = learn_part(own, langs=langs, buckets=buckets, **options)
+        if not m.langs:
+            return
+        from pyspark import TaskContext
+        part, n = TaskContext.get().partitionId(), float(len(own))
+        at, values = [-1], [np.array([m.temperature, m.threshold, *m.bias]).tobytes()]
+        for lo in range(0, buckets + 1, _CHUNK):
+            at.append(lo)
+            values.append(m.table[lo:lo + _CHUNK, :-1].tobytes() + seen[lo:lo + _CHUNK].astype(np.int64).tobytes())
+        for lo, v in zip(at, values):
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n]), pa.array([lo], pa.int32()),
+                                              pa.array([v], pa.binary())], ["part", "n", "at", "v"])
+
+    def averaged(t: pa.Table) -> pa.Table:
+        rows = sorted(t.to_pylist(), key=lambda r: r["part"])  # in one order: the same sums on every run
+        lo, n = rows[0]["at"], sum(r["n"] for r in rows)
+        if lo < 0:
+            x = [np.frombuffer(r["v"]) for r in rows]
+            out = sum(v * (r["n"] / n) for v, r in zip(x, rows))
+            out[1] = min(v[1] for v in x)
+            v = out.tobytes()
+        else:
+            size = min(_CHUNK, buckets + 1 - lo)
+            table, seen = np.zeros((size, width)), np.zeros(size, np.int64)
+            for r in rows:
+                table += np.frombuffer(r["v"], np.float32, size * width).reshape(size, width) * (r["n"] / n)
+                seen += np.frombuffer(r["v"], np.int64, size, size * width * 4)
+            v = table.astype(np.float32).tobytes() + seen.tobytes()
+        return pa.table({"at": pa.array([lo], pa.int32()), "v": pa.array([v], pa.binary())})
+
+    dealt = rows.withColumn("h", hash63(11, "side", "text")).repartition(parts, "h").sortWithinPartitions("h", "label")
+    models = checkpointed(dealt.select("text", "label").mapInArrow(learned, "part int, n double, at int, v binary"))
+    got = {r["at"]: r["v"] for r in models.groupBy("at").applyInArrow(averaged, "at int, v binary").collect()}  # one model
+    if not got:
+        return train([], buckets=buckets)
+    head = np.frombuffer(got.pop(-1))
+    table, seen = np.zeros((buckets + 1, width + 1), np.float32), np.zeros(buckets + 1, np.int64)
+    for lo, v in got.items():
+        size = min(_CHUNK, buckets + 1 - lo)
+        table[lo:lo + size, :-1] = np.frombuffer(v, np.float32, size * width).reshape(size, width)
+        seen[lo:lo + size] = np.frombuffer(v, np.int64, size, size * width * 4)
+    table[:, -1] = _frequency(seen)
+    table[buckets] = 0
+    return LanguageModel(langs, table, head[2:].copy(), float(head[0]), float(head[1]))
+
+
 def keep_recognised(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose language is recognised; the same columns."""
     names = docs.columns

@@ -264,8 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, *, label: str = "toxi
     met = own.withColumn("b", F.octet_length("text").cast("long")).join(F.broadcast(chosen), ["id", "b"])
     taken = met.groupBy("id", "b", "h", "y").agg(F.min("text").alias("text")).collect()  # of texts alike in id and length, one
     rows = [(r["text"], r["y"]) for r in sorted(taken, key=lambda r: (r["h"], r["y"], r["id"]))]
-    languages = langid.fit(docs, learn, label=lang_col, id_col=id_col, text_col=text_col, max_docs=max_docs // 2,
-                           max_bytes=max_bytes // 2, alpha=0)  # its rejection is not used here
+    languages = langid.fit(docs, learn, label=lang_col, id_col=id_col, text_col=text_col, alpha=0)  # its rejection is not used here
     return train(rows, languages, shares, **options)
 
 

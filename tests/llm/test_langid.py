@@ -164,3 +164,14 @@ def test_scores_equal_a_plain_forward_pass(rows):
     for text, lang, score in zip(texts, *predict(m, texts)):
         want, p = plain(text)
         assert lang == want and abs(score - p) < 1e-6, text
+
+
+def test_rows_of_any_length_and_of_every_part_are_learned_from(make_docs, rows):
+    long = [(30_000 + i, "zuvo xyzo quxo " * 140_000, "dd") for i in range(4)]  # 2 MB each
+    d = make_docs(rows + long)
+    m = fit(d, F.lit(True), part_docs=200, alpha=0)
+    assert m.langs == ["aa", "bb", "cc", "dd"] and predict(m, ["xyzo quxo zuvo"])[0] == ["dd"]
+    again = fit(d.repartition(7), F.lit(True), part_docs=200, alpha=0)
+    assert (again.table == m.table).all() and again.temperature == m.temperature
+    own = [(t, lang) for _, t, lang in rows]
+    assert sum(a == lang for a, (_, lang) in zip(predict(m, [t for t, _ in own])[0], own)) >= 0.98 * len(own)
