@@ -124,3 +124,23 @@ def test_the_sample_is_the_same_on_every_run(make_docs, data):
     d = make_docs(docs + docs[:1] * 200)
     fits = [fit(d.repartition(n), labels.repartition(n), F.lit(True), max_docs=100) for n in (2, 9)]
     assert (fits[0].emb == fits[1].emb).all() and fits[0].thresholds == fits[1].thresholds
+
+
+def test_all_rows_train_and_calibrate_when_the_start_holds_a_few(spark, make_docs):
+    docs, labels = case(1500, 8)
+    truth = {i: y for i, _, y in labels}
+    d, marks = make_docs(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    held = crc_mod_col("doc_id", 5) == 0
+    few = fit(d, marks, ~held, max_docs=120)
+    rows = [r for r in score(d, few).collect() if crc_mod(r["doc_id"], 5) == 0]
+    pos, neg = ([r["score"] for r in rows if truth[r["doc_id"]] == y] for y in (1, 0))
+    assert np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg]) > 0.97
+    # words that only rows outside the start hold have moved
+    h, buckets = Words(), (len(few.emb) - 1) // 3
+    seen = {w for i, t, _ in docs if crc_mod(i, 5) for w in t.encode().split()}
+    assert np.mean([few.emb[word_rows([w], h, buckets)[0, :2]].any() for w in seen]) > 0.2
+
+
+def test_equal_logits_are_not_parted():
+    z, y = np.array([0.0, 1, 1, 2]), np.array([0, 1, 0, 1])
+    assert best_threshold(z, y, np.ones(4)) not in (0.0, 1.0, 2.0)
