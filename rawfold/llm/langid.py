@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawfold.llm.common import bounded_batches, checkpointed
+from rawfold.llm.common import bounded_batches, checkpointed, discard, materialize, shuffles_released
 
 UND = "und"
 GRAMS = (2, 3, 4)
@@ -375,8 +375,10 @@ def _averaged(rows: DataFrame, langs: list[str], parts: int, buckets: int, optio
         return pa.table({"at": pa.array([lo], pa.int32()), "v": pa.array([v], pa.binary())})
 
     dealt = rows.withColumn("h", hash63(11, "side", "text")).repartition(parts, "h").sortWithinPartitions("h", "label")
-    models = checkpointed(dealt.select("text", "label").mapInArrow(learned, "part int, n double, at int, v binary"))
-    got = {r["at"]: r["v"] for r in models.groupBy("at").applyInArrow(averaged, "at int, v binary").collect()}  # one model
+    models = materialize(dealt.select("text", "label").mapInArrow(learned, "part int, n double, at int, v binary"), "language-parts")
+    with shuffles_released(rows.sparkSession):
+        got = {r["at"]: r["v"] for r in models.groupBy("at").applyInArrow(averaged, "at int, v binary").collect()}  # one model
+    discard(models)
     if not got:
         return train([], buckets=buckets)
     head = np.frombuffer(got.pop(-1))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rawfold.llm import langid
-from rawfold.llm.common import WordHashes, alnum_words, bounded_batches, checkpointed
+from rawfold.llm.common import WordHashes, alnum_words, bounded_batches, checkpointed, discard, materialize, shuffles_released
 
 WIDTHS = (1, 2, 3)
 _PIECE = 1 << 16  # words convolved at a time
@@ -287,7 +287,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, *, label: str = "toxi
         return model
     labelled = own.withColumn("b", F.octet_length("text").cast("long")).withColumn("side", langid.hash63(13, "id", "b")).join(
         marks.withColumnRenamed("id", "label_id"), F.col("id") == F.col("label_id")).select("text", "y", "side")
-    parts = max(1, -(-sum(r["n"] for r in sizes) // max_docs), -(-sum(r["b"] for r in sizes) // max_bytes))
+    parts = max(1, -(-sum(r["n"] for r in sizes) // (4 * max_docs)), -(-sum(r["b"] for r in sizes) // (2 * max_bytes)))
     model = _tuned(labelled.filter(~fifth), model, memory, parts)
     return _calibrated(labelled.filter(fifth), model, parts)
 
@@ -356,9 +356,12 @@ def _tuned(rows: DataFrame, model: ToxicModel, memory: list, parts: int, rate: f
             own, v = (at + lo).tobytes(), (total[at] / n[at, None]).astype(np.float32)
         return pa.table({"at": pa.array([lo], pa.int32()), "own": pa.array([own], pa.binary()), "v": pa.array([v.tobytes()], pa.binary())})
 
-    models = checkpointed(_dealt(rows, parts).mapInArrow(tune, "part int, n double, at int, own binary, v binary"))
+    models = materialize(_dealt(rows, parts).mapInArrow(tune, "part int, n double, at int, own binary, v binary"), "toxicity-parts")
     emb, head = model.emb.copy(), None
-    for r in models.groupBy("at").applyInArrow(averaged, "at int, own binary, v binary").collect():  # one model
+    with shuffles_released(spark):
+        got = models.groupBy("at").applyInArrow(averaged, "at int, own binary, v binary").collect()  # one model
+    discard(models)
+    for r in got:
         if r["at"] < 0:
             head = np.frombuffer(r["v"])
         else:
@@ -383,7 +386,8 @@ def _calibrated(rows: DataFrame, model: ToxicModel, parts: int) -> ToxicModel:
             yield pa.RecordBatch.from_arrays([pa.array(langid.predict(m.languages, texts)[0], pa.string()), b.column("y"),
                                               pa.array(np.round(np.clip(z, -30, 30) * 128).astype(np.int32))], ["lang", "y", "z"])
 
-    counts = _dealt(rows, parts).mapInArrow(logit, "lang string, y int, z int").groupBy("lang", "y", "z").count().toPandas()
+    with shuffles_released(rows.sparkSession):
+        counts = _dealt(rows, parts).mapInArrow(logit, "lang string, y int, z int").groupBy("lang", "y", "z").count().toPandas()
     if counts.empty:
         return model
 
