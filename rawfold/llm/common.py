@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,3 +119,50 @@ def checkpointed(df: DataFrame) -> DataFrame:
     shared_dir(df.sparkSession)
     with shuffles_released(df.sparkSession):
         return df.checkpoint(eager=True)
+
+
+_PACK_BYTES = 32 << 20
+
+
+def dealt(rows: DataFrame, parts: int, by: str, schema: pa.Schema, prepare: Callable[[pa.Table], pa.Table] | None = None) -> DataFrame:
+    """``rows`` in ``parts`` by a hash of the column ``by``, a task for each part: packs (``size``, ``pack``) for ``unpacked``. A task's
+    rows of one part are compressed together before they are shuffled; ``schema`` names the columns sent and their types.
+    ``prepare`` changes rows before that."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            held.append(b)
+            if sum(x.nbytes for x in held) >= _PACK_BYTES:
+                yield _packs(held, parts, schema, prepare)
+                held = []
+        if held:
+            yield _packs(held, parts, schema, prepare)
+
+    bounded_batches(rows.sparkSession)
+    part = F.pmod(F.hash(by), F.lit(parts)).alias("__part")
+    packs = rows.select(part, *schema.names).mapInArrow(pack, "part int, size long, pack binary")
+    return packs.repartitionById(parts, "part").select("size", "pack")
+
+
+def _packs(batches: list[pa.RecordBatch], parts: int, schema: pa.Schema, prepare: Callable | None) -> pa.RecordBatch:
+    t = pa.Table.from_batches(batches)
+    if prepare:
+        t = prepare(t)
+    part = t.column("__part").to_numpy()
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    whole = t.select(schema.names).cast(schema).take(pa.array(order)).combine_chunks()
+    out: tuple[list, list, list] = ([], [], [])
+    for p in np.flatnonzero(np.diff(cuts)).tolist():
+        raw = whole.slice(int(cuts[p]), int(cuts[p + 1] - cuts[p])).to_batches()[0].serialize()
+        for column, x in zip(out, (p, raw.size, pa.compress(raw, codec="zstd", asbytes=True))):
+            column.append(x)
+    return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())],
+                                      ["part", "size", "pack"])
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], schema: pa.Schema, order: tuple[str, ...]) -> pa.Table:
+    """The rows of a part (see ``dealt``), sorted."""
+    rows = [pa.ipc.read_record_batch(pa.decompress(z, decompressed_size=n, codec="zstd"), schema)
+            for b in batches for n, z in zip(b.column("size").to_pylist(), b.column("pack").to_pylist())]
+    return pa.Table.from_batches(rows, schema).sort_by([(c, "ascending") for c in order])

@@ -4,7 +4,8 @@ A text is lower-cased (A-Z), everything of ASCII that is no letter becomes a spa
 n-grams of 2 to 4 inside words, the spaces around a word included. Each is hashed to a row of an
 embedding table; the mean of a whole text's rows goes through a linear softmax. Trained in numpy by
 stochastic gradient descent on word spans of all labelled rows: Spark deals them into parts, a task trains on each, and the
-models are averaged. A tenth of each part is held back: on it the softmax temperature is fitted (score = calibrated probability).
+models are averaged. Where there are several parts, a row's spans are cut before it is dealt, so that no whole texts are
+shuffled but those held back. A tenth of each part is held back: on it the softmax temperature is fitted (score = calibrated probability).
 
 A document is rejected by its score or by how familiar its subwords are (mean log frequency in training: a text of
 another language can be sure of its nearest one). All but ``alpha`` of the rightly recognised documents reach both
@@ -22,6 +23,7 @@ table gives an empty result; other columns are ignored (``keep_recognised`` keep
 
 from __future__ import annotations
 
+import random
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawfold.llm.common import bounded_batches, checkpointed, discard, materialize, shuffles_released
+from rawfold.llm.common import bounded_batches, checkpointed, dealt, shuffles_released, unpacked
 
 UND = "und"
 GRAMS = (2, 3, 4)
@@ -82,6 +84,7 @@ def text_sums(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.nda
     lengths = np.array([len(t) for t in texts])
     ends = np.cumsum(lengths)
     flat = np.frombuffer(b"".join(texts) + b"    ", np.uint8)
+    columns = np.ascontiguousarray(table.T)
     for lo in range(0, int(ends[-1]), _WINDOW):
         hi = min(lo + _WINDOW, int(ends[-1]))
         a = int(np.searchsorted(ends, lo, "right"))
@@ -90,7 +93,9 @@ def text_sums(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.nda
         part = flat[lo:hi + 3]
         for n in GRAMS:
             rows = gram_rows(part, n, hi - lo, buckets)
-            sums[a:z] += np.add.reduceat(table[rows], cuts, axis=0)
+            at = rows.astype(np.intp)
+            for j, column in enumerate(columns):  # column by column: each fits a cache
+                sums[a:z, j] += np.add.reduceat(np.take(column, at, mode="clip"), cuts)
             counts[a:z] += np.add.reduceat((rows != buckets).astype(np.int64), cuts)
     return sums, counts
 
@@ -130,18 +135,57 @@ def _frequency(seen: np.ndarray) -> np.ndarray:
     return np.log((seen + 0.5) / (seen.sum() + 0.5 * buckets))
 
 
+def _subwords(samples: list[bytes], buckets: int) -> list[np.ndarray]:
+    """Rows of each sample's subwords, by length; many samples are hashed at once. A sample ends in a space, so no gram of one reads the next."""
+    out = []
+    for lo in range(0, len(samples), 1000):
+        some = samples[lo:lo + 1000]
+        ends = np.cumsum([len(s) for s in some]).tolist()
+        flat = np.frombuffer(b"".join(some) + b"    ", np.uint8)
+        grams = [gram_rows(flat, n, ends[-1], buckets) for n in GRAMS]
+        for a, z in zip([0, *ends], ends):
+            r = np.concatenate([g[a:z] for g in grams])
+            out.append(r[r != buckets].astype(np.int64))
+    return out
+
+
+def excerpt(text: str, seed: int, spans: int = 4) -> str:
+    """The spans of words a text is learned from, one a line; always the same for a seed."""
+    rng, words, out = random.Random(seed), text.split(), []
+    for _ in range(spans):
+        n = min(len(words), int(2 ** rng.uniform(0, 6.5)))
+        at = rng.randint(0, len(words) - n)
+        out.append(" ".join(words[at:at + n]))
+    return "\n".join(out)
+
+
+def _is_held(h: int) -> bool:
+    return h // 10 % 10 == 9
+
+
+def _excerpts(t: pa.Table) -> pa.Table:
+    """Rows (h, text, ..) as parts are trained on: the spans of their texts; a tenth, which calibrates, keeps them whole."""
+    texts = [x if _is_held(h) else excerpt(x, h) for h, x in zip(t.column("h").to_pylist(), t.column("text").to_pylist())]
+    return t.set_column(t.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+
+
 def learn_part(rows: list[tuple[str, str]], *, langs: list[str] | None = None, dim: int = 16, buckets: int = 1 << 16,
-               epochs: int = 6, rate: float = 4.0, spans: int = 4, batch: int = 64, seed: int = 7) -> tuple[LanguageModel, np.ndarray]:
-    """The model of these rows and how often each bucket was seen; ``langs``: the languages of all rows, of which these may be a part."""
+               epochs: int = 6, rate: float = 4.0, spans: int = 4, batch: int = 64, seed: int = 7,
+               cut: list[tuple[str, str]] = ()) -> tuple[LanguageModel, np.ndarray]:
+    """The model of these rows and how often each bucket was seen; ``langs``: the languages of all rows, of which these may be a part.
+    ``cut``: (spans, language) of rows whose spans are cut already (``excerpt``); then ``rows`` are those held back."""
     rows = sorted((lang, t) for t, lang in rows if has_letter(t))
+    cut = sorted((lang, t) for t, lang in cut if has_letter(t))
     if langs is None:
         langs = sorted({lang for lang, _ in rows}, key=lambda s: s.encode())
-    if not rows:
+    if not rows and not cut:
         return LanguageModel([], np.zeros((buckets + 1, 1), np.float32), np.zeros(1), 1.0, 0.0), np.zeros(buckets + 1, np.int64)
     rng = np.random.default_rng(seed)
     code = {lang: i for i, lang in enumerate(langs)}
     held = [i % 10 == 9 for i in range(len(rows))]
-    if len(rows) < 40:
+    if cut:
+        held = [True] * len(rows)
+    elif len(rows) < 40:
         held = [False] * len(rows)
 
     # spans of words: short and long ones, so that a text of a few words is no surprise
@@ -155,12 +199,12 @@ def learn_part(rows: list[tuple[str, str]], *, langs: list[str] | None = None, d
             at = int(rng.integers(0, len(words) - n + 1))
             samples.append(normalised(" ".join(words[at:at + n])))
             labels.append(code[lang])
+    for lang, text in cut:
+        for span in text.split("\n"):
+            samples.append(normalised(span))
+            labels.append(code[lang])
     y = np.array(labels)
-    subwords = []
-    for s in samples:
-        b = np.frombuffer(s + b"    ", np.uint8)
-        r = np.concatenate([gram_rows(b, n, len(s), buckets) for n in GRAMS])
-        subwords.append(r[r != buckets].astype(np.int64))
+    subwords = _subwords(samples, buckets)
 
     emb = rng.normal(0, 0.1, (buckets + 1, dim)).astype(np.float32)
     w, bias = np.zeros((dim, len(langs)), np.float32), np.zeros(len(langs), np.float32)
@@ -168,6 +212,7 @@ def learn_part(rows: list[tuple[str, str]], *, langs: list[str] | None = None, d
     keep = np.array([i for i, s in enumerate(subwords) if len(s)], np.int64)
     steps = max(1, epochs * -(-len(keep) // batch))
     step = 0
+    met, place = np.zeros(buckets + 1, bool), np.zeros(buckets + 1, np.int64)
     for _ in range(epochs):
         rng.shuffle(keep)
         for at in range(0, len(keep), batch):
@@ -184,17 +229,22 @@ def learn_part(rows: list[tuple[str, str]], *, langs: list[str] | None = None, d
             w -= lr * (mean.T @ p)
             bias -= lr * p.sum(axis=0)
             # each subword's row moves by its texts' gradients; rows are few, so they are summed first
-            uniq, inv = np.unique(flat, return_inverse=True)
-            moved = np.zeros((len(uniq), dim), np.float32)
-            np.add.at(moved, inv, np.repeat(grad, sizes, axis=0).astype(np.float32))
-            emb[uniq] -= lr * len(pick) * moved
+            met[flat] = True
+            uniq = np.flatnonzero(met)
+            met[uniq] = False
+            place[uniq] = np.arange(len(uniq))
+            inv, by_dim = place[flat], grad.astype(np.float32).T
+            moved = np.zeros((dim, len(uniq)), np.float32)
+            for j in range(dim):  # along one axis ``add.at`` is many times faster
+                np.add.at(moved[j], inv, np.repeat(by_dim[j], sizes))
+            emb[uniq] -= lr * len(pick) * moved.T
             step += 1
     seen = np.bincount(np.concatenate([np.empty(0, np.int64), *subwords]), minlength=buckets + 1)
     table = np.concatenate([emb @ w, _frequency(seen)[:, None]], axis=1).astype(np.float32)
     table[buckets] = 0
     model = LanguageModel(langs, table, bias, 1.0, 0.0)
 
-    check = [r for r, out in zip(rows, held) if out] or rows
+    check = [r for r, out in zip(rows, held) if out] or rows or cut
     sums, counts = text_sums([normalised(t) for _, t in check], table)
     logits = sums[:, :-1] / np.maximum(counts, 1)[:, None] + bias
     truth = np.array([code[lang] for lang, _ in check])
@@ -334,25 +384,25 @@ def fit(docs: DataFrame, learn: Column, *, label: str = "lang", id_col: str = "d
 
 def _averaged(rows: DataFrame, langs: list[str], parts: int, buckets: int, options: dict) -> LanguageModel:
     """The average of the models of ``parts`` parts of ``rows`` (text, label, side)."""
-    bounded_batches(rows.sparkSession)
     width = len(langs)
+    sent = pa.schema([("h", pa.int64()), ("text", pa.string()), ("label", pa.string())])
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, last = [], None
-        for b in batches:  # in the order of a hash: copies of a row are neighbours, and taken once
-            for t, lang in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
-                if (t, lang) != last:
-                    own.append((t, lang))
-                last = t, lang
-        m, seen = learn_part(own, langs=langs, buckets=buckets, **options)
+        own, cut, last = [], [], None
+        table = unpacked(batches, sent, ("h", "label"))  # in the order of a hash: copies of a row are neighbours, and taken once
+        for h, t, lang in zip(*(table.column(c).to_pylist() for c in ("h", "text", "label"))):
+            if (t, lang) != last:
+                (own if parts == 1 or _is_held(h) else cut).append((t, lang))
+            last = t, lang
+        m, seen = learn_part(own, langs=langs, buckets=buckets, cut=cut, **options)
         if not m.langs:
             return
         from pyspark import TaskContext
-        part, n = TaskContext.get().partitionId(), float(len(own))
+        part, n = TaskContext.get().partitionId(), float(len(own) + len(cut))
         at, values = [-1], [np.array([m.temperature, m.threshold, *m.bias]).tobytes()]
         for lo in range(0, buckets + 1, _CHUNK):
             at.append(lo)
-            values.append(m.table[lo:lo + _CHUNK, :-1].tobytes() + seen[lo:lo + _CHUNK].astype(np.int64).tobytes())
+            values.append(pa.compress(m.table[lo:lo + _CHUNK, :-1].tobytes() + seen[lo:lo + _CHUNK].astype(np.int64).tobytes(), codec="zstd", asbytes=True))
         for lo, v in zip(at, values):
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n]), pa.array([lo], pa.int32()),
                                               pa.array([v], pa.binary())], ["part", "n", "at", "v"])
@@ -369,16 +419,17 @@ def _averaged(rows: DataFrame, langs: list[str], parts: int, buckets: int, optio
             size = min(_CHUNK, buckets + 1 - lo)
             table, seen = np.zeros((size, width)), np.zeros(size, np.int64)
             for r in rows:
-                table += np.frombuffer(r["v"], np.float32, size * width).reshape(size, width) * (r["n"] / n)
-                seen += np.frombuffer(r["v"], np.int64, size, size * width * 4)
+                v = pa.decompress(r["v"], decompressed_size=size * (width * 4 + 8), codec="zstd", asbytes=True)
+                table += np.frombuffer(v, np.float32, size * width).reshape(size, width) * (r["n"] / n)
+                seen += np.frombuffer(v, np.int64, size, size * width * 4)
             v = table.astype(np.float32).tobytes() + seen.tobytes()
         return pa.table({"at": pa.array([lo], pa.int32()), "v": pa.array([v], pa.binary())})
 
-    dealt = rows.withColumn("h", hash63(11, "side", "text")).repartition(parts, "h").sortWithinPartitions("h", "label")
-    models = materialize(dealt.select("text", "label").mapInArrow(learned, "part int, n double, at int, v binary"), "language-parts")
+    prepare = _excerpts if parts > 1 else None  # several parts need no whole texts; one cuts its spans itself
+    packs = dealt(rows.withColumn("h", hash63(11, "side", "text")), parts, "h", sent, prepare)
+    models = packs.mapInArrow(learned, "part int, n double, at int, v binary")
     with shuffles_released(rows.sparkSession):
         got = {r["at"]: r["v"] for r in models.groupBy("at").applyInArrow(averaged, "at int, v binary").collect()}  # one model
-    discard(models)
     if not got:
         return train([], buckets=buckets)
     head = np.frombuffer(got.pop(-1))
