@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rawfold.llm import langid
-from rawfold.llm.common import WordHashes, alnum_words, bounded_batches, checkpointed, discard, materialize, shuffles_released
+from rawfold.llm.common import WordHashes, alnum_words, bounded_batches, checkpointed, dealt, shuffles_released, unpacked
 
 WIDTHS = (1, 2, 3)
 _PIECE = 1 << 16  # words convolved at a time
@@ -285,24 +285,25 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, *, label: str = "toxi
     model = train(rows, languages, shares, memory=memory, **options)
     if whole or model is None:
         return model
+    marks = marks.withColumnRenamed("id", "label_id")
+    if sum(r["n"] for r in sizes) <= _FEW_LABELS and labels.count() <= _FEW_LABELS:  # sent to the texts; more are shuffled with them
+        marks = F.broadcast(marks)
     labelled = own.withColumn("b", F.octet_length("text").cast("long")).withColumn("side", langid.hash63(13, "id", "b")).join(
-        marks.withColumnRenamed("id", "label_id"), F.col("id") == F.col("label_id")).select("text", "y", "side")
+        marks, F.col("id") == F.col("label_id")).select("text", "y", "side")
     parts = max(1, -(-sum(r["n"] for r in sizes) // (4 * max_docs)), -(-sum(r["b"] for r in sizes) // (2 * max_bytes)))
     model = _tuned(labelled.filter(~fifth), model, memory, parts)
-    return _calibrated(labelled.filter(fifth), model, parts)
+    return _calibrated(labelled.filter(fifth), model)
 
 
 _CHUNK = 1 << 14  # rows of the table averaged together
-
-
-def _dealt(rows: DataFrame, parts: int) -> DataFrame:
-    """text, y in parts by a hash, each in its order: the same on every run; copies of a row are neighbours."""
-    return rows.withColumn("h", langid.hash63(14, "side", "text")).repartition(parts, "h").sortWithinPartitions("h", "y").select("text", "y")
+_FEW_LABELS = 1_000_000
+_SENT = pa.schema([("h", pa.int64()), ("text", pa.string()), ("y", pa.int32())])
 
 
 def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int]]:
-    last = None
-    for b in batches:
+    """Rows of a part in the order of their hash: the same on every run; copies of a row are neighbours."""
+    last, table = None, unpacked(batches, _SENT, ("h", "y"))
+    for b in table.to_batches(1000):
         for row in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
             if row != last:
                 yield row
@@ -313,7 +314,6 @@ def _tuned(rows: DataFrame, model: ToxicModel, memory: list, parts: int, rate: f
     """``model`` trained on over all ``rows``: each task goes on from it over one part, and what changed is averaged. A row of the
     table is averaged over the parts that changed it."""
     spark = rows.sparkSession
-    bounded_batches(spark)
     sent = spark.sparkContext.broadcast((model, memory))
     dense = [a.shape for a in (model.filters, model.bias, model.out)]
 
@@ -356,11 +356,11 @@ def _tuned(rows: DataFrame, model: ToxicModel, memory: list, parts: int, rate: f
             own, v = (at + lo).tobytes(), (total[at] / n[at, None]).astype(np.float32)
         return pa.table({"at": pa.array([lo], pa.int32()), "own": pa.array([own], pa.binary()), "v": pa.array([v.tobytes()], pa.binary())})
 
-    models = materialize(_dealt(rows, parts).mapInArrow(tune, "part int, n double, at int, own binary, v binary"), "toxicity-parts")
     emb, head = model.emb.copy(), None
+    packs = dealt(rows.withColumn("h", langid.hash63(14, "side", "text")), parts, "h", _SENT)
+    models = packs.mapInArrow(tune, "part int, n double, at int, own binary, v binary")
     with shuffles_released(spark):
         got = models.groupBy("at").applyInArrow(averaged, "at int, own binary, v binary").collect()  # one model
-    discard(models)
     for r in got:
         if r["at"] < 0:
             head = np.frombuffer(r["v"])
@@ -374,7 +374,7 @@ def _tuned(rows: DataFrame, model: ToxicModel, memory: list, parts: int, rate: f
                           out=out.astype(np.float32), out_bias=float(last[0]))
 
 
-def _calibrated(rows: DataFrame, model: ToxicModel, parts: int) -> ToxicModel:
+def _calibrated(rows: DataFrame, model: ToxicModel) -> ToxicModel:
     """Thresholds from all ``rows``, none of them trained on: counts by language, label and logit in steps of 1/128."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
@@ -387,7 +387,7 @@ def _calibrated(rows: DataFrame, model: ToxicModel, parts: int) -> ToxicModel:
                                               pa.array(np.round(np.clip(z, -30, 30) * 128).astype(np.int32))], ["lang", "y", "z"])
 
     with shuffles_released(rows.sparkSession):
-        counts = _dealt(rows, parts).mapInArrow(logit, "lang string, y int, z int").groupBy("lang", "y", "z").count().toPandas()
+        counts = rows.select("text", "y").mapInArrow(logit, "lang string, y int, z int").groupBy("lang", "y", "z").count().toPandas()
     if counts.empty:
         return model
 
