@@ -10,12 +10,15 @@ from pyspark.sql import SparkSession
 # Settings the engine relies on. Raw timestamps are UTC instants, so the session time zone is UTC;
 # AQE re-plans joins at runtime (size-checked broadcast, skew splitting, partition coalescing). It merges partitions but never
 # adds any, and unnesting makes rows many times their shuffled bytes: shuffles begin with many partitions, merged up to 8 MB.
+# For so many partitions a task holds, in memory, all rows it shuffles, some ten times their bytes on disk: files are read in small splits,
+# so that it need not spill them.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "600",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.caseSensitive": "false",
