@@ -43,6 +43,7 @@ from rawfold.session import scratch_path
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _END = b"\n end of text \n"  # no word holds white space
 _FLUSH = 4_000_000
+_CHARS = 2_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -57,6 +58,24 @@ def _shard_of(order: int, keys: np.ndarray, shards: int) -> np.ndarray:
     return (((h >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
 
+def _by_shard(shard: np.ndarray) -> np.ndarray:
+    """Places in the order of their shards, equal ones as they are; 16 bits are sorted without comparing."""
+    return np.argsort(shard.astype(np.uint16) if len(shard) and shard.max() < 1 << 16 else shard, kind="stable")
+
+
+def _chunks(texts: list) -> Iterator[list]:
+    """Texts in a row, some 2 million characters at a time: keys are looked up together, so each once, in order."""
+    own, size = [], 0
+    for t in texts:
+        own.append(t)
+        size += len(t) if t else 1
+        if size >= _CHARS:
+            yield own
+            own, size = [], 0
+    if own:
+        yield own
+
+
 # --- packs ----------------------------------------------------------------------------------------------
 
 def _squeeze(a: np.ndarray) -> bytes:
@@ -109,7 +128,7 @@ def _pack_batch(rows: list[dict]) -> pa.RecordBatch:
 
 def _emit(keys: np.ndarray, values: np.ndarray, shard: np.ndarray) -> Iterator[pa.RecordBatch]:
     """One pack a shard; keys sorted."""
-    by = np.argsort(shard, kind="stable")
+    by = _by_shard(shard)
     cuts = np.searchsorted(shard[by], np.arange(int(shard.max()) + 2)) if len(shard) else [0]
     for s in range(len(cuts) - 1):
         own = by[cuts[s]:cuts[s + 1]]
@@ -153,7 +172,7 @@ class Store:
     def _map(self, name: str, dtype) -> np.ndarray:
         if name not in self._maps:
             file = f"{self.path}/{name}"
-            self._maps[name] = np.memmap(file, dtype, "r") if os.path.getsize(file) else np.empty(0, dtype)
+            self._maps[name] = np.asarray(np.memmap(file, dtype, "r")) if os.path.getsize(file) else np.empty(0, dtype)
         return self._maps[name]
 
     @property
@@ -185,7 +204,7 @@ class Store:
         uniq, inv = np.unique(keys, return_inverse=True)
         ids, counts = np.full(len(uniq), -1, np.int64), np.zeros(len(uniq), np.uint64)
         shard = _shard_of(k, uniq, len(sizes))
-        by = np.argsort(shard, kind="stable")
+        by = _by_shard(shard)
         cuts = np.searchsorted(shard[by], np.arange(len(sizes) + 1))
         first = np.concatenate(([0], np.cumsum(sizes)))
         for s in range(len(sizes)):
@@ -283,8 +302,8 @@ def _count(docs: DataFrame, store: Store, k: int, shards: int) -> Order:
         hashes, held, size = WordHashes(), [], 0
         for b in batches:
             texts = b.column("text").to_pylist()
-            for at in range(0, len(texts), 200):
-                tokens, sizes = _read_tokens(texts[at:at + 200], hashes)
+            for some in _chunks(texts):
+                tokens, sizes = _read_tokens(some, hashes)
                 if k == 1:
                     keys = tokens
                 else:
@@ -478,8 +497,8 @@ def score(docs: DataFrame, store: Store, *, text_col: str = "text", keep: tuple[
         hashes = WordHashes()
         for b in batches:
             texts, parts = b.column("text").to_pylist(), []
-            for at in range(0, len(texts), 200):
-                parts.append(score_texts(store, texts[at:at + 200], hashes))
+            for some in _chunks(texts):
+                parts.append(score_texts(store, some, hashes))
             n, known, base, own = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0) for i in range(4))
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),

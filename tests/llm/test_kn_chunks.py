@@ -1,0 +1,24 @@
+"""Texts are looked up together by their size, not by their number; shards keep their order."""
+
+import numpy as np
+
+from rawfold.llm import kn_lm
+
+
+def test_chunks_hold_every_text_in_order_and_are_bounded(monkeypatch):
+    monkeypatch.setattr(kn_lm, "_CHARS", 100)
+    texts = ["x" * (i % 40) for i in range(300)] + [None, "", "y" * 1000]
+    chunks = list(kn_lm._chunks(texts))
+    assert [t for c in chunks for t in c] == texts
+    assert all(sum(len(t or "") for t in c[:-1]) < 100 for c in chunks) and len(chunks) > 10
+    assert list(kn_lm._chunks([])) == []
+    monkeypatch.setattr(kn_lm, "_CHARS", 2_000_000)
+    assert len(list(kn_lm._chunks(["short"] * 1000))) == 1
+
+
+def test_by_shard_is_a_stable_order():
+    rng = np.random.default_rng(3)
+    for top in (1, 7, 70_000, 200_000):
+        shard = rng.integers(0, top, 5000)
+        assert np.array_equal(kn_lm._by_shard(shard), np.argsort(shard, kind="stable"))
+    assert len(kn_lm._by_shard(np.empty(0, np.int64))) == 0
