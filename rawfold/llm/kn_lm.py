@@ -198,8 +198,8 @@ class Store:
         wide = name not in self._maps and size and os.path.getsize(f"{self.path}/{name}") == 8 * size
         return self._map(name, np.uint64 if wide else np.uint32)
 
-    def find(self, k: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids or -1, raw counts or 0)."""
+    def find(self, k: int, keys: np.ndarray, counted: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """(ids or -1, raw counts or 0); all 0 if not ``counted``."""
         sizes = self.orders[k].sizes
         uniq, inv = np.unique(keys, return_inverse=True)
         ids, counts = np.full(len(uniq), -1, np.int64), np.zeros(len(uniq), np.uint64)
@@ -214,8 +214,9 @@ class Store:
                 at = np.minimum(np.searchsorted(stored, uniq[own]), sizes[s] - 1)
                 hit = stored[at] == uniq[own]
                 ids[own[hit]] = first[s] + at[hit]
-                counts[own[hit]] = self.shard_counts(k, s)[at[hit]]
-        return ids[inv], counts[inv]
+                if counted:
+                    counts[own[hit]] = self.shard_counts(k, s)[at[hit]]
+        return ids[inv], counts[inv] if counted else np.zeros(len(inv), np.uint64)
 
     def key_of(self, k: int, ids: np.ndarray) -> np.ndarray:
         first = np.concatenate(([0], np.cumsum(self.orders[k].sizes)))
@@ -241,7 +242,7 @@ class Store:
         """Ids of the grams of order k made of a context (order k-1) and a token."""
         if k == 1:
             return last.astype(np.int64)
-        return self.find(k, head.astype(np.uint64) * np.uint64(self.base) + last.astype(np.uint64))[0]
+        return self.find(k, head.astype(np.uint64) * np.uint64(self.base) + last.astype(np.uint64), counted=False)[0]
 
     def continuations(self, k: int) -> np.ndarray:
         return self._map(f"cont{k}.bin", self.neighbours)
@@ -265,10 +266,11 @@ def _read_tokens(texts, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(arrays) if arrays else np.empty(0, np.uint64), np.array(sizes, np.int64)
 
 
-def _gram_ids(store: Store, upto: int, tokens: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per order k: (k, context id before each token, gram id at it, its raw count); -1 where unknown."""
+def _gram_ids(store: Store, upto: int, tokens: np.ndarray, sizes: np.ndarray, counted: tuple[int, ...] = ()) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per order k: (k, context id before each token, gram id at it, its raw count); -1 where unknown.
+    Counts of the orders in ``counted`` only."""
     starts = np.cumsum(sizes) - sizes
-    ids, counts = store.find(1, tokens)
+    ids, counts = store.find(1, tokens, 1 in counted)
     word = ids
     yield 1, np.zeros(len(ids), np.int64), ids, counts
     for k in range(2, upto + 1):
@@ -278,7 +280,7 @@ def _gram_ids(store: Store, upto: int, tokens: np.ndarray, sizes: np.ndarray) ->
         ids, counts = np.full(len(word), -1, np.int64), np.zeros(len(word), np.uint64)
         if k in store.orders:
             ids[known], counts[known] = store.find(
-                k, context[known].astype(np.uint64) * np.uint64(store.base) + word[known].astype(np.uint64))
+                k, context[known].astype(np.uint64) * np.uint64(store.base) + word[known].astype(np.uint64), k in counted)
         yield k, context, ids, counts
 
 
@@ -462,7 +464,7 @@ def score_texts(store: Store, texts: list[str | None], hashes: WordHashes) -> li
     starts = np.cumsum(sizes) - sizes
     v, n = store.orders[1].size, store.orders[1].total
     p = None
-    for k, context, ids, counts in _gram_ids(store, store.order, tokens, sizes):
+    for k, context, ids, counts in _gram_ids(store, store.order, tokens, sizes, (1, store.order)):
         if k == 1:
             raw, known = counts, ids >= 0
             p = np.full(len(tokens), 1.0 / (v + 1))
