@@ -28,11 +28,14 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from itertools import count, islice
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -252,27 +255,50 @@ class Store:
         return self._map(f"ctx{k}.bin", np.float32).reshape(-1, 2)
 
 
-def _read_tokens(texts, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """(token hashes of all texts in a row, number of each text's tokens)."""
-    end = hashes[_END]
+class Words(defaultdict):
+    """word (bytes) -> its place, in the order of their first occurrence. ``facts`` are arrays by place, made by ``of`` from the hashes of the
+    words that are new, so that a word is looked up in a store once while it is remembered. Once ``limit`` words or 32 bytes for each are
+    held all are forgotten before the next chunk (``tidy``), so a worker's memory is bounded whatever the vocabulary."""
+
+    def __init__(self, of: Callable[[np.ndarray], tuple[np.ndarray, ...]], limit: int = 400_000):
+        super().__init__(count().__next__)
+        self.of, self.limit, self.size, self.known = of, limit, 0, None
+
+    def facts(self) -> tuple[np.ndarray, ...]:
+        have = len(self.known[0]) if self.known else 0
+        if have < len(self):
+            words = list(islice(self, have, None))
+            self.size += sum(map(len, words))
+            new = self.of(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
+            self.known = tuple(np.concatenate(x) for x in zip(self.known, new)) if self.known else tuple(new)
+        return self.known
+
+    def tidy(self) -> None:
+        if len(self) >= self.limit or self.size >= 32 * self.limit:
+            self.clear()
+            self.default_factory, self.size, self.known = count().__next__, 0, None
+
+
+def _read_tokens(texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the tokens of all texts in a row, number of each text's tokens)."""
+    words.tidy()
+    end = words[_END]
     arrays, sizes = [], []
     for t in texts:
-        words = space_words(t)
-        a = np.empty(len(words) + 1, np.uint64)
-        a[:-1] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+        own = space_words(t)
+        a = np.empty(len(own) + 1, np.int64)
+        a[:-1] = np.fromiter(map(words.__getitem__, own), np.int64, len(own))
         a[-1] = end
         arrays.append(a)
         sizes.append(len(a))
-    return np.concatenate(arrays) if arrays else np.empty(0, np.uint64), np.array(sizes, np.int64)
+    return np.concatenate(arrays) if arrays else np.empty(0, np.int64), np.array(sizes, np.int64)
 
 
-def _gram_ids(store: Store, upto: int, tokens: np.ndarray, sizes: np.ndarray, counted: tuple[int, ...] = ()) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per order k: (k, context id before each token, gram id at it, its raw count); -1 where unknown.
-    Counts of the orders in ``counted`` only."""
+def _gram_ids(store: Store, upto: int, word: np.ndarray, sizes: np.ndarray, counted: tuple[int, ...] = ()) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per order k from 2: (k, context id before each token, gram id at it, its raw count); -1 where unknown. ``word`` are the
+    tokens' ids. Counts of the orders in ``counted`` only."""
     starts = np.cumsum(sizes) - sizes
-    ids, counts = store.find(1, tokens, 1 in counted)
-    word = ids
-    yield 1, np.zeros(len(ids), np.int64), ids, counts
+    ids = word
     for k in range(2, upto + 1):
         context = np.concatenate(([0], ids[:-1]))
         context[starts] = store.special(k - 1)
@@ -300,17 +326,19 @@ def _count(docs: DataFrame, store: Store, k: int, shards: int) -> Order:
     """Count the grams of order k of all rows of ``docs`` (text) and write their shards."""
     path = store.path
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = WordHashes(), [], 0
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, held, size = Words((lambda h: (h,)) if k == 1 else (lambda h: store.find(1, h, counted=False))), [], 0
         for b in batches:
             texts = b.column("text").to_pylist()
             for some in _chunks(texts):
-                tokens, sizes = _read_tokens(some, hashes)
+                places, sizes = _read_tokens(some, words)
+                word = words.facts()[0][places]
                 if k == 1:
-                    keys = tokens
+                    keys = word
                 else:
-                    grams = list(_gram_ids(store, k - 1, tokens, sizes))
-                    word, ids = grams[0][2], grams[-1][2]
+                    ids = word
+                    for _, _, ids, _ in _gram_ids(store, k - 1, word, sizes):
+                        pass
                     context = np.concatenate(([0], ids[:-1]))
                     context[np.cumsum(sizes) - sizes] = store.special(k - 1)
                     keys = context.astype(np.uint64) * np.uint64(store.base) + word.astype(np.uint64)
@@ -334,7 +362,7 @@ def _count(docs: DataFrame, store: Store, k: int, shards: int) -> Order:
                                       **{f"n{i}": int((n == i).sum()) for i in (1, 2, 3, 4)}}], _SIZES_ARROW)
 
     with shuffles_released(docs.sparkSession):
-        done = (docs.mapInArrow(count, _PACK).repartition(shards, "shard").groupBy("shard")
+        done = (docs.mapInArrow(grams, _PACK).repartition(shards, "shard").groupBy("shard")
                 .applyInArrow(merge, _SIZES).collect())  # one row a shard
     by = {r["shard"]: r for r in done}
     for s in range(shards):
@@ -456,26 +484,34 @@ def build(docs: DataFrame, learn: Column, *, text_col: str = "text", order: int
 
 # --- scoring --------------------------------------------------------------------------------------------
 
-def score_texts(store: Store, texts: list[str | None], hashes: WordHashes) -> list[np.ndarray]:
+def _word_scores(store: Store):
+    """Of the hashes of tokens: ids (-1 where unknown), base score, probability by the lowest order."""
+    v, n, low = store.orders[1].size, store.orders[1].total, store.orders[0]
+
+    def of(hashes: np.ndarray) -> tuple[np.ndarray, ...]:
+        ids, raw = store.find(1, hashes)
+        known, p = ids >= 0, np.full(len(ids), 1.0 / (v + 1))
+        if low.total:
+            d = low.discounts()
+            c = np.zeros(len(ids))
+            c[known] = store.continuations(1)[ids[known]]
+            weight = (d[1] * low.counts[0] + d[2] * low.counts[1] + d[3] * (v - low.counts[0] - low.counts[1])) / low.total
+            p = np.maximum(c - d[np.minimum(c, 3).astype(int)], 0) / low.total + weight * p
+        return ids, np.log10((raw + 0.5) / (n + 0.5 * (v + 1))), p
+    return of
+
+
+def score_texts(store: Store, texts: list[str | None], words: Words | WordHashes) -> list[np.ndarray]:
     """Per text: number of tokens, of known tokens, base score, model score (log10)."""
-    tokens, sizes = _read_tokens(texts, hashes)
+    if not isinstance(words, Words):
+        words = Words(_word_scores(store))
+    places, sizes = _read_tokens(texts, words)
     if not len(sizes):
         return [np.empty(0)] * 4
     starts = np.cumsum(sizes) - sizes
-    v, n = store.orders[1].size, store.orders[1].total
-    p = None
-    for k, context, ids, counts in _gram_ids(store, store.order, tokens, sizes, (1, store.order)):
-        if k == 1:
-            raw, known = counts, ids >= 0
-            p = np.full(len(tokens), 1.0 / (v + 1))
-            low = store.orders[0]
-            if low.total:
-                d = low.discounts()
-                c = np.zeros(len(tokens))
-                c[known] = store.continuations(1)[ids[known]]
-                weight = (d[1] * low.counts[0] + d[2] * low.counts[1] + d[3] * (v - low.counts[0] - low.counts[1])) / low.total
-                p = np.maximum(c - d[np.minimum(c, 3).astype(int)], 0) / low.total + weight * p
-            continue
+    ids, base, p = (x[places] for x in words.facts())
+    known = ids >= 0
+    for k, context, ids, counts in _gram_ids(store, store.order, ids, sizes, (store.order,)):
         d = store.orders[k].discounts()
         seen = np.flatnonzero(context >= 0)
         total, weight = (x.astype(np.float64) for x in store.contexts(k)[context[seen]].T)
@@ -486,7 +522,6 @@ def score_texts(store: Store, texts: list[str | None], hashes: WordHashes) -> li
             c[has] = store.continuations(k)[ids[seen][has]]
         better = np.maximum(c - d[np.minimum(c, 3).astype(int)], 0) / np.maximum(total, 1) + weight * p[seen]
         p[seen] = np.where(total > 0, better, p[seen])
-    base = np.log10((raw + 0.5) / (n + 0.5 * (v + 1)))
     return [sizes, np.add.reduceat(known.astype(np.int64), starts), np.add.reduceat(base, starts),
             np.add.reduceat(np.log10(p), starts)]
 
@@ -496,11 +531,11 @@ def score(docs: DataFrame, store: Store, *, text_col: str = "text", keep: tuple[
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        words = Words(_word_scores(store))
         for b in batches:
             texts, parts = b.column("text").to_pylist(), []
             for some in _chunks(texts):
-                parts.append(score_texts(store, some, hashes))
+                parts.append(score_texts(store, some, words))
             n, known, base, own = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0) for i in range(4))
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),

@@ -1,0 +1,37 @@
+"""A word is looked up once while it is remembered, and memory is bounded."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from rawfold.llm import kn_lm
+from rawfold.llm.common import WordHashes
+
+
+def test_a_word_is_looked_up_once_and_all_are_forgotten_at_the_limit():
+    asked = []
+
+    def of(hashes):
+        asked.extend(hashes.tolist())
+        return (hashes,)
+
+    words = kn_lm.Words(of, limit=6)
+    h = WordHashes()
+    for texts in (["a b a", "b c"], ["c a", None, ""], ["x" * 40 + " a d", "e f"]):
+        places, sizes = kn_lm._read_tokens(texts, words)
+        own = [w for t in texts for w in [*(t or "").split(), None]]
+        assert words.facts()[0][places].tolist() == [h[kn_lm._END if w is None else w.encode()] for w in own]
+        assert sizes.tolist() == [len((t or "").split()) + 1 for t in texts]
+    assert len(asked) == len(set(asked)) == 8  # seven words and the end
+    kn_lm._read_tokens(["a"], words)
+    assert len(words) == 2 and words.known is None
+
+
+def test_scores_do_not_depend_on_what_is_remembered(spark, make_docs, tmp_path, monkeypatch):
+    rows = [(i, f"w{i % 7} w{i % 5} w{i % 3} end{i}") for i in range(60)]
+    store = kn_lm.build(make_docs(rows), F.col("doc_id") % 5 != 1, order=3, path=str(tmp_path / "m"))
+    texts = [t for _, t in rows] + [None, "never seen", "w1 " * 50]
+    whole = kn_lm.score_texts(store, texts, WordHashes())
+    words = kn_lm.Words(kn_lm._word_scores(store), limit=3)
+    each = [kn_lm.score_texts(store, [t], words) for t in texts]
+    for i in range(4):
+        assert np.array_equal(whole[i], np.concatenate([e[i] for e in each]))
