@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -73,6 +74,27 @@ class WordHashes(dict):
         return h
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable):
+    """What this worker process keeps under ``key`` for its next tasks, made if it is not there; until ``forget``."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Drop what this worker has kept for the tasks of an earlier step, and give the memory back to the system: workers are used again, and
+    would hold it through all later steps. To be called by tasks; a task's own function names copies of a module's
+    variables, so it can't clear them itself."""
+    _KEPT.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Rows of an Arrow batch sent to a Python worker: whole texts can be long, so a batch holds few."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawfold.llm.common import bounded_batches, checkpointed, dealt, shuffles_released, unpacked
+from rawfold.llm.common import bounded_batches, checkpointed, dealt, forget, shuffles_released, unpacked
 
 UND = "und"
 GRAMS = (2, 3, 4)
@@ -331,6 +331,7 @@ def _scored(docs: DataFrame, model: LanguageModel, text_col: str, keep: tuple[st
     sent = spark.sparkContext.broadcast(model)  # buckets x languages floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         m = sent.value
         for b in batches:
             langs, score, familiar = recognise(m, b.column("text").to_pylist())
@@ -388,6 +389,7 @@ def _averaged(rows: DataFrame, langs: list[str], parts: int, buckets: int, optio
     sent = pa.schema([("h", pa.int64()), ("text", pa.string()), ("label", pa.string())])
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         own, cut, last = [], [], None
         table = unpacked(batches, sent, ("h", "label"))  # in the order of a hash: copies of a row are neighbours, and taken once
         for h, t, lang in zip(*(table.column(c).to_pylist() for c in ("h", "text", "label"))):

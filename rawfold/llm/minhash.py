@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawfold.llm.common import WordHashes, bounded_batches, checkpointed, discard, materialize, space_words
+from rawfold.llm.common import WordHashes, bounded_batches, checkpointed, discard, forget, materialize, space_words
 
 _M1, _M2, _K = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
@@ -101,6 +101,7 @@ def _digest(shingles: np.ndarray) -> bytes:
 def _members(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     """(id, th, text) -> (id, th, digest, n, band keys); digest and keys null for the empty set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         hashes, seen = WordHashes(), {}
         for b in batches:
             n, digests, keys = [], [], []

@@ -35,7 +35,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rawfold.llm.common import bounded_batches
+from rawfold.llm.common import bounded_batches, forget, kept
 from rawfold.session import scratch_path
 
 MAGIC = b"DACTOK01"
@@ -250,14 +250,9 @@ class PieceEncoder:
         return self.encode_all([text])[0]
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
     """One encoder a worker process, kept for its next tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return kept(("encoder", path), lambda: PieceEncoder(path))
 
 
 # --- Spark ------------------------------------------------------------------------------------------
@@ -329,7 +324,7 @@ def read_tokens(spark, out: str, manifest: list[dict]) -> DataFrame:
         return spark.createDataFrame([], schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _ENCODERS.clear()  # this worker may have written before; later stages need its memory
+        forget()  # this worker may have written before; later stages need its memory
         for b in batches:
             for file, first in zip(b.column("file").to_pylist(), b.column("first").to_pylist()):
                 shard = open_shard(file)
