@@ -22,7 +22,7 @@ LOWER = UPPER.lower()
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-_ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: lower-cases A-Z and turns every ASCII byte that is no letter or digit into a space
 _ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                for b in range(256))
@@ -40,7 +40,7 @@ def text_or_empty(name: str) -> Column:
 def space_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased, as UTF-8 (``bytes.split`` cuts at
     exactly these six characters)."""
-    return text.encode("utf-8", "surrogatepass").translate(_ASCII_LOWER).split() if text else []
+    return text.encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split() if text else []
 
 
 def alnum_words(text: str | None) -> list[bytes]:

@@ -28,9 +28,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import count, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -40,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawfold.llm.common import WordHashes, bounded_batches, shuffles_released, space_words
+from rawfold.llm.common import ASCII_LOWER, WordHashes, bounded_batches, shuffles_released
 from rawfold.session import scratch_path
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -255,43 +253,99 @@ class Store:
         return self._map(f"ctx{k}.bin", np.float32).reshape(-1, 2)
 
 
-class Words(defaultdict):
-    """word (bytes) -> its place, in the order of their first occurrence. ``facts`` are arrays by place, made by ``of`` from the hashes of the
-    words that are new, so that a word is looked up in a store once while it is remembered. Once ``limit`` words or 32 bytes for each are
-    held all are forgotten before the next chunk (``tidy``), so a worker's memory is bounded whatever the vocabulary."""
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_PREFIX = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)  # the first i bytes of eight
+_LONG = 64
+
+
+def _prints(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit numbers by which words of a text are told apart: of their length and bytes, eight at a time for all words; of a long word by
+    xxhash. Eight bytes or more follow the last word."""
+    lanes = np.empty(len(text) // 8 * 8, np.uint64)
+    for i in range(8):
+        own = lanes[i::8]
+        own[:(len(text) - i) // 8] = np.frombuffer(text, "<u8", (len(text) - i) // 8, i)
+    sizes = ends - starts
+    h = sizes.astype(np.uint64) * _ODD
+    own = np.flatnonzero(sizes <= _LONG)
+    at, left = starts[own], sizes[own]
+    while len(own):
+        h[own] = _mix(h[own] ^ (lanes[at] & _PREFIX[np.minimum(left, 8)])) + _ODD
+        more = np.flatnonzero(left > 8)
+        own, at, left = own[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(sizes > _LONG).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(text[starts[i]:ends[i]], 1)
+    return h
+
+
+class Words:
+    """The place of each word that is remembered, by its ``_prints``. ``facts`` are arrays by place, made by ``of`` from the hashes of the
+    words that are new, so that a word is looked up in a store once while it is remembered. Once ``limit`` words are held all are
+    forgotten before the next chunk (``tidy``), so a worker's memory is bounded whatever the vocabulary."""
 
     def __init__(self, of: Callable[[np.ndarray], tuple[np.ndarray, ...]], limit: int = 400_000):
-        super().__init__(count().__next__)
-        self.of, self.limit, self.size, self.known = of, limit, 0, None
+        self.of, self.limit = of, limit
+        self.clear()
+
+    def __len__(self) -> int:
+        return len(self.places)
+
+    def clear(self) -> None:
+        self.prints, self.places = np.empty(0, np.uint64), np.empty(0, np.int64)  # sorted by the first
+        self.new, self.known = [], None
+
+    def places_of(self, text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        prints = _prints(text, starts, ends)
+        by = np.argsort(prints)
+        prints = prints[by]
+        first = np.concatenate(([True], prints[1:] != prints[:-1]))
+        uniq, one = prints[first], by[first]
+        at = np.searchsorted(self.prints, uniq)
+        new = np.ones(len(uniq), bool)
+        inside = at < len(self.prints)
+        new[inside] = self.prints[at[inside]] != uniq[inside]
+        places = np.empty(len(uniq), np.int64)
+        places[~new] = self.places[at[~new]]
+        places[new] = len(self) + np.arange(np.count_nonzero(new))
+        self.new += [xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(starts[one[new]].tolist(), ends[one[new]].tolist())]
+        self.prints, self.places = np.insert(self.prints, at[new], uniq[new]), np.insert(self.places, at[new], places[new])
+        out = np.empty(len(by), np.int64)
+        out[by] = places[np.cumsum(first) - 1]
+        return out
 
     def facts(self) -> tuple[np.ndarray, ...]:
-        have = len(self.known[0]) if self.known else 0
-        if have < len(self):
-            words = list(islice(self, have, None))
-            self.size += sum(map(len, words))
-            new = self.of(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
+        if self.new:
+            new, self.new = self.of(np.array(self.new, np.uint64)), []
             self.known = tuple(np.concatenate(x) for x in zip(self.known, new)) if self.known else tuple(new)
         return self.known
 
     def tidy(self) -> None:
-        if len(self) >= self.limit or self.size >= 32 * self.limit:
+        if len(self) >= self.limit:
             self.clear()
-            self.default_factory, self.size, self.known = count().__next__, 0, None
 
 
 def _read_tokens(texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(places of the tokens of all texts in a row, number of each text's tokens)."""
+    """(places of the tokens of all texts in a row, number of each text's tokens). The words are those of ``space_words``, cut for all
+    texts at once."""
     words.tidy()
-    end = words[_END]
-    arrays, sizes = [], []
-    for t in texts:
-        own = space_words(t)
-        a = np.empty(len(own) + 1, np.int64)
-        a[:-1] = np.fromiter(map(words.__getitem__, own), np.int64, len(own))
-        a[-1] = end
-        arrays.append(a)
-        sizes.append(len(a))
-    return np.concatenate(arrays) if arrays else np.empty(0, np.int64), np.array(sizes, np.int64)
+    if not len(texts):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+    size = sum(map(len, raw)) + len(raw)
+    # the end token holds white space, so it stands behind the texts and its place is known
+    text = b"\n".join((b"", *raw, b"")).translate(ASCII_LOWER) + _END + bytes(16)
+    own = np.frombuffer(text, np.uint8, size + 1)
+    inside = (own != 32) & (own - np.uint8(9) > 4)
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1  # starts and ends in turn: the first and last byte are white space
+    starts, ends = edges[::2], edges[1::2]
+    places = words.places_of(text, np.append(starts, size + 1), np.append(ends, size + 1 + len(_END)))
+    limits = np.cumsum([len(r) + 1 for r in raw])
+    sizes = np.diff(np.searchsorted(starts, limits), prepend=0) + 1
+    out, last = np.full(len(starts) + len(raw), places[-1]), np.cumsum(sizes) - 1
+    word = np.ones(len(out), bool)
+    word[last] = False
+    out[word] = places[:-1]
+    return out, sizes
 
 
 def _gram_ids(store: Store, upto: int, word: np.ndarray, sizes: np.ndarray, counted: tuple[int, ...] = ()) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:

@@ -1,0 +1,43 @@
+"""The words of all texts of a chunk are cut and told apart together, without a step for each token."""
+
+import random
+
+import numpy as np
+import xxhash
+
+from rawfold.llm import kn_lm
+from rawfold.llm.common import space_words
+
+ODD = [None, "", " ", "a", "A", "a" * 7, "a" * 8, "a" * 9, "a" * 16, "a" * 7 + "\x00", "\x00" * 7, "\x00" * 8, "\x00", "x" * 64, "x" * 65,
+       "x" * 64 + "y", "\x1c\x1d\x85　", "Été 日本", "\ud800", " end of text ", "\n end of text \n"]
+
+
+def test_words_are_those_of_each_text_by_itself():
+    rng = random.Random(5)
+    letters = " \t\n\x0b\x0c\r\x1c\x85　abAZé日\x00\x08\x0e\ud800"
+    words = kn_lm.Words(lambda h: (h,), limit=40)
+    for _ in range(200):
+        texts = rng.sample(ODD, rng.randint(0, 8)) + ["".join(rng.choices(letters, k=rng.randint(0, 50))) for _ in range(rng.randint(0, 4))]
+        places, sizes = kn_lm._read_tokens(texts, words)
+        own = [xxhash.xxh3_64_intdigest(w) for t in texts for w in [*space_words(t), kn_lm._END]]
+        assert sizes.tolist() == [len(space_words(t)) + 1 for t in texts]
+        assert not texts or words.facts()[0][places].tolist() == own
+
+
+def test_words_are_hashed_when_they_are_new_only(monkeypatch):
+    asked = []
+    real = xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(kn_lm.xxhash, "xxh3_64_intdigest", lambda w, *a: asked.append(bytes(w)) or real(w, *a))
+    words = kn_lm.Words(lambda h: (h,))
+    for _ in range(3):
+        kn_lm._read_tokens(["b a b " * 1000, "A"], words)
+        words.facts()
+    assert sorted(asked) == sorted([b"a", b"b", kn_lm._END]) and len(words) == 3
+
+
+def test_prints_tell_words_apart():
+    own = sorted({w for t in ODD for w in space_words(t)} | {bytes([i]) * n for i in (0, 1, 97) for n in range(1, 70)})
+    text = b" ".join(own) + bytes(16)
+    ends = np.cumsum([len(w) + 1 for w in own]) - 1
+    starts = ends - [len(w) for w in own]
+    assert len(np.unique(kn_lm._prints(text, starts, ends))) == len(own)
