@@ -265,7 +265,7 @@ def candidate_files(spark: SparkSession, base: str, folders: Sequence[Folder], k
     read = lambda kind: _from_index(spark, base, attempts, kind)
     files = read("files").join(live, [ATT, PART]).withColumnRenamed(PART, "p")
     keys = keys.select(RANK_KEY, F.col(PART).cast("string").alias("__kp")).distinct()
-    near = keys.join(files, (F.col("__kp").isNull() | (F.col("__kp") == F.col("p"))) & F.col(RANK_KEY).between(F.col("lo"), F.col("hi")))
+    near = _in_range(keys, files)
     near = near.select(ATT, "p", "file", F.pmod(F.xxhash64(RANK_KEY), "blocks").alias("block"), RANK_KEY)
     hit = near.join(read("bloom").withColumnRenamed(PART, "p"), [ATT, "p", "file", "block"])
     for position in _positions(RANK_KEY):
@@ -273,6 +273,14 @@ def candidate_files(spark: SparkSession, base: str, folders: Sequence[Folder], k
     return sorted(tuple(r) for r in hit.select(ATT, "p", "file").distinct().collect())  # at most one row a file
 
 
+def _in_range(keys: DataFrame, files: DataFrame) -> DataFrame:
+    """Keys with every file of their part (``__kp``; null: any) whose least and greatest key they lie between. Keys of a known part meet its
+    files by an equal join, not those of all parts; the files of a table, one row each, are few."""
+    files, within = F.broadcast(files), F.col(RANK_KEY).between(F.col("lo"), F.col("hi"))
+    known = keys.filter(F.col("__kp").isNotNull()).join(files, (F.col("__kp") == F.col("p")) & within)
+    return known.unionByName(keys.filter(F.col("__kp").isNull()).join(files, within))
+
+
 def _from_index(spark: SparkSession, base: str, attempts: Sequence[str], kind: str) -> DataFrame:
     df = spark.read.schema(_INDEX[kind]).parquet(*[f"{base}/index/{a}/{kind}" for a in attempts])
     return df.withColumn(ATT, F.regexp_extract(F.col("_metadata.file_path"), f"/index/([^/]*)/{kind}/", 1))
