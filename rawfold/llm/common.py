@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import zlib
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawfold.session import scratch_path, shared_dir
+from rawfold.session import scratch_path, shared_dir, shuffles_released
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -103,19 +102,6 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
-@contextmanager
-def shuffles_released(spark: SparkSession) -> Iterator[None]:
-    """Spark removes the shuffle files of every query that ends inside, instead of when the driver's garbage happens to be collected.
-    For queries whose result is written: nothing reads their shuffles again."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    was = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, was)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: cuts the lineage and is
     whole again after an executor is lost."""

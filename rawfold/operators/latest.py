@@ -17,6 +17,10 @@ Plans that survive a hot key (one key holding a large share of all rows):
   ships one row per map task.
 
 ``strategy="window"`` gives the textbook ``dense_rank`` window + filter plan for ``ties=True`` too, for comparison.
+
+``strategy="split"`` (``ties=True``) is for wide rows: the join above shuffles every version of a key with all its columns, the window only
+those that are newest in their map task, but it holds the newest rows of a key in one task. So rows are counted per (key, order)
+first, by partial aggregates over those columns; keys with more than ``large`` rows in one batch, if any, go through the join.
 """
 
 from __future__ import annotations
@@ -58,17 +62,20 @@ def row_hash(df: DataFrame) -> Column:
 
 
 def keep_latest(df: DataFrame, keys: Sequence, order: Sequence, *, ties: bool = True,
-                tiebreak: Sequence = (), strategy: str = "auto") -> DataFrame:
+                tiebreak: Sequence = (), strategy: str = "auto", large: int = 1_000_000) -> DataFrame:
     """Rows ranked first per ``keys`` by ``order`` (all descending, NULLs last).
 
     ``keys`` and ``order`` are column names or Column expressions (``coalesce(id, 0)``).
     NULL keys form one group, as in a window ``PARTITION BY``. Tie-breakers also rank descending.
+    ``strategy="split"`` counts rows here, so it runs a job; ``large`` is its bound on rows of one key and batch.
     """
     keys, order, tiebreak = list(keys), list(order), list(tiebreak)
     if not order:
         raise ValueError("keep_latest needs at least one order column")
     if strategy == "window" or not ties:
         return _window(df, keys, order, ties, tiebreak)
+    if strategy == "split":
+        return _split(df, keys, order, large)
 
     cols = df.columns
     kn = [f"__lk{i}" for i in range(len(keys))]
@@ -95,6 +102,25 @@ def _window(df: DataFrame, keys, order, ties, tiebreak) -> DataFrame:
     return df.withColumn("__lrank", fn.over(w)).filter(F.col("__lrank") == 1).drop("__lrank")
 
 
+def _split(df: DataFrame, keys, order, large: int) -> DataFrame:
+    """The window for all keys but those with more than ``large`` rows of one order, which go through the join."""
+    from rawfold.session import scratch_path, shuffles_released
+    spark = df.sparkSession
+    kn, on = [f"__hk{i}" for i in range(len(keys))], [f"__ho{i}" for i in range(len(order))]
+    d = df.withColumns({n: _col(c) for n, c in zip(kn + on, keys + order)})
+    path = scratch_path(spark, "hot")
+    with shuffles_released(spark):
+        hot = (d.groupBy(*kn, *on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > large)
+               .select(*[F.col(n).alias(n + "b") for n in kn]).distinct())
+        hot.write.parquet(path)
+    hot = spark.read.schema(hot.schema).parquet(path)
+    if hot.isEmpty():
+        return _window(df, keys, order, True, [])
+    cond = [d[n].eqNullSafe(hot[n + "b"]) for n in kn]
+    small, rest = (d.join(hot, cond, how).select(*[F.col(f"`{c}`") for c in d.columns]) for how in ("left_anti", "left_semi"))
+    return _window(small, kn, on, True, []).unionByName(keep_latest(rest, kn, on)).drop(*kn, *on)
+
+
 def seq_id(df: DataFrame, keys: Sequence, order: Sequence, tiebreak: Sequence = (), name: str = "_seq_id",
            strategy: str = "split", large: int = 1_000_000) -> DataFrame:
     """``row_number() over (partition by keys order by order desc, tiebreak asc, every other column)`` as ``name``.
@@ -114,13 +140,14 @@ def seq_id(df: DataFrame, keys: Sequence, order: Sequence, tiebreak: Sequence =
         return _numbered(df, keys, order, tiebreak, name)
     if strategy == "ranged":
         return _ranged(df, keys, order, tiebreak, name)
-    from rawfold.session import scratch_path, shared_dir
+    from rawfold.session import scratch_path, shared_dir, shuffles_released
     shared_dir(df.sparkSession)
     kn = [f"__sk{i}" for i in range(len(keys))]
     d = df.withColumns({n: _col(k) for n, k in zip(kn, keys)})
     if strategy == "split":
         path = scratch_path(df.sparkSession, "unnumbered")
-        d.write.parquet(path)
+        with shuffles_released(df.sparkSession):  # else they stay beside the rows written and those shuffled to be numbered
+            d.write.parquet(path)
         d = df.sparkSession.read.schema(d.schema).parquet(path)
     big = (d.groupBy(*kn).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > large)
            .select(*[F.col(n).alias(n + "b") for n in kn])).checkpoint(eager=True)

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rawfold.config import (
     BATCH_ID, BATCH_RUNTIME, LAST_UPDATED, RUN_ID, SOURCE_RELATION, USER_ID, Settings,
@@ -25,7 +26,7 @@ from rawfold.functions.lineage import brand as brand_expr
 from rawfold.functions.lineage import lineage_columns
 from rawfold.operators.fx import FX_CURRENCY, FX_RATE, fx_left_join
 from rawfold.operators.latest import keep_latest, row_hash, seq_id
-from rawfold.operators.nested import prefixed, struct_star, unnest_chain
+from rawfold.operators.nested import drop_nested_fields, prefixed, resolve_type, struct_star, unnest_chain
 from rawfold.plans.spec import Col, DatasetSpec, Key, Pick, SStar, Star, Tz
 from rawfold.sources.incremental import RANK_KEY, RANK_ORDER, relation_filter
 from rawfold.sources.relations import union_relations
@@ -121,7 +122,42 @@ def rank_keys(spec: DatasetSpec, settings: Settings) -> tuple[str, ...]:
 def _latest(df: DataFrame, spec: DatasetSpec, settings: Settings, strategy: str = "auto") -> DataFrame:
     lt = spec.latest
     return keep_latest(df, [_expr(k) for k in rank_keys(spec, settings)], [_expr(o) for o in lt.order], ties=lt.ties,
-                       tiebreak=[_expr(t) for t in tiebreak_of(spec)], strategy=strategy)
+                       tiebreak=[_expr(t) for t in tiebreak_of(spec)], strategy=strategy, large=settings.seq_large)
+
+
+def unread_fields(df: DataFrame, spec: DatasetSpec, column: str) -> list[str]:
+    """Fields of the unnested ``column`` that no part of the spec names; none where it is named as a whole, and one field always stays."""
+    name = column.lower()
+    exprs = [getattr(c, a) for c in spec.columns for a in ("expr", "src") if hasattr(c, a)]
+    exprs += [c.expr for c in spec.extra.get("post_columns", ())]
+    steps = [s for s in (*spec.unnest, *spec.extra.get("post_unnest", ())) if s != column]
+    exprs += [".".join(s) if isinstance(s, tuple) else s for s in steps]
+    exprs += [x for x in (spec.where, *((spec.fx.date, spec.fx.currency) if spec.fx else ())) if x]
+    exprs += [*spec.latest.keys, *spec.latest.order, *spec.latest.tiebreak] if spec.latest else []
+    for c in spec.columns:
+        if isinstance(c, Pick):
+            exprs += [f"{c.col}.{f}" for f in c.fields]
+        elif isinstance(c, SStar):
+            exprs.append(c.col)
+        elif isinstance(c, Star) and name not in {e.lower() for e in c.exclude}:
+            exprs.append(column)
+    named = re.compile(rf"(?<![\w.]){re.escape(name)}\b(?:\.(\w+))?")
+    read = {m.group(1) for e in exprs for m in named.finditer(e.lower().replace("`", ""))}
+    kind = resolve_type(df, column)
+    kind = kind.elementType if isinstance(kind, T.ArrayType) else kind
+    if None in read or not isinstance(kind, T.StructType):
+        return []
+    fields = kind.fieldNames()
+    kept = [f for f in fields if f.lower() in read] or fields[:1]
+    return [f for f in fields if f not in kept]
+
+
+def _narrowed(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Without the fields of unnested columns that the dataset does not read, so that they are not shuffled with the parents."""
+    for c in spec.unnest:
+        if isinstance(c, str) and "." not in c:
+            df = drop_nested_fields(df, c, unread_fields(df, spec, c))
+    return df
 
 
 def build(spec: DatasetSpec, relations, settings: Settings, *, fx: DataFrame | None = None,
@@ -132,7 +168,8 @@ def build(spec: DatasetSpec, relations, settings: Settings, *, fx: DataFrame | N
 
     ``carry_rank`` adds the rank key and order of every row (hidden columns for later merges). ``staged`` is the result of
     ``parents`` for the same relations and rank, written once for several datasets. A dataset that numbers its rows
-    with ``seq_strategy`` "split" is computed and written here, and its parents counted; nothing else runs a job.
+    with ``seq_strategy`` "split" is computed and written here, its parents counted, and before that the versions of each key and
+    batch where it ranks parents; nothing else runs a job.
     """
     if spec.kind == "per_arm_rates":
         return build_rates(spec, relations, settings, watermark=watermark, lookback_ms=lookback_ms,
@@ -152,6 +189,10 @@ def build(spec: DatasetSpec, relations, settings: Settings, *, fx: DataFrame | N
             out = out.withColumns(rank_columns(df, rank_keys(spec, settings), lt.order, tiebreak_of(spec), lt.ties))
         return out
 
+    numbers_now = bool(spec.seq_by) and (seq_strategy or settings.seq_strategy) == "split"
+    if numbers_now and lt and lt.ties and lt.stage == "parent" and staged is None:
+        a = _narrowed(a, spec)
+        latest_strategy = "split" if latest_strategy == "auto" else latest_strategy
     if lt and lt.stage == "parent":
         a = ranked(a, done=staged is not None)
     f = unnest_chain(a, spec.unnest)
